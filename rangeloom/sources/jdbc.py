@@ -42,6 +42,12 @@ def jdbc_schema(spark: SparkSession, spec: LoadSpec) -> DataFrame:
     return _reader(spark, spec).option("dbtable", derived_table(spec.select)).load()
 
 
+def read_one(spark: SparkSession, spec: LoadSpec, predicate: str) -> DataFrame:
+    """One range of the query in one statement."""
+    part = f"(SELECT * FROM {derived_table(spec.select)} WHERE {predicate}) AS part"
+    return _reader(spark, spec).option("dbtable", part).load()
+
+
 def read_ranges(
     spark: SparkSession,
     spec: LoadSpec,
