@@ -1,10 +1,9 @@
 """Strict and safe casts between a source column and its declared type.
 
-Every cast is expressed as one value column (NULL where the value does not fit)
-and, unless the conversion cannot fail, one boolean column saying whether a
-non-NULL value did not fit. Strict, safe and per-partition handling are all
-built from these two, so they never disagree, and none of them depends on the
-session's ANSI setting.
+Every cast is one SQL value (NULL where the source value does not fit) and, unless
+the conversion cannot fail, one SQL test saying whether a non-NULL value did not fit.
+Strict, safe and per-range handling are all built from these two, so they never
+disagree, and none of them depends on the session's ANSI setting.
 """
 
 from __future__ import annotations
@@ -15,32 +14,54 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rangeloom.functions.names import quoted
 from rangeloom.functions.types import declared_name
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
-MESSAGE_CHARS = 200
-
 _WIDTH = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
 
+# Error messages show this much of a value that does not fit.
+MESSAGE_CHARS = 200
+
 
 @dataclass(frozen=True)
 class TypedValue:
-    """``value`` is NULL where it does not fit; ``failed`` is None if it always fits."""
+    """A column and its declared type; ``failed`` is None if every value fits."""
 
     name: str
     target: T.DataType
-    value: Column
-    failed: Column | None
-
-    def message(self, raw: Column) -> Column:
-        """Text naming the column, the offending value and the declared type."""
-        # Bytes that are not text are shown in hex. Only the message is shortened.
-        text = F.hex(raw) if isinstance(self.target, T.StringType) else raw.cast("string")
-        shown = F.concat(F.lit("'"), F.substring(text, 1, MESSAGE_CHARS), F.lit("'"))
-        return F.concat(
-            F.lit(f"column '{self.name}': "), shown, F.lit(f" is not {declared_name(self.target)}")
-        )
+    value: str
+    failed: str | None
+
+    @property
+    def message(self) -> str:
+        """SQL for a text naming the column, the offending value and the declared type."""
+        # Bytes that are not text are shown in hex.
+        raw = quoted(self.name)
+        shown = f"hex({raw})" if isinstance(self.target, T.StringType) else f"CAST({raw} AS STRING)"
+        before = sql_text(f"column '{self.name}': '")
+        after = sql_text(f"' is not {declared_name(self.target)}")
+        return f"concat({before}, substring({shown}, 1, {MESSAGE_CHARS}), {after})"
+
+    @property
+    def safe(self) -> str:
+        """SQL for the value, or NULL where it does not fit; the row is kept."""
+        return f"{self.value} AS {quoted(self.name)}"
+
+    @property
+    def strict(self) -> str:
+        """SQL for the value, failing the job on the first one that does not fit."""
+        if self.failed is None:
+            return self.safe
+        kind = self.target.simpleString()
+        tested = f"CASE WHEN {self.failed} THEN raise_error({self.message}) ELSE {self.value} END"
+        return f"CAST({tested} AS {kind}) AS {quoted(self.name)}"
+
+
+def sql_text(text: str) -> str:
+    """A string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _always_fits(source: T.DataType, target: T.DataType) -> bool:
@@ -58,7 +79,7 @@ def _always_fits(source: T.DataType, target: T.DataType) -> bool:
 
 
 def typed_value(
-    name: str, raw: Column, source: T.DataType, target: T.DataType, check_utf8: bool = False
+    name: str, source: T.DataType, target: T.DataType, check_utf8: bool = False
 ) -> TypedValue:
     """Pair a source column with its declared type.
 
@@ -66,39 +87,22 @@ def typed_value(
     keeps filters on it pushable to the scan. ``check_utf8`` also validates the
     bytes of columns that arrive as text; binary columns are always validated.
     """
-    if isinstance(target, T.StringType) and isinstance(source, (T.BinaryType, T.StringType)):
-        if isinstance(source, T.StringType) and not check_utf8:
-            return TypedValue(name, target, raw, None)
-        value = F.try_validate_utf8(raw.cast(target))
-        return TypedValue(name, target, value, raw.isNotNull() & value.isNull())
+    raw, kind = quoted(name), target.simpleString()
+    text = isinstance(target, T.StringType)
+    if text and (isinstance(source, T.BinaryType) or (check_utf8 and isinstance(source, T.StringType))):
+        value = f"try_validate_utf8(CAST({raw} AS STRING))"
+        return TypedValue(name, target, value, f"({raw} IS NOT NULL AND {value} IS NULL)")
     if source == target:
         return TypedValue(name, target, raw, None)
+    value = raw
     if isinstance(source, _FRACTIONAL) and isinstance(target, _WHOLE):
-        # SQL casts of fractions to integers round (ties to even); Spark's truncates.
-        rounded = F.rint(raw) if not isinstance(source, T.DecimalType) else F.round(raw, 0)
-        value = rounded.try_cast(target)
-    else:
-        value = raw.try_cast(target)
+        # SQL casts of fractions to integers round; Spark's truncates. Floats round
+        # ties to even, decimals away from zero.
+        value = f"round({raw}, 0)" if isinstance(source, T.DecimalType) else f"rint({raw})"
+    value = f"try_cast({value} AS {kind})"
     if _always_fits(source, target):
         return TypedValue(name, target, value, None)
-    return TypedValue(name, target, value, raw.isNotNull() & value.isNull())
-
-
-def strict(typed: TypedValue, raw: Column) -> Column:
-    """The value, failing the job on the first one that does not fit."""
-    if typed.failed is None:
-        return typed.value.alias(typed.name)
-    return (
-        F.when(typed.failed, F.raise_error(typed.message(raw)))
-        .otherwise(typed.value)
-        .cast(typed.target)
-        .alias(typed.name)
-    )
-
-
-def safe(typed: TypedValue) -> Column:
-    """The value, or NULL where it does not fit; the row is kept."""
-    return typed.value.alias(typed.name)
+    return TypedValue(name, target, value, f"({raw} IS NOT NULL AND {value} IS NULL)")
 
 
 def text_is_valid(text: Column) -> Column:

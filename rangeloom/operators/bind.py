@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rangeloom.functions.casts import TypedValue, safe, strict, typed_value
+from rangeloom.functions.casts import TypedValue, typed_value
+from rangeloom.functions.names import quoted
 
 MODES = ("strict", "safe")
 
@@ -23,7 +23,7 @@ def rename_by_position(df: DataFrame, schema: T.StructType) -> DataFrame:
 def typed_columns(named: DataFrame, schema: T.StructType, check_utf8: bool = False) -> list[TypedValue]:
     """Typed values of columns that already carry their declared names."""
     return [
-        typed_value(f.name, _col(f.name), named.schema[f.name].dataType, f.dataType, check_utf8)
+        typed_value(f.name, named.schema[f.name].dataType, f.dataType, check_utf8)
         for f in schema.fields
     ]
 
@@ -39,8 +39,8 @@ def bind_types(
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     typed = typed_columns(named, schema, check_utf8)
-    cast = [safe(t) if mode == "safe" else strict(t, _col(t.name)) for t in typed]
-    return named.select(*[_col(k) for k in keep], *cast)
+    cast = [t.safe if mode == "safe" else t.strict for t in typed]
+    return named.selectExpr(*[quoted(k) for k in keep], *cast)
 
 
 def positional_bind(
@@ -53,6 +53,3 @@ def positional_bind(
     """
     return bind_types(rename_by_position(df, schema), schema, mode, check_utf8=check_utf8)
 
-
-def _col(name: str):
-    return F.col("`" + name.replace("`", "``") + "`")

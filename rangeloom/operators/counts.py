@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rangeloom.functions.names import quoted
 from rangeloom.plans.ranges import RangePlan
 
 INDEX = "partition_index"
@@ -16,11 +17,10 @@ def with_partition(df: DataFrame, key: str, plan: RangePlan, keep_nulls: bool =
     The span test is a plain comparison on the key, so it reaches the scan. NULL
     keys are dropped, or kept with a NULL index.
     """
-    value = F.col(key)
-    inside = plan.contains(value)
+    inside = plan.contains(key)
     if keep_nulls:
-        inside = inside | value.isNull()
-    return df.where(inside).withColumn(INDEX, plan.index_of(value))
+        inside = f"{inside} OR {quoted(key)} IS NULL"
+    return df.where(inside).selectExpr("*", f"{plan.index_of(key)} AS {INDEX}")
 
 
 def partition_counts(df: DataFrame, key: str, plan: RangePlan) -> DataFrame:
@@ -30,12 +30,10 @@ def partition_counts(df: DataFrame, key: str, plan: RangePlan) -> DataFrame:
     data costs no more than the others. Empty ranges come from adding the plan's own
     rows with weight zero; no join is needed, as the bounds follow from the index.
     """
-    seen = with_partition(df.select(key), key, plan).select(INDEX, F.lit(1).cast("long").alias("n"))
-    planned = df.sparkSession.range(plan.n_partitions).select(
-        F.col("id").alias(INDEX), F.lit(0).cast("long").alias("n")
-    )
+    seen = with_partition(df.select(quoted(key)), key, plan).selectExpr(INDEX, "1L AS n")
+    planned = df.sparkSession.range(plan.n_partitions).selectExpr(f"id AS {INDEX}", "0L AS n")
     counted = seen.unionAll(planned).groupBy(INDEX).agg(F.sum("n").alias("rows_read"))
-    return counted.select(INDEX, *plan.describe(), "rows_read")
+    return counted.selectExpr(INDEX, *plan.describe(), "rows_read")
 
 
 def pack_batches(counts: DataFrame, batch_size: int, partitions_per_worker: int = 1000) -> DataFrame:
@@ -49,44 +47,23 @@ def pack_batches(counts: DataFrame, batch_size: int, partitions_per_worker: int
     """
     if batch_size < 1 or partitions_per_worker < 1:
         raise ValueError("batch_size and partitions_per_worker must be positive")
-    lists = counts.groupBy(
-        F.call_function("div", F.col(INDEX), F.lit(partitions_per_worker)).alias("worker")
-    ).agg(F.sort_array(F.collect_list(F.struct(INDEX, "rows_read"))).alias("ranges"))
-
-    batch = "struct<first_partition:bigint,last_partition:bigint,rows:bigint,leftover:boolean>"
-    start = F.struct(
-        F.array().cast(f"array<{batch}>").alias("done"),
-        F.lit(None).cast("long").alias("first"),
-        F.lit(None).cast("long").alias("last"),
-        F.lit(0).cast("long").alias("rows"),
+    lists = counts.groupBy(F.expr(f"{INDEX} div {partitions_per_worker}").alias("worker")).agg(
+        F.expr(f"sort_array(collect_list(struct({INDEX}, rows_read)))").alias("ranges")
     )
-
-    def closed(first, last, rows, leftover):
-        return F.array(
-            F.struct(
-                first.alias("first_partition"),
-                last.alias("last_partition"),
-                rows.alias("rows"),
-                F.lit(leftover).alias("leftover"),
-            ).cast(batch)
-        )
-
-    def step(state, item):
-        first = F.coalesce(state["first"], item[INDEX])
-        rows = state["rows"] + item["rows_read"]
-        full = rows >= batch_size
-        return F.struct(
-            F.when(full, F.concat(state["done"], closed(first, item[INDEX], rows, False)))
-            .otherwise(state["done"])
-            .alias("done"),
-            F.when(~full, first).alias("first"),
-            item[INDEX].alias("last"),
-            F.when(full, F.lit(0).cast("long")).otherwise(rows).alias("rows"),
-        )
-
-    def finish(state):
-        rest = closed(state["first"], state["last"], state["rows"], True)
-        return F.when(state["rows"] > 0, F.concat(state["done"], rest)).otherwise(state["done"])
-
-    packed = lists.select("worker", F.explode(F.aggregate("ranges", start, step, finish)).alias("b"))
-    return packed.select("worker", "b.*")
+    done = "array<struct<first_partition:bigint,last_partition:bigint,rows:bigint,leftover:boolean>>"
+
+    def batch(first: str, last: str, rows: str, leftover: str) -> str:
+        return f"CAST(array(struct({first}, {last}, {rows}, {leftover})) AS {done})"
+
+    first, rows = f"coalesce(s.first, r.{INDEX})", "s.rows + r.rows_read"
+    full = f"{rows} >= {batch_size}"
+    step = f"""named_struct(
+        'done', if({full}, concat(s.done, {batch(first, f"r.{INDEX}", rows, "false")}), s.done),
+        'first', if({full}, CAST(NULL AS BIGINT), {first}),
+        'last', r.{INDEX},
+        'rows', if({full}, 0L, {rows}))"""
+    start = f"""named_struct('done', CAST(array() AS {done}), 'first', CAST(NULL AS BIGINT),
+        'last', CAST(NULL AS BIGINT), 'rows', 0L)"""
+    rest = f"if(s.rows > 0, concat(s.done, {batch('s.first', 's.last', 's.rows', 'true')}), s.done)"
+    fold = f"aggregate(ranges, {start}, (s, r) -> {step}, s -> {rest})"
+    return lists.selectExpr("worker", f"inline({fold})")

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rangeloom.functions.names import quoted
 from rangeloom.functions.skew import ROW_TAG, with_row_tag
 from rangeloom.operators.bind import bind_types, typed_columns
 from rangeloom.operators.counts import INDEX
@@ -42,22 +43,21 @@ class Verdict:
 def with_errors(
     named: DataFrame,
     schema: T.StructType,
-    rule: Column | None = None,
+    rule: str | None = None,
     check_utf8: bool = False,
 ) -> DataFrame:
     """Add the row's first error as text, NULL for a clean row.
 
-    ``rule`` marks further rows as bad, by a condition of the caller.
+    ``rule`` is an SQL condition on the source columns that marks further rows as bad.
     """
     errors = [
-        F.when(t.failed, t.message(F.col("`" + t.name.replace("`", "``") + "`")))
+        f"CASE WHEN {t.failed} THEN {t.message} END"
         for t in typed_columns(named, schema, check_utf8)
         if t.failed is not None
     ]
     if rule is not None:
-        errors.append(F.when(rule, F.lit("row refused by rule")))
-    first = F.coalesce(*errors) if errors else F.lit(None).cast("string")
-    return named.withColumn(ERROR, first)
+        errors.append(f"CASE WHEN {rule} THEN 'row refused by rule' END")
+    return named.selectExpr("*", f"coalesce({', '.join([*errors, 'CAST(NULL AS STRING)'])}) AS {ERROR}")
 
 
 def failed_partitions(marked: DataFrame, key: str, plan: RangePlan) -> DataFrame:
@@ -65,13 +65,15 @@ def failed_partitions(marked: DataFrame, key: str, plan: RangePlan) -> DataFrame
 
     Only bad rows are shuffled, pre-aggregated to one row per task and range.
     """
-    first = F.min(F.struct(F.col(key).cast("long").alias("k"), F.col(ERROR).alias("e")))
     found = (
-        marked.where(F.col(ERROR).isNotNull())
+        marked.where(f"{ERROR} IS NOT NULL")
         .groupBy(INDEX)
-        .agg(F.count(F.lit(1)).alias("n_bad"), first.alias("first"))
+        .agg(
+            F.count(F.lit(1)).alias("n_bad"),
+            F.expr(f"min(struct({quoted(key)}, {ERROR}))").getField(ERROR).alias("first_error"),
+        )
     )
-    return found.select(INDEX, *plan.describe(), "n_bad", F.col("first.e").alias("first_error"))
+    return found.selectExpr(INDEX, *plan.describe(), "n_bad", "first_error")
 
 
 def judge(marked: DataFrame, key: str, plan: RangePlan) -> Verdict:
@@ -108,24 +110,20 @@ def null_rows(report: DataFrame, schema: T.StructType, tagged: bool = False) ->
     """
 
     def unfold(df: DataFrame, unit: int) -> DataFrame:
-        starts = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(unit).cast("long"))
-        return df.select(INDEX, "base", "n", F.explode(starts).alias("at")).select(
-            INDEX,
-            (F.col("base") + F.col("at")).alias("base"),
-            F.least(F.col("n") - F.col("at"), F.lit(unit)).cast("long").alias("n"),
+        starts = f"explode(sequence(0L, n - 1L, {unit}L)) AS at"
+        return df.selectExpr(INDEX, "base", "n", starts).selectExpr(
+            INDEX, "base + at AS base", f"least(n - at, {unit}L) AS n"
         )
 
     tasks = report.sparkSession.sparkContext.defaultParallelism
-    runs = report.where("expected_rows > 0").select(
-        INDEX, F.lit(0).cast("long").alias("base"), F.col("expected_rows").alias("n")
-    )
+    runs = report.where("expected_rows > 0").selectExpr(INDEX, "0L AS base", "expected_rows AS n")
     for unit in (RUN_ROWS**4, RUN_ROWS**3, RUN_ROWS**2):
         runs = unfold(runs, unit)
     for unit in (RUN_ROWS, 1):
         runs = unfold(runs.repartition(tasks), unit)
-    place = [F.col("base").alias(ROW_TAG)] if tagged else []
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return runs.select(INDEX, *place, *nulls)
+    place = [f"base AS {ROW_TAG}"] if tagged else []
+    nulls = [f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema.fields]
+    return runs.selectExpr(INDEX, *place, *nulls)
 
 
 def heal_partitions(
@@ -133,7 +131,7 @@ def heal_partitions(
     schema: T.StructType,
     key: str,
     plan: RangePlan,
-    rule: Column | None = None,
+    rule: str | None = None,
     check_utf8: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Replace each failed range by ``expected_rows`` NULL rows, and nothing else.
@@ -158,7 +156,7 @@ def safe_rerun(
     schema: T.StructType,
     key: str,
     plan: RangePlan,
-    rule: Column | None = None,
+    rule: str | None = None,
     check_utf8: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Keep clean ranges as they are and decode failed ones value by value.

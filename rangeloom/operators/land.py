@@ -74,7 +74,7 @@ def land_ranges(
     rows = spark.read.schema(schema).parquet(*landed) if landed else empty_result(spark, schema)
     if failed:
         rows = rows.unionByName(null_rows(report, schema).drop(INDEX))
-    return Loaded(rows, plan, report)
+    return Loaded(rows, lambda: plan, report)
 
 
 def load_landed(
@@ -91,7 +91,7 @@ def load_landed(
     cores = parallelism or default_parallelism(spark)
     plan = make_plan(jdbc.jdbc_key_bounds(spark, spec, key), cores, rows_per_partition)
     if plan is None:
-        return Loaded(empty_result(spark, spec.schema), None)
+        return Loaded(empty_result(spark, spec.schema), lambda: None)
 
     def read_range(lo: int, hi: int) -> DataFrame:
         return jdbc.read_one(spark, spec, f"{key} BETWEEN {lo} AND {hi}")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rangeloom.functions.names import quoted
 from rangeloom.functions.skew import ROW_TAG, with_row_tag
 from rangeloom.operators import heal
 from rangeloom.operators.bind import bind_types, rename_by_position
@@ -24,17 +25,27 @@ NULL_KEYS = ("drop", "keep")
 MAX_STATEMENTS = 20_000
 
 
-@dataclass(frozen=True)
 class Loaded:
     """A load: its rows, its plan (None if the source has no keys) and its failures.
 
     ``failures`` lists the ranges that were replaced or rerun; it is None when the
-    policy does not look for any.
+    policy does not look for any. A plan that the rows did not need is made when it is
+    first asked for.
     """
 
-    rows: DataFrame
-    plan: RangePlan | None
-    failures: DataFrame | None = None
+    def __init__(
+        self,
+        rows: DataFrame,
+        make_plan: Callable[[], RangePlan | None],
+        failures: DataFrame | None = None,
+    ):
+        self.rows = rows
+        self.failures = failures
+        self._make_plan = make_plan
+
+    @cached_property
+    def plan(self) -> RangePlan | None:
+        return self._make_plan()
 
 
 def load_table(
@@ -49,19 +60,24 @@ def load_table(
     ordered: bool = False,
     with_index: bool = False,
     check_utf8: bool = False,
-    rule: Column | None = None,
-    bounds: tuple[int, int] | None = None,
+    rule: str | None = None,
+    bounds: Callable[[], tuple[int, int] | None] | None = None,
 ) -> Loaded:
     """Load any DataFrame through the range plan of its key, in a single scan.
 
     N range reads over one set of files would be N scans, so the range of a row is a
-    computed column instead. ``bounds`` saves the pass that finds them.
+    computed column instead, and one that only a range index or healing asks for: any
+    other load needs no bounds. ``bounds`` saves the pass that finds them.
     """
-    if bounds is None:
-        bounds = queries.key_bounds(source, source.columns[queries.key_position(source.schema, key)])
-    plan = make_plan(bounds, parallelism or default_parallelism(source.sparkSession), rows_per_partition)
+
+    def plan() -> RangePlan | None:
+        column = source.columns[queries.key_position(source.schema, key)]
+        found = bounds() if bounds else queries.key_bounds(source, column)
+        cores = parallelism or default_parallelism(source.sparkSession)
+        return make_plan(found, cores, rows_per_partition)
+
     return _finish(
-        source, schema, plan, key, on_error, null_keys, ordered, with_index, check_utf8, rule
+        source, schema, cache(plan), key, on_error, null_keys, ordered, with_index, check_utf8, rule
     )
 
 
@@ -73,11 +89,13 @@ def load_parquet(
     ``columns`` picks and orders the source columns; the rest are never read.
     """
     files = spark.read.parquet(path)
-    bounds = queries.parquet_key_bounds(spark, path, options.get("key", "id"))
-    source = files.select(*columns) if columns else files
-    if bounds is None:
-        return load_table(source.limit(0), schema, **options)
-    return load_table(source, schema, bounds=bounds, **options)
+    key = options.get("key", "id")
+    return load_table(
+        files.select(*columns) if columns else files,
+        schema,
+        bounds=lambda: queries.parquet_key_bounds(spark, path, key),
+        **options,
+    )
 
 
 def load(
@@ -121,20 +139,20 @@ def load(
         source = jdbc.read_ranges(
             spark, spec, plan, key, max_connections or MAX_STATEMENTS, null_keys == "keep"
         )
-    return _finish(source, spec.schema, plan, rule=None, **options)
+    return _finish(source, spec.schema, lambda: plan, rule=None, **options)
 
 
 def _finish(
     source: DataFrame,
     schema: T.StructType,
-    plan: RangePlan | None,
+    get_plan: Callable[[], RangePlan | None],
     key: str,
     on_error: str,
     null_keys: str,
     ordered: bool,
     with_index: bool,
     check_utf8: bool,
-    rule: Column | None,
+    rule: str | None,
 ) -> Loaded:
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
@@ -147,26 +165,31 @@ def _finish(
     tags = [ROW_TAG] if ordered else []
     if ordered:
         named = with_row_tag(named)
+    heals = on_error == "null_partition"
+    plan = get_plan() if with_index or heals else None
+
+    kept, failures = tags, None
     if plan is None:
-        if not keep_nulls:
-            return Loaded(empty_result(source.sparkSession, schema, with_index), None)
-        indexed = named.withColumn(INDEX, F.lit(None).cast("long"))
+        rows = named if keep_nulls else named.where(f"{quoted(key)} IS NOT NULL")
+        if with_index or heals:  # no keys at all
+            rows = rows.selectExpr("*", f"CAST(NULL AS BIGINT) AS {INDEX}")
+            kept = [INDEX, *tags]
     else:
-        indexed = with_partition(named, key, plan, keep_nulls)
-
-    failures = None
-    if on_error == "null_partition" and plan is not None:
-        rows, failures = heal.heal_partitions(indexed, schema, key, plan, rule, check_utf8)
+        rows = with_partition(named, key, plan, keep_nulls)
+        kept = [INDEX, *tags]
+    if heals and plan is not None:
+        rows, failures = heal.heal_partitions(rows, schema, key, plan, rule, check_utf8)
     else:
         mode = "strict" if on_error == "fail" else "safe"
-        rows = bind_types(indexed, schema, mode, [INDEX, *tags], check_utf8)
+        rows = bind_types(rows, schema, mode, kept, check_utf8)
     if ordered:
-        # The tag breaks ties, so one repeated key can be sorted by several tasks.
-        rows = rows.orderBy(INDEX, key, ROW_TAG).drop(ROW_TAG)
-    return Loaded(rows if with_index else rows.drop(INDEX), plan, failures)
+        # Ranges follow the key, so the key alone orders them, save for NULL rows,
+        # which stand where their range does. The tag breaks ties, so that one repeated
+        # key can be sorted by several tasks.
+        rows = rows.orderBy(*[INDEX] * heals, quoted(key), ROW_TAG)
+    return Loaded(rows.select(*[INDEX] * with_index, *map(quoted, schema.names)), get_plan, failures)
 
 
-def empty_result(spark: SparkSession, schema: T.StructType, with_index: bool = False) -> DataFrame:
+def empty_result(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, with the declared columns."""
-    index = [T.StructField(INDEX, T.LongType(), True)] if with_index else []
-    return spark.createDataFrame([], T.StructType(index + schema.fields))
+    return spark.createDataFrame([], schema)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from rangeloom.functions.casts import sql_text
+from rangeloom.functions.names import quoted
 from rangeloom.operators.bind import rename_by_position, typed_columns
 from rangeloom.sources.queries import key_bounds
 
@@ -30,14 +32,14 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
     if bounds is None:
         return df.limit(0)
     lo, hi = bounds
-    value = F.col(key)
+    value = F.col(quoted(key))
     edges = [hi]
     step = n
     while lo + step - 1 < hi:
         edges.append(lo + step - 1)
         step *= 2
     edges.sort()
-    counts = df.agg(*[F.count_if(value <= F.lit(edge)) for edge in edges]).first()
+    counts = df.selectExpr(*[f"count_if({quoted(key)} <= {edge}L)" for edge in edges]).first()
     edge, rows = next(((e, c) for e, c in zip(edges, counts) if c >= n), (edges[-1], counts[-1]))
     near = df.where(value <= F.lit(edge))
     if rows <= n:
@@ -55,21 +57,19 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
     return near.orderBy(value).limit(n)
 
 
-def _report(df: DataFrame, measures: dict[str, dict[str, Column]]) -> DataFrame:
+def _report(df: DataFrame, measures: dict[str, dict[str, str]]) -> DataFrame:
     """One aggregate over all columns, turned into one row per column."""
     names = list(measures)
-    aggregates = [F.count(F.lit(1)).alias("rows")]
+    aggregates = ["count(*) AS rows"]
     for i, name in enumerate(names):
-        aggregates += [m.alias(f"{label}_{i}") for label, m in measures[name].items()]
+        aggregates += [f"{m} AS {label}_{i}" for label, m in measures[name].items()]
     lines = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.col("rows"),
-            *[F.col(f"{label}_{i}").alias(label) for label in measures[name]],
-        )
+        f"struct({sql_text(name)} AS column_name, rows, "
+        + ", ".join(f"{label}_{i} AS {label}" for label in measures[name])
+        + ")"
         for i, name in enumerate(names)
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*lines)))
+    return df.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def null_profile(
@@ -82,7 +82,7 @@ def null_profile(
     """
     named = _sample(df, schema, key, sample_rows)
     typed = typed_columns(named, schema)
-    return _report(named, {t.name: {"null_count": F.count_if(t.value.isNull())} for t in typed})
+    return _report(named, {t.name: {"null_count": f"count_if({t.value} IS NULL)"} for t in typed})
 
 
 def decode_profile(
@@ -90,10 +90,13 @@ def decode_profile(
 ) -> DataFrame:
     """:func:`null_profile` with ``decode_failures``: the NULLs that were values at the source."""
     named = _sample(df, schema, key, sample_rows)
-    measures = {}
-    for t in typed_columns(named, schema):
-        failures = F.lit(0).cast("long") if t.failed is None else F.count_if(t.failed)
-        measures[t.name] = {"null_count": F.count_if(t.value.isNull()), "decode_failures": failures}
+    measures = {
+        t.name: {
+            "null_count": f"count_if({t.value} IS NULL)",
+            "decode_failures": f"count_if({t.failed or 'false'})",
+        }
+        for t in typed_columns(named, schema)
+    }
     return _report(named, measures)
 
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
+
+from rangeloom.functions.names import quoted
 
 # Ranges per core and the least width an auto-tuned range may have.
 RANGES_PER_CORE = 4
@@ -58,47 +59,38 @@ class RangePlan:
         # Key differences no longer fit a long: do the arithmetic in decimals.
         return self.span > _LONG_MAX
 
-    def _number(self, column: Column) -> Column:
-        return column.cast(_EXACT) if self._wide else column.cast("long")
-
-    def _literal(self, value: int) -> Column:
-        literal = F.lit(str(value)).cast(_EXACT)
-        return literal if self._wide else literal.cast("long")
+    def _number(self, sql: str) -> str:
+        return f"CAST({sql} AS {_EXACT if self._wide else 'BIGINT'})"
 
-    def contains(self, key: Column) -> Column:
-        """Whether the key lies in the planned span. NULL keys do not."""
-        return key.between(F.lit(self.lo), F.lit(self.hi))
+    def _literal(self, value: int) -> str:
+        return self._number(f"'{value}'") if abs(value) >= 2**31 or self._wide else f"{value}L"
 
-    def index_of(self, key: Column) -> Column:
-        """Index of the range that holds the key (a bigint)."""
-        offset = self._number(key) - self._literal(self.lo)
-        return F.call_function("div", offset, self._literal(self.width))
+    # Expressions are SQL text: one call to the JVM each, however long they are.
 
-    def lo_of(self, index: Column) -> Column:
-        return (self._number(index) * self._literal(self.width) + self._literal(self.lo)).cast("long")
+    def contains(self, key: str) -> str:
+        """SQL test whether a key column lies in the planned span. NULL keys do not."""
+        return f"{quoted(key)} BETWEEN CAST('{self.lo}' AS BIGINT) AND CAST('{self.hi}' AS BIGINT)"
 
-    def hi_of(self, index: Column) -> Column:
-        return self.lo_of(index) + (self.expected_of(index) - F.lit(1))
+    def index_of(self, key: str) -> str:
+        """SQL for the index (a bigint) of the range that holds a key column's value."""
+        return f"({self._number(quoted(key))} - {self._literal(self.lo)}) div {self._literal(self.width)}"
 
-    def expected_of(self, index: Column) -> Column:
-        """Width of the range: the row count if keys are dense and unique."""
-        left = self._literal(self.span) - self._number(index) * self._literal(self.width)
-        return F.least(left, self._literal(self.width)).cast("long")
+    def describe(self, index: str = "partition_index") -> list[str]:
+        """SQL for the range columns, computed from the index alone.
 
-    def describe(self, index: str = "partition_index") -> list[Column]:
-        """The range columns, computed from the index alone."""
-        i = F.col(index)
-        return [
-            self.lo_of(i).alias("lo"),
-            self.hi_of(i).alias("hi"),
-            self.expected_of(i).alias("expected_rows"),
-        ]
+        ``expected_rows`` is the width of the range: its row count if keys are dense
+        and unique.
+        """
+        start = f"{self._number(quoted(index))} * {self._literal(self.width)}"
+        lo = f"CAST({start} + {self._literal(self.lo)} AS BIGINT)"
+        left = f"{self._literal(self.span)} - {start}"
+        expected = f"CAST(least({left}, {self._literal(self.width)}) AS BIGINT)"
+        return [f"{lo} AS lo", f"{lo} + ({expected} - 1L) AS hi", f"{expected} AS expected_rows"]
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """The plan as rows ``(partition_index, lo, hi, expected_rows)``."""
-        return spark.range(self.n_partitions).toDF("partition_index").select(
-            "partition_index", *self.describe()
-        )
+        plan = spark.range(self.n_partitions).toDF("partition_index")
+        return plan.selectExpr("partition_index", *self.describe())
 
     def slices(self, max_slices: int) -> list[tuple[int, int]]:
         """Inclusive key bounds of at most ``max_slices`` runs of whole ranges.

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rangeloom.functions.names import quoted
 from rangeloom.plans.spec import inner_query
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -36,8 +35,8 @@ def key_position(schema: T.StructType, key: str) -> int:
 
 def bounds_frame(df: DataFrame, key: str) -> DataFrame:
     """One row ``(lo, hi)``; NULL keys do not count."""
-    value = F.col(key).cast("long")
-    return df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    value = f"CAST({quoted(key)} AS BIGINT)"
+    return df.selectExpr(f"min({value}) AS lo", f"max({value}) AS hi")
 
 
 def key_bounds(df: DataFrame, key: str) -> tuple[int, int] | None:
@@ -59,15 +58,11 @@ def parquet_key_bounds(spark: SparkSession, path: str, key: str) -> tuple[int, i
     aside.conf.set("spark.sql.sources.useV1SourceList", newer)
     aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     files = aside.read.parquet(path)
-    name = files.columns[key_position(files.schema, key)]
+    name = quoted(files.columns[key_position(files.schema, key)])
     try:
         # No cast around the key: it would keep the aggregate from the footers.
         lo, hi = files.agg(F.min(name), F.max(name)).first()
     except PySparkException:
-        return key_bounds(spark.read.parquet(path), name)
+        return key_bounds(spark.read.parquet(path), key)
     return None if lo is None else (lo, hi)
 
-
-def quoted(name: str) -> str:
-    """A column name as Spark SQL takes it."""
-    return name if re.fullmatch(r"[A-Za-z_]\w*", name) else "`" + name.replace("`", "``") + "`"
