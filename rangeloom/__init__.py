@@ -1,7 +1,8 @@
 """Partitioned bulk loading of large query results into typed Spark DataFrames."""
 
+from rangeloom.operators.land import load_landed
 from rangeloom.operators.load import Loaded, load, load_parquet, load_table
-from rangeloom.operators.profile import decode_profile, null_profile
+from rangeloom.operators.profile import decode_profile, null_profile, profile_spec
 from rangeloom.operators.sinks import to_arrow, to_pandas
 from rangeloom.plans.ranges import RangePlan, make_plan
 from rangeloom.plans.spec import LoadSpec
@@ -12,10 +13,12 @@ __all__ = [
     "RangePlan",
     "decode_profile",
     "load",
+    "load_landed",
     "load_parquet",
     "load_table",
     "make_plan",
     "null_profile",
+    "profile_spec",
     "to_arrow",
     "to_pandas",
 ]

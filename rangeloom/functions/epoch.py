@@ -36,8 +36,13 @@ def micros_to_timestamp(micros: Column, safe: bool = False) -> Column:
 
 
 def timestamp_to_micros(ts: Column) -> Column:
-    """Microseconds from 2000-01-01 to a ``timestamp_ntz``."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
+    """Microseconds from 2000-01-01 to a ``timestamp_ntz``.
+
+    Goes by the difference as an interval: ``timestampdiff`` would read both ends in
+    the session's zone and lose the hours that a change of clocks skips.
+    """
+    seconds = (ts - F.expr(_EPOCH_NTZ)).cast("interval second").cast("decimal(20,6)")
+    return (seconds * F.lit(1_000_000)).cast("long")
 
 
 def days_to_date(days: Column, safe: bool = False) -> Column:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -20,6 +19,7 @@ from rangeloom.operators.counts import INDEX
 from rangeloom.operators.heal import null_rows
 from rangeloom.operators.load import Loaded, empty_result
 from rangeloom.plans.ranges import RangePlan, default_parallelism, make_plan
+from rangeloom.plans.session import JOB_ERRORS, cause_of
 from rangeloom.plans.spec import LoadSpec
 from rangeloom.sources import jdbc
 from rangeloom.sources.store import exists
@@ -57,8 +57,8 @@ def land_ranges(
         try:
             named = rename_by_position(read_range(*slices[i]), schema)
             bind_types(named, schema, mode).write.mode("overwrite").parquet(target(i))
-        except PySparkException as error:
-            return str(error).splitlines()[0]
+        except JOB_ERRORS as error:
+            return cause_of(error)
         return None
 
     with ThreadPoolExecutor(connections) as pool:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache, cached_property
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,8 +15,9 @@ from rangeloom.operators import heal
 from rangeloom.operators.bind import bind_types, rename_by_position
 from rangeloom.operators.counts import INDEX, with_partition
 from rangeloom.plans.ranges import RangePlan, default_parallelism, make_plan
-from rangeloom.plans.spec import LoadSpec
+from rangeloom.plans.spec import DEFAULT_BATCH_SIZE, LoadSpec, as_spec
 from rangeloom.sources import jdbc, queries
+from rangeloom.streaming.batches import stream_batches
 
 ON_ERROR = ("fail", "null_partition", "safe")
 NULL_KEYS = ("drop", "keep")
@@ -38,15 +40,21 @@ class Loaded:
         rows: DataFrame,
         make_plan: Callable[[], RangePlan | None],
         failures: DataFrame | None = None,
+        batch_size: int = DEFAULT_BATCH_SIZE,
     ):
         self.rows = rows
         self.failures = failures
+        self.batch_size = batch_size
         self._make_plan = make_plan
 
     @cached_property
     def plan(self) -> RangePlan | None:
         return self._make_plan()
 
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """The rows as Arrow batches of the spec's batch size, without holding them all."""
+        return stream_batches(self.rows, self.batch_size)
+
 
 def load_table(
     source: DataFrame,
@@ -120,10 +128,7 @@ def load(
     the value alone into NULL. ``max_connections`` caps the statements sent to a
     database. Rows come unordered unless ``ordered``.
     """
-    if isinstance(spec, str):
-        spec = LoadSpec.from_yaml(spec)
-    elif isinstance(spec, dict):
-        spec = LoadSpec.from_dict(spec)
+    spec = as_spec(spec)
     options = dict(
         key=key, on_error=on_error, null_keys=null_keys, ordered=ordered,
         with_index=with_index, check_utf8=check_utf8,
@@ -131,7 +136,9 @@ def load(
     cores = parallelism or default_parallelism(spark)
     if spec.runs_on_session:
         source = queries.query_as_source(spark, spec.query)
-        return load_table(source, spec.schema, rows_per_partition, parallelism=cores, **options)
+        loaded = load_table(source, spec.schema, rows_per_partition, parallelism=cores, **options)
+        loaded.batch_size = spec.batch_size
+        return loaded
     plan = make_plan(jdbc.jdbc_key_bounds(spark, spec, key), cores, rows_per_partition)
     if plan is None:
         source = jdbc.jdbc_schema(spark, spec)
@@ -139,7 +146,9 @@ def load(
         source = jdbc.read_ranges(
             spark, spec, plan, key, max_connections or MAX_STATEMENTS, null_keys == "keep"
         )
-    return _finish(source, spec.schema, lambda: plan, rule=None, **options)
+    loaded = _finish(source, spec.schema, lambda: plan, rule=None, **options)
+    loaded.batch_size = spec.batch_size
+    return loaded
 
 
 def _finish(

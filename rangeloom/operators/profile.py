@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -10,7 +12,9 @@ from pyspark.sql import Window
 from rangeloom.functions.casts import sql_text
 from rangeloom.functions.names import quoted
 from rangeloom.operators.bind import rename_by_position, typed_columns
-from rangeloom.sources.queries import key_bounds
+from rangeloom.plans.spec import LoadSpec, as_spec
+from rangeloom.sources import jdbc
+from rangeloom.sources.queries import key_bounds, query_as_source
 
 # Fixed value: rows looked at by a profile unless the caller says otherwise.
 SAMPLE_ROWS = 10_000
@@ -100,6 +104,25 @@ def decode_profile(
     return _report(named, measures)
 
 
+def profile_spec(
+    spark: SparkSession,
+    spec: LoadSpec | Mapping | str,
+    key: str = "id",
+    sample_rows: int = SAMPLE_ROWS,
+) -> dict[str, int]:
+    """NULLs per declared column in a safe decode of a spec's first rows.
+
+    A database is asked for any ``sample_rows`` rows, in one statement.
+    """
+    spec = as_spec(spec)
+    if spec.runs_on_session:
+        report = null_profile(query_as_source(spark, spec.query), spec.schema, key, sample_rows)
+    else:
+        sample = jdbc.read_sample(spark, spec, sample_rows)
+        report = null_profile(sample, spec.schema, sample_rows=None)
+    return {line.column_name: line.null_count for line in report.collect()}
+
+
 def _sample(df: DataFrame, schema: T.StructType, key: str, sample_rows: int | None) -> DataFrame:
     rows = df if sample_rows is None else first_rows(df, key, sample_rows)
     return rename_by_position(rows, schema)

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import tempfile
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+# What a failed job raises on the driver.
+JOB_ERRORS = (PySparkException, Py4JJavaError)
+
 # Settings for large loads: let the runtime re-plan, split skewed joins, merge
 # small shuffle partitions, and move rows to Python and the driver as Arrow.
 LOAD_SETTINGS: dict[str, str] = {
@@ -45,3 +50,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="rangeloom-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def cause_of(error: Exception) -> str:
+    """The innermost cause of a failed job, in one line."""
+    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+    causes = [line.removeprefix("Caused by: ") for line in lines if line.startswith("Caused by: ")]
+    return (causes or lines or [type(error).__name__])[-1 if causes else 0]

@@ -144,3 +144,10 @@ class LoadSpec:
         if not isinstance(raw, Mapping):
             raise SpecError("the spec file does not hold a mapping")
         return cls.from_dict(raw)
+
+
+def as_spec(spec: LoadSpec | Mapping[str, Any] | str) -> LoadSpec:
+    """A spec from an object, a mapping or the path of a YAML file."""
+    if isinstance(spec, LoadSpec):
+        return spec
+    return LoadSpec.from_yaml(spec) if isinstance(spec, str) else LoadSpec.from_dict(spec)

@@ -48,6 +48,12 @@ def read_one(spark: SparkSession, spec: LoadSpec, predicate: str) -> DataFrame:
     return _reader(spark, spec).option("dbtable", part).load()
 
 
+def read_sample(spark: SparkSession, spec: LoadSpec, rows: int) -> DataFrame:
+    """Any ``rows`` rows of the query; the database applies the limit."""
+    sample = f"(SELECT * FROM {derived_table(spec.select)} LIMIT {rows}) AS sample"
+    return _reader(spark, spec).option("dbtable", sample).load()
+
+
 def read_ranges(
     spark: SparkSession,
     spec: LoadSpec,

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangeloom.functions.names import quoted
+from rangeloom.plans.session import JOB_ERRORS
 from rangeloom.plans.spec import inner_query
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -62,7 +62,7 @@ def parquet_key_bounds(spark: SparkSession, path: str, key: str) -> tuple[int, i
     try:
         # No cast around the key: it would keep the aggregate from the footers.
         lo, hi = files.agg(F.min(name), F.max(name)).first()
-    except PySparkException:
+    except JOB_ERRORS:
         return key_bounds(spark.read.parquet(path), key)
     return None if lo is None else (lo, hi)
 
