@@ -10,7 +10,7 @@ the one before it.
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,7 @@ from rangeloom.sources.dump_codec import DumpError, RowCodec, decode_stream, wra
 from rangeloom.sources.store import locate, open_file
 
 SPLIT_BYTES = 128 << 20
+BLOCK_BYTES = 8 << 20
 SEARCH_BYTES = 1 << 20
 SEARCH_LIMIT = 64 << 20
 
@@ -174,7 +175,7 @@ def _decode_splits(splits: DataFrame, schema: T.StructType, mode: str) -> DataFr
             for path, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
                 with open_file(path) as source:
                     source.seek(start)
-                    read = source.read if stop is None else _upto(source, stop)
+                    read = _reader(source, None if stop is None else stop - start)
                     where = f"{path} at {start}"
                     yield from _named(where, read, codec, header=start == 0, trailer=stop is None)
 
@@ -184,8 +185,19 @@ def _decode_splits(splits: DataFrame, schema: T.StructType, mode: str) -> DataFr
     return spans.mapInArrow(decode, _ddl(schema))
 
 
-def _upto(source, stop: int):
-    return lambda n: source.read(min(n, stop - source.tell()))
+def _reader(source: pa.NativeFile, length: int | None = None) -> Callable[[int], bytes]:
+    """Read on from here, up to ``length`` bytes, asking the store for large blocks."""
+    blocks = pa.BufferedInputStream(source, BLOCK_BYTES)
+    left = length
+
+    def read(n: int) -> bytes:
+        nonlocal left
+        data = blocks.read(n if left is None else min(n, left))
+        if left is not None:
+            left -= len(data)
+        return data
+
+    return read
 
 
 def file_status(
@@ -199,7 +211,7 @@ def file_status(
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 with open_file(name) as source:
-                    yield _status(name, source.read, codec)
+                    yield _status(name, _reader(source), codec)
 
     files = dump_files(spark, path).select("path")
     return files.repartition(max(files.count(), 1)).mapInArrow(check, _STATUS)
