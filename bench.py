@@ -1,6 +1,7 @@
 """Time the headline queries and print one JSON line.
 
-Environment: ``BENCH_SF_DIR`` (table folder), ``BENCH_CPUS`` (cores), ``BENCH_RUNS``.
+Environment: ``BENCH_SF_DIR`` (table folder), ``BENCH_CPUS`` (cores), ``BENCH_RUNS``,
+``BENCH_SYNTH_ROWS`` (rows of the generated ten-column table).
 Every query is run once to warm up; the best of the following runs counts. Rows are
 fully produced (``noop`` sink), none are kept.
 """
@@ -13,19 +14,18 @@ import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rangeloom.functions.types import struct_of
-from rangeloom.operators.bind import positional_bind
 from rangeloom.operators.load import load_parquet
 from rangeloom.plans.session import load_session
 from rangeloom.queries import QUERIES
 from rangeloom.sources.dump import decode_files, write_dumps
-from rangeloom.sources.synth import DECLARED_COLUMNS, synth_columns
+from rangeloom.sources.synth import DECLARED_COLUMNS, synth_table
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+SYNTH_ROWS = int(os.environ.get("BENCH_SYNTH_ROWS", "1000000"))
 
 LINEITEM = struct_of([
     ("l_orderkey", "Int64"), ("l_partkey", "Int64"), ("l_suppkey", "Int64"),
@@ -51,10 +51,9 @@ def timed(run) -> float:
 
 
 def loads(spark: SparkSession) -> tuple[dict, dict]:
-    """Loads of lineitem and of ten-column dump files, and their rates."""
+    """Loads of lineitem and of the generated ten-column table, and their rates."""
     path = f"{SF_DIR}/lineitem.parquet"
     lineitem = spark.read.parquet(path)
-    rows = lineitem.count()
 
     def load(**options) -> None:
         drain(load_parquet(spark, path, LINEITEM, LINEITEM.names, key="l_orderkey", **options).rows)
@@ -64,24 +63,31 @@ def loads(spark: SparkSession) -> tuple[dict, dict]:
         "load_lineitem_indexed": timed(lambda: load(with_index=True)),
         "load_lineitem_ordered": timed(lambda: load(ordered=True)),
         "load_lineitem_null_partition": timed(lambda: load(on_error="null_partition")),
-        "single_stream_scan": timed(lambda: drain(lineitem.coalesce(1))),
+        "full_scan_lineitem": timed(lambda: drain(lineitem)),
     }
 
-    # Ten typed columns per row, in dump files written once beforehand.
-    folder = tempfile.mkdtemp(prefix="bench-dumps-")
-    numbered = lineitem.select(F.monotonically_increasing_id().alias("id")).repartition(int(CPUS))
-    ten = positional_bind(synth_columns(numbered), TEN_COLUMNS)
-    assert write_dumps(ten, folder, TEN_COLUMNS) == rows
-    times["decode_dump_files"] = timed(
-        lambda: drain(decode_files(spark, folder, TEN_COLUMNS, split_bytes=None))
-    )
-    times["decode_dump_splits"] = timed(
-        lambda: drain(decode_files(spark, folder, TEN_COLUMNS, split_bytes=8 << 20))
+    # The ten-column table, once as Parquet and once as dump files.
+    folder = tempfile.mkdtemp(prefix="bench-")
+    synth_table(spark, SYNTH_ROWS).repartition(2 * int(CPUS)).write.parquet(f"{folder}/parquet")
+    ten = spark.read.parquet(f"{folder}/parquet")
+    assert write_dumps(ten, f"{folder}/dumps", TEN_COLUMNS) == SYNTH_ROWS
+
+    def decode(split_bytes: int | None) -> None:
+        drain(decode_files(spark, f"{folder}/dumps", TEN_COLUMNS, split_bytes=split_bytes))
+
+    times["load_ten_columns"] = timed(
+        lambda: drain(load_parquet(spark, f"{folder}/parquet", TEN_COLUMNS).rows)
     )
+    times["single_stream_ten_columns"] = timed(lambda: drain(ten.coalesce(1)))
+    times["decode_dump_files"] = timed(lambda: decode(None))
+    times["decode_dump_splits"] = timed(lambda: decode(32 << 20))
     rates = {
-        "load_rows_per_sec": round(rows / times["load_lineitem"]),
-        "decode_rows_per_sec": round(rows / times["decode_dump_files"]),
-        "load_vs_single_stream": round(times["single_stream_scan"] / times["load_lineitem"], 2),
+        "ten_column_rows": SYNTH_ROWS,
+        "load_rows_per_sec": round(SYNTH_ROWS / times["load_ten_columns"]),
+        "decode_rows_per_sec": round(SYNTH_ROWS / times["decode_dump_files"]),
+        "load_vs_single_stream": round(
+            times["single_stream_ten_columns"] / times["load_ten_columns"], 2
+        ),
     }
     return times, rates
 

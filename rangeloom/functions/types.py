@@ -25,7 +25,7 @@ def spark_type(name: str) -> T.DataType:
     try:
         return DECLARED_TYPES[name]
     except KeyError:
-        raise ValueError(f"Unsupported type: {name}") from None
+        raise ValueError(f"no Spark type for declared type {name!r}") from None
 
 
 def declared_name(data_type: T.DataType) -> str:
@@ -33,7 +33,7 @@ def declared_name(data_type: T.DataType) -> str:
     for name, candidate in DECLARED_TYPES.items():
         if candidate == data_type:
             return name
-    raise ValueError(f"Unsupported type: {data_type.simpleString()}")
+    raise ValueError(f"no declared type for {data_type.simpleString()}")
 
 
 def struct_of(columns: Iterable[tuple[str, str]]) -> T.StructType:

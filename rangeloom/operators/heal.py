@@ -23,6 +23,10 @@ from rangeloom.plans.session import cut_lineage
 
 ERROR = "__error"
 
+REPORT = (
+    f"{INDEX} bigint, lo bigint, hi bigint, expected_rows bigint, n_bad bigint, first_error string"
+)
+
 # A verdict of this many ranges (8 bytes each) is still broadcast; a longer one is
 # joined by a salted shuffle.
 BROADCAST_RANGES = 1_000_000
@@ -76,8 +80,18 @@ def failed_partitions(marked: DataFrame, key: str, plan: RangePlan) -> DataFrame
     return found.selectExpr(INDEX, *plan.describe(), "n_bad", "first_error")
 
 
-def judge(marked: DataFrame, key: str, plan: RangePlan) -> Verdict:
-    """Fix the report in the checkpoint folder and count it."""
+def judge(
+    named: DataFrame,
+    schema: T.StructType,
+    key: str,
+    plan: RangePlan,
+    rule: str | None = None,
+    check_utf8: bool = False,
+) -> Verdict:
+    """Find the failed ranges, once; no pass over the data if no column can fail."""
+    if rule is None and all(t.failed is None for t in typed_columns(named, schema, check_utf8)):
+        return Verdict(named.sparkSession.createDataFrame([], REPORT), 0)
+    marked = with_errors(named, schema, rule, check_utf8)
     report = cut_lineage(failed_partitions(marked, key, plan))
     return Verdict(report, report.count())
 
@@ -140,8 +154,7 @@ def heal_partitions(
     Returns the rows (with their index, and their row tag if they came with one) and
     the report of failed ranges.
     """
-    marked = with_errors(named, schema, rule, check_utf8)
-    verdict = judge(marked, key, plan)
+    verdict = judge(named, schema, key, plan, rule, check_utf8)
     # Values are cast safely: whatever does not fit sits in a range that is dropped.
     tags = [ROW_TAG] if ROW_TAG in named.columns else []
     clean = _without_failed(named, verdict)
@@ -166,7 +179,7 @@ def safe_rerun(
     had to be rerun.
     """
     rows = bind_types(named, schema, "safe", [INDEX], check_utf8)
-    return rows, judge(with_errors(named, schema, rule, check_utf8), key, plan).report
+    return rows, judge(named, schema, key, plan, rule, check_utf8).report
 
 
 def mark_rerun(rows: DataFrame, report: DataFrame) -> DataFrame:

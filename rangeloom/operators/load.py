@@ -101,7 +101,7 @@ def load_parquet(
     return load_table(
         files.select(*columns) if columns else files,
         schema,
-        bounds=lambda: queries.parquet_key_bounds(spark, path, key),
+        bounds=lambda: queries.parquet_key_bounds(spark, path, key, files.schema),
         **options,
     )
 
@@ -119,6 +119,8 @@ def load(
     with_index: bool = False,
     check_utf8: bool = False,
     max_connections: int | None = None,
+    split_by: str | None = None,
+    splits: int = 1,
 ) -> Loaded:
     """Load the query of a spec (an object, a dict or a YAML path).
 
@@ -126,7 +128,12 @@ def load(
     positive number sets it. ``on_error``: ``"fail"`` stops at the first value that
     does not fit, ``"null_partition"`` turns its range into NULL rows, ``"safe"`` turns
     the value alone into NULL. ``max_connections`` caps the statements sent to a
-    database. Rows come unordered unless ``ordered``.
+    database; ``split_by`` and ``splits`` divide each of its ranges by a second integer,
+    for keys that repeat a lot. Rows come unordered unless ``ordered``.
+
+    From a database, ``"null_partition"`` reads everything twice, and the two readings
+    have no common snapshot: :func:`rangeloom.load_landed` reads once, and also heals
+    ranges whose connection failed.
     """
     spec = as_spec(spec)
     options = dict(
@@ -144,7 +151,8 @@ def load(
         source = jdbc.jdbc_schema(spark, spec)
     else:
         source = jdbc.read_ranges(
-            spark, spec, plan, key, max_connections or MAX_STATEMENTS, null_keys == "keep"
+            spark, spec, plan, key, max_connections or MAX_STATEMENTS, null_keys == "keep",
+            split_by, splits,
         )
     loaded = _finish(source, spec.schema, lambda: plan, rule=None, **options)
     loaded.batch_size = spec.batch_size

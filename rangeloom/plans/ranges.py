@@ -102,10 +102,27 @@ class RangePlan:
         cuts = [self.lo + self.width * (self.n_partitions * i // n) for i in range(n)] + [self.hi + 1]
         return [(a, b - 1) for a, b in zip(cuts, cuts[1:])]
 
-    def predicates(self, key: str, max_slices: int, keep_nulls: bool = False) -> list[str]:
-        """One SQL predicate per slice; they are disjoint and cover the span."""
-        tests = [f"{key} BETWEEN {a} AND {b}" for a, b in self.slices(max_slices)]
-        return tests + [f"{key} IS NULL"] if keep_nulls else tests
+    def predicates(
+        self,
+        key: str,
+        max_slices: int,
+        keep_nulls: bool = False,
+        split_by: str | None = None,
+        splits: int = 1,
+    ) -> list[str]:
+        """One SQL predicate per slice; they are disjoint and cover the span.
+
+        Key ranges cannot divide one heavily repeated key. ``split_by``, any integer
+        expression of the database, does: each slice is read in ``splits`` parts by its
+        remainder, NULLs counting as zero.
+        """
+        ranges = [f"{key} BETWEEN {a} AND {b}" for a, b in self.slices(max(max_slices // splits, 1))]
+        if keep_nulls:
+            ranges.append(f"{key} IS NULL")
+        if split_by is None:
+            return ranges
+        part = f"ABS(MOD(COALESCE({split_by}, 0), {splits}))"
+        return [f"{r} AND {part} = {i}" for r in ranges for i in range(splits)]
 
 
 def make_plan(

@@ -35,20 +35,24 @@ def load_session(app_name: str = "rangeloom", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data: the cluster's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Without one, only a
-    local session may fall back on a temporary folder: files on one machine would
-    be lost with it.
+    Without that setting, only a local session may fall back on a temporary folder:
+    files on one machine would be lost with it.
     """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        context = spark.sparkContext
-        if context.getCheckpointDir() is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="rangeloom-checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="rangeloom-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

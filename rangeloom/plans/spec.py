@@ -51,7 +51,7 @@ def inner_query(query: str) -> str:
     if enveloped:
         return enveloped["query"].strip()
     if not _BARE.match(query):
-        raise SpecError("Query must be a SELECT or a 'COPY (...) TO STDOUT (FORMAT binary)' command.")
+        raise SpecError("query is neither a SELECT nor a binary COPY (SELECT ...) TO STDOUT")
     return query.strip().rstrip(";").strip()
 
 
@@ -74,7 +74,7 @@ def jdbc_options(connection_string: str) -> dict[str, str]:
         user, password = options.pop("user", None), options.pop("password", None)
         database = options.pop("dbname", user or "")
     else:
-        raise SpecError("Invalid connection string.")
+        raise SpecError("connection_string is no URL and no key=value list")
     found = {"url": f"jdbc:postgresql://{host}/{database}", "driver": "org.postgresql.Driver"}
     secrets = {"user": user, "password": password}
     return found | {k: v for k, v in secrets.items() if v} | options
@@ -91,17 +91,17 @@ class LoadSpec:
 
     def __post_init__(self) -> None:
         if not self.connection_string.strip():
-            raise SpecError("Connection string cannot be empty.")
+            raise SpecError("connection_string is empty")
         if not self.query.strip():
-            raise SpecError("Query cannot be empty.")
+            raise SpecError("query is empty")
         inner_query(self.query)
         if not self.columns:
-            raise SpecError("Schema cannot be empty.")
+            raise SpecError("schema has no columns")
         names = [name.lower() for name, _ in self.columns]
         if len(set(names)) < len(names):
-            raise SpecError("Column names must be unique.")
+            raise SpecError("schema repeats a column name")
         if self.batch_size < 1:
-            raise SpecError("Batch size must be positive.")
+            raise SpecError("batch_size is not positive")
         struct_of(self.columns)
 
     @property

@@ -6,6 +6,7 @@ tuned for is fixed, so that results do not depend on the machine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,8 +29,17 @@ from rangeloom.operators.layout import range_layout
 from rangeloom.operators.load import load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile
 from rangeloom.plans.ranges import RangePlan, make_plan
+from rangeloom.plans.session import shared_folder
 from rangeloom.sources import queries as sources
-from rangeloom.sources.dump import blob_status, decode_blobs, encode_blobs
+from rangeloom.sources.dump import (
+    SPLIT_BYTES,
+    blob_status,
+    decode_blobs,
+    decode_files,
+    dump_files,
+    encode_blobs,
+    write_dumps,
+)
 from rangeloom.sources.synth import series, synth_columns
 
 CORES = 4
@@ -78,6 +88,19 @@ _ORDER_SELECT = """
     o_orderkey AS id, CAST(o_custkey AS INTEGER) AS customer_id, o_orderstatus AS status,
     o_totalprice AS total_price, o_orderdate AS ordered_at, o_orderpriority AS priority"""
 
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate", "l_tax"]
+LINE_SCHEMA = struct_of([
+    ("id", "Int64"),
+    ("line_number", "Int32"),
+    ("quantity", "Float32"),
+    ("return_flag", "Utf8"),
+    ("shipped_on", "Date32"),
+    ("tax", "Float64"),
+])
+_LINE_SELECT = """
+    l_orderkey AS id, l_linenumber AS line_number, CAST(l_quantity AS FLOAT) AS quantity,
+    l_returnflag AS return_flag, CAST(l_shipdate AS DATE) AS shipped_on, l_tax AS tax"""
+
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return load_parquet(
@@ -576,6 +599,17 @@ def dump_texts(spark, folder):
     return decode_blobs(encode_blobs(documents, DOCUMENT_SCHEMA), DOCUMENT_SCHEMA)
 
 
+@_register(f"SELECT {_LINE_SELECT} FROM lineitem")
+def dump_file_splits(spark, folder):
+    """Dump files in the shared folder, read back in several splits per file."""
+    lines = positional_bind(_table(spark, folder, "lineitem").select(*LINE_COLUMNS), LINE_SCHEMA)
+    target = f"{shared_folder(spark)}/dumps-{uuid.uuid4().hex}"
+    write_dumps(lines, target, LINE_SCHEMA)
+    largest = dump_files(spark, target).agg(F.max("length")).first()[0]
+    split_bytes = min(SPLIT_BYTES, max(largest // 4, 1 << 20))
+    return decode_files(spark, target, LINE_SCHEMA, split_bytes=split_bytes)
+
+
 @_register('SELECT CAST(count(*) AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS failed FROM orders')
 def dump_status(spark, folder):
     orders = positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA)

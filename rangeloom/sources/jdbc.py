@@ -61,18 +61,21 @@ def read_ranges(
     key: str,
     max_connections: int,
     keep_nulls: bool = False,
+    split_by: str | None = None,
+    splits: int = 1,
 ) -> DataFrame:
     """One task and one connection per slice of the plan, at most ``max_connections``.
 
-    Every slice is its own statement: there is no snapshot common to all of them.
+    ``split_by`` and ``splits`` divide the slices further, see
+    :meth:`RangePlan.predicates`; the cap includes them as far as it allows. Every slice is its own statement: there is no snapshot common to all of them.
     """
     options = {"fetchsize": FETCH_SIZE, "preferTimestampNTZ": "true"}
     options |= jdbc_options(spec.connection_string)
     url = options.pop("url")
-    room = max_connections - 1 if keep_nulls and max_connections > 1 else max_connections
+    room = max_connections - splits if keep_nulls and max_connections > splits else max_connections
     return spark.read.jdbc(
         url,
         derived_table(spec.select),
-        predicates=plan.predicates(key, room, keep_nulls),
+        predicates=plan.predicates(key, room, keep_nulls, split_by, splits),
         properties=options,
     )

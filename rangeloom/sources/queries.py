@@ -45,7 +45,9 @@ def key_bounds(df: DataFrame, key: str) -> tuple[int, int] | None:
     return None if row.lo is None else (row.lo, row.hi)
 
 
-def parquet_key_bounds(spark: SparkSession, path: str, key: str) -> tuple[int, int] | None:
+def parquet_key_bounds(
+    spark: SparkSession, path: str, key: str, schema: T.StructType | None = None
+) -> tuple[int, int] | None:
     """:func:`key_bounds` of Parquet files from their footers alone.
 
     Aggregates are pushed to the footers only by the newer file source, which is
@@ -57,7 +59,8 @@ def parquet_key_bounds(spark: SparkSession, path: str, key: str) -> tuple[int, i
     newer = ",".join(name for name in older.split(",") if name.strip() != "parquet")
     aside.conf.set("spark.sql.sources.useV1SourceList", newer)
     aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    files = aside.read.parquet(path)
+    reader = aside.read.schema(schema) if schema else aside.read
+    files = reader.parquet(path)
     name = quoted(files.columns[key_position(files.schema, key)])
     try:
         # No cast around the key: it would keep the aggregate from the footers.

@@ -98,8 +98,8 @@ GOOD = [(1, "one"), (2, "two"), (3, "three")]
 
 def damaged():
     good = dump_of(TWO, GOOD)
-    yield "invalid signature", b"X" + good[1:]
-    yield "invalid signature", b""
+    yield "wrong signature", b"X" + good[1:]
+    yield "wrong signature", b""
     yield "cut in a row", good[:-5]
     yield "no trailer", good[:-2]
     yield "bytes after the trailer", good + b"!"
