@@ -74,7 +74,7 @@ def land_ranges(
     rows = spark.read.schema(schema).parquet(*landed) if landed else empty_result(spark, schema)
     if failed:
         rows = rows.unionByName(null_rows(report, schema).drop(INDEX))
-    return Loaded(rows, lambda: plan, report)
+    return Loaded(rows, lambda: plan, lambda: report)
 
 
 def load_landed(

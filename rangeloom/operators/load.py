@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import cache, cached_property
+from functools import cache, cached_property, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,27 +30,31 @@ MAX_STATEMENTS = 20_000
 class Loaded:
     """A load: its rows, its plan (None if the source has no keys) and its failures.
 
-    ``failures`` lists the ranges that were replaced or rerun; it is None when the
-    policy does not look for any. A plan that the rows did not need is made when it is
-    first asked for.
+    ``failures`` lists the ranges that were replaced, or in which values became NULL; it
+    is None under ``on_error="fail"``. A plan or a list that the rows did not need is made
+    when it is first asked for.
     """
 
     def __init__(
         self,
         rows: DataFrame,
         make_plan: Callable[[], RangePlan | None],
-        failures: DataFrame | None = None,
+        find_failures: Callable[[], DataFrame | None] = lambda: None,
         batch_size: int = DEFAULT_BATCH_SIZE,
     ):
         self.rows = rows
-        self.failures = failures
         self.batch_size = batch_size
         self._make_plan = make_plan
+        self._find_failures = find_failures
 
     @cached_property
     def plan(self) -> RangePlan | None:
         return self._make_plan()
 
+    @cached_property
+    def failures(self) -> DataFrame | None:
+        return self._find_failures()
+
     def batches(self) -> Iterator[pa.RecordBatch]:
         """The rows as Arrow batches of the spec's batch size, without holding them all."""
         return stream_batches(self.rows, self.batch_size)
@@ -185,7 +189,7 @@ def _finish(
     heals = on_error == "null_partition"
     plan = get_plan() if with_index or heals else None
 
-    kept, failures = tags, None
+    kept, find_failures = tags, lambda: None
     if plan is None:
         rows = named if keep_nulls else named.where(f"{quoted(key)} IS NOT NULL")
         if with_index or heals:  # no keys at all
@@ -195,8 +199,11 @@ def _finish(
         rows = with_partition(named, key, plan, keep_nulls)
         kept = [INDEX, *tags]
     if heals and plan is not None:
-        rows, failures = heal.heal_partitions(rows, schema, key, plan, rule, check_utf8)
+        rows, report = heal.heal_partitions(rows, schema, key, plan, rule, check_utf8)
+        find_failures = lambda: report
     else:
+        if on_error == "safe":
+            find_failures = partial(_failures, named, schema, key, get_plan, rule, check_utf8)
         mode = "strict" if on_error == "fail" else "safe"
         rows = bind_types(rows, schema, mode, kept, check_utf8)
     if ordered:
@@ -204,7 +211,15 @@ def _finish(
         # which stand where their range does. The tag breaks ties, so that one repeated
         # key can be sorted by several tasks.
         rows = rows.orderBy(*[INDEX] * heals, quoted(key), ROW_TAG)
-    return Loaded(rows.select(*[INDEX] * with_index, *map(quoted, schema.names)), get_plan, failures)
+    return Loaded(rows.select(*[INDEX] * with_index, *map(quoted, schema.names)), get_plan, find_failures)
+
+
+def _failures(named, schema, key, get_plan, rule, check_utf8) -> DataFrame | None:
+    plan = get_plan()
+    if plan is None:
+        return None
+    ranged = with_partition(named, key, plan)
+    return heal.judge(ranged, schema, key, plan, rule, check_utf8).report
 
 
 def empty_result(spark: SparkSession, schema: T.StructType) -> DataFrame:

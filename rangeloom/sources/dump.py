@@ -98,18 +98,24 @@ def dump_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length")
 
 
+def count_splits(files: DataFrame, split_bytes: int) -> int:
+    """How many splits the files are cut into (at least one)."""
+    n = F.sum(F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1)))
+    return int(files.agg(n).first()[0] or 1)
+
+
 def dump_splits(
-    files: DataFrame, schema: T.StructType, mode: str = "strict", split_bytes: int = SPLIT_BYTES
+    files: DataFrame, schema: T.StructType, split_bytes: int = SPLIT_BYTES, tasks: int | None = None
 ) -> DataFrame:
     """``(path, start, stop)``: runs of whole rows; ``stop`` is NULL at a file's end."""
-    safe = mode == "safe"
     begins = F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long")
     )
     cuts = files.select("path", "length", F.explode(begins).alias("begin"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = RowCodec(schema, safe)
+        # Starts are looked for among rows that fit their types, in any mode.
+        codec = RowCodec(schema)
         for batch in batches:
             starts = [
                 0 if begin == 0 else _find_start(path, length, begin, split_bytes, codec)
@@ -119,17 +125,13 @@ def dump_splits(
                 [batch.column(0), pa.array(starts, pa.int64())], names=["path", "start"]
             )
 
-    found = _spread(cuts, files, split_bytes).mapInArrow(find, "path string, start bigint")
+    spread = cuts.repartition(tasks or count_splits(files, split_bytes))
+    found = spread.mapInArrow(find, "path string, start bigint")
     # One tiny row per split: the longest window is file length / split length.
     order = Window.partitionBy("path").orderBy("start")
     return found.where("start IS NOT NULL").withColumn("stop", F.lead("start").over(order))
 
 
-def _spread(splits: DataFrame, files: DataFrame, split_bytes: int) -> DataFrame:
-    n = files.agg(F.sum(F.floor(F.col("length") / F.lit(split_bytes)) + 1)).first()[0]
-    return splits.repartition(max(int(n or 1), 1))
-
-
 def _find_start(path: str, length: int, begin: int, split_bytes: int, codec: RowCodec) -> int | None:
     window = min(SEARCH_BYTES, length - begin)
     with open_file(path) as source:
@@ -162,8 +164,9 @@ def decode_files(
         n = max(files.count(), 1)
         splits = files.repartition(n).select("path", F.lit(0).alias("start"), F.lit(None).alias("stop"))
         return _decode_splits(splits, schema, mode)
-    splits = dump_splits(files, schema, mode, split_bytes)
-    return _decode_splits(_spread(splits, files, split_bytes), schema, mode)
+    tasks = count_splits(files, split_bytes)
+    splits = dump_splits(files, schema, split_bytes, tasks)
+    return _decode_splits(splits.repartition(tasks), schema, mode)
 
 
 def _decode_splits(splits: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
@@ -176,7 +179,7 @@ def _decode_splits(splits: DataFrame, schema: T.StructType, mode: str) -> DataFr
                 with open_file(path) as source:
                     source.seek(start)
                     read = _reader(source, None if stop is None else stop - start)
-                    where = f"{path} at {start}"
+                    where = path if stop is None else f"{path}, bytes {start} to {stop} (try split_bytes=None)"
                     yield from _named(where, read, codec, header=start == 0, trailer=stop is None)
 
     spans = splits.select(

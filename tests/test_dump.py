@@ -205,6 +205,20 @@ def test_heal_dumps(spark, monkeypatch, limit):
     assert sorted((r.path, r.expected_rows) for r in report.collect()) == [("cut", 5), ("text", 2)]
 
 
+def test_a_split_that_misses_its_end_is_an_error(spark, dumps):
+    folder, _ = dumps
+    path = dump.dump_files(spark, folder + "/large").first().path
+    wrong = spark.createDataFrame([(path, 0, 1 << 16)], "path string, start bigint, stop bigint")
+    with pytest.raises(Exception, match="try split_bytes=None"):
+        dump._decode_splits(wrong, TWO, "strict").collect()
+
+
+@pytest.mark.parametrize("size", [dump_codec.LONG_SPAN - 1, dump_codec.LONG_SPAN * 50])
+def test_long_and_short_texts(size):
+    rows = [(i, None if i % 5 == 0 else "é" * (i % size)) for i in range(400)]
+    assert decoded(TWO, dump_of(TWO, rows)) == rows
+
+
 def test_safe_blobs(spark):
     df = spark.createDataFrame([("text", DAMAGED[8][1])], "path string, content binary")
     assert sorted(map(tuple, dump.decode_blobs(df, TWO, "safe").collect())) == [(1, "one"), (2, None), (3, "three")]

@@ -111,6 +111,13 @@ def test_healed_rows_stand_where_their_range_does(dirty):
     assert all((r.id is None) == (r[INDEX] in (1, 9)) for r in rows)
 
 
+def test_safe_policy_lists_its_ranges(dirty):
+    loaded = load_table(dirty, SCHEMA, 100, on_error="safe")
+    assert loaded.rows.where("n IS NULL").count() == 3
+    assert sorted(r[INDEX] for r in loaded.failures.collect()) == [1, 9]
+    assert load_table(dirty, SCHEMA).failures is None
+
+
 def test_fail_policy(dirty):
     with pytest.raises(Exception, match="column 'n': 'bad' is not Int32"):
         load_table(dirty, SCHEMA).rows.collect()
