@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from functools import cache, cached_property, partial
 
 import pyarrow as pa
@@ -27,6 +28,29 @@ NULL_KEYS = ("drop", "keep")
 MAX_STATEMENTS = 20_000
 
 
+@dataclass(frozen=True)
+class LoadOptions:
+    """How a source is turned into rows; see :func:`load`."""
+
+    key: str = "id"
+    on_error: str = "fail"
+    null_keys: str = "drop"
+    ordered: bool = False
+    with_index: bool = False
+    check_utf8: bool = False
+    rule: str | None = None
+
+    def __post_init__(self) -> None:
+        if self.on_error not in ON_ERROR:
+            raise ValueError(f"on_error must be one of {ON_ERROR}")
+        if self.null_keys not in NULL_KEYS:
+            raise ValueError(f"null_keys must be one of {NULL_KEYS}")
+
+    @property
+    def heals(self) -> bool:
+        return self.on_error == "null_partition"
+
+
 class Loaded:
     """A load: its rows, its plan (None if the source has no keys) and its failures.
 
@@ -88,9 +112,8 @@ def load_table(
         cores = parallelism or default_parallelism(source.sparkSession)
         return make_plan(found, cores, rows_per_partition)
 
-    return _finish(
-        source, schema, cache(plan), key, on_error, null_keys, ordered, with_index, check_utf8, rule
-    )
+    options = LoadOptions(key, on_error, null_keys, ordered, with_index, check_utf8, rule)
+    return _finish(source, schema, cache(plan), options)
 
 
 def load_parquet(
@@ -158,7 +181,7 @@ def load(
             spark, spec, plan, key, max_connections or MAX_STATEMENTS, null_keys == "keep",
             split_by, splits,
         )
-    loaded = _finish(source, spec.schema, lambda: plan, rule=None, **options)
+    loaded = _finish(source, spec.schema, lambda: plan, LoadOptions(**options))
     loaded.batch_size = spec.batch_size
     return loaded
 
@@ -167,59 +190,56 @@ def _finish(
     source: DataFrame,
     schema: T.StructType,
     get_plan: Callable[[], RangePlan | None],
-    key: str,
-    on_error: str,
-    null_keys: str,
-    ordered: bool,
-    with_index: bool,
-    check_utf8: bool,
-    rule: str | None,
+    options: LoadOptions,
 ) -> Loaded:
-    if on_error not in ON_ERROR:
-        raise ValueError(f"on_error must be one of {ON_ERROR}")
-    if null_keys not in NULL_KEYS:
-        raise ValueError(f"null_keys must be one of {NULL_KEYS}")
-    keep_nulls = null_keys == "keep"
-    position = queries.key_position(source.schema, key)
+    position = queries.key_position(source.schema, options.key)
     named = rename_by_position(source, schema)
     key = schema.names[position]
-    tags = [ROW_TAG] if ordered else []
-    if ordered:
+    if INDEX in map(str.lower, schema.names):
+        raise ValueError(f"'{INDEX}' is the range index; give the column another name")
+    if options.ordered:
+        if not isinstance(schema[position].dataType, (T.LongType, T.IntegerType)):
+            raise ValueError(f"rows can be ordered by '{key}' only if it is declared an integer")
         named = with_row_tag(named)
-    heals = on_error == "null_partition"
-    plan = get_plan() if with_index or heals else None
 
-    kept, find_failures = tags, lambda: None
-    if plan is None:
-        rows = named if keep_nulls else named.where(f"{quoted(key)} IS NOT NULL")
-        if with_index or heals:  # no keys at all
-            rows = rows.selectExpr("*", f"CAST(NULL AS BIGINT) AS {INDEX}")
-            kept = [INDEX, *tags]
-    else:
-        rows = with_partition(named, key, plan, keep_nulls)
-        kept = [INDEX, *tags]
-    if heals and plan is not None:
-        rows, report = heal.heal_partitions(rows, schema, key, plan, rule, check_utf8)
-        find_failures = lambda: report
+    plan = get_plan() if options.with_index or options.heals else None
+    if plan is not None:
+        rows = with_partition(named, key, plan, options.null_keys == "keep")
+    else:  # the range does not matter, or there are no keys at all
+        rows = named if options.null_keys == "keep" else named.where(f"{quoted(key)} IS NOT NULL")
+        rows = rows.selectExpr("*", f"CAST(NULL AS BIGINT) AS {INDEX}")
+
+    if options.heals and plan is not None:
+        rows, report = heal.heal_partitions(
+            rows, schema, key, plan, options.rule, options.check_utf8
+        )
+        find_failures = lambda: report
     else:
-        if on_error == "safe":
-            find_failures = partial(_failures, named, schema, key, get_plan, rule, check_utf8)
-        mode = "strict" if on_error == "fail" else "safe"
-        rows = bind_types(rows, schema, mode, kept, check_utf8)
-    if ordered:
+        mode = "strict" if options.on_error == "fail" else "safe"
+        kept = [INDEX, ROW_TAG] if options.ordered else [INDEX]
+        rows = bind_types(rows, schema, mode, kept, options.check_utf8)
+        find_failures = partial(_failures, named, schema, key, get_plan, options)
+    if options.ordered:
         # Ranges follow the key, so the key alone orders them, save for NULL rows,
         # which stand where their range does. The tag breaks ties, so that one repeated
         # key can be sorted by several tasks.
-        rows = rows.orderBy(*[INDEX] * heals, quoted(key), ROW_TAG)
-    return Loaded(rows.select(*[INDEX] * with_index, *map(quoted, schema.names)), get_plan, find_failures)
+        rows = rows.orderBy(*[INDEX] * options.heals, quoted(key), ROW_TAG)
+    chosen = rows.select(*[INDEX] * options.with_index, *map(quoted, schema.names))
+    return Loaded(chosen, get_plan, find_failures)
 
 
-def _failures(named, schema, key, get_plan, rule, check_utf8) -> DataFrame | None:
-    plan = get_plan()
+def _failures(
+    named: DataFrame,
+    schema: T.StructType,
+    key: str,
+    get_plan: Callable[[], RangePlan | None],
+    options: LoadOptions,
+) -> DataFrame | None:
+    plan = get_plan() if options.on_error == "safe" else None
     if plan is None:
         return None
     ranged = with_partition(named, key, plan)
-    return heal.judge(ranged, schema, key, plan, rule, check_utf8).report
+    return heal.judge(ranged, schema, key, plan, options.rule, options.check_utf8).report
 
 
 def empty_result(spark: SparkSession, schema: T.StructType) -> DataFrame:

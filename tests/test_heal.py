@@ -127,6 +127,15 @@ def test_fail_policy(dirty):
         load_table(dirty, SCHEMA, null_keys="maybe")
 
 
+def test_refused_schemas(dirty):
+    text_key = struct_of([("id", "Utf8"), ("n", "Utf8")])
+    with pytest.raises(ValueError, match="declared an integer"):
+        load_table(dirty, text_key, ordered=True)
+    assert load_table(dirty, text_key, with_index=True).rows.count() == 3000
+    with pytest.raises(ValueError, match="range index"):
+        load_table(dirty, struct_of([("id", "Int64"), ("Partition_Index", "Utf8")]))
+
+
 def test_plain_load_runs_no_bounds_query(table, capsys):
     schema = struct_of([("k", "Int64"), ("quality", "Int32"), ("toxic", "Int32")])
     loaded = load_table(table("labels"), schema, key="doc_id")
