@@ -1,8 +1,8 @@
 """What becomes of a range that holds a value which does not fit its type.
 
-A task that throws ends the whole job, so bad data is never thrown: every row
-carries its first error as a value, the errors are summed up per range, and that
-verdict decides which ranges are replaced or rerun. The verdict is written to the
+A task that throws ends the whole job, so bad data is never thrown: which test a row
+failed is a value, the failures are summed up per range, and that verdict decides
+which ranges are replaced or rerun. The verdict is written to the
 checkpoint folder before it is used, so that all its uses agree.
 """
 
@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rangeloom.functions.casts import sql_text
 from rangeloom.functions.names import quoted
 from rangeloom.functions.skew import ROW_TAG, with_row_tag
+from rangeloom.functions.types import declared_name
 from rangeloom.operators.bind import bind_types, typed_columns
 from rangeloom.operators.counts import INDEX
 from rangeloom.plans.ranges import RangePlan
 from rangeloom.plans.session import cut_lineage
 
-ERROR = "__error"
-
 REPORT = (
     f"{INDEX} bigint, lo bigint, hi bigint, expected_rows bigint, n_bad bigint, first_error string"
 )
@@ -44,40 +44,48 @@ class Verdict:
     n_failed: int
 
 
-def with_errors(
-    named: DataFrame,
-    schema: T.StructType,
-    rule: str | None = None,
-    check_utf8: bool = False,
-) -> DataFrame:
-    """Add the row's first error as text, NULL for a clean row.
-
-    ``rule`` is an SQL condition on the source columns that marks further rows as bad.
-    """
-    errors = [
-        f"CASE WHEN {t.failed} THEN {t.message} END"
+def _tests(
+    named: DataFrame, schema: T.StructType, rule: str | None, check_utf8: bool
+) -> list[tuple[str, str]]:
+    """SQL tests that mark a row as bad, and what each of them means."""
+    tests = [
+        (t.failed, f"column '{t.name}' is not {declared_name(t.target)}")
         for t in typed_columns(named, schema, check_utf8)
         if t.failed is not None
     ]
-    if rule is not None:
-        errors.append(f"CASE WHEN {rule} THEN 'row refused by rule' END")
-    return named.selectExpr("*", f"coalesce({', '.join([*errors, 'CAST(NULL AS STRING)'])}) AS {ERROR}")
+    return tests if rule is None else [*tests, (rule, "refused by rule")]
 
 
-def failed_partitions(marked: DataFrame, key: str, plan: RangePlan) -> DataFrame:
-    """Report of the ranges that hold a bad row; ``marked`` comes from :func:`with_errors`.
+def failed_partitions(
+    named: DataFrame,
+    schema: T.StructType,
+    key: str,
+    plan: RangePlan,
+    rule: str | None = None,
+    check_utf8: bool = False,
+) -> DataFrame:
+    """Report of the ranges that hold a bad row.
 
-    Only bad rows are shuffled, pre-aggregated to one row per task and range.
+    ``named`` holds the source values under their declared names, with a range index.
+    ``rule`` is an SQL condition on them that marks further rows as bad. Of a bad row
+    only numbers go on (its range, its key, which test it failed), so that hash
+    aggregation brings them down to a few rows per task before the shuffle.
     """
+    tests = _tests(named, schema, rule, check_utf8)
+    if not tests:
+        return named.sparkSession.createDataFrame([], REPORT)
+    cases = " ".join(f"WHEN {test} THEN {i}" for i, (test, _) in enumerate(tests))
+    meanings = ", ".join(sql_text(meaning) for _, meaning in tests)
     found = (
-        marked.where(f"{ERROR} IS NOT NULL")
+        named.selectExpr(INDEX, f"{quoted(key)} AS k", f"CASE {cases} END AS test")
+        .where("test IS NOT NULL")
+        .groupBy(INDEX, "test")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("k"))
         .groupBy(INDEX)
-        .agg(
-            F.count(F.lit(1)).alias("n_bad"),
-            F.expr(f"min(struct({quoted(key)}, {ERROR}))").getField(ERROR).alias("first_error"),
-        )
+        .agg(F.sum("n").alias("n_bad"), F.expr("min(struct(k, test))").alias("first"))
     )
-    return found.selectExpr(INDEX, *plan.describe(), "n_bad", "first_error")
+    error = f"concat(array({meanings})[first.test], {sql_text(f', first at {key} ')}, first.k)"
+    return found.selectExpr(INDEX, *plan.describe(), "n_bad", f"{error} AS first_error")
 
 
 def judge(
@@ -89,10 +97,10 @@ def judge(
     check_utf8: bool = False,
 ) -> Verdict:
     """Find the failed ranges, once; no pass over the data if no column can fail."""
-    if rule is None and all(t.failed is None for t in typed_columns(named, schema, check_utf8)):
-        return Verdict(named.sparkSession.createDataFrame([], REPORT), 0)
-    marked = with_errors(named, schema, rule, check_utf8)
-    report = cut_lineage(failed_partitions(marked, key, plan))
+    report = failed_partitions(named, schema, key, plan, rule, check_utf8)
+    if not _tests(named, schema, rule, check_utf8):
+        return Verdict(report, 0)
+    report = cut_lineage(report)
     return Verdict(report, report.count())
 
 

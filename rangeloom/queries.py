@@ -23,7 +23,6 @@ from rangeloom.operators.heal import (
     heal_partitions,
     mark_rerun,
     safe_rerun,
-    with_errors,
 )
 from rangeloom.operators.layout import range_layout
 from rangeloom.operators.load import load_parquet, load_table
@@ -494,7 +493,7 @@ _BAD_LABELS = """
     ranged AS (SELECT (doc_id - a) // 50 AS i, labels.* FROM labels, b),
     failed AS (SELECT i, count(*) AS n_bad, min(doc_id) AS first_bad FROM ranged
                WHERE doc_id % 97 = 5 GROUP BY i),
-    report AS (SELECT i, a + i * 50 AS lo, least(a + i * 50 + 49, z) AS hi, n_bad
+    report AS (SELECT i, a + i * 50 AS lo, least(a + i * 50 + 49, z) AS hi, n_bad, first_bad
                FROM failed, b)"""
 
 
@@ -515,12 +514,13 @@ def heal_partitions_labels(spark, folder):
 @_register(
     f"""WITH {_BAD_LABELS}
         SELECT i AS partition_index, lo, hi, hi - lo + 1 AS expected_rows, n_bad,
-               'column ''quality'': ''n/a'' is not Int32' AS first_error FROM report""",
+               'column ''quality'' is not Int32, first at doc_id ' || CAST(first_bad AS VARCHAR)
+                   AS first_error FROM report""",
     "failed_partitions",
 )
 def failed_partitions_labels(spark, folder):
     named, plan = _bad_labels(spark, folder)
-    return failed_partitions(with_errors(named, LABEL_SCHEMA), "doc_id", plan)
+    return failed_partitions(named, LABEL_SCHEMA, "doc_id", plan)
 
 
 
