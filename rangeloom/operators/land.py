@@ -8,22 +8,27 @@ started again goes on with the slices that are not there yet.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rangeloom.functions.names import quoted
 from rangeloom.operators.bind import bind_types, rename_by_position
 from rangeloom.operators.counts import INDEX
 from rangeloom.operators.heal import null_rows
 from rangeloom.operators.load import Loaded, empty_result
 from rangeloom.plans.ranges import RangePlan, default_parallelism, make_plan
 from rangeloom.plans.session import JOB_ERRORS, cause_of
-from rangeloom.plans.spec import LoadSpec
-from rangeloom.sources import jdbc
+from rangeloom.plans.spec import LoadSpec, as_spec
+from rangeloom.sources import jdbc, queries
 from rangeloom.sources.store import exists
 
+log = logging.getLogger(__name__)
+
 MAX_SLICES = 2_000
 
 _REPORT = "partition_index bigint, lo bigint, hi bigint, expected_rows bigint, error string"
@@ -58,6 +63,7 @@ def land_ranges(
             named = rename_by_position(read_range(*slices[i]), schema)
             bind_types(named, schema, mode).write.mode("overwrite").parquet(target(i))
         except JOB_ERRORS as error:
+            log.warning("range %d (%d to %d) failed: %s", i, *slices[i], cause_of(error))
             return cause_of(error)
         return None
 
@@ -79,7 +85,7 @@ def land_ranges(
 
 def load_landed(
     spark: SparkSession,
-    spec: LoadSpec,
+    spec: LoadSpec | Mapping | str,
     directory: str,
     rows_per_partition: int = 0,
     *,
@@ -87,13 +93,30 @@ def load_landed(
     parallelism: int | None = None,
     connections: int = 8,
 ) -> Loaded:
-    """Load a spec's database query through :func:`land_ranges`."""
+    """Load a spec's query through :func:`land_ranges`.
+
+    A query on the session is scanned once per slice, so it should be over data laid out
+    by the key; otherwise :func:`rangeloom.load` is the better choice.
+    """
+    spec = as_spec(spec)
     cores = parallelism or default_parallelism(spark)
-    plan = make_plan(jdbc.jdbc_key_bounds(spark, spec, key), cores, rows_per_partition)
+    if spec.runs_on_session:
+        source = queries.query_as_source(spark, spec.query)
+        column = source.columns[queries.key_position(source.schema, key)]
+        bounds = queries.key_bounds(source, column)
+        read = source.where
+        test = quoted(column)
+    else:
+        bounds = jdbc.jdbc_key_bounds(spark, spec, key)
+        read = partial(jdbc.read_one, spark, spec)
+        test = key
+    plan = make_plan(bounds, cores, rows_per_partition)
     if plan is None:
         return Loaded(empty_result(spark, spec.schema), lambda: None)
 
     def read_range(lo: int, hi: int) -> DataFrame:
-        return jdbc.read_one(spark, spec, f"{key} BETWEEN {lo} AND {hi}")
+        return read(f"{test} BETWEEN {lo} AND {hi}")
 
-    return land_ranges(spark, read_range, plan, spec.schema, directory, connections=connections)
+    loaded = land_ranges(spark, read_range, plan, spec.schema, directory, connections=connections)
+    loaded.batch_size = spec.batch_size
+    return loaded
