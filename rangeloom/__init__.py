@@ -1,5 +1,9 @@
 """Partitioned bulk loading of large query results into typed Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from rangeloom.operators.land import load_landed
 from rangeloom.operators.load import Loaded, load, load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile, profile_spec
@@ -22,3 +26,7 @@ __all__ = [
     "to_arrow",
     "to_pandas",
 ]
+
+# Functions sent to executors carry their code along, so that the package need not be
+# installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -162,9 +162,7 @@ def dumps(spark, table, tmp_path_factory):
 
 
 @pytest.mark.parametrize("split_bytes", [None, 1 << 16, 300_000, 1 << 30])
-@pytest.mark.parametrize("read_bytes", [1 << 12, 8 << 20])
-def test_files(spark, dumps, monkeypatch, split_bytes, read_bytes):
-    monkeypatch.setattr(dump_codec, "READ_BYTES", read_bytes)
+def test_files(spark, dumps, split_bytes):
     folder, rows = dumps
     found = dump.decode_files(spark, folder + "/*", TWO, split_bytes=split_bytes)
     assert found.exceptAll(rows).count() == 0 and rows.exceptAll(found).count() == 0

@@ -1,4 +1,7 @@
 import glob
+import os
+import subprocess
+import sys
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -124,3 +127,20 @@ def test_landing_merges_fine_plans(spark, tmp_path):
 def test_session_settings(spark):
     again = load_session("x", spark__sql__shuffle__partitions="8")
     assert again.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_workers_need_no_installed_package(tmp_path, folder):
+    """The package reaches the executors with the functions that use it."""
+    script = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from pyspark.sql import SparkSession
+from rangeloom.queries import QUERIES
+settings = {{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}}
+spark = SparkSession.builder.master("local[2]").config(map=settings).getOrCreate()
+print("rows", QUERIES["dump_roundtrip"](spark, {folder!r}).count())
+"""
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=120
+    )
+    assert "rows 15000" in done.stdout

@@ -15,6 +15,12 @@ TABLES = (
 ).split()
 
 
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def normal(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else value
@@ -42,10 +48,10 @@ def tables(request):
 def test_query_matches_sql(spark, tables, name):
     folder, con = tables
     ours = contract.queries()[name](spark, folder)
+    kinds = con.execute(f"DESCRIBE {contract.oracle_sql()[name]}").fetchall()
+    assert {f.name: KINDS[f.dataType.simpleString()] for f in ours.schema} == {k[0]: k[1] for k in kinds}
     theirs = con.execute(contract.oracle_sql()[name])
-    columns = [c[0] for c in theirs.description]
-    assert sorted(ours.columns) == sorted(columns)
-    expected = bag(columns, theirs.fetchall())
+    expected = bag([c[0] for c in theirs.description], theirs.fetchall())
     found = bag(ours.columns, [tuple(r) for r in ours.collect()])
     assert found == expected
 
