@@ -20,6 +20,7 @@ from pyspark.sql import Window
 
 from rangeloom.operators.heal import null_rows
 from rangeloom.operators.counts import INDEX
+from rangeloom.plans.ranges import default_parallelism
 from rangeloom.plans.session import cut_lineage
 from rangeloom.sources.dump_codec import DumpError, RowCodec, decode_stream, wrap
 from rangeloom.sources.store import locate, open_file
@@ -74,10 +75,10 @@ def blob_status(dumps: DataFrame, schema: T.StructType, mode: str = "strict") ->
     return dumps.select("path", "content").mapInArrow(check, _STATUS)
 
 
-def _status(path: str, read, codec: RowCodec) -> pa.RecordBatch:
+def _status(path: str, read, codec: RowCodec, **parts) -> pa.RecordBatch:
     rows, error = 0, None
     try:
-        for batch in decode_stream(read, codec):
+        for batch in decode_stream(read, codec, **parts):
             rows += batch.num_rows
     except DumpError as problem:
         error = str(problem)
@@ -98,10 +99,12 @@ def dump_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length")
 
 
-def count_splits(files: DataFrame, split_bytes: int) -> int:
-    """How many splits the files are cut into (at least one)."""
-    n = F.sum(F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1)))
-    return int(files.agg(n).first()[0] or 1)
+def count_tasks(files: DataFrame, split_bytes: int) -> int:
+    """Tasks to read the files: one per split, or fewer if many files are small."""
+    cut = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1))
+    splits, total = files.agg(F.sum(cut), F.sum("length")).first()
+    least = 4 * default_parallelism(files.sparkSession)
+    return max(min(splits or 1, max(-(-(total or 0) // split_bytes), least)), 1)
 
 
 def dump_splits(
@@ -125,7 +128,7 @@ def dump_splits(
                 [batch.column(0), pa.array(starts, pa.int64())], names=["path", "start"]
             )
 
-    spread = cuts.repartition(tasks or count_splits(files, split_bytes))
+    spread = cuts.repartition(tasks or count_tasks(files, split_bytes))
     found = spread.mapInArrow(find, "path string, start bigint")
     # One tiny row per split: the longest window is file length / split length.
     order = Window.partitionBy("path").orderBy("start")
@@ -159,65 +162,111 @@ def decode_files(
 
     ``split_bytes=None`` reads each file in one task.
     """
-    files = dump_files(spark, path)
+    return _decode_spans(_spans(dump_files(spark, path), schema, split_bytes), schema, mode)
+
+
+def _spans(files: DataFrame, schema: T.StructType, split_bytes: int | None) -> DataFrame:
+    """``(path, start, stop)`` of what one task reads in one go, spread over tasks."""
+    tasks = count_tasks(files, split_bytes or SPLIT_BYTES)
     if split_bytes is None:
-        n = max(files.count(), 1)
-        splits = files.repartition(n).select("path", F.lit(0).alias("start"), F.lit(None).alias("stop"))
-        return _decode_splits(splits, schema, mode)
-    tasks = count_splits(files, split_bytes)
-    splits = dump_splits(files, schema, split_bytes, tasks)
-    return _decode_splits(splits.repartition(tasks), schema, mode)
+        return files.selectExpr("path", "0L AS start", "CAST(NULL AS BIGINT) AS stop").repartition(tasks)
+    return dump_splits(files, schema, split_bytes, tasks).repartition(tasks)
 
 
-def _decode_splits(splits: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
+def _decode_spans(spans: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
     safe = mode == "safe"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = RowCodec(schema, safe)
         for batch in batches:
             for path, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
+                where = path if stop is None else f"{path}, bytes {start} to {stop} (try split_bytes=None)"
                 with open_file(path) as source:
-                    source.seek(start)
-                    read = _reader(source, None if stop is None else stop - start)
-                    where = path if stop is None else f"{path}, bytes {start} to {stop} (try split_bytes=None)"
-                    yield from _named(where, read, codec, header=start == 0, trailer=stop is None)
+                    yield from _named(where, _reader(source, start, stop), codec, **_parts(start, stop))
 
-    spans = splits.select(
-        "path", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop")
-    )
-    return spans.mapInArrow(decode, _ddl(schema))
+    return spans.select("path", "start", "stop").mapInArrow(decode, _ddl(schema))
 
 
-def _reader(source: pa.NativeFile, length: int | None = None) -> Callable[[int], bytes]:
-    """Read on from here, up to ``length`` bytes, asking the store for large blocks."""
+def _parts(start: int, stop: int | None) -> dict[str, bool]:
+    return {"header": start == 0, "trailer": stop is None}
+
+
+def _reader(source: pa.NativeFile, start: int, stop: int | None) -> Callable[[int], bytes]:
+    """Read from ``start`` up to ``stop``, asking the store for large blocks."""
+    source.seek(start)
     blocks = pa.BufferedInputStream(source, BLOCK_BYTES)
-    left = length
+    at = start
 
     def read(n: int) -> bytes:
-        nonlocal left
-        data = blocks.read(n if left is None else min(n, left))
-        if left is not None:
-            left -= len(data)
+        nonlocal at
+        data = blocks.read(n if stop is None else min(n, stop - at))
+        at += len(data)
         return data
 
     return read
 
 
 def file_status(
-    spark: SparkSession, path: str, schema: T.StructType, mode: str = "strict"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    mode: str = "strict",
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
-    """``(path, rows, error)`` per dump file, each read from end to end."""
+    """``(path, rows, error, in_splits)`` per dump file: its rows, or why it cannot be decoded.
+
+    Files are checked in splits. One that looks bad there is read again from end to end,
+    and that decides; ``in_splits`` says whether the file can be read in splits.
+    """
     safe = mode == "safe"
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = RowCodec(schema, safe)
         for batch in batches:
-            for name in batch.column(0).to_pylist():
+            for name, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
                 with open_file(name) as source:
-                    yield _status(name, _reader(source), codec)
+                    yield _status(name, _reader(source, start, stop), codec, **_parts(start, stop))
+
+    files = dump_files(spark, path)
+    parts = _spans(files, schema, split_bytes).select("path", "start", "stop").mapInArrow(check, _STATUS)
+    found = cut_lineage(
+        parts.groupBy("path").agg(F.sum("rows").alias("rows"), F.count("error").alias("n_bad"))
+    )
+    clean = found.where("n_bad = 0").selectExpr("path", "rows", "CAST(NULL AS STRING) AS error")
+    doubtful = found.where("n_bad > 0").select("path")
+    n = doubtful.count()
+    if n == 0:
+        return clean.withColumn("in_splits", F.lit(True))
+    whole = doubtful.selectExpr("path", "0L AS start", "CAST(NULL AS BIGINT) AS stop").repartition(n)
+    again = whole.mapInArrow(check, _STATUS)
+    return clean.withColumn("in_splits", F.lit(True)).unionByName(
+        again.withColumn("in_splits", F.lit(False))
+    )
 
-    files = dump_files(spark, path).select("path")
-    return files.repartition(max(files.count(), 1)).mapInArrow(check, _STATUS)
+
+def heal_files(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    expected: DataFrame,
+    split_bytes: int = SPLIT_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`heal_blobs` for dump files; paths are written as :func:`dump_files` gives them."""
+    status = cut_lineage(file_status(spark, path, schema, split_bytes=split_bytes))
+    files = dump_files(spark, path)
+    report = status.where("error IS NOT NULL").join(expected, "path", "left")
+    rows = _nulls_for(report, schema)
+    for test, size in (("in_splits", split_bytes), ("NOT in_splits", None)):
+        chosen = status.where(f"error IS NULL AND {test}").select("path")
+        if not chosen.isEmpty():
+            part = files.join(chosen, "path", "left_semi")
+            rows = rows.unionByName(_decode_spans(_spans(part, schema, size), schema, "strict"))
+    return rows, report.select("path", "expected_rows", "error")
+
+
+def _nulls_for(report: DataFrame, schema: T.StructType) -> DataFrame:
+    numbered = report.select(F.lit(0).cast("long").alias(INDEX), "expected_rows")
+    return null_rows(numbered, schema).drop(INDEX)
 
 
 def heal_blobs(
@@ -234,9 +283,7 @@ def heal_blobs(
     if report.count() <= BROADCAST_PATHS:
         failed = F.broadcast(failed)  # else a shuffle on the path, which is unique
     good = dumps.join(failed, "path", "left_anti")
-    numbered = report.select(F.lit(0).cast("long").alias(INDEX), "expected_rows")
-    rows = decode_blobs(good, schema).unionByName(null_rows(numbered, schema).drop(INDEX))
-    return rows, report
+    return decode_blobs(good, schema).unionByName(_nulls_for(report, schema)), report
 
 
 # -- writing, for fixtures

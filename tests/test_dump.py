@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 import io
 import struct
 
@@ -185,11 +186,48 @@ def test_file_status_and_failure(spark, tmp_path):
     assert len(lines) == len(on_disk) + 1
     for line, (message, _) in zip(lines, on_disk):
         assert message in line.error
-    assert (lines[-1].rows, lines[-1].error) == (3, None)
+    assert (lines[-1].rows, lines[-1].error, lines[-1].in_splits) == (3, None, True)
     with pytest.raises(Exception, match="00.bin"):
         dump.decode_files(spark, str(tmp_path / "00.bin"), TWO, split_bytes=None).collect()
 
 
+@pytest.fixture(scope="module")
+def deceptive(tmp_path_factory):
+    """A dump with a text of three megabytes that reads as rows, so that splits go wrong."""
+    fake = struct.pack(">hiq", 2, 8, 0x4142434445464748) + struct.pack(">i", 1) + b"z"
+    rows = [(i, "plain") for i in range(100)]
+    rows.insert(50, (50, (fake * (3_000_000 // len(fake))).decode()))
+    path = tmp_path_factory.mktemp("deceptive") / "dump.bin"
+    path.write_bytes(dump_of(TWO, rows))
+    return str(path), rows
+
+
+def test_deceptive_text_is_noticed(spark, deceptive):
+    path, rows = deceptive
+    whole = dump.decode_files(spark, path, TWO, split_bytes=None)
+    assert sorted(map(tuple, whole.collect())) == sorted(rows)
+    with pytest.raises(Exception, match="try split_bytes=None"):
+        dump.decode_files(spark, path, TWO, split_bytes=1 << 20).collect()
+    line = dump.file_status(spark, path, TWO, split_bytes=1 << 20).first()
+    assert (line.rows, line.error, line.in_splits) == (101, None, False)
+
+
+def test_heal_files(spark, dumps, deceptive, tmp_path):
+    folder, docs = dumps
+    for i, (_, data) in enumerate(DAMAGED):
+        if data:
+            (tmp_path / f"bad-{i}.bin").write_bytes(data)
+    (tmp_path / "deceptive.bin").write_bytes(open(deceptive[0], "rb").read())
+    (tmp_path / "large.bin").write_bytes(open(glob.glob(folder + "/large/*.bin")[0], "rb").read())
+    expected = dump.dump_files(spark, str(tmp_path)).selectExpr("path", "7L AS expected_rows")
+    rows, report = dump.heal_files(spark, str(tmp_path), TWO, expected, split_bytes=1 << 20)
+    n_bad = sum(bool(data) for _, data in DAMAGED)
+    assert report.count() == n_bad and report.where("error IS NULL").count() == 0
+    n_docs = docs.count() - 3
+    assert rows.count() == 7 * n_bad + 101 + n_docs
+    assert rows.where("id IS NULL").count() == 7 * n_bad
+
+
 @pytest.mark.parametrize("limit", [dump.BROADCAST_PATHS, 0])
 def test_heal_dumps(spark, monkeypatch, limit):
     monkeypatch.setattr(dump, "BROADCAST_PATHS", limit)
@@ -208,7 +246,7 @@ def test_a_split_that_misses_its_end_is_an_error(spark, dumps):
     path = dump.dump_files(spark, folder + "/large").first().path
     wrong = spark.createDataFrame([(path, 0, 1 << 16)], "path string, start bigint, stop bigint")
     with pytest.raises(Exception, match="try split_bytes=None"):
-        dump._decode_splits(wrong, TWO, "strict").collect()
+        dump._decode_spans(wrong, TWO, "strict").collect()
 
 
 @pytest.mark.parametrize("size", [dump_codec.LONG_SPAN - 1, dump_codec.LONG_SPAN * 50])
