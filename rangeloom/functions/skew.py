@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.plans.session import cut_lineage
+from rangeloom.plans.session import set_aside
 
 ROW_TAG = "__row_tag"
 
@@ -19,15 +19,14 @@ ROW_TAG = "__row_tag"
 def with_row_tag(df: DataFrame, name: str = ROW_TAG) -> DataFrame:
     """Add a bigint tag that differs between copies and survives task reruns.
 
-    For rows straight from files it is a hash of file and row position. Anything
-    else (a join, a database) is first fixed in the checkpoint folder, after which
-    the running row number of each partition cannot change.
+    It is a hash of the file and position a row was read from. Rows that do not come
+    straight from Parquet files (a join, a database) are first written aside as such,
+    after which they cannot change either.
     """
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     try:
-        tagged = df.withColumn(
-            name, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
-        )
+        tagged = df.withColumn(name, place)
         tagged.schema  # resolve now
         return tagged
     except AnalysisException:
-        return cut_lineage(df).withColumn(name, F.monotonically_increasing_id())
+        return set_aside(df).withColumn(name, place)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -51,11 +52,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from there."""
+    """Write a small ``df`` to the shared folder and go on from there."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def set_aside(df: DataFrame) -> DataFrame:
+    """Write a large ``df`` to the shared folder as Parquet and go on from there.
+
+    Smaller than a checkpoint, and later steps read only the columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/aside-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cause_of(error: Exception) -> str:
     """The innermost cause of a failed job, in one line."""
     lines = [line.strip() for line in str(error).splitlines() if line.strip()]
