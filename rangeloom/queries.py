@@ -11,13 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rangeloom.functions import epoch
 from rangeloom.functions.casts import text_is_valid
 from rangeloom.functions.types import struct_of
 from rangeloom.operators.bind import positional_bind, rename_by_position
-from rangeloom.operators.counts import INDEX, pack_batches, partition_counts, with_partition
+from rangeloom.operators.counts import pack_batches, partition_counts, with_partition
 from rangeloom.operators.heal import (
     failed_partitions,
     heal_partitions,
@@ -633,8 +632,8 @@ def synth_table(spark, folder):
         F.col("score").between(0, 100)
         & F.col("course_id").between(100, 110)
         & F.col("rating").between(0, 5)
-        & F.col("last_login").between(F.expr("timestamp_ntz'2024-01-01'"), F.expr("timestamp_ntz'2025-01-01'"))
-        & F.col("start_date").between(F.expr("date'2022-04-06'"), F.expr("date'2025-01-01'"))
+        & F.expr("last_login BETWEEN timestamp_ntz'2024-01-01' AND timestamp_ntz'2025-01-01'")
+        & F.expr("start_date BETWEEN date'2022-04-06' AND date'2025-01-01'")
     )
     return synth_columns(ids).select(
         "id", "uuid", "username", "is_active", "notes", in_range.alias("in_range")

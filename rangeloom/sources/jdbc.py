@@ -13,7 +13,7 @@ from rangeloom.plans.ranges import RangePlan
 from rangeloom.plans.spec import LoadSpec, jdbc_options
 
 # Rows the driver fetches per round trip; JDBC drivers default to very few or all.
-FETCH_SIZE = "50000"
+FETCH_SIZE = "10000"
 
 
 def derived_table(select: str) -> str:
@@ -26,9 +26,13 @@ def bounds_query(spec: LoadSpec, key: str) -> str:
     return f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {derived_table(spec.select)}) AS bounds"
 
 
+def _options(spec: LoadSpec) -> dict[str, str]:
+    found = jdbc_options(spec.connection_string)
+    return {"fetchsize": FETCH_SIZE, "preferTimestampNTZ": "true"} | found
+
+
 def _reader(spark: SparkSession, spec: LoadSpec) -> DataFrameReader:
-    options = {"fetchsize": FETCH_SIZE, "preferTimestampNTZ": "true"}
-    return spark.read.format("jdbc").options(**options | jdbc_options(spec.connection_string))
+    return spark.read.format("jdbc").options(**_options(spec))
 
 
 def jdbc_key_bounds(spark: SparkSession, spec: LoadSpec, key: str) -> tuple[int, int] | None:
@@ -67,10 +71,10 @@ def read_ranges(
     """One task and one connection per slice of the plan, at most ``max_connections``.
 
     ``split_by`` and ``splits`` divide the slices further, see
-    :meth:`RangePlan.predicates`; the cap includes them as far as it allows. Every slice is its own statement: there is no snapshot common to all of them.
+    :meth:`RangePlan.predicates`; the cap counts those parts too. Every slice is its own
+    statement: there is no snapshot common to all of them.
     """
-    options = {"fetchsize": FETCH_SIZE, "preferTimestampNTZ": "true"}
-    options |= jdbc_options(spec.connection_string)
+    options = _options(spec)
     url = options.pop("url")
     room = max_connections - splits if keep_nulls and max_connections > splits else max_connections
     return spark.read.jdbc(
