@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import contextlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.plans.session import cut_lineage, set_aside
+from rangeloom.plans.session import set_aside
 
 #: Bytes of text in one Arrow batch sent to Python; a single longer text is a batch alone.
 BATCH_BYTES = 16 << 20
@@ -27,16 +25,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-@contextlib.contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Bound Arrow batches by bytes, so that long texts do not pile up in a worker."""
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes, so that long texts do not pile up in a worker."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+    if int(spark.conf.get(key, "0").rstrip("bB") or 0) not in range(1, BATCH_BYTES + 1):
+        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
@@ -44,23 +37,6 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-class WordHashes(dict):
-    """64-bit hashes of words (UTF-8), remembered up to ``limit`` words at a time."""
-
-    def __init__(self, limit: int = 400_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values, so that their order is as good as random."""
     v = values.copy()
@@ -72,6 +48,62 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return v
 
 
+#: A random-looking factor per byte and per place in a word, for polynomial word hashes.
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * _MUL)
+_PLACES = np.concatenate([[np.uint64(1)], np.cumprod(np.full(1023, _MIX1, np.uint64), dtype=np.uint64)])
+
+
+def fold_table(keep: Callable[[int], bool], lower: bool) -> bytes:
+    """A ``bytes.translate`` table: separators to a space, ASCII capitals to small letters if wanted."""
+    return bytes((c if keep(c) else 32) for c in (LOWER_ASCII if lower else bytes(range(256))))
+
+
+class Words:
+    """The words of several texts: hashes, byte places, and where each text's words begin.
+
+    ``fold`` maps the bytes of a text; what becomes a space separates words. Texts are
+    hashed in chunks, so temporary arrays stay small however long a text is.
+    """
+
+    CHUNK = 1 << 20
+
+    def __init__(self, texts: list[bytes], fold: bytes):
+        joined = b" ".join(texts).translate(fold)
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.text_at = np.cumsum(sizes + 1) - (sizes + 1)
+        parts, a = [], 0
+        while a < len(joined):
+            b = joined.find(b" ", a + self.CHUNK)
+            b = len(joined) if b < 0 else b
+            parts.append(self._chunk(joined[a:b], a))
+            a = b
+        empty = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))
+        self.hashes, self.starts, self.ends = (np.concatenate(x) for x in zip(empty, *parts, strict=True))
+        self.first = np.append(np.searchsorted(self.starts, self.text_at), len(self.starts))
+
+    @staticmethod
+    def _chunk(data: bytes, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        c = np.frombuffer(data, np.uint8)
+        inside = np.zeros(len(c) + 2, np.int8)
+        inside[1:-1] = c != 32
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        if not len(starts):
+            return np.empty(0, np.uint64), starts, ends
+        sizes = ends - starts
+        begin = np.cumsum(sizes) - sizes
+        place = np.arange(int(sizes.sum())) - np.repeat(begin, sizes)
+        # Beyond the table's length places repeat, told apart by another factor.
+        value = _BYTES[c[inside[1:-1].astype(bool)]] * _PLACES[place & 1023]
+        if sizes.max() > 1024:
+            value *= (place >> 10).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        return mixed(np.add.reduceat(value, begin) + sizes.astype(np.uint64)), starts + at, ends + at
+
+    def of(self, k: int) -> slice:
+        """The words of text ``k``, as a slice of the arrays."""
+        return slice(int(self.first[k]), int(self.first[k + 1]))
+
+
 def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Hash of the ``length`` words that start at each position, for all full windows."""
     n = len(words) - length + 1
@@ -124,9 +156,3 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             break
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
-
-
-__all__ = [
-    "BATCH_BYTES", "LOWER_ASCII", "Callable", "WordHashes", "connected_components", "cut_lineage", "mixed",
-    "small_batches", "table", "texts_of", "window_hashes", "write_once",
-]

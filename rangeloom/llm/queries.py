@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rangeloom.llm import mixing
+from rangeloom.llm import decontaminate, mixing
 from rangeloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +71,13 @@ GROUP BY doc_id, source, copy, size, source_size, target
 @_register(_MIX_SQL)
 def op6_mixing(spark, folder):
     return mixing.taken_words(table(spark, folder, "documents"))
+
+
+@_register()
+def op2_decontaminate(spark, folder):
+    found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"), "spans",
+    )
