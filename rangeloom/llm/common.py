@@ -27,9 +27,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def bound_batches(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by bytes, so that long texts do not pile up in a worker."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(key, "0").rstrip("bB") or 0) not in range(1, BATCH_BYTES + 1):
-        spark.conf.set(key, str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

@@ -23,7 +23,7 @@ from rangeloom.llm.common import write_once
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 #: Documents in a range of the shuffle key or of finish time.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 5_000
 #: Rows up to which the table of sources is broadcast (about 60 bytes each).
 BROADCAST_SOURCES = 100_000
 
