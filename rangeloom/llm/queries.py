@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.llm import decontaminate, mixing
+from rangeloom.llm import decontaminate, language_id, mixing, token_binary
 from rangeloom.llm.common import table
+from rangeloom.plans.session import shared_folder
+
+#: Vocabulary for the token-id output; the file is on every machine at the same place.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,3 +87,20 @@ def op2_decontaminate(spark, folder):
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"), "spans",
     )
+
+
+def tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write ``docs`` as a token store in the shared folder and read it back."""
+    store = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_binary.write_tokens(docs, store, TOKENIZER)
+    return token_binary.token_digests(spark, store)
+
+
+@_register()
+def op1_token_binary(spark, folder):
+    return tokens(spark, table(spark, folder, "documents"))
+
+
+@_register()
+def op3_language_id(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"))
