@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.llm import decontaminate, language_id, mixing, token_binary
+from rangeloom.llm import decontaminate, language_id, mixing, substring_dedup, token_binary
 from rangeloom.llm.common import table
 from rangeloom.plans.session import shared_folder
 
@@ -104,3 +104,8 @@ def op1_token_binary(spark, folder):
 @_register()
 def op3_language_id(spark, folder):
     return language_id.identify(table(spark, folder, "documents"))
+
+
+@_register()
+def op9_substring_dedup(spark, folder):
+    return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept_text")

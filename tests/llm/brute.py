@@ -28,3 +28,26 @@ def leaks(docs, items, window=10):
         listed = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         out.append((doc, len(words), len(hit), len(found), listed, bool(hit)))
     return out
+
+
+ASCII_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def repeats(docs, window=13):
+    """doc_id, n_words, n_removed, kept_sha256 by looking up every window."""
+    split = [(doc, ASCII_WORD.findall(text or "")) for doc, text in docs]
+    least = {}
+    for doc, words in split:
+        if doc is not None:
+            for i in range(len(words) - window + 1):
+                key = tuple(words[i : i + window])
+                least[key] = min(doc, least.get(key, doc))
+    out = []
+    for doc, words in split:
+        gone = set()
+        for i in range(len(words) - window + 1 if doc is not None else 0):
+            if least[tuple(words[i : i + window])] < doc:
+                gone.update(range(i, i + window))
+        kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+        out.append((doc, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return out
