@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.llm import decontaminate, language_id, mixing, substring_dedup, token_binary
+from rangeloom.llm import decontaminate, jaccard_join, language_id, mixing, substring_dedup, token_binary
 from rangeloom.llm.common import table
 from rangeloom.plans.session import shared_folder
 
@@ -109,3 +109,8 @@ def op3_language_id(spark, folder):
 @_register()
 def op9_substring_dedup(spark, folder):
     return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept_text")
+
+
+@_register()
+def op7_jaccard_join(spark, folder):
+    return jaccard_join.near_duplicates(table(spark, folder, "documents"))

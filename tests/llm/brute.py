@@ -51,3 +51,27 @@ def repeats(docs, window=13):
         kept = " ".join(w for i, w in enumerate(words) if i not in gone)
         out.append((doc, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     return out
+
+
+def near(docs, size=5):
+    """doc_id, n_shingles, component_id by comparing all pairs."""
+    sets = []
+    for doc, text in docs:
+        words = ASCII_WORD.findall((text or "").translate(LOWER))
+        n = min(size, len(words))
+        sets.append((doc, {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if n else set()))
+    parent = {doc: doc for doc, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (a, s) in enumerate(sets):
+        for b, t in sets[:k]:
+            if s and t and a is not None and b is not None:
+                shared = len(s & t)
+                if 100 * shared >= 80 * (len(s) + len(t) - shared):
+                    ra, rb = sorted((root(a), root(b)))
+                    parent[rb] = ra
+    return [(doc, len(s), None if doc is None else root(doc)) for doc, s in sets]
