@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.llm import decontaminate, jaccard_join, language_id, mixing, order_minhash, substring_dedup, token_binary
+from rangeloom.llm import decontaminate, html_text, jaccard_join, language_id, mixing, order_minhash, substring_dedup, token_binary
 from rangeloom.llm.common import table
 from rangeloom.plans.session import shared_folder
 
@@ -119,3 +119,8 @@ def op7_jaccard_join(spark, folder):
 @_register()
 def op8_order_minhash(spark, folder):
     return order_minhash.edit_report(table(spark, folder, "documents"))
+
+
+@_register()
+def op5_html_text(spark, folder):
+    return html_text.extract_text(table(spark, folder, "pages"))
