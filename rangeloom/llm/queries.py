@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangeloom.llm import decontaminate, html_text, jaccard_join, language_id, mixing, order_minhash, substring_dedup, token_binary
+from rangeloom.llm import (
+    decontaminate,
+    html_text,
+    jaccard_join,
+    language_id,
+    mixing,
+    order_minhash,
+    quality,
+    substring_dedup,
+    token_binary,
+    warc_fixity,
+)
 from rangeloom.llm.common import table
 from rangeloom.plans.session import shared_folder
 
@@ -124,3 +135,25 @@ def op8_order_minhash(spark, folder):
 @_register()
 def op5_html_text(spark, folder):
     return html_text.extract_text(table(spark, folder, "pages"))
+
+
+@_register()
+def op4_co_training(spark, folder):
+    return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_register(
+    """SELECT page_id, 'differs' AS status, sha256(html) AS ours_payload,
+              sha256('?' || substr(html, 2)) AS theirs_payload, true AS ours_sound, false AS theirs_sound
+       FROM pages WHERE page_id % 61 = 7 AND html LIKE '<%'"""
+)
+def op10_warc_fixity(spark, folder):
+    """Archive all pages; of a replica with some payloads damaged, locate the damage."""
+    target = f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    pages, name = table(spark, folder, "pages"), "pages"
+    warc_fixity.write_archive(pages, f"{target}/ours", name)
+    hit = (F.col("page_id") % 61 == 7) & F.col("html").startswith("<")
+    damaged = F.when(hit, F.concat(F.lit("?"), F.col("html").substr(F.lit(2), F.length("html"))))
+    warc_fixity.write_archive(pages, f"{target}/theirs", name, stored=damaged)
+    replicas = [warc_fixity.read_archive(spark, f"{target}/{side}", name) for side in ("ours", "theirs")]
+    return warc_fixity.audit(*replicas).drop("file", "offset")
