@@ -21,9 +21,12 @@ _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 _WIDTH = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
 
-# Error messages show this much of a value that does not fit.
+# Error messages show this much of a value that does not fit. Only the message is cut.
 MESSAGE_CHARS = 200
 
+# The spellings of infinity, in small letters.
+_INFINITY = ("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity")
+
 
 @dataclass(frozen=True)
 class TypedValue:
@@ -95,16 +98,33 @@ def typed_value(
     if source == target:
         return TypedValue(name, target, raw, None)
     value = raw
+    if isinstance(source, T.TimestampType):
+        # An instant is read at UTC, whatever the session's zone.
+        value = f"timestampadd(MICROSECOND, unix_micros({raw}), timestamp_ntz'1970-01-01 00:00:00')"
     if isinstance(source, _FRACTIONAL) and isinstance(target, _WHOLE):
         # SQL casts of fractions to integers round; Spark's truncates. Floats round
         # ties to even, decimals away from zero.
         value = f"round({raw}, 0)" if isinstance(source, T.DecimalType) else f"rint({raw})"
     value = f"try_cast({value} AS {kind})"
-    if _always_fits(source, target):
+    finite = _is_finite(raw, source)
+    if isinstance(target, (T.FloatType, T.DoubleType)) and finite and source != T.FloatType():
+        # A finite value that only infinity could stand for does not fit.
+        value = f"CASE WHEN abs({value}) = {kind}('infinity') AND {finite} THEN NULL ELSE {value} END"
+    elif _always_fits(source, target):
         return TypedValue(name, target, value, None)
     return TypedValue(name, target, value, f"({raw} IS NOT NULL AND {value} IS NULL)")
 
 
+def _is_finite(raw: str, source: T.DataType) -> str | None:
+    """SQL test that a value of a type that can be cast to infinity is finite itself."""
+    if isinstance(source, T.DoubleType):
+        return f"abs({raw}) < double('infinity')"
+    if isinstance(source, T.StringType):
+        spelled = ", ".join(map(sql_text, _INFINITY))
+        return f"lower(trim({raw})) NOT IN ({spelled})"
+    return None
+
+
 def text_is_valid(text: Column) -> Column:
     """Whether the bytes of a text or binary column are valid UTF-8."""
     return F.is_valid_utf8(text.cast("string"))

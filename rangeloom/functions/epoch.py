@@ -29,9 +29,11 @@ def _finite(value: Column, infinities: tuple[int, int], safe: bool, what: str) -
 def micros_to_timestamp(micros: Column, safe: bool = False) -> Column:
     """Microseconds since 2000-01-01 as ``timestamp_ntz``.
 
-    An infinite value raises, or becomes NULL when ``safe``.
+    An infinite value raises, or becomes NULL when ``safe``; so does one too late for the type.
     """
     finite = _finite(micros.cast("long"), INFINITE_MICROS, safe, "timestamp")
+    if safe:
+        finite = F.when(finite <= INFINITE_MICROS[1] - EPOCH_MICROS, finite)
     return F.timestamp_add("MICROSECOND", finite, F.expr(_EPOCH_NTZ))
 
 
@@ -48,6 +50,8 @@ def timestamp_to_micros(ts: Column) -> Column:
 def days_to_date(days: Column, safe: bool = False) -> Column:
     """Days since 2000-01-01 as ``date``; infinities as in :func:`micros_to_timestamp`."""
     finite = _finite(days.cast("int"), INFINITE_DAYS, safe, "date")
+    if safe:
+        finite = F.when(finite <= INFINITE_DAYS[1] - EPOCH_DAYS, finite)
     return F.date_from_unix_date((finite + F.lit(EPOCH_DAYS)).cast("int"))
 
 

@@ -28,9 +28,9 @@ REPORT = (
 )
 
 # A verdict of this many ranges (8 bytes each) is still broadcast; a longer one is
-# joined by a salted shuffle.
+# joined by a shuffle that cuts each range into so many parts per core of the cluster.
 BROADCAST_RANGES = 1_000_000
-SALTS = 64
+SALTS_PER_CORE = 4
 
 # NULL rows are made from nested runs of at most this many, never one long array.
 RUN_ROWS = 10_000
@@ -70,6 +70,9 @@ def failed_partitions(
     ``rule`` is an SQL condition on them that marks further rows as bad. Of a bad row
     only numbers go on (its range, its key, which test it failed), so that hash
     aggregation brings them down to a few rows per task before the shuffle.
+
+    Rows with a NULL key, where they were kept, are a range of their own, whose index,
+    bounds and ``expected_rows`` are NULL here; :func:`judge` counts the last.
     """
     tests = _tests(named, schema, rule, check_utf8)
     if not tests:
@@ -84,8 +87,11 @@ def failed_partitions(
         .groupBy(INDEX)
         .agg(F.sum("n").alias("n_bad"), F.expr("min(struct(k, test))").alias("first"))
     )
-    error = f"concat(array({meanings})[first.test], {sql_text(f', first at {key} ')}, first.k)"
-    return found.selectExpr(INDEX, *plan.describe(), "n_bad", f"{error} AS first_error")
+    place = f"coalesce(concat({sql_text(f', first at {key} ')}, first.k), {sql_text(', at a NULL key')})"
+    error = f"concat(array({meanings})[first.test], {place})"
+    described = found.selectExpr(INDEX, *plan.describe(), "n_bad", f"{error} AS first_error")
+    known = [F.when(F.col(INDEX).isNotNull(), F.col(c)).alias(c) for c in ("lo", "hi", "expected_rows")]
+    return described.select(INDEX, *known, "n_bad", "first_error")
 
 
 def judge(
@@ -101,19 +107,30 @@ def judge(
     if not _tests(named, schema, rule, check_utf8):
         return Verdict(report, 0)
     report = cut_lineage(report)
-    return Verdict(report, report.count())
+    n_failed, n_ranges = report.select(F.count("*"), F.count(INDEX)).first()
+    if n_ranges < n_failed:  # the NULL keys are among them
+        n_null = named.where(f"{INDEX} IS NULL").count()
+        expected = F.coalesce(F.col("expected_rows"), F.lit(n_null).cast("bigint"))
+        report = report.withColumn("expected_rows", expected)
+    return Verdict(report, n_failed)
 
 
 def _join_failed(rows: DataFrame, failed: DataFrame, n_failed: int, how: str) -> DataFrame:
-    """Join rows to the failed ranges: broadcast within the bound, else salted."""
-    if n_failed <= BROADCAST_RANGES:
-        return rows.join(F.broadcast(failed), INDEX, how)
+    """Join rows to the failed ranges: broadcast within the bound, else salted.
+
+    A NULL index, that of NULL keys, matches itself.
+    """
     columns = rows.columns
     added = [] if how == "left_anti" else [c for c in failed.columns if c != INDEX]
+    place = F.coalesce(F.col(INDEX), F.lit(-1)).alias("__range")
+    failed = failed.select(place, *added)
+    if n_failed <= BROADCAST_RANGES:
+        return rows.select("*", place).join(F.broadcast(failed), "__range", how).select(*columns, *added)
+    salts = SALTS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism
     tagged = rows if ROW_TAG in columns else with_row_tag(rows)
-    spread = tagged.withColumn("__salt", F.pmod(F.col(ROW_TAG), F.lit(SALTS)).cast("int"))
-    salted = failed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return spread.join(salted, [INDEX, "__salt"], how).select(*columns, *added)
+    spread = tagged.select("*", place, F.pmod(F.col(ROW_TAG), F.lit(salts)).cast("int").alias("__salt"))
+    salted = failed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(salted, ["__range", "__salt"], how).select(*columns, *added)
 
 
 def _without_failed(rows: DataFrame, verdict: Verdict) -> DataFrame:
@@ -191,7 +208,7 @@ def safe_rerun(
 
 
 def mark_rerun(rows: DataFrame, report: DataFrame) -> DataFrame:
-    """Add ``rerun``: whether the row's range is in the report."""
+    """Add ``rerun``: whether the row's range is in the report (a few rows by now)."""
     failed = report.select(INDEX, F.lit(True).alias("rerun"))
     marked = _join_failed(rows, failed, report.count(), "left")
     return marked.withColumn("rerun", F.coalesce("rerun", F.lit(False)))

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rangeloom.functions.casts import sql_text
 from rangeloom.functions.names import quoted
 from rangeloom.functions.skew import ROW_TAG, with_row_tag
 from rangeloom.operators import heal
@@ -23,6 +24,9 @@ from rangeloom.streaming.batches import stream_batches
 ON_ERROR = ("fail", "null_partition", "safe")
 NULL_KEYS = ("drop", "keep")
 
+# Stands for the plan of a source with NULL keys only: all its rows are the range of those.
+NO_KEYS = RangePlan(0, 0, 1)
+
 # Database statements (= tasks) of one load unless the caller sets a cap; finer
 # plans are read in runs of adjacent ranges.
 MAX_STATEMENTS = 20_000
@@ -203,6 +207,11 @@ def _finish(
         named = with_row_tag(named)
 
     plan = get_plan() if options.with_index or options.heals else None
+    if plan is None and options.heals and options.null_keys == "keep":
+        plan = NO_KEYS
+    if options.rule is not None and options.on_error == "fail":
+        refused = f"raise_error({sql_text(f'refused by rule: {options.rule}')})"
+        named = named.where(f"CASE WHEN {options.rule} THEN CAST({refused} AS BOOLEAN) ELSE true END")
     if plan is not None:
         rows = with_partition(named, key, plan, options.null_keys == "keep")
     else:  # the range does not matter, or there are no keys at all
@@ -235,10 +244,13 @@ def _failures(
     get_plan: Callable[[], RangePlan | None],
     options: LoadOptions,
 ) -> DataFrame | None:
-    plan = get_plan() if options.on_error == "safe" else None
+    if options.on_error != "safe":
+        return None
+    keep = options.null_keys == "keep"
+    plan = get_plan() or (NO_KEYS if keep else None)
     if plan is None:
         return None
-    ranged = with_partition(named, key, plan)
+    ranged = with_partition(named, key, plan, keep)
     return heal.judge(ranged, schema, key, plan, options.rule, options.check_utf8).report
 
 

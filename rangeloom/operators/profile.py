@@ -24,7 +24,7 @@ ROWS_PER_FINAL_TASK = 20
 
 
 def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The ``n`` rows with the least keys (NULL keys do not count).
+    """The ``n`` rows with the least keys; rows with a NULL key come last.
 
     A plain sort-and-limit makes every task offer ``n`` rows to one last task. Here
     one pass over the key column alone first counts rows in windows ``[lo, lo+n)``,
@@ -34,7 +34,7 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
     """
     bounds = key_bounds(df, key)
     if bounds is None:
-        return df.limit(0)
+        return df.limit(n)
     lo, hi = bounds
     value = F.col(quoted(key))
     edges = [hi]
@@ -46,7 +46,9 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
     counts = df.selectExpr(*[f"count_if({quoted(key)} <= {edge}L)" for edge in edges]).first()
     edge, rows = next(((e, c) for e, c in zip(edges, counts) if c >= n), (edges[-1], counts[-1]))
     near = df.where(value <= F.lit(edge))
-    if rows <= n:
+    if rows < n:
+        return near.unionAll(df.where(value.isNull()).limit(n - rows))
+    if rows == n:
         return near
     if rows > ROWS_PER_FINAL_TASK * n:
         groups = max(int((rows / n) ** 0.5), 2)

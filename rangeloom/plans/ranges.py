@@ -125,6 +125,13 @@ class RangePlan:
         return [f"{r} AND {part} = {i}" for r in ranges for i in range(splits)]
 
 
+def tuned_frame(bounds: DataFrame, parallelism: int) -> DataFrame:
+    """``(lo, hi, span, width, n_partitions)`` of an auto-tuned plan, from one row ``(lo, hi)``."""
+    width = f"greatest(span div {parallelism * RANGES_PER_CORE}, {MIN_AUTO_WIDTH}L)"
+    spans = bounds.where("lo IS NOT NULL").selectExpr("lo", "hi", "hi - lo + 1 AS span")
+    return spans.selectExpr("*", f"{width} AS width").selectExpr("*", "(span + width - 1) div width AS n_partitions")
+
+
 def make_plan(
     bounds: tuple[int, int] | None, parallelism: int, rows_per_partition: int = 0
 ) -> RangePlan | None:

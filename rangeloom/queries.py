@@ -26,6 +26,7 @@ from rangeloom.operators.heal import (
 from rangeloom.operators.layout import range_layout
 from rangeloom.operators.load import load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile
+from rangeloom.plans import ranges
 from rangeloom.plans.ranges import RangePlan, make_plan
 from rangeloom.plans.session import shared_folder
 from rangeloom.sources import queries as sources
@@ -124,8 +125,8 @@ def key_bounds(spark, folder):
               max(l_orderkey) - min(l_orderkey) + 1 AS span FROM lineitem"""
 )
 def footer_bounds(spark, folder):
-    lo, hi = sources.parquet_key_bounds(spark, _path(folder, "lineitem"), "l_orderkey")
-    return spark.createDataFrame([(lo, hi, hi - lo + 1)], "lo bigint, hi bigint, span bigint")
+    files = sources.footer_frame(spark, _path(folder, "lineitem"))
+    return files.selectExpr("min(l_orderkey) AS lo", "max(l_orderkey) AS hi").withColumn("span", F.expr("hi - lo + 1"))
 
 
 @_register(
@@ -135,10 +136,8 @@ def footer_bounds(spark, folder):
               (hi - lo + width) // width AS n_partitions FROM w"""
 )
 def autotune_width(spark, folder):
-    plan = _plan(spark, folder, "orders", "o_orderkey")
-    line = [(plan.lo, plan.hi, plan.span, plan.width, plan.n_partitions)]
-    names = ("lo", "hi", "span", "width", "n_partitions")
-    return spark.createDataFrame(line, ", ".join(f"{n} bigint" for n in names))
+    bounds = sources.bounds_frame(_table(spark, folder, "orders"), "o_orderkey")
+    return ranges.tuned_frame(bounds, CORES)
 
 
 @_register(
@@ -195,7 +194,7 @@ def _pack_sql(table: str, key: str, width: int, target: int, per_worker: int) ->
     WHERE f.pending >= {target} OR (f.i = l.i AND f.pending > 0)"""
 
 
-@_register(_pack_sql("labels", "doc_id", 50, 64, 1000), "pack_batches")
+@_register(_pack_sql("labels", "doc_id", 50, 64, 1_000_000_000), "pack_batches")
 def pack_batches_one_worker(spark, folder):
     plan = _plan(spark, folder, "labels", "doc_id", 50)
     counts = partition_counts(_table(spark, folder, "labels"), "doc_id", plan)
@@ -566,6 +565,96 @@ def on_error_safe(spark, folder):
     return load_table(source, ORDER_SCHEMA, 500, key="o_orderkey", on_error="safe").rows
 
 
+@_register(
+    """SELECT event_id AS id, CAST(ts AS TIMESTAMP) AS seen_at, CAST(ts AS DATE) AS seen_on FROM events"""
+)
+def zoned_timestamp(spark, folder):
+    """Instants, which are read at UTC in any session zone."""
+    events = _table(spark, folder, "events").selectExpr("event_id", "ts")
+    instant = F.expr("timestamp_micros(CAST(CAST(ts - timestamp_ntz'1970-01-01 00:00:00' AS INTERVAL SECOND) AS DECIMAL(20, 6)) * 1000000)")
+    schema = struct_of([("id", "Int64"), ("seen_at", "Timestamp(Nanosecond, None)"), ("seen_on", "Date32")])
+    return positional_bind(events.select("event_id", instant.alias("at"), instant.alias("on")), schema)
+
+
+@_register(
+    """SELECT l_orderkey AS id,
+              CASE WHEN l_linenumber % 3 <> 1 THEN CAST(l_extendedprice AS FLOAT) END AS price FROM lineitem"""
+)
+def float_overflow_safe(spark, folder):
+    """A finite double that only an infinite float could stand for does not fit."""
+    lines = _table(spark, folder, "lineitem")
+    price = F.when(F.col("l_linenumber") % 3 == 1, F.lit(1e300)).otherwise(F.col("l_extendedprice"))
+    return positional_bind(
+        lines.select("l_orderkey", price), struct_of([("id", "Int64"), ("price", "Float32")]), mode="safe"
+    )
+
+
+@_register(
+    """SELECT event_id, CASE WHEN event_id % 5 <> 2 THEN date '2000-01-01' + CAST(event_id AS INTEGER) END AS day,
+              event_id % 5 <> 2 AS in_time FROM events"""
+)
+def pg_epoch_safe(spark, folder):
+    """Infinities, and values too late for the type, become NULL in safe mode."""
+    late = F.col("event_id") % 5 == 2
+    days = F.when(late, F.lit(2**31 - 2)).otherwise(F.col("event_id"))
+    micros = F.when(late, F.lit(2**63 - 2)).otherwise(F.col("event_id"))
+    return _table(spark, folder, "events").select(
+        "event_id", epoch.days_to_date(days, safe=True).alias("day"),
+        epoch.micros_to_timestamp(micros, safe=True).isNotNull().alias("in_time"),
+    )
+
+
+_BAD_NULL_KEY = "o_orderkey % 100 = 7 AND o_custkey % 5 = 1"
+
+
+def _orders_bad_at_null_keys(spark, folder):
+    """Orders of which every hundredth has no key, some of those with a value that does not fit."""
+    source = _orders_with_null_keys(spark, folder)
+    fits = F.col("o_orderkey").isNotNull() | (F.col("o_custkey") % 5 != 1)
+    return source.withColumn("o_custkey", F.when(fits, F.col("o_custkey").cast("string")).otherwise("bad"))
+
+
+@_register(
+    f"""WITH bad AS (SELECT count(*) FILTER ({_BAD_NULL_KEY}) AS n FROM orders)
+        SELECT * FROM (SELECT {_ORDER_SELECT} FROM orders WHERE o_orderkey % 100 <> 7)
+        UNION ALL
+        SELECT NULL AS id, CASE WHEN n = 0 THEN CAST(o_custkey AS INTEGER) END, CASE WHEN n = 0 THEN o_orderstatus END,
+               CASE WHEN n = 0 THEN o_totalprice END, CASE WHEN n = 0 THEN o_orderdate END,
+               CASE WHEN n = 0 THEN o_orderpriority END
+        FROM orders, bad WHERE o_orderkey % 100 = 7"""
+)
+def heal_null_keys(spark, folder):
+    """NULL keys are a range of their own: as many NULL rows as it had rows."""
+    source = _orders_bad_at_null_keys(spark, folder)
+    return load_table(
+        source, ORDER_SCHEMA, 1000, key="o_orderkey", on_error="null_partition", null_keys="keep"
+    ).rows
+
+
+@_register(
+    f"""SELECT CAST(NULL AS BIGINT) AS partition_index, count(*) AS n_bad,
+               'column ''customer_id'' is not Int32, at a NULL key' AS first_error,
+               (SELECT count(*) FROM orders WHERE o_orderkey % 100 = 7) AS expected_rows
+        FROM orders WHERE {_BAD_NULL_KEY} HAVING count(*) > 0"""
+)
+def safe_failures_null_keys(spark, folder):
+    source = _orders_bad_at_null_keys(spark, folder)
+    loaded = load_table(source, ORDER_SCHEMA, 1000, key="o_orderkey", on_error="safe", null_keys="keep")
+    return loaded.failures.select("partition_index", "n_bad", "first_error", "expected_rows")
+
+
+@_register(
+    f"""WITH o AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 100 = 7) AS k,
+                          count(*) FILTER ({_BAD_NULL_KEY}) AS c FROM orders)
+        SELECT unnest(['id', 'customer_id', 'status', 'total_price', 'ordered_at', 'priority']) AS column_name,
+               n AS "rows", unnest([k, c, 0, 0, 0, 0]) AS null_count FROM o"""
+)
+def null_profile_null_keys(spark, folder):
+    """A profile of all rows, those without a key among them."""
+    source = _orders_bad_at_null_keys(spark, folder)
+    return null_profile(source, ORDER_SCHEMA, "o_orderkey", source.count())
+
+
 # -- binary dumps
 
 

@@ -45,22 +45,32 @@ def key_bounds(df: DataFrame, key: str) -> tuple[int, int] | None:
     return None if row.lo is None else (row.lo, row.hi)
 
 
-def parquet_key_bounds(
-    spark: SparkSession, path: str, key: str, schema: T.StructType | None = None
-) -> tuple[int, int] | None:
-    """:func:`key_bounds` of Parquet files from their footers alone.
+def footer_frame(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Parquet files whose plain minima and maxima are answered by the footers.
 
-    Aggregates are pushed to the footers only by the newer file source, which is
-    switched on in a session of its own so that the caller's stays as it is. Files
-    without usable statistics fall back on reading the key column.
+    Aggregates are pushed to the footers only by the newer file source, which is switched
+    on in a session of its own, with the caller's settings, so that the caller's stays as it is.
     """
     aside = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if aside.conf.isModifiable(key) and aside.conf.get(key, None) != value:
+            aside.conf.set(key, value)
     older = aside.conf.get("spark.sql.sources.useV1SourceList")
     newer = ",".join(name for name in older.split(",") if name.strip() != "parquet")
     aside.conf.set("spark.sql.sources.useV1SourceList", newer)
     aside.conf.set("spark.sql.parquet.aggregatePushdown", "true")
     reader = aside.read.schema(schema) if schema else aside.read
-    files = reader.parquet(path)
+    return reader.parquet(path)
+
+
+def parquet_key_bounds(
+    spark: SparkSession, path: str, key: str, schema: T.StructType | None = None
+) -> tuple[int, int] | None:
+    """:func:`key_bounds` of Parquet files from their footers alone.
+
+    Files without usable statistics fall back on reading the key column.
+    """
+    files = footer_frame(spark, path, schema)
     name = quoted(files.columns[key_position(files.schema, key)])
     try:
         # No cast around the key: it would keep the aggregate from the footers.

@@ -114,4 +114,18 @@ def test_packing_by_worker(spark):
     for worker in range(5):
         part = greedy(counts[worker * 10 : worker * 10 + 10], 6)
         expected += [(worker, a + worker * 10, b + worker * 10, n, left) for a, b, n, left in part]
-    assert sorted(map(tuple, pack_batches(df, 6, 10).collect())) == expected
+    assert sorted(map(tuple, pack_batches(df, 6, partitions_per_worker=10).collect())) == expected
+
+
+def test_pack_many_ranges_of_one_worker(spark):
+    counts = spark.range(5000).selectExpr(f"id AS {INDEX}", "id % 7 AS rows_read")
+    packed = pack_batches(counts, 9).collect()
+    want, first, pending = [], None, 0
+    for i in range(5000):
+        first, pending = i if first is None else first, pending + i % 7
+        if pending >= 9:
+            want.append((0, first, i, pending, False))
+            first, pending = None, 0
+    assert sorted(map(tuple, packed)) == want + [(0, first, 4999, pending, True)] * (pending > 0)
+    two = pack_batches(counts, 9, workers=2).collect()
+    assert {(r.worker, r.first_partition) for r in two} >= {(0, 0), (1, 2500)}
