@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +16,11 @@ from rangeloom.plans.session import set_aside
 #: Bytes of text in one Arrow batch sent to Python; a single longer text is a batch alone.
 BATCH_BYTES = 16 << 20
 
+#: Bytes of hashes that are counted together, in memory.
+PART_BYTES = 24 << 20
+
+Items = Callable[[list[bytes]], Iterator[np.ndarray]]
+
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -30,6 +37,14 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def worker_state() -> dict:
+    """A dictionary that outlives a task in its Python worker, for what is costly to set up."""
+    name = "__rangeloom_worker_state"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    return vars(sys.modules[name])
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """Texts as UTF-8; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -114,6 +129,57 @@ def window_hashes(words: np.ndarray, length: int) -> np.ndarray:
     return mixed(total + np.uint64(length))
 
 
+_COUNTED = pa.schema([("part", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
+
+
+def _count_partly(batches: Iterator[pa.RecordBatch], items: Items, parts: int) -> Iterator[pa.RecordBatch]:
+    """Documents per item within a batch, by ranges of the hash."""
+    for batch in batches:
+        found = list(items(texts_of(batch.column(1))))
+        hashes, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *found]), return_counts=True)
+        counts = np.minimum(counts, 2**32 - 1).astype(np.uint32)
+        part = ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(hashes)]])
+        rows = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if a < b:  # counts of one, by far the most, are left out; those items come last
+                several = counts[a:b] > 1
+                own = np.concatenate([hashes[a:b][several], hashes[a:b][~several]])
+                rows.append({"part": int(part[a]), "hashes": own.tobytes(), "counts": counts[a:b][several].tobytes()})
+        yield pa.RecordBatch.from_pylist(rows, schema=_COUNTED)
+
+
+def _count_fully(table: pa.Table, least: int) -> pa.Table:
+    hashes, counts = [], []
+    for h, c in zip(table.column("hashes").to_pylist(), table.column("counts").to_pylist(), strict=True):
+        own, several = np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32)
+        hashes.append(own)
+        counts.append(np.concatenate([several, np.ones(len(own) - len(several), np.uint32)]))
+    hashes, counts = np.concatenate(hashes), np.concatenate(counts)
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    sums = np.add.reduceat(counts.astype(np.int64), first)
+    many = sums >= least
+    return pa.table({"s": hashes[first][many].view(np.int64), "documents": sums[many]})
+
+
+def document_counts(docs: DataFrame, items: Items, least: int) -> DataFrame:
+    """``(s, documents)`` of items (64-bit hashes) that at least ``least`` rows of ``docs`` have.
+
+    ``items`` gives the distinct items of each text, the second column of ``docs``. They
+    are counted as packed arrays: per batch first, so that a frequent item is one entry
+    per batch, then by ranges of the hash that hold about :data:`PART_BYTES`.
+    """
+    size = docs.agg(F.sum(F.octet_length(docs.columns[1]))).first()[0] or 0
+    parts = max(16, 2 * size // PART_BYTES)
+    return (
+        docs.mapInArrow(lambda batches: _count_partly(batches, items, parts), "part bigint, hashes binary, counts binary")
+        .groupBy("part")
+        .applyInArrow(lambda group: _count_fully(group, least), "s bigint, documents bigint")
+    )
+
+
 def write_once(df: DataFrame) -> DataFrame:
     """``df`` as Parquet in the shared folder: computed once, safe against lost executors."""
     return set_aside(df)
@@ -133,6 +199,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
+    before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -148,9 +215,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .distinct()
         )
         after = write_once(small)
-        same = [x.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first() for x in (edges, after)]
         edges = after
-        if same[0] == same[1]:
+        mark = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if mark == before:
             break
+        before = mark
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

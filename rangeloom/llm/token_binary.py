@@ -30,12 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rangeloom.llm.common import LOWER_ASCII, bound_batches, texts_of
+from rangeloom.llm.common import LOWER_ASCII, bound_batches, texts_of, worker_state
 
 #: Id that ends each document.
 END_ID = 2
-#: Size of the shared dictionary, and the sample it is trained on: so many documents of up
-#: to so many bytes, those with the smallest hashes. It has a bearing on size only.
+#: Size of the shared dictionary, and the sample it is trained on: about so many documents
+#: of up to so many bytes, chosen by a hash of the id. It has a bearing on size only.
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_DOCUMENTS = 400
 SAMPLE_TEXT_BYTES = 16 << 10
@@ -58,15 +58,18 @@ class Encoder:
     """Ids of texts by a tokenizer that drops white space and folds capitals.
 
     Such a tokenizer treats what stands between white space on its own, so each distinct
-    piece is encoded once and remembered (up to ``limit`` pieces at a time). Texts that
-    may hold special tokens go to the tokenizer whole.
+    piece is encoded once and remembered (up to ``limit`` pieces at a time, over all tasks
+    of a worker). Texts that may hold special tokens go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        state = worker_state()
+        if path not in state:
+            state[path] = (Tokenizer.from_file(path), {})
+        (self.tokenizer, self.known), self.limit = state[path], limit
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
@@ -132,11 +135,12 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, *, end_id: int =
     """
     spark = docs.sparkSession
     bound_batches(spark)
+    one_in = max(1, docs.count() // SAMPLE_DOCUMENTS)
     sample = (
-        docs.select("text")
+        docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0)
+        .select("text")
         .where(F.octet_length("text").between(1, SAMPLE_TEXT_BYTES))
-        .orderBy(F.xxhash64("text"))
-        .limit(SAMPLE_DOCUMENTS)
+        .limit(2 * SAMPLE_DOCUMENTS)
         .collect()
     )
     dictionary = train_dictionary(list(Encoder(tokenizer).encode([r[0].encode() for r in sample])))
