@@ -16,13 +16,22 @@ from rangeloom.plans.session import set_aside
 ROW_TAG = "__row_tag"
 
 
+def _fans_out(df: DataFrame) -> bool:
+    """Whether a row of a source may become several rows."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(node in plan for node in ("Join", "Generate", "Expand", "Union"))
+
+
 def with_row_tag(df: DataFrame, name: str = ROW_TAG) -> DataFrame:
     """Add a bigint tag that differs between copies and survives task reruns.
 
     It is a hash of the file and position a row was read from. Rows that do not come
-    straight from Parquet files (a join, a database) are first written aside as such,
-    after which they cannot change either.
+    straight from Parquet files (a database), or of which several come from one place (a
+    join, an ``explode``), are first written aside: then each has a place of its own, and
+    cannot change either.
     """
+    if _fans_out(df):
+        df = set_aside(df)
     place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     try:
         tagged = df.withColumn(name, place)

@@ -1,39 +1,173 @@
-"""Landing a load range by range, so that a lost source costs only its ranges.
+"""Landing a load slice by slice, so that a lost source costs only its ranges.
 
 A source that fails in mid-read (a dropped connection, a damaged file) fails its
 Spark job. Here every slice of the plan is a job of its own that writes to a shared
-folder; what fails after Spark's own retries becomes NULL rows, and a load that is
-started again goes on with the slices that are not there yet.
+folder. A slice that fails after Spark's own retries is cut in halves until the ranges
+that fail are left alone; those become NULL rows, or are read again value by value.
+
+What is landed stays: a load that is started again goes on with the slices that are not
+there yet. Slices are named by their key bounds, in a folder named by all that decides
+their rows, so a changed query, type or range width never meets older slices.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
+import threading
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rangeloom.functions.names import quoted
+from rangeloom.functions.skew import ROW_TAG, with_row_tag
 from rangeloom.operators.bind import bind_types, rename_by_position
 from rangeloom.operators.counts import INDEX
 from rangeloom.operators.heal import null_rows
-from rangeloom.operators.load import Loaded, empty_result
+from rangeloom.operators.load import NO_KEYS, Loaded, LoadOptions, empty_result
 from rangeloom.plans.ranges import RangePlan, default_parallelism, make_plan
 from rangeloom.plans.session import JOB_ERRORS, cause_of
-from rangeloom.plans.spec import LoadSpec, as_spec
+from rangeloom.plans.spec import LoadSpec, as_spec, jdbc_options
 from rangeloom.sources import jdbc, queries
-from rangeloom.sources.store import exists
+from rangeloom.sources.store import exists, qualified
 
 log = logging.getLogger(__name__)
 
+# Slices (= jobs) of a load at most; finer plans land in runs of adjacent ranges.
 MAX_SLICES = 2_000
+# Failed ranges after which a load gives up: the source is gone, not a few ranges of it.
+MAX_FAILED = 10_000
 
 _REPORT = "partition_index bigint, lo bigint, hi bigint, expected_rows bigint, error string"
 
 
+@dataclass
+class Landing:
+    """One load into one folder. ``read(lo, hi)`` gives a key range, ``read_nulls`` the NULL keys."""
+
+    spark: SparkSession
+    read: Callable[[int, int], DataFrame]
+    plan: RangePlan
+    schema: T.StructType
+    directory: str
+    options: LoadOptions
+    label: str = ""
+    read_nulls: Callable[[], DataFrame] | None = None
+    max_failed: int = MAX_FAILED
+    key: str | None = None  # its declared name, once something was read
+    landed: list[str] = field(default_factory=list)
+    failed: list[tuple] = field(default_factory=list)
+    lock: threading.Lock = field(default_factory=threading.Lock)
+
+    def __post_init__(self) -> None:
+        parts = [self.label, self.schema.json(), self.options.key, self.options.check_utf8, self.options.rule,
+                 self.plan.lo, self.plan.width]
+        self.manifest = json.dumps(parts)
+        name = hashlib.sha256(self.manifest.encode()).hexdigest()[:16]
+        self.root = f"{qualified(self.spark, self.directory).rstrip('/')}/load-{name}"
+
+    def bounds(self, first: int, last: int) -> tuple[int, int]:
+        """Keys of the ranges ``first`` to ``last``."""
+        lo = self.plan.lo + first * self.plan.width
+        return lo, min(self.plan.lo + (last + 1) * self.plan.width - 1, self.plan.hi)
+
+    def write(self, read: Callable[[], DataFrame], target: str, mode: str) -> str | None:
+        """Land what is read, unless it is there; None, or why it cannot be landed."""
+        if exists(self.spark, f"{target}/_SUCCESS"):
+            return None
+        try:
+            source = read()
+            self.key = key = self.schema.names[queries.key_position(source.schema, self.options.key)]
+            index = f"{self.plan.index_of(key)} AS {INDEX}"  # NULL for a NULL key
+            named = rename_by_position(source, self.schema).selectExpr("*", index)
+            if self.options.rule is not None and mode == "strict":
+                refuse = "CAST(raise_error('refused by rule') AS BOOLEAN)"
+                named = named.where(f"CASE WHEN {self.options.rule} THEN {refuse} ELSE true END")
+            bound = bind_types(named, self.schema, mode, [INDEX], self.options.check_utf8)
+            bound.write.mode("overwrite").parquet(target)
+        except JOB_ERRORS as error:
+            return cause_of(error)
+        return None
+
+    def settle(self, read: Callable[[], DataFrame], target: str, line: Callable[[str], tuple]) -> None:
+        """Land a range; if it fails, fail, read it again value by value, or leave it to be NULL rows."""
+        error = self.write(read, target, "strict")
+        if error is None:
+            self.landed.append(target)
+            return
+        log.warning("%s failed: %s", target, error)
+        if self.options.on_error == "fail":
+            raise RuntimeError(f"{target} failed: {error}")
+        with self.lock:
+            self.failed.append(line(error))
+            if len(self.failed) > self.max_failed:
+                raise RuntimeError(f"more than {self.max_failed} ranges failed, the last one with: {error}")
+        if self.options.on_error == "safe":
+            again = f"{target}-safe"
+            error = self.write(read, again, "safe")
+            if error is None:
+                self.landed.append(again)
+
+    def land(self, first: int, last: int) -> None:
+        lo, hi = self.bounds(first, last)
+        target = f"{self.root}/slice-{lo}_{hi}"
+        if first == last:
+            self.settle(lambda: self.read(lo, hi), target, lambda e: (first, lo, hi, hi - lo + 1, e))
+        elif (error := self.write(lambda: self.read(lo, hi), target, "strict")) is None:
+            self.landed.append(target)
+        else:
+            log.warning("keys %d to %d are cut in halves: %s", lo, hi, error)
+            middle = (first + last) // 2
+            self.land(first, middle)
+            self.land(middle + 1, last)
+
+    def land_nulls(self) -> None:
+        def line(error: str) -> tuple:
+            try:
+                n = self.read_nulls().count()
+            except JOB_ERRORS:
+                n = 0
+            return None, None, None, n, error
+
+        self.settle(self.read_nulls, f"{self.root}/slice-null", line)
+
+    def run(self, connections: int, max_slices: int) -> Loaded:
+        spark, plan, options = self.spark, self.plan, self.options
+        note = {"of": json.loads(self.manifest), "hi": plan.hi}
+        spark.createDataFrame([(json.dumps(note),)], "value string").coalesce(1).write.mode("overwrite").text(
+            f"{self.root}/_manifest"
+        )
+        n = plan.n_partitions
+        cuts = [n * i // min(n, max_slices) for i in range(min(n, max_slices) + 1)]
+        runs = [] if plan is NO_KEYS else list(zip(cuts, [c - 1 for c in cuts[1:]]))
+        with ThreadPoolExecutor(connections) as pool:
+            jobs = [pool.submit(self.land, a, b) for a, b in runs]
+            if options.null_keys == "keep" and self.read_nulls is not None:
+                jobs.append(pool.submit(self.land_nulls))
+            try:
+                for job in jobs:
+                    job.result()
+            except Exception:
+                pool.shutdown(wait=True, cancel_futures=True)
+                raise
+        report = spark.createDataFrame(sorted(self.failed, key=lambda f: (f[0] is None, f[0] or 0)), _REPORT)
+        with_index = T.StructType([T.StructField(INDEX, T.LongType()), *self.schema.fields])
+        rows = spark.read.schema(with_index).parquet(*sorted(self.landed)) if self.landed else empty_result(spark, with_index)
+        if options.ordered:
+            rows = with_row_tag(rows)
+        if self.failed and options.heals:
+            rows = rows.unionByName(null_rows(report, self.schema, options.ordered))
+        if options.ordered:
+            key = self.key or next((n for n in self.schema.names if n.lower() == options.key.lower()), self.schema.names[0])
+            rows = rows.orderBy(*[INDEX] * options.heals, quoted(key), ROW_TAG)
+        chosen = rows.select(*[INDEX] * options.with_index, *map(quoted, self.schema.names))
+        return Loaded(chosen, lambda: None if plan is NO_KEYS else plan, lambda: report)
+
+
 def land_ranges(
     spark: SparkSession,
     read_range: Callable[[int, int], DataFrame],
@@ -41,46 +175,23 @@ def land_ranges(
     schema: T.StructType,
     directory: str,
     *,
-    mode: str = "strict",
+    key: str = "id",
+    label: str = "",
     connections: int = 8,
     max_slices: int = MAX_SLICES,
+    on_error: str = "null_partition",
+    **options,
 ) -> Loaded:
-    """Land ``read_range(lo, hi)`` for every slice and heal the slices that failed.
+    """Land ``read_range(lo, hi)`` for every slice and settle the ranges that fail.
 
     At most ``connections`` slices are read at a time. The driver holds one line per
-    slice (at most ``max_slices``; finer plans are landed in runs of adjacent ranges),
-    never rows. ``directory`` must be shared by all executors.
+    slice and failed range, never rows. ``directory`` must be shared by all executors;
+    ``label`` names what is read there, so that another source does not meet its slices.
     """
-    slices = plan.slices(max_slices)
-
-    def target(i: int) -> str:
-        return f"{directory.rstrip('/')}/slice-{i:06d}"
-
-    def land(i: int) -> str | None:
-        if exists(f"{target(i)}/_SUCCESS"):
-            return None
-        try:
-            named = rename_by_position(read_range(*slices[i]), schema)
-            bind_types(named, schema, mode).write.mode("overwrite").parquet(target(i))
-        except JOB_ERRORS as error:
-            log.warning("range %d (%d to %d) failed: %s", i, *slices[i], cause_of(error))
-            return cause_of(error)
-        return None
-
-    with ThreadPoolExecutor(connections) as pool:
-        errors = list(pool.map(land, range(len(slices))))
-
-    landed = [target(i) for i, error in enumerate(errors) if error is None]
-    failed = [
-        (i, lo, hi, hi - lo + 1, error)
-        for i, ((lo, hi), error) in enumerate(zip(slices, errors))
-        if error is not None
-    ]
-    report = spark.createDataFrame(failed, _REPORT)
-    rows = spark.read.schema(schema).parquet(*landed) if landed else empty_result(spark, schema)
-    if failed:
-        rows = rows.unionByName(null_rows(report, schema).drop(INDEX))
-    return Loaded(rows, lambda: plan, lambda: report)
+    landing = Landing(
+        spark, read_range, plan, schema, directory, LoadOptions(key=key, on_error=on_error, **options), label
+    )
+    return landing.run(connections, max_slices)
 
 
 def load_landed(
@@ -89,34 +200,46 @@ def load_landed(
     directory: str,
     rows_per_partition: int = 0,
     *,
-    key: str = "id",
     parallelism: int | None = None,
     connections: int = 8,
+    max_slices: int = MAX_SLICES,
+    split_by: str | None = None,
+    splits: int = 1,
+    on_error: str = "null_partition",
+    **options,
 ) -> Loaded:
-    """Load a spec's query through :func:`land_ranges`.
+    """Load a spec's query through :class:`Landing`, with the options of :func:`rangeloom.load`.
 
     A query on the session is scanned once per slice, so it should be over data laid out
-    by the key; otherwise :func:`rangeloom.load` is the better choice.
+    by the key. At most ``connections`` statements run at a time, parts of a split range
+    counted.
     """
     spec = as_spec(spec)
+    options = LoadOptions(on_error=on_error, **options)
     cores = parallelism or default_parallelism(spark)
     if spec.runs_on_session:
         source = queries.query_as_source(spark, spec.query)
-        column = source.columns[queries.key_position(source.schema, key)]
+        column = source.columns[queries.key_position(source.schema, options.key)]
         bounds = queries.key_bounds(source, column)
-        read = source.where
-        test = quoted(column)
+        read, test, label = source.where, quoted(column), spec.query
     else:
-        bounds = jdbc.jdbc_key_bounds(spark, spec, key)
-        read = partial(jdbc.read_one, spark, spec)
-        test = key
-    plan = make_plan(bounds, cores, rows_per_partition)
-    if plan is None:
-        return Loaded(empty_result(spark, spec.schema), lambda: None)
+        bounds = jdbc.jdbc_key_bounds(spark, spec, options.key)
+        test = options.key
+        # Where the rows come from, without who reads them.
+        label = f"{jdbc_options(spec.connection_string)['url'].partition('?')[0]} {spec.query}"
 
-    def read_range(lo: int, hi: int) -> DataFrame:
-        return read(f"{test} BETWEEN {lo} AND {hi}")
+        def read(predicate: str) -> DataFrame:
+            return jdbc.read_parts(spark, spec, predicate, split_by, splits)
 
-    loaded = land_ranges(spark, read_range, plan, spec.schema, directory, connections=connections)
+    plan = make_plan(bounds, cores, rows_per_partition)
+    if plan is None:
+        if options.null_keys != "keep":
+            return Loaded(empty_result(spark, spec.schema), lambda: None)
+        plan = NO_KEYS
+    landing = Landing(
+        spark, lambda lo, hi: read(f"{test} BETWEEN {lo} AND {hi}"), plan, spec.schema, directory, options,
+        label, lambda: read(f"{test} IS NULL"),
+    )
+    loaded = landing.run(max(1, connections // splits), max_slices)
     loaded.batch_size = spec.batch_size
     return loaded

@@ -17,6 +17,7 @@ from rangeloom.operators import heal
 from rangeloom.operators.bind import bind_types, rename_by_position
 from rangeloom.operators.counts import INDEX, with_partition
 from rangeloom.plans.ranges import RangePlan, default_parallelism, make_plan
+from rangeloom.plans.session import scratch_path
 from rangeloom.plans.spec import DEFAULT_BATCH_SIZE, LoadSpec, as_spec
 from rangeloom.sources import jdbc, queries
 from rangeloom.streaming.batches import stream_batches
@@ -27,7 +28,7 @@ NULL_KEYS = ("drop", "keep")
 # Stands for the plan of a source with NULL keys only: all its rows are the range of those.
 NO_KEYS = RangePlan(0, 0, 1)
 
-# Database statements (= tasks) of one load unless the caller sets a cap; finer
+# Database statements (= tasks) of one load unless the caller sets another number; finer
 # plans are read in runs of adjacent ranges.
 MAX_STATEMENTS = 20_000
 
@@ -149,28 +150,41 @@ def load(
     ordered: bool = False,
     with_index: bool = False,
     check_utf8: bool = False,
+    rule: str | None = None,
     max_connections: int | None = None,
+    max_statements: int = MAX_STATEMENTS,
     split_by: str | None = None,
     splits: int = 1,
+    landing: str | None = None,
 ) -> Loaded:
     """Load the query of a spec (an object, a dict or a YAML path).
 
     ``rows_per_partition``: 0 or less tunes the range width from the key span, a
     positive number sets it. ``on_error``: ``"fail"`` stops at the first value that
     does not fit, ``"null_partition"`` turns its range into NULL rows, ``"safe"`` turns
-    the value alone into NULL. ``max_connections`` caps the statements sent to a
-    database; ``split_by`` and ``splits`` divide each of its ranges by a second integer,
+    the value alone into NULL. ``rule`` is an SQL condition that marks further rows as bad.
+    ``max_connections`` caps the statements that a database runs at a time;
+    ``max_statements`` is how many there may be, finer plans being read in runs of
+    adjacent ranges (``Loaded.plan`` stays the plan that was set). ``split_by`` and ``splits`` divide each of its ranges by a second integer,
     for keys that repeat a lot. Rows come unordered unless ``ordered``.
 
-    From a database, ``"null_partition"`` reads everything twice, and the two readings
-    have no common snapshot: :func:`rangeloom.load_landed` reads once, and also heals
-    ranges whose connection failed.
+    With ``landing``, a folder all executors share, ranges land there one by one: a range
+    whose connection fails is healed like one with bad values, and a load that is started
+    again goes on where it ended (:mod:`rangeloom.operators.land`). A database is read that
+    way, in a folder of its own, wherever ranges are healed or connections capped.
     """
     spec = as_spec(spec)
     options = dict(
         key=key, on_error=on_error, null_keys=null_keys, ordered=ordered,
-        with_index=with_index, check_utf8=check_utf8,
+        with_index=with_index, check_utf8=check_utf8, rule=rule,
     )
+    if landing or not spec.runs_on_session and (max_connections or on_error == "null_partition"):
+        from rangeloom.operators.land import load_landed
+
+        return load_landed(
+            spark, spec, landing or scratch_path(spark, "landing"), rows_per_partition, parallelism=parallelism,
+            connections=max_connections or 8, split_by=split_by, splits=splits, **options,
+        )
     cores = parallelism or default_parallelism(spark)
     if spec.runs_on_session:
         source = queries.query_as_source(spark, spec.query)
@@ -182,7 +196,7 @@ def load(
         source = jdbc.jdbc_schema(spark, spec)
     else:
         source = jdbc.read_ranges(
-            spark, spec, plan, key, max_connections or MAX_STATEMENTS, null_keys == "keep",
+            spark, spec, plan, key, max_statements, null_keys == "keep",
             split_by, splits,
         )
     loaded = _finish(source, spec.schema, lambda: plan, LoadOptions(**options))

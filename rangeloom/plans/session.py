@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,6 +10,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+from rangeloom.sources import store
+
 # What a failed job raises on the driver.
 JOB_ERRORS = (PySparkException, Py4JJavaError)
 
@@ -39,18 +42,26 @@ def load_session(app_name: str = "rangeloom", **settings: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate data: the cluster's ``spark.checkpoint.dir``.
 
-    Without that setting, only a local session may fall back on a temporary folder:
-    files on one machine would be lost with it.
+    Without that setting, only a session within one process may fall back on a temporary
+    folder: files on one machine would be lost with it, and other machines do not see them.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="rangeloom-checkpoint-")
+        store.delete_at_end(spark, folder)
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def scratch_path(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder, deleted with all that is there when the driver ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    store.delete_at_end(spark, path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a small ``df`` to the shared folder and go on from there."""
     shared_folder(df.sparkSession)
@@ -62,7 +73,7 @@ def set_aside(df: DataFrame) -> DataFrame:
 
     Smaller than a checkpoint, and later steps read only the columns they need.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/aside-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, "aside")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,7 +6,6 @@ tuned for is fixed, so that results do not depend on the machine.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,14 +27,12 @@ from rangeloom.operators.load import load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile
 from rangeloom.plans import ranges
 from rangeloom.plans.ranges import RangePlan, make_plan
-from rangeloom.plans.session import shared_folder
+from rangeloom.plans.session import scratch_path
 from rangeloom.sources import queries as sources
 from rangeloom.sources.dump import (
-    SPLIT_BYTES,
     blob_status,
     decode_blobs,
     decode_files,
-    dump_files,
     encode_blobs,
     write_dumps,
 )
@@ -43,6 +40,9 @@ from rangeloom.sources.synth import series, synth_columns
 
 CORES = 4
 
+# Small enough that the dump files of the queries are read in several splits.
+DUMP_SPLIT_BYTES = 1 << 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -691,11 +691,9 @@ def dump_texts(spark, folder):
 def dump_file_splits(spark, folder):
     """Dump files in the shared folder, read back in several splits per file."""
     lines = positional_bind(_table(spark, folder, "lineitem").select(*LINE_COLUMNS), LINE_SCHEMA)
-    target = f"{shared_folder(spark)}/dumps-{uuid.uuid4().hex}"
+    target = scratch_path(spark, "dumps")
     write_dumps(lines, target, LINE_SCHEMA)
-    largest = dump_files(spark, target).agg(F.max("length")).first()[0]
-    split_bytes = min(SPLIT_BYTES, max(largest // 4, 1 << 20))
-    return decode_files(spark, target, LINE_SCHEMA, split_bytes=split_bytes)
+    return decode_files(spark, target, LINE_SCHEMA, split_bytes=DUMP_SPLIT_BYTES)
 
 
 @_register('SELECT CAST(count(*) AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS failed FROM orders')

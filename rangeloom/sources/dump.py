@@ -23,12 +23,11 @@ from rangeloom.operators.counts import INDEX
 from rangeloom.plans.ranges import default_parallelism
 from rangeloom.plans.session import cut_lineage
 from rangeloom.sources.dump_codec import DumpError, RowCodec, decode_stream, wrap
-from rangeloom.sources.store import locate, open_file
+from rangeloom.sources.store import empty_files, exists, locate, open_file, qualified
 
 SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 8 << 20
 SEARCH_BYTES = 1 << 20
-SEARCH_LIMIT = 64 << 20
 
 BROADCAST_PATHS = 100_000
 
@@ -93,8 +92,8 @@ def _status(path: str, read, codec: RowCodec, **parts) -> pa.RecordBatch:
 def dump_files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, length)`` of the dump files; their contents are not read.
 
-    Spark does not list files of zero bytes, so a dump cut before its first byte is
-    not seen here; compare with the expected files where that matters.
+    Spark does not list files of zero bytes: :func:`decode_files` refuses a folder with
+    such a dump, cut before its first byte, and :func:`file_status` reports it.
     """
     return spark.read.format("binaryFile").load(path).select("path", "length")
 
@@ -146,7 +145,7 @@ def _find_start(path: str, length: int, begin: int, split_bytes: int, codec: Row
                 return None
             if at >= 0:
                 return begin + at
-            if window >= SEARCH_LIMIT:
+            if begin + window >= length:
                 return None
             window = min(window * 4, length - begin)
 
@@ -160,8 +159,10 @@ def decode_files(
 ) -> DataFrame:
     """Rows of dump files, any number of splits per file, in bounded memory per task.
 
-    ``split_bytes=None`` reads each file in one task.
+    ``split_bytes=None`` reads each file in one task. A file of zero bytes is an error.
     """
+    if cut := empty_files(spark, path):
+        raise DumpError(f"{cut[0]}: no bytes at all ({len(cut)} such files)")
     return _decode_spans(_spans(dump_files(spark, path), schema, split_bytes), schema, mode)
 
 
@@ -229,6 +230,8 @@ def file_status(
 
     files = dump_files(spark, path)
     parts = _spans(files, schema, split_bytes).select("path", "start", "stop").mapInArrow(check, _STATUS)
+    cut = [(name, 0, "no bytes at all", True) for name in empty_files(spark, path)]
+    empty = spark.createDataFrame(cut, f"{_STATUS}, in_splits boolean")
     found = cut_lineage(
         parts.groupBy("path").agg(F.sum("rows").alias("rows"), F.count("error").alias("n_bad"))
     )
@@ -236,12 +239,12 @@ def file_status(
     doubtful = found.where("n_bad > 0").select("path")
     n = doubtful.count()
     if n == 0:
-        return clean.withColumn("in_splits", F.lit(True))
+        return clean.withColumn("in_splits", F.lit(True)).unionByName(empty)
     whole = doubtful.selectExpr("path", "0L AS start", "CAST(NULL AS BIGINT) AS stop").repartition(n)
     again = whole.mapInArrow(check, _STATUS)
     return clean.withColumn("in_splits", F.lit(True)).unionByName(
         again.withColumn("in_splits", F.lit(False))
-    )
+    ).unionByName(empty)
 
 
 def heal_files(
@@ -255,6 +258,7 @@ def heal_files(
     status = cut_lineage(file_status(spark, path, schema, split_bytes=split_bytes))
     files = dump_files(spark, path)
     report = status.where("error IS NOT NULL").join(expected, "path", "left")
+    _all_expected(report)
     rows = _nulls_for(report, schema)
     for test, size in (("in_splits", split_bytes), ("NOT in_splits", None)):
         chosen = status.where(f"error IS NULL AND {test}").select("path")
@@ -264,6 +268,13 @@ def heal_files(
     return rows, report.select("path", "expected_rows", "error")
 
 
+def _all_expected(report: DataFrame) -> None:
+    """A bad dump is replaced by a number of rows that somebody knows, or it is an error."""
+    unknown = report.where("expected_rows IS NULL").select("path", "error").first()
+    if unknown:
+        raise DumpError(f"{unknown.path}: {unknown.error}; there is no expected number of rows for it")
+
+
 def _nulls_for(report: DataFrame, schema: T.StructType) -> DataFrame:
     numbered = report.select(F.lit(0).cast("long").alias(INDEX), "expected_rows")
     return null_rows(numbered, schema).drop(INDEX)
@@ -279,6 +290,7 @@ def heal_blobs(
     """
     bad = blob_status(dumps, schema).where("error IS NOT NULL").select("path", "error")
     report = cut_lineage(bad.join(expected, "path", "left").select("path", "expected_rows", "error"))
+    _all_expected(report)
     failed = report.select("path")
     if report.count() <= BROADCAST_PATHS:
         failed = F.broadcast(failed)  # else a shuffle on the path, which is unique
@@ -308,7 +320,12 @@ def write_dumps(df: DataFrame, directory: str, schema: T.StructType) -> int:
     """Write one dump file per Spark partition into a shared folder; returns the rows.
 
     A file gets its name only when it is whole, so a task that is run again does no harm.
+    The folder must be new: files of an earlier run would be read with these.
     """
+    spark = df.sparkSession
+    directory = qualified(spark, directory)
+    if exists(spark, directory):
+        raise FileExistsError(directory)
     store, root = locate(directory)
     store.create_dir(root)
 

@@ -52,6 +52,26 @@ def read_one(spark: SparkSession, spec: LoadSpec, predicate: str) -> DataFrame:
     return _reader(spark, spec).option("dbtable", part).load()
 
 
+def split_predicates(predicate: str, split_by: str | None, splits: int) -> list[str]:
+    """The predicate in ``splits`` parts by the remainder of a second integer, NULLs counting as zero."""
+    if split_by is None:
+        return [predicate]
+    part = f"ABS(MOD(COALESCE({split_by}, 0), {splits}))"
+    return [f"{predicate} AND {part} = {i}" for i in range(splits)]
+
+
+def read_parts(
+    spark: SparkSession, spec: LoadSpec, predicate: str, split_by: str | None = None, splits: int = 1
+) -> DataFrame:
+    """One range of the query, in one statement or in ``splits`` statements."""
+    if split_by is None:
+        return read_one(spark, spec, predicate)
+    options = _options(spec)
+    url = options.pop("url")
+    predicates = split_predicates(predicate, split_by, splits)
+    return spark.read.jdbc(url, derived_table(spec.select), predicates=predicates, properties=options)
+
+
 def read_sample(spark: SparkSession, spec: LoadSpec, rows: int) -> DataFrame:
     """Any ``rows`` rows of the query; the database applies the limit."""
     sample = f"(SELECT * FROM {derived_table(spec.select)} LIMIT {rows}) AS sample"

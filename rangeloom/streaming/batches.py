@@ -6,10 +6,16 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from rangeloom.plans.session import set_aside
 from rangeloom.plans.spec import DEFAULT_BATCH_SIZE
 
 
+# Bytes of serialised batches that the driver takes at a time.
+RUN_BYTES = 32 << 20
+
+
 def rebatch(batches: Iterable[pa.RecordBatch], batch_size: int) -> Iterator[pa.RecordBatch]:
     """Cut and join batches to exactly ``batch_size`` rows; the last may be shorter."""
     held: list[pa.RecordBatch] = []
@@ -36,17 +42,24 @@ def stream_batches(
 ) -> Iterator[pa.RecordBatch]:
     """Batches of at most ``batch_size`` rows, one Spark partition after the other.
 
-    Executors cut and serialise the batches; the driver holds one partition at a
-    time (two with ``prefetch``), never the table.
+    Executors cut and serialise the batches into the shared folder. From there they come
+    in order, in runs of about :data:`RUN_BYTES`; the driver holds one run at a time (two
+    with ``prefetch``), never a whole partition, however large that is.
     """
+    from pyspark import TaskContext
 
     def serialise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rebatch(batches, batch_size):
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(rebatch(batches, batch_size)):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema) as writer:
                 writer.write_batch(batch)
-            yield pa.RecordBatch.from_pydict({"batch": [sink.getvalue().to_pybytes()]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "number": [number], "batch": [sink.getvalue().to_pybytes()]})
 
-    for row in df.mapInArrow(serialise, "batch binary").toLocalIterator(prefetchPartitions=prefetch):
+    written = set_aside(df.mapInArrow(serialise, "part bigint, number bigint, batch binary"))
+    count, size = written.agg(F.count("*"), F.sum(F.octet_length("batch"))).first()
+    runs = min(count, -(-(size or 0) // RUN_BYTES)) or 1
+    ordered = written.repartitionByRange(runs, "part", "number").sortWithinPartitions("part", "number")
+    for row in ordered.toLocalIterator(prefetchPartitions=prefetch):
         with pa.ipc.open_stream(bytes(row.batch)) as reader:
             yield from reader

@@ -78,11 +78,13 @@ def test_capped_and_split(database):
     spec = SPEC | {"query": "SELECT id, n, line FROM sold"}
     spec["schema"] = SPEC["schema"] + [{"column_name": "line", "arrow_type": "Int32"}]
     loaded = load(
-        database, spec, 10, on_error="safe", null_keys="keep", parallelism=2,
+        database, spec, 100, on_error="safe", null_keys="keep", parallelism=2,
         max_connections=6, split_by="line", splits=2,
     )
-    assert loaded.rows.count() == 1000
-    assert len(database.sent) == 1 + 6
+    assert loaded.rows.count() == 1000 and loaded.rows.where("n IS NULL").count() == 1
+    assert [r.partition_index for r in loaded.failures.collect()] == [3]
+    # The cap leaves the statements as they are: ten ranges and the NULL keys, in two parts each.
+    assert len({p for p in database.sent if "MOD(" in p}) == 2 * 11
 
 
 @pytest.mark.parametrize("ordered", [False, True])
@@ -119,3 +121,36 @@ def test_landed_from_the_session(spark, database, tmp_path):
 def test_profile(database):
     assert profile_spec(database, SPEC, sample_rows=1000) == {"id": 10, "n": 1}
     assert database.sent[-1].endswith("LIMIT 1000) AS sample")
+
+
+def test_landing_goes_on_after_growth(spark, tmp_path):
+    def spec(n):
+        return SPEC | {"connection_string": "spark", "query": f"SELECT id, CAST(id AS STRING) AS n FROM range({n})"}
+
+    def grown(n):
+        return SPEC | {"connection_string": "spark", "query": "SELECT id, n FROM growing"}
+
+    spark.range(100).selectExpr("id", "CAST(id AS STRING) AS n").createOrReplaceTempView("growing")
+    first = load_landed(spark, grown(100), str(tmp_path), 10, parallelism=2)
+    spark.range(200).selectExpr("id", "CAST(id AS STRING) AS n").createOrReplaceTempView("growing")
+    second = load_landed(spark, grown(200), str(tmp_path), 10, parallelism=2)
+    wider = load_landed(spark, grown(200), str(tmp_path), 30, parallelism=2)
+    other = load_landed(spark, spec(50), str(tmp_path), 10, parallelism=2)
+    assert [x.rows.count() for x in (first, second, wider, other)] == [100, 200, 200, 50]
+    assert [x.rows.distinct().count() for x in (first, second, wider, other)] == [100, 200, 200, 50]
+    assert all(x.failures.count() == 0 for x in (first, second, wider, other))
+
+
+def test_a_failed_slice_is_cut_down_to_its_range(spark, tmp_path):
+    spark.range(100).selectExpr("id", "if(id = 57, 'x', CAST(id AS STRING)) AS n").createOrReplaceTempView("hurt")
+    spec = SPEC | {"connection_string": "spark", "query": "SELECT id, n FROM hurt"}
+    healed = load_landed(spark, spec, str(tmp_path), 5, parallelism=2, max_slices=4, with_index=True, ordered=True)
+    rows = healed.rows.collect()
+    assert [tuple(r) for r in rows if r.id is None] == [(11, None, None)] * 5 and len(rows) == 100
+    assert [r.partition_index for r in rows] == [i // 5 for i in range(100)]
+    assert [tuple(r)[:4] for r in healed.failures.collect()] == [(11, 55, 59, 5)]
+    safe = load(spark, spec, 5, parallelism=2, on_error="safe", landing=str(tmp_path))
+    assert safe.rows.where("n IS NULL").count() == 1 and safe.rows.count() == 100
+    assert [r.partition_index for r in safe.failures.collect()] == [11]
+    with pytest.raises(RuntimeError, match="is not Int32"):
+        load(spark, spec, 5, parallelism=2, landing=str(tmp_path))

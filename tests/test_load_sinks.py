@@ -121,7 +121,7 @@ def test_landing_merges_fine_plans(spark, tmp_path):
         str(tmp_path), max_slices=4,
     )
     assert sorted(r.id for r in loaded.rows.collect()) == list(range(1000))
-    assert len(glob.glob(str(tmp_path) + "/slice-*")) == 4
+    assert len(glob.glob(str(tmp_path) + "/load-*/slice-*")) == 4
 
 
 def test_session_settings(spark):
