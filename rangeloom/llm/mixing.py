@@ -84,7 +84,9 @@ def mix_plan(
     ``(doc_id, source, size)``: these, ``copies`` (rows that share them: repeated rows are
     taken or left together), ``source_size``, ``target`` and ``times`` (0 to ``max_repeats``).
 
-    The mix ends before the first document that would bring it over the sum of all sizes.
+    A source queues no document once its words reach its target, so it never goes over by
+    more than a document. The mix ends before the first document that would bring it over
+    the sum of all sizes.
     A null text has size 0, a null source is a source, a null doc_id an id. An empty table
     gives no rows. The order within a source is the md5 of seed and id: reruns agree.
     """
@@ -129,9 +131,12 @@ def mix_plan(
     def place(turn: Column) -> Column:
         return F.struct(finish(turn).alias("finish"), "source_rank", "key", "doc_id", "size")
 
+    def wanted(turn: Column) -> Column:
+        return turn * F.col("source_size") + F.col("upto") - words < F.col("target")
+
     turns = queued.withColumn(
         "turn", F.explode(F.array(*[F.lit(i) for i in range(max_repeats)]))
-    ).select(place(F.col("turn")).alias("place"), words.alias("words"))
+    ).where(wanted(F.col("turn"))).select(place(F.col("turn")).alias("place"), words.alias("words"))
     slots = max(1, math.ceil(max_repeats * n / range_rows))
     turns = turns.withColumn("slot", F.floor(F.col("place.finish") * slots))
     line = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
@@ -143,9 +148,8 @@ def mix_plan(
         .select("slot", (F.col("upto") - F.col("words")).alias("ahead"))
         .first()
     )
-    if over is None:
-        times = F.lit(max_repeats)
-    else:
+    taken = wanted
+    if over is not None:
         sorted_slot = Window.partitionBy("slot").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
         first_out = (
             turns.where(F.col("slot") == over["slot"])
@@ -160,7 +164,8 @@ def mix_plan(
             F.lit(cut["size"]).cast("long").alias("size"),
         )
         queued = queued.withColumn("doc_id", F.col("doc_id").cast("long"))
-        times = sum((F.when(place(F.lit(i)) < limit, 1).otherwise(0) for i in range(max_repeats)), F.lit(0))
+        taken = lambda turn: wanted(turn) & (place(turn) < limit)
+    times = sum((F.when(taken(F.lit(i)), 1).otherwise(0) for i in range(max_repeats)), F.lit(0))
     return queued.select(*_UNIT, "copies", "source_size", "target", times.cast("int").alias("times"))
 
 

@@ -77,11 +77,13 @@ WITH units AS (
 ), line AS (
   SELECT *, sum(size * copies) OVER (ORDER BY finish, source_rank, key, doc_id, size
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS mixed,
-         sum(size * copies) OVER () / 3 AS budget FROM turns
+         (SELECT sum(size * copies) FROM units) AS budget
+  FROM turns WHERE turn * source_size + upto - size * copies < target
 )
-SELECT doc_id, size, source_size, target, CAST(size * count(*) FILTER (mixed <= budget) AS BIGINT) AS taken
-FROM (SELECT *, unnest(range(copies)) AS copy FROM line)
-GROUP BY doc_id, source, copy, size, source_size, target
+SELECT doc_id, size, source_size, target, CAST(size * (
+         SELECT count(*) FROM line l WHERE l.mixed <= budget AND l.doc_id IS NOT DISTINCT FROM q.doc_id
+         AND l.source_rank = q.source_rank AND l.size = q.size) AS BIGINT) AS taken
+FROM (SELECT *, unnest(range(copies)) AS copy FROM queued) q
 """
 
 
