@@ -22,6 +22,8 @@ KMER = 3
 BINS = 64
 PICKED = 2
 TOKEN_CHARS = 24
+#: Bits of a hash given up for a k-mer's place; in a text of over 16 million tokens places repeat.
+PLACE_BITS = 24
 #: Rows and ranges of doc_id in which documents find their neighbours.
 RANGE_ROWS = 4_000
 MOST_RANGES = 5_000
@@ -46,47 +48,53 @@ def _runs(items: Column, same: Callable[[Column], Column]) -> Column:
     return _let(F.filter(places, first), cut)
 
 
-def _bin(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - int(math.log2(BINS)))
+def _hash_of(packed: Column) -> Column:
+    return packed.bitwiseAND(F.lit(-1 << PLACE_BITS))
+
+
+def _packed(h: Column, place: Column) -> Column:
+    """Hash and place as one long, which sorts by the hash first."""
+    return _hash_of(h).bitwiseOR(place.cast("long").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)))
+
+
+def _bin(packed: Column) -> Column:
+    return F.shiftrightunsigned(packed, 64 - int(math.log2(BINS)))
 
 
 def signature(text: Column) -> Column:
     """``array<struct<bin, tuple>>`` of the filled bins of a text (not null)."""
     tokens = F.regexp_extract_all(text, F.lit(rf"\S{{1,{TOKEN_CHARS}}}"), F.lit(0))
+    place_of = lambda e: e.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
     def kmers(t: Column) -> Column:
-        last = F.greatest(F.size(t) - KMER, F.lit(0))
-        places = F.sequence(F.lit(0), last)
-        hashed = F.transform(places, lambda i: F.struct(F.xxhash64(F.slice(t, i + 1, KMER)).alias("g"), i.alias("at")))
-        return F.when(F.size(t) > 0, F.sort_array(hashed)).otherwise(F.array().cast("array<struct<g:bigint,at:int>>"))
-
-    def numbered(sorted_kmers: Column) -> Column:
-        runs = _runs(sorted_kmers, lambda e: e["g"])
-        return F.flatten(
-            F.transform(
-                runs,
-                lambda run: F.transform(run, lambda e, o: F.struct(F.xxhash64(e["g"], o).alias("h"), e["at"].alias("at"))),
-            )
-        )
+        places = F.sequence(F.lit(0), F.greatest(F.size(t) - KMER, F.lit(0)))
+        # Past the end a token is null, which a hash passes over: a short text is one k-mer.
+        hashed = F.transform(places, lambda i: _packed(F.xxhash64(*[F.get(t, i + k) for k in range(KMER)]), i))
+        return F.when(F.size(t) > 0, F.sort_array(hashed)).otherwise(F.array().cast("array<bigint>"))
+
+    def numbered(items: Column) -> Column:
+        """A first occurrence keeps its k-mer's hash, the others hash their number into it."""
+        firsts = F.filter(items, lambda e, i: (i == 0) | (_hash_of(F.get(items, i - 1)) != _hash_of(e)))
+        later = lambda e, o: _packed(F.xxhash64(_hash_of(e), o), place_of(e))
 
-    def by_bin(items: Column) -> Column:
-        # Order by unsigned hash, as bins are: bins first, hashes within a bin in any fixed order.
-        return F.sort_array(F.transform(items, lambda e: F.struct(_bin(e["h"]).alias("bin"), e["h"].alias("h"), e["at"].alias("at"))))
+        def with_later(first: Column) -> Column:
+            number = lambda again: F.transform(_runs(again, _hash_of), lambda run: F.transform(run, later))
+            rest = _let(F.array_except(items, first), number)
+            return F.when(F.size(first) == F.size(items), items).otherwise(F.sort_array(F.concat(first, F.flatten(rest))))
+
+        return _let(firsts, with_later)
 
     def smallest(items: Column) -> Column:
-        return F.filter(items, lambda e, i: (i < PICKED) | (F.get(items, i - PICKED)["bin"] != e["bin"]))
+        return F.filter(items, lambda e, i: (i < PICKED) | (_bin(F.get(items, i - PICKED)) != _bin(e)))
 
     def tuples(picked: Column) -> Column:
         def one(run: Column) -> Column:
-            in_order = F.sort_array(F.transform(run, lambda e: F.struct(e["at"].alias("at"), e["h"].alias("h"))))
-            return F.struct(F.get(run, F.lit(0))["bin"].alias("bin"), F.xxhash64(F.transform(in_order, lambda e: e["h"])).alias("tuple"))
+            in_order = F.sort_array(F.transform(run, lambda e: F.struct(place_of(e).alias("at"), _hash_of(e).alias("h"))))
+            return F.struct(_bin(F.get(run, F.lit(0))).alias("bin"), F.xxhash64(F.transform(in_order, lambda e: e["h"])).alias("tuple"))
 
-        return F.transform(_runs(picked, lambda e: e["bin"]), one)
+        return F.transform(_runs(picked, _bin), one)
 
-    return _let(
-        tokens,
-        lambda t: _let(kmers(t), lambda k: _let(by_bin(numbered(k)), lambda b: _let(smallest(b), tuples))),
-    )
+    return _let(tokens, lambda t: _let(kmers(t), lambda k: _let(numbered(k), lambda h: _let(smallest(h), tuples))))
 
 
 def as_text(sig: Column) -> Column:
