@@ -571,7 +571,8 @@ def on_error_safe(spark, folder):
 def zoned_timestamp(spark, folder):
     """Instants, which are read at UTC in any session zone."""
     events = _table(spark, folder, "events").selectExpr("event_id", "ts")
-    instant = F.expr("timestamp_micros(CAST(CAST(ts - timestamp_ntz'1970-01-01 00:00:00' AS INTERVAL SECOND) AS DECIMAL(20, 6)) * 1000000)")
+    seconds = "CAST(CAST(ts - timestamp_ntz'1970-01-01 00:00:00' AS INTERVAL SECOND) AS DECIMAL(20, 6))"
+    instant = F.expr(f"timestamp_micros(CAST({seconds} * 1000000 AS BIGINT))")
     schema = struct_of([("id", "Int64"), ("seen_at", "Timestamp(Nanosecond, None)"), ("seen_on", "Date32")])
     return positional_bind(events.select("event_id", instant.alias("at"), instant.alias("on")), schema)
 

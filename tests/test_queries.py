@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from rangeloom.queries import ORACLES, QUERIES
 from tests.conftest import TESTDATA
 
 TABLES = (
@@ -44,20 +45,22 @@ def tables(request):
     return f"{TESTDATA}/{request.param}", con
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, tables, name):
     folder, con = tables
-    ours = contract.queries()[name](spark, folder)
-    kinds = con.execute(f"DESCRIBE {contract.oracle_sql()[name]}").fetchall()
+    ours = QUERIES[name](spark, folder)
+    kinds = con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
     assert {f.name: KINDS[f.dataType.simpleString()] for f in ours.schema} == {k[0]: k[1] for k in kinds}
-    theirs = con.execute(contract.oracle_sql()[name])
+    theirs = con.execute(ORACLES[name])
     expected = bag([c[0] for c in theirs.description], theirs.fetchall())
     found = bag(ours.columns, [tuple(r) for r in ours.collect()])
     assert found == expected
 
 
 def test_every_query_has_an_oracle():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= contract.queries().keys() and ORACLES.keys() <= contract.oracle_sql().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 def test_entry(spark):
