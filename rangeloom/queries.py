@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,20 +23,24 @@ from rangeloom.operators.heal import (
     mark_rerun,
     safe_rerun,
 )
+from rangeloom.operators import sinks
+from rangeloom.operators.land import load_landed
 from rangeloom.operators.layout import range_layout
 from rangeloom.operators.load import load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile
 from rangeloom.plans import ranges
 from rangeloom.plans.ranges import RangePlan, make_plan
-from rangeloom.plans.session import scratch_path
+from rangeloom.plans.session import scratch_path, set_aside
 from rangeloom.sources import queries as sources
 from rangeloom.sources.dump import (
     blob_status,
     decode_blobs,
     decode_files,
     encode_blobs,
+    heal_blobs,
     write_dumps,
 )
+from rangeloom.sources.dump_codec import RowCodec, wrap
 from rangeloom.sources.synth import series, synth_columns
 
 CORES = 4
@@ -656,6 +661,74 @@ def null_profile_null_keys(spark, folder):
     return null_profile(source, ORDER_SCHEMA, "o_orderkey", source.count())
 
 
+# -- landing, tables
+
+
+def _orders_spec(folder: str, customer: str) -> dict:
+    columns = ", ".join([c for c in ORDER_COLUMNS if c != "o_custkey"][1:])
+    query = f"SELECT o_orderkey AS id, {customer} AS customer_id, {columns} FROM parquet.`{_path(folder, 'orders')}`"
+    schema = [
+        {"column_name": name, "arrow_type": kind}
+        for name, kind in zip(ORDER_SCHEMA.names, ("Int64", "Int32", "Utf8", "Float64", "Timestamp(Nanosecond, None)", "Utf8"))
+    ]
+    return {"connection_string": "spark", "query": query, "schema": schema}
+
+
+# A text in place of one customer's number, in the first range.
+_HURT = "if(o_orderkey = (SELECT min(o_orderkey) + 7 FROM parquet.`{orders}`), 'bad', CAST(o_custkey AS STRING))"
+
+
+def _land(spark, folder: str, customer: str, **options):
+    spec = _orders_spec(folder, customer.format(orders=_path(folder, "orders")))
+    return load_landed(
+        spark, spec, scratch_path(spark, "landing"), 2_500, parallelism=CORES, max_slices=4, **options
+    )
+
+
+@_register(f"SELECT {_ORDER_SELECT} FROM orders")
+def landed_load(spark, folder):
+    return _land(spark, folder, "o_custkey").rows
+
+
+@_register(
+    f"""WITH b AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS z FROM orders)
+        SELECT {_ORDER_SELECT} FROM orders, b WHERE o_orderkey > a + 2499
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL
+        FROM (SELECT unnest(range(0, least(z - a + 1, 2500))) FROM b)"""
+)
+def landed_heal(spark, folder):
+    """A slice of several ranges fails; only the one with the bad value becomes NULL rows."""
+    return _land(spark, folder, _HURT).rows
+
+
+@_register(
+    f"""WITH b AS (SELECT min(o_orderkey) AS a FROM orders)
+        SELECT {_ORDER_SELECT.replace("CAST(o_custkey AS INTEGER)",
+        "CASE WHEN o_orderkey <> a + 7 THEN CAST(o_custkey AS INTEGER) END")} FROM orders, b"""
+)
+def landed_safe(spark, folder):
+    """The range that fails is read again value by value."""
+    return _land(spark, folder, _HURT, on_error="safe").rows
+
+
+@_register(
+    """SELECT CAST(0 AS BIGINT) AS partition_index, min(o_orderkey) AS lo,
+              least(min(o_orderkey) + 2499, max(o_orderkey)) AS hi FROM orders"""
+)
+def landed_safe_list(spark, folder):
+    return _land(spark, folder, _HURT, on_error="safe").failures.select("partition_index", "lo", "hi")
+
+
+@_register(f"SELECT {_ORDER_SELECT} FROM orders")
+def insert_select(spark, folder):
+    """A table created with the declared columns and filled by position."""
+    name = "rangeloom_inserted"
+    sinks.create_table(spark, name, ORDER_SCHEMA)
+    sinks.insert_select(positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA), name)
+    return spark.table(name)
+
+
 # -- binary dumps
 
 
@@ -704,6 +777,45 @@ def dump_status(spark, folder):
     return status.agg(F.sum("rows").alias("rows"), F.count("error").alias("failed"))
 
 
+_DUMP_KEY = "o_orderkey // 1000"
+
+
+def _hurt_dumps(spark, folder):
+    """Orders as dumps of a thousand keys each, every third cut off in its last row."""
+    orders = positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA)
+    number = F.floor(F.col("id") / 1000)
+    parts = orders.withColumn("part", number).repartition("part")
+
+    def encode(key, table):
+        batch = table.drop_columns(["part"]).combine_chunks().to_batches()[0]
+        content = wrap(RowCodec(ORDER_SCHEMA).encode(batch))
+        if key[0].as_py() % 3 == 1:
+            content = content[:-5]
+        return pa.table({"path": [str(key[0].as_py())], "content": pa.array([content], pa.binary())})
+
+    dumps = parts.groupBy("part").applyInArrow(encode, "path string, content binary")
+    expected = orders.groupBy(number.cast("string").alias("path")).agg(F.count("*").alias("expected_rows"))
+    return set_aside(dumps), expected
+
+
+@_register(
+    f"""SELECT {_ORDER_SELECT} FROM orders WHERE ({_DUMP_KEY}) % 3 <> 1
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE ({_DUMP_KEY}) % 3 = 1"""
+)
+def dump_heal(spark, folder):
+    """Dumps that are cut off become their expected number of NULL rows."""
+    dumps, expected = _hurt_dumps(spark, folder)
+    return heal_blobs(dumps, ORDER_SCHEMA, expected)[0]
+
+
+@_register(
+    f"""SELECT CAST({_DUMP_KEY} AS VARCHAR) AS path, ({_DUMP_KEY}) % 3 = 1 AS failed FROM orders GROUP BY ALL"""
+)
+def dump_blob_status(spark, folder):
+    dumps, _ = _hurt_dumps(spark, folder)
+    return blob_status(dumps, ORDER_SCHEMA).select("path", F.col("error").isNotNull().alias("failed"))
+
+
 # -- generated rows, layout
 
 
