@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import sys
+import time
 import types
 from collections.abc import Callable, Iterator
 
@@ -10,11 +12,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
-from rangeloom.plans.session import set_aside
+from rangeloom.plans.session import scratch_path
+from rangeloom.sources.store import delete
 
 #: Bytes of text in one Arrow batch sent to Python; a single longer text is a batch alone.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 #: Bytes of hashes that are counted together, in memory.
 PART_BYTES = 24 << 20
@@ -164,25 +168,80 @@ def _count_fully(table: pa.Table, least: int) -> pa.Table:
     return pa.table({"s": hashes[first][many].view(np.int64), "documents": sums[many]})
 
 
+def _counted(docs: DataFrame, items: Items) -> tuple[GroupedData, int]:
+    """Partial counts of items by ranges of the hash, each of about :data:`PART_BYTES`."""
+    size = docs.agg(F.sum(F.octet_length(docs.columns[1]))).first()[0] or 0
+    parts = max(16, 2 * size // PART_BYTES)
+    partly = docs.mapInArrow(lambda b: _count_partly(b, items, parts), "part bigint, hashes binary, counts binary")
+    return partly.groupBy("part"), parts
+
+
 def document_counts(docs: DataFrame, items: Items, least: int) -> DataFrame:
     """``(s, documents)`` of items (64-bit hashes) that at least ``least`` rows of ``docs`` have.
 
     ``items`` gives the distinct items of each text, the second column of ``docs``. They
     are counted as packed arrays: per batch first, so that a frequent item is one entry
-    per batch, then by ranges of the hash that hold about :data:`PART_BYTES`.
+    per batch, then by ranges of the hash.
     """
-    size = docs.agg(F.sum(F.octet_length(docs.columns[1]))).first()[0] or 0
-    parts = max(16, 2 * size // PART_BYTES)
-    return (
-        docs.mapInArrow(lambda batches: _count_partly(batches, items, parts), "part bigint, hashes binary, counts binary")
-        .groupBy("part")
-        .applyInArrow(lambda group: _count_fully(group, least), "s bigint, documents bigint")
-    )
+    groups, _ = _counted(docs, items)
+    return groups.applyInArrow(lambda group: _count_fully(group, least), "s bigint, documents bigint")
+
+
+def shared_bitmap(docs: DataFrame, items: Items, bits: int) -> np.ndarray:
+    """A bitmap of ``2**bits`` bits with those of the items that several rows of ``docs`` have.
+
+    An item's bit is the first ``bits`` of its hash. The size is fixed whatever the data;
+    each range of hashes gives its own stretch of the map.
+    """
+
+    def stretch(group: pa.Table) -> pa.Table:
+        found = _count_fully(group, 2).column("s").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
+        if not len(found):
+            return pa.table({"at": pa.array([], pa.int64()), "bytes": pa.array([], pa.binary())})
+        first = int(found[0]) >> 3
+        own = np.zeros((int(found[-1]) >> 3) - first + 1, np.uint8)
+        at = found.astype(np.int64)
+        np.bitwise_or.at(own, (at >> 3) - first, (1 << (at & 7)).astype(np.uint8))
+        return pa.table({"at": [first], "bytes": pa.array([own.tobytes()], pa.binary())})
+
+    groups, _ = _counted(docs, items)
+    whole = np.zeros(1 << (bits - 3), np.uint8)
+    for row in groups.applyInArrow(stretch, "at bigint, bytes binary").toLocalIterator():
+        own = np.frombuffer(bytes(row["bytes"]), np.uint8)
+        whole[row["at"] : row["at"] + len(own)] |= own
+    return whole
+
+
+def release(spark: SparkSession) -> None:
+    """Let the driver drop the shuffle files of steps that are done and written.
+
+    Spark deletes them when it finds, in collecting its garbage, that nothing refers to
+    them; a driver with little to do may not come to that before the disks are full.
+    """
+    for _ in range(2):  # what the first round drops may hold on to more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
+
+
+def write_once(df: DataFrame, large: bool = False) -> DataFrame:
+    """``df`` as Parquet in the shared folder: computed once, safe against lost executors.
+
+    After a ``large`` step, whose shuffle files weigh, these are released.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    if large:
+        release(df.sparkSession)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.step_path = path
+    return written
 
 
-def write_once(df: DataFrame) -> DataFrame:
-    """``df`` as Parquet in the shared folder: computed once, safe against lost executors."""
-    return set_aside(df)
+def discard(*written: DataFrame) -> None:
+    """Delete steps of :func:`write_once` that nothing reads any more."""
+    for df in written:
+        delete(df.sparkSession, df.step_path)
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -215,6 +274,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .distinct()
         )
         after = write_once(small)
+        discard(edges)
         edges = after
         mark = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == before:

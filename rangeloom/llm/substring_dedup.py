@@ -7,9 +7,12 @@ wherever they start, have an anchor at the same place within them. Anchors in mo
 one document are then extended: all windows of that length around them are compared by
 hash, and a window goes if it also starts in a document with a smaller id.
 
-Nothing is compared pair by pair. Per anchor and per window only the smallest and largest
-id are kept (combined before the shuffle), so a passage in a third of all documents costs
-one row per document; the joins back may be split by Spark where a key is frequent.
+Nothing is compared pair by pair. Anchors are counted per batch before they are shuffled,
+and of each window only the smallest and largest id are kept, so a passage in a third of
+all documents costs one row per document; the join back may be split by Spark where a key
+is frequent. The shared anchors go to the tasks as a bitmap of fixed size, by the first
+bits of their hashes; an anchor that only meets the bit of another adds windows that then
+turn out not to be shared.
 """
 
 from __future__ import annotations
@@ -22,13 +25,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import Words, bound_batches, fold_table, texts_of, window_hashes, write_once
+from rangeloom.llm.common import (
+    Words,
+    bound_batches,
+    discard,
+    fold_table,
+    release,
+    shared_bitmap,
+    texts_of,
+    window_hashes,
+    write_once,
+)
 
 #: Words of a window.
 WINDOW = 13
 #: Every difference modulo 7 is one of two numbers of the cover.
 PERIOD, COVER = 7, (1, 2, 4)
 ANCHOR = WINDOW - PERIOD + 1
+#: The bitmap of shared anchors has two to the power of this many bits (16 MB).
+BITMAP_BITS = 27
 
 _FOLD = fold_table(lambda c: not (c == 0x20 or 0x09 <= c <= 0x0D), lower=False)
 
@@ -38,56 +53,34 @@ def _anchor_places(n_words: int) -> np.ndarray:
     return at[np.isin(at % PERIOD, COVER)]
 
 
-def _long_rows(names: list[str], ids: list[np.ndarray], values: list[np.ndarray]) -> pa.RecordBatch:
-    columns = [np.concatenate([np.empty(0, np.int64), *x]) for x in (ids, values)]
-    return pa.record_batch([pa.array(c) for c in columns], names=names)
+def _anchors_of(texts: list[bytes]) -> Iterator[np.ndarray]:
+    """The distinct anchors of each text that is as long as a window."""
+    words = Words(texts, _FOLD)
+    for k in range(len(texts)):
+        own = words.hashes[words.of(k)]
+        some = window_hashes(own, ANCHOR)[_anchor_places(len(own))] if len(own) >= WINDOW else own[:0]
+        yield np.unique(some)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(batches: Iterator[pa.RecordBatch], shared: np.ndarray, bits: int) -> Iterator[pa.RecordBatch]:
+    """``(doc_id, window)``: distinct windows around anchors that are in the bitmap."""
     for batch in batches:
         words = Words(texts_of(batch.column(1)), _FOLD)
         ids, values = [], []
         for k, doc_id in enumerate(batch.column(0).to_pylist()):
             own = words.hashes[words.of(k)]
-            if len(own) >= WINDOW:
-                hashes = np.unique(window_hashes(own, ANCHOR)[_anchor_places(len(own))].view(np.int64))
-                ids.append(np.full(len(hashes), doc_id))
-                values.append(hashes)
-        yield _long_rows(["doc_id", "anchor"], ids, values)
-
-
-def _digest(text: bytes) -> str:
-    return hashlib.sha256(b" ".join(text.split())).hexdigest()
-
-
-_STAGED = "doc_id bigint, text string, n_words bigint, kept_sha256 string, windows array<bigint>"
-_STAGED_SCHEMA = pa.schema([
-    ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("kept_sha256", pa.string()),
-    ("windows", pa.list_(pa.int64())),
-])
-
-
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows around repeated anchors; a document without any is done, and its text dropped."""
-    for batch in batches:
-        texts = texts_of(batch.column(1))
-        words, rows = Words(texts, _FOLD), []
-        for k, (doc_id, found) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2), strict=True)):
-            own = words.hashes[words.of(k)]
-            starts = np.empty(0, np.int64)
-            if found.is_valid:
-                places = _anchor_places(len(own))
-                anchors = window_hashes(own, ANCHOR)[places].view(np.int64)
-                shared = places[np.isin(anchors, found.values.to_numpy())]
-                starts = np.unique((shared[:, None] - np.arange(PERIOD)).ravel())
-                starts = starts[(starts >= 0) & (starts <= len(own) - WINDOW)]
+            if doc_id is None or len(own) < WINDOW:
+                continue
+            places = _anchor_places(len(own))
+            bit = (window_hashes(own, ANCHOR)[places] >> np.uint64(64 - bits)).astype(np.int64)
+            places = places[(shared[bit >> 3] >> (bit & 7)) & 1 == 1]
+            starts = np.unique((places[:, None] - np.arange(PERIOD)).ravel())
+            starts = starts[(starts >= 0) & (starts <= len(own) - WINDOW)]
             if len(starts):
-                windows = np.unique(window_hashes(own, WINDOW)[starts].view(np.int64))
-                rows.append((doc_id, texts[k].decode("utf-8", "replace"), len(own), None, windows))
-            else:
-                rows.append((doc_id, None, len(own), _digest(texts[k]), None))
-        columns = zip(*rows, strict=True) if rows else [[]] * len(_STAGED_SCHEMA)
-        yield pa.record_batch([pa.array(list(c), t.type) for c, t in zip(columns, _STAGED_SCHEMA, strict=True)], schema=_STAGED_SCHEMA)
+                values.append(np.unique(window_hashes(own, WINDOW)[starts].view(np.int64)))
+                ids.append(np.full(len(values[-1]), doc_id))
+        columns = [np.concatenate([np.empty(0, np.int64), *x]) for x in (ids, values)]
+        yield pa.record_batch([pa.array(c) for c in columns], names=["doc_id", "window"])
 
 
 _OUT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
@@ -115,38 +108,27 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(list(c), t.type) for c, t in zip(columns, _OUT_SCHEMA, strict=True)], schema=_OUT_SCHEMA)
 
 
-def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """Keys that are found in more than one document, with the smallest id."""
-    return rows.groupBy(key).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, bitmap_bits: int = BITMAP_BITS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept_text`` for every row of ``docs``.
 
     Reads ``doc_id, text``. Words are runs of anything but space and U+0009 to U+000D. A
     word goes if a window of :data:`WINDOW` words of its document that covers it also starts
     in a document with a smaller id; windows are judged on the input. ``kept_text`` is the
-    kept words joined by a space, or null where nothing was removed.
+    kept words joined by a space.
 
     Null and empty texts have no words. A null doc_id has no order: such documents stay
     whole and remove nothing elsewhere. Rows that share an id never remove from each other.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    anchors = docs.where("doc_id is not null").mapInArrow(_anchors, "doc_id bigint, anchor bigint")
-    shared = anchors.join(_shared(anchors, "anchor").select("anchor"), "anchor")
-    by_doc = shared.groupBy("doc_id").agg(F.collect_set("anchor").alias("found"))
-    staged = write_once(
-        docs.join(by_doc, "doc_id", "left").select("doc_id", "text", "found").mapInArrow(_extend, _STAGED)
-    )
-    open_ = staged.where("windows is not null")
-    windows = open_.select("doc_id", F.explode("windows").alias("window"))
-    later = windows.join(_shared(windows, "window").select("window", "least"), "window").where("doc_id > least")
-    hits = later.groupBy("doc_id").agg(F.collect_set("window").alias("found"))
-    removed = open_.select("doc_id", "text").join(hits, "doc_id", "left").select("doc_id", "text", "found")
-    whole = staged.where("windows is null").select(
-        "doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text")
+    shared = spark.sparkContext.broadcast(shared_bitmap(docs.where("doc_id is not null"), _anchors_of, bitmap_bits))
+    release(spark)
+    windows = write_once(
+        docs.mapInArrow(lambda batches: _windows(batches, shared.value, bitmap_bits), "doc_id bigint, window bigint")
     )
-    return removed.mapInArrow(_remove, _OUT).withColumn(
-        "kept_text", F.when(F.col("n_removed") > 0, F.col("kept_text"))
-    ).unionByName(whole)
+    least = windows.groupBy("window").agg(F.min("doc_id").alias("least"))
+    later = windows.join(least, "window").where("doc_id > least")
+    hits = write_once(later.groupBy("doc_id").agg(F.collect_set("window").alias("found")), large=True)
+    discard(windows)
+    return docs.join(hits, "doc_id", "left").select("doc_id", "text", "found").mapInArrow(_remove, _OUT)
