@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import time
@@ -18,10 +19,10 @@ from rangeloom.plans.session import scratch_path
 from rangeloom.sources.store import delete
 
 #: Bytes of text in one Arrow batch sent to Python; a single longer text is a batch alone.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 #: Bytes of hashes that are counted together, in memory.
-PART_BYTES = 24 << 20
+PART_BYTES = 8 << 20
 
 Items = Callable[[list[bytes]], Iterator[np.ndarray]]
 
@@ -49,8 +50,21 @@ def worker_state() -> dict:
     return vars(sys.modules[name])
 
 
+def trim() -> None:
+    """Give the memory of earlier batches back to the system; a Python worker lives long."""
+    pa.default_memory_pool().release_unused()
+    state = worker_state()
+    if "trim" not in state:
+        try:
+            state["trim"] = ctypes.CDLL("libc.so.6").malloc_trim
+        except (OSError, AttributeError):  # another C library
+            state["trim"] = lambda _: None
+    state["trim"](0)
+
+
 def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
-    """Texts as UTF-8; null is empty."""
+    """Texts of a new batch as UTF-8; null is empty."""
+    trim()
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
@@ -154,6 +168,7 @@ def _count_partly(batches: Iterator[pa.RecordBatch], items: Items, parts: int) -
 
 
 def _count_fully(table: pa.Table, least: int) -> pa.Table:
+    trim()
     hashes, counts = [], []
     for h, c in zip(table.column("hashes").to_pylist(), table.column("counts").to_pylist(), strict=True):
         own, several = np.frombuffer(h, np.uint64), np.frombuffer(c, np.uint32)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rangeloom.llm.common import bound_batches, mixed, write_once
+from rangeloom.llm.common import bound_batches, mixed, trim, write_once
 
 #: Known words and n-grams kept for each language, at most.
 MODEL_WORDS = 40_000
@@ -106,6 +106,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(lang, word, n)`` of a batch: counts are combined before they are shuffled."""
     for batch in batches:
+        trim()
         names = batch.column(0).to_pylist()
         langs = sorted(set(names))
         lang_of = np.array([langs.index(x) for x in names])
@@ -245,6 +246,7 @@ def train(docs: DataFrame) -> Model:
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model, columns: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        trim()
         texts = batch.column(columns).to_pylist()
         sums = np.zeros((len(texts), len(model.langs)))
         words = np.zeros(len(texts), np.int64)
