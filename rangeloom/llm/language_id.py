@@ -4,8 +4,10 @@ A known word scores by its log frequency in each language. A word that is not kn
 off to its character n-grams, the longest length first, until some of them are known. A
 document's score is the sum over its words.
 
-Words are runs of letters of the lower-cased text. Counts cover every labelled document;
-of the counts the model keeps the most frequent words and n-grams, so its size is bounded.
+Words are runs of letters of the lower-cased text. Counts cover every labelled document,
+those of n-grams every word of it, rare and long ones too. The model has an entry for each
+of a language's most frequent words and n-grams, so its size is bounded, and an entry has
+its count in every language.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql.window import Window
 
 from rangeloom.llm.common import bound_batches, mixed, trim, write_once
 
-#: Known words and n-grams kept for each language, at most.
+#: Words and n-grams that each language chooses for the model, at most.
 MODEL_WORDS = 40_000
 MODEL_GRAMS = 40_000
 #: Length of the longest and shortest n-grams that unseen words back off to.
@@ -37,6 +39,7 @@ CHUNK = 1 << 20
 
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _EDGE = 32  # stands before and after a word in its n-grams
+_HASH_LEVELS = 10  # bits of a hash by which equal counts are ordered
 
 
 @cache
@@ -103,43 +106,99 @@ def _chunks(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         yield chunk()
 
 
+def _edged(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with their edges, one after another, and the size of each."""
+    sizes = ends - starts + 2
+    begin = np.cumsum(sizes) - sizes
+    inner = sizes - 2
+    place = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner)
+    edged = np.full(int(sizes.sum()), _EDGE, np.uint32)
+    edged[np.repeat(begin, inner) + 1 + place] = codes[np.repeat(starts, inner) + place]
+    return edged, sizes
+
+
+def _grams(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each n-gram of words with edges: the number of its word, and where it starts."""
+    grams = np.maximum(sizes - length + 1, 0)
+    word = np.repeat(np.arange(len(sizes)), grams)
+    shift = np.arange(int(grams.sum())) - np.repeat(np.cumsum(grams) - grams, grams)
+    return word, (np.cumsum(sizes) - sizes)[word] + shift
+
+
+def _tally(
+    langs: list[str], length: int, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """``(lang, length, text, n)`` of runs of characters."""
+    if not len(starts):
+        return
+    keys = _run_hashes(codes, starts, ends) + mixed(lang.astype(np.uint64) + np.uint64(7))
+    _, first, n = np.unique(keys, return_index=True, return_counts=True)
+    text = codes.tobytes().decode("utf-32-le", "surrogatepass")
+    texts = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+    yield pa.record_batch(
+        [
+            pa.array([langs[k] for k in lang[first]], pa.string()), pa.array([length] * len(first), pa.int32()),
+            pa.array(texts, pa.string()), pa.array(n, pa.int64()),
+        ],
+        names=["lang", "length", "text", "n"],
+    )
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(lang, word, n)`` of a batch: counts are combined before they are shuffled."""
+    """``(lang, length, text, n)`` of a batch: counts are combined before they are shuffled.
+
+    Words have length 0. Those too long to be counted as words give their n-grams.
+    """
     for batch in batches:
         trim()
         names = batch.column(0).to_pylist()
         langs = sorted(set(names))
         lang_of = np.array([langs.index(x) for x in names])
         for codes, starts, ends, owner in _chunks(batch.column(1).to_pylist()):
-            short = ends - starts <= LONGEST_WORD
-            starts, ends, owner = starts[short], ends[short], owner[short]
-            if not len(starts):
-                continue
             lang = lang_of[owner]
-            keys = _run_hashes(codes, starts, ends) + mixed(lang.astype(np.uint64) + np.uint64(7))
-            _, first, n = np.unique(keys, return_index=True, return_counts=True)
-            text = codes.tobytes().decode("utf-32-le", "surrogatepass")
-            words = [text[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            yield pa.record_batch(
-                [pa.array([langs[k] for k in lang[first]], pa.string()), pa.array(words, pa.string()), pa.array(n, pa.int64())],
-                names=["lang", "word", "n"],
-            )
+            short = ends - starts <= LONGEST_WORD
+            yield from _tally(langs, 0, codes, starts[short], ends[short], lang[short])
+            edged, sizes = _edged(codes, starts[~short], ends[~short])
+            for length in range(SHORTEST, LONGEST + 1):
+                word, first = _grams(sizes, length)
+                yield from _tally(langs, length, edged, first, first + length, lang[~short][word])
 
 
-def _most_frequent(counts: DataFrame, keep: int, *keys: str) -> DataFrame:
-    """Rows with ``n`` so high that no more than ``keep`` of a key's rows reach it.
+def _most_frequent(counts: DataFrame, keep: int) -> DataFrame:
+    """The ``keep`` rows with the highest ``n`` of each ``lang`` and ``length``, or all there are.
 
-    The bound is found on the counts of counts, which are few, instead of by sorting.
+    Equal ones are taken by a hash of the text, then by the text. Bounds are found on the
+    counts of counts, which are few, then on the counts of hashes, instead of by sorting.
     """
-    levels = counts.groupBy(*keys, "n").agg(F.count("*").alias("rows"))
-    above = Window.partitionBy(*keys).orderBy(F.col("n").desc())
-    least = (
-        levels.withColumn("upto", F.sum("rows").over(above))
-        .where(F.col("upto") <= keep)
-        .groupBy(*keys)
-        .agg(F.min("n").alias("least"))
-    )
-    return counts.join(F.broadcast(least), list(keys)).where("n >= least").drop("least")
+    keys = ["lang", "length", "room"]
+
+    def cut(rows: DataFrame, level: Column) -> tuple[DataFrame, DataFrame]:
+        """Rows of the levels that fit whole, and those of the first that does not, with the room left."""
+        levels = rows.groupBy(*keys, level.alias("level")).agg(F.count("*").alias("rows"))
+        upto = F.sum("rows").over(Window.partitionBy(*keys).orderBy("level"))
+        bounds = (
+            levels.withColumn("upto", upto).where("upto > room")
+            .groupBy(*keys).agg(F.min(F.struct("level", (F.col("room") - F.col("upto") + F.col("rows")).alias("left"))).alias("at"))
+        )
+        placed = rows.join(F.broadcast(bounds), keys, "left")
+        whole = placed.where(F.col("at").isNull() | (level < F.col("at.level")))
+        return whole.select(*counts.columns), placed.where(level == F.col("at.level")).select(*counts.columns, F.col("at.left").alias("room"))
+
+    above, equal = cut(counts.withColumn("room", F.lit(keep).cast("long")), -F.col("n"))
+    first, last = cut(equal, F.shiftrightunsigned(F.xxhash64("text"), 64 - _HASH_LEVELS))
+    place = F.row_number().over(Window.partitionBy("lang", "length").orderBy("text"))
+    return above.union(first).union(last.withColumn("place", place).where("place <= room").select(*counts.columns))
+
+
+def _entries(counts: DataFrame, keep: int) -> dict[int, list[tuple[str, str, int]]]:
+    """By length, ``(lang, text, n)`` of every language for each text that one of them chooses."""
+    chosen = write_once(_most_frequent(counts, keep)).select("length", "text").distinct()
+    found = counts.join(F.broadcast(chosen), ["length", "text"], "left_semi").select("length", "lang", "text", "n").toArrow()
+    rows: dict[int, list[tuple[str, str, int]]] = {}
+    for batch in found.to_batches():
+        for length, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            rows.setdefault(length, []).append(tuple(row))
+    return rows
 
 
 @dataclass
@@ -183,19 +242,11 @@ class Model:
         own[hit] = logs
         unseen = np.flatnonzero(~hit)
         for length in range(LONGEST, SHORTEST - 1, -1):
-            sizes = ends[unseen] - starts[unseen] + 2  # with its edges
-            grams = np.maximum(sizes - length + 1, 0)
-            if not grams.sum():
+            edged, sizes = _edged(codes, starts[unseen], ends[unseen])
+            word, first = _grams(sizes, length)
+            if not len(word):
                 continue
-            word = np.repeat(np.arange(len(unseen)), grams)
-            shift = np.arange(int(grams.sum())) - np.repeat(np.cumsum(grams) - grams, grams)
-            padded = np.full(int(sizes.sum()), _EDGE, np.uint32)
-            begin = np.cumsum(sizes) - sizes
-            inner = sizes - 2
-            place = np.arange(int(inner.sum())) - np.repeat(np.cumsum(inner) - inner, inner)
-            padded[np.repeat(begin, inner) + 1 + place] = codes[np.repeat(starts[unseen], inner) + place]
-            first = begin[word] + shift
-            hit, logs = self.look_up(length, _run_hashes(padded, first, first + length))
+            hit, logs = self.look_up(length, _run_hashes(edged, first, first + length))
             total = np.zeros((len(unseen), len(self.langs)))
             np.add.at(total, word[hit], logs)
             known = np.bincount(word[hit], minlength=len(unseen))
@@ -219,29 +270,29 @@ def train(docs: DataFrame) -> Model:
     counts = write_once(
         docs.where("lang is not null and text is not null")
         .select("lang", "text")
-        .mapInArrow(_count, "lang string, word string, n bigint")
-        .groupBy("lang", "word")
+        .mapInArrow(_count, "lang string, length int, text string, n bigint")
+        .groupBy("lang", "length", "text")
         .agg(F.sum("n").alias("n"))
     )
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    langs = sorted(totals)
-    words = write_once(_most_frequent(counts, MODEL_WORDS, "lang"))
-    edged = F.concat(F.lit(chr(_EDGE)), F.col("word"), F.lit(chr(_EDGE)))
+    words = counts.where("length = 0")
+    edged = F.concat(F.lit(chr(_EDGE)), F.col("text"), F.lit(chr(_EDGE)))
     grams = words.select(
         "lang", "n", edged.alias("edged"),
         F.explode(F.array(*[F.lit(k) for k in range(SHORTEST, LONGEST + 1)])).alias("length"),
     ).where(F.length("edged") >= F.col("length"))
     grams = grams.select(
-        "lang", "n", "length",
-        F.explode(F.expr("transform(sequence(1, length(edged) - length + 1), i -> substr(edged, i, length))")).alias("gram"),
-    ).groupBy("lang", "length", "gram").agg(F.sum("n").alias("n"))
-    gram_rows = _most_frequent(write_once(grams), MODEL_GRAMS // LONGEST, "lang", "length").collect()
-    tables = {0: Model.table([(r["lang"], r["word"], r["n"]) for r in words.collect()], langs, totals)}
-    for length in range(SHORTEST, LONGEST + 1):
-        rows = [(r["lang"], r["gram"], r["n"]) for r in gram_rows if r["length"] == length]
-        sums = {x: sum(n for lang, _, n in rows if lang == x) for x in langs}
-        tables[length] = Model.table(rows, langs, sums)
-    return Model(langs, tables)
+        "lang", "length",
+        F.explode(F.expr("transform(sequence(1, length(edged) - length + 1), i -> substr(edged, i, length))")).alias("text"),
+        "n",
+    ).union(counts.where("length > 0").select("lang", "length", "text", "n"))
+    grams = write_once(grams.groupBy("lang", "length", "text").agg(F.sum("n").alias("n")))
+    totals: dict[int, dict[str, int]] = {}
+    for r in words.union(grams.select(*words.columns)).groupBy("lang", "length").agg(F.sum("n").alias("n")).collect():
+        totals.setdefault(r["length"], {})[r["lang"]] = r["n"]
+    langs = sorted({x for of in totals.values() for x in of})
+    rows = _entries(words, MODEL_WORDS) | _entries(grams, MODEL_GRAMS // LONGEST)
+    lengths = [0, *range(SHORTEST, LONGEST + 1)]
+    return Model(langs, {k: Model.table(rows.pop(k, []), langs, totals.get(k, {})) for k in lengths})
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: Model, columns: int) -> Iterator[pa.RecordBatch]:

@@ -177,6 +177,35 @@ def test_unseen_words_back_off():
     assert scores[0, 0] > scores[0, 1] and scores[1, 1] > scores[1, 0] and not scores[2].any()
 
 
+def test_model_counts_everything(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MODEL_WORDS", 3)
+    long = "qx" * 30
+    texts = [("a", "ux uy uz uw zim zim zim zim"), ("b", "u1 om om om ib ib ib ec ec ec zim vykk " + long)]
+    texts += [("a", long)]
+    docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts)], "doc_id bigint, text string, lang string")
+    model = language_id.train(docs)
+    counts = {x: collections.Counter() for x in "ab"}
+    for lang, text in texts:
+        for word in "".join(c if c.isalpha() else " " for c in text).split():
+            counts[lang].update([(0, word)] if len(word) <= language_id.LONGEST_WORD else [])
+            for k in range(1, 6):
+                counts[lang].update((k, f" {word} "[i : i + k]) for i in range(len(word) + 3 - k))
+    totals = {(x, k): sum(n for (size, _), n in counts[x].items() if size == k) for x in "ab" for k in range(6)}
+
+    def logs(length, text):
+        codes = language_id._codes(text)
+        hit, found = model.look_up(length, language_id._run_hashes(codes, np.array([0]), np.array([len(codes)])))
+        return found[0] if hit[0] else None
+
+    # Words: ties at the bound are settled, and b's count of a word that only a chose is there.
+    known = [w for w in ("zim", "ux", "uy", "uz", "uw", "om", "ib", "ec", "u", "vykk") if logs(0, w) is not None]
+    assert len(known) == len(model.tables[0][0]) == 6 and {"zim", "om", "ib", "ec"} <= set(known)
+    for k, text in [(0, "zim"), (3, "ykk"), (4, "xqxq"), (5, "vykk "), (1, "x")]:
+        entries = len(model.tables[k][0])
+        want = [math.log((counts[x][k, text] + 0.5) / (totals[x, k] + 0.5 * (entries + 1))) for x in "ab"]
+        assert np.allclose(logs(k, text), want, atol=1e-5), (k, text)
+
+
 # 4
 
 
