@@ -1,11 +1,12 @@
 """Main text of web pages: parser events, text-to-tag ratios, smoothing, clustering.
 
 A page goes through the standard library's parser as a stream of events. Events cut it
-into lines (one per block element); each has a text-to-tag ratio, text in navigation,
-adverts, forms and the like counting as none. The ratios are smoothed by a Gaussian and
-split into two clusters by a threshold; lines of the upper one mark content. The content
-is then the lines of the elements that hold marked lines, so that a short paragraph
-between long ones, or a heading, is not lost.
+into lines (one per block element); each has a text-to-tag ratio, text in links, navigation,
+adverts, forms and the like counting as none. The ratios' logarithms, none above their
+median, are smoothed by a Gaussian and split into two clusters by a threshold; lines of
+the upper one mark content. The content is then all articles of the page, or without one
+the lines of the smallest element around all marked lines, except blocks of links before
+the first and after the last of them. So a short paragraph, a list or a heading is not lost.
 """
 
 from __future__ import annotations
@@ -58,21 +59,26 @@ def _marks(attrs: dict[str, str | None]) -> set[str]:
 
 
 class _Element:
-    __slots__ = ("dropped", "header", "number", "tag")
+    __slots__ = ("dropped", "header", "link", "number", "tag")
 
-    def __init__(self, tag: str, number: int, dropped: bool, header: bool):
-        self.tag, self.number, self.dropped, self.header = tag, number, dropped, header
+    def __init__(self, tag: str, number: int, dropped: bool, header: bool, link: bool = False):
+        self.tag, self.number, self.dropped, self.header, self.link = tag, number, dropped, header, link
 
 
 class _Lines(HTMLParser):
-    """Cuts a page into lines of ``(text, tags, container)``; a dropped line has no text."""
+    """Cuts a page into lines of ``(text, tags, container, characters in links)``; a dropped line has no text.
+
+    ``parents`` has the container around each container, ``articles`` those that are articles.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
+        self.lines: list[tuple[str, int, int, int]] = []
+        self.parents = [0]
+        self.articles: set[int] = set()
         self.stack = [_Element("", 0, False, False)]
         self.data: list[str] = []
-        self.tags, self.numbers = 0, 0
+        self.tags, self.links = 0, 0
         self.heading = self.drop_line = False
 
     def handle_starttag(self, tag, attrs):
@@ -108,14 +114,15 @@ class _Lines(HTMLParser):
         # A menu or header left open ends where the article begins.
         inherited = top.dropped and not (content and all(e.tag not in ("aside", "footer", "form") for e in self.stack))
         if tag in ("article", "main") and not inherited and not own and not inside_article:
-            self.numbers += 1
-            self.stack.append(_Element(tag, self.numbers, False, False))
+            self.articles.add(len(self.parents))
+            self.stack.append(_Element(tag, self.container(top), False, False))
             return
-        number = top.number
-        if tag in _BLOCK and not inside_article:
-            self.numbers += 1
-            number = self.numbers
-        self.stack.append(_Element(tag, number, own or inherited, header))
+        number = self.container(top) if tag in _BLOCK and not inside_article else top.number
+        self.stack.append(_Element(tag, number, own or inherited, header, top.link or tag == "a"))
+
+    def container(self, around):
+        self.parents.append(around.number)
+        return len(self.parents) - 1
 
     def handle_startendtag(self, tag, attrs):
         if tag in _VOID:
@@ -135,7 +142,10 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        self.data.append("" if self.stack[-1].dropped else data)
+        top = self.stack[-1]
+        self.data.append("" if top.dropped else data)
+        if top.link and not top.dropped:
+            self.links += len(_SPACE.sub(" ", data))
 
     def end_line(self):
         top = self.stack[-1]
@@ -143,8 +153,8 @@ class _Lines(HTMLParser):
         if top.dropped or self.drop_line or (top.header and not self.heading):
             text = ""
         if text or self.tags:
-            self.lines.append((text, self.tags, top.number))
-        self.data, self.tags = [], 0
+            self.lines.append((text, self.tags, top.number, min(self.links, len(text))))
+        self.data, self.tags, self.links = [], 0, 0
         self.heading = self.drop_line = False
 
 
@@ -167,6 +177,59 @@ def _threshold(values: np.ndarray) -> float:
         at = new
 
 
+def _of_links(lines: list[tuple[str, int, int, int]]) -> bool:
+    """Whether most of the text of lines is in links."""
+    return 2 * sum(links for *_, links in lines) > sum(len(text) for text, *_ in lines)
+
+
+def _outermost(lines: list[tuple[str, int, int, int]], parents: list[int], marked: list[int]) -> set[int]:
+    """Lines of the smallest container around all marked lines.
+
+    Its blocks before the first and after the last marked line are left out if they are links.
+    """
+
+    def path(k: int) -> list[int]:
+        found = [lines[k][2]]
+        while found[-1]:
+            found.append(parents[found[-1]])
+        return found[::-1]
+
+    paths = {k: path(k) for k, line in enumerate(lines) if line[0]}
+    common = paths[marked[0]]
+    for k in marked[1:]:
+        same = [a == b for a, b in zip(common, paths[k], strict=False)]
+        common = common[: same.index(False) if False in same else len(same)]
+    depth = len(common)
+    blocks: dict[tuple[int, ...], list[int]] = {}
+    for k, of in paths.items():
+        if of[:depth] == common:  # a line of the container itself is a block alone
+            blocks.setdefault((of[depth],) if len(of) > depth else (-1, k), []).append(k)
+    kept = [b for b in blocks.values() if b[-1] >= marked[0] and b[0] <= marked[-1] or not _of_links([lines[k] for k in b])]
+    return {k for b in kept for k in b}
+
+
+def _content(parser: _Lines) -> set[int]:
+    """Which lines are content."""
+    lines = parser.lines
+    some = np.array([bool(text) for text, *_ in lines])
+    plain = np.array([len(text) - links for text, _, _, links in lines])
+    ratios = np.log1p(plain / np.maximum(1, [tags for _, tags, *_ in lines]))
+    middle = np.median(ratios[plain > 0]) if (plain > 0).any() else 0.0
+    smooth = _smooth(np.minimum(ratios, middle))
+    upper = some & (smooth >= _threshold(smooth))
+    marked = np.flatnonzero(upper).tolist() or [max(np.flatnonzero(some).tolist(), key=lambda k: smooth[k])]
+    inside: dict[int, list[int]] = {}
+    for k in np.flatnonzero(some).tolist():
+        if lines[k][2] in parser.articles:
+            inside.setdefault(lines[k][2], []).append(k)
+    if not inside:
+        return _outermost(lines, parser.parents, marked)
+    articles = {a for a, of in inside.items() if not _of_links([lines[k] for k in of])}
+    # Beside an article, a block of long lines is content too.
+    beside = {lines[k][2] for k in marked if ratios[k] >= middle}
+    return {k for k in np.flatnonzero(some).tolist() if lines[k][2] in articles | beside}
+
+
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks, white space made one space, joined by two newlines."""
     if not html:
@@ -177,16 +240,9 @@ def main_text(html: str | None) -> str:
         parser.feed(html[start : start + FEED])
     parser.close()
     parser.end_line()
-    if not any(text for text, _, _ in parser.lines):
+    if not any(text for text, *_ in parser.lines):
         return ""
-    smooth = _smooth(np.array([len(text) / max(1, tags) for text, tags, _ in parser.lines]))
-    least = _threshold(smooth)
-    with_text = [bool(text) for text, _, _ in parser.lines]
-    marked = {c for (_, _, c), value, some in zip(parser.lines, smooth, with_text, strict=True) if some and value >= least}
-    if not marked:
-        best = max((k for k, some in enumerate(with_text) if some), key=lambda k: smooth[k])
-        marked = {parser.lines[best][2]}
-    return "\n\n".join(text for text, _, container in parser.lines if text and container in marked)
+    return "\n\n".join(parser.lines[k][0] for k in sorted(_content(parser)))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

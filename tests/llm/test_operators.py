@@ -247,6 +247,27 @@ def test_html_text(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+LINE = "A usual line of some twenty words of plain text that stands in its section of a page, no more than that."
+SECTIONS = [f"<section><h2>Part {k}</h2><p>{LINE} {k}</p><ul><li>item {k} a</li><li>item {k} b</li></ul></section>" for k in range(12)]
+SECTIONS[5] += f"<div><p>{LINE * 300}</p></div>"
+LINKS = "<div>" + "".join(f"<div><a href='/{k}'>Another page {k}</a></div>" for k in range(8)) + "</div>"
+
+
+@pytest.mark.parametrize("around", ["{}", "<div>{}</div>", "<main>{}</main>"])
+def test_one_long_line_hides_no_section(around):
+    body = "".join(SECTIONS) + "<table><tr><td>x</td><td>1</td></tr></table>"
+    found = html_text.main_text(f"<body>{LINKS}{around.format(body)}{LINKS}</body>").split("\n\n")
+    assert found[0] == "Part 0" and found[-2:] == ["x", "1"]
+    for k in range(12):
+        assert {f"Part {k}", f"{LINE} {k}", f"item {k} a", f"item {k} b"} <= set(found)
+    assert LINE * 300 in found and not any("Another page" in line for line in found)
+
+
+def test_every_article_counts():
+    found = html_text.main_text(f"<article><p>{LINE * 200}</article><article><h2>Short</h2><p>A few words.</article>")
+    assert found.split("\n\n")[1:] == ["Short", "A few words."]
+
+
 # 6
 
 
