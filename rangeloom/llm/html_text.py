@@ -7,6 +7,9 @@ median, are smoothed by a Gaussian and split into two clusters by a threshold; l
 the upper one mark content. The content is then all articles of the page, or without one
 the lines of the smallest element around all marked lines, except blocks of links before
 the first and after the last of them. So a short paragraph, a list or a heading is not lost.
+
+Class names and ids like "search" or "notice" drop an element outside articles. Within one
+they do so only if the element also has little text for its tags, or mostly links.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from rangeloom.llm.common import bound_batches
 SIGMA = 1.5
 #: Characters given to the parser at a time.
 FEED = 1 << 16
+#: Within an article, an element that class or id marks goes if it has fewer characters for each tag.
+LEAST_RATIO = 20
 
 # HTML's element names by what they do to a page's text.
 _BLOCK = frozenset(
@@ -47,7 +52,9 @@ _MARKS = frozenset(
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search share sharing "
     "social related recommended recommendations teaser trending pagination pager copyright disclaimer toolbar".split()
 )
-_COMMENT_MARKS = frozenset("comment comments commentlist disqus respond reply replies discussion".split())
+_HEADER_MARKS = frozenset("header masthead banner".split())
+_COMMENT_MARKS = frozenset("comment comments commentlist disqus".split())
+_REPLY_MARKS = frozenset("respond reply replies discussion".split())
 _SPACE = re.compile(r"\s+")
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -59,16 +66,18 @@ def _marks(attrs: dict[str, str | None]) -> set[str]:
 
 
 class _Element:
-    __slots__ = ("dropped", "header", "link", "number", "tag")
+    __slots__ = ("dropped", "group", "header", "link", "number", "tag")
 
-    def __init__(self, tag: str, number: int, dropped: bool, header: bool, link: bool = False):
-        self.tag, self.number, self.dropped, self.header, self.link = tag, number, dropped, header, link
+    def __init__(self, tag: str, number: int, dropped: bool, header: bool, link: bool = False, group: int = 0):
+        self.tag, self.number, self.dropped, self.header, self.link, self.group = tag, number, dropped, header, link, group
 
 
 class _Lines(HTMLParser):
     """Cuts a page into lines of ``(text, tags, container, characters in links)``; a dropped line has no text.
 
     ``parents`` has the container around each container, ``articles`` those that are articles.
+    ``groups`` has the lines of each element within an article that class or id marks, and
+    whether its headings stay; no group holds another.
     """
 
     def __init__(self):
@@ -76,10 +85,12 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int]] = []
         self.parents = [0]
         self.articles: set[int] = set()
+        self.groups: list[tuple[list[int], bool]] = [([], True)]
         self.stack = [_Element("", 0, False, False)]
         self.data: list[str] = []
-        self.tags, self.links = 0, 0
+        self.tags, self.links, self.line_group = 0, 0, 0
         self.heading = self.drop_line = False
+        self.headings: set[int] = set()
 
     def handle_starttag(self, tag, attrs):
         if tag in _BLOCK:
@@ -92,8 +103,12 @@ class _Lines(HTMLParser):
         values = dict(attrs)
         marks = _marks(values) if values else set()
         top = self.stack[-1]
+        inside_article = any(e.tag in ("article", "main") for e in self.stack)
+        furniture = bool(marks & (_MARKS | _REPLY_MARKS)) and not marks & {"with", "has", "no"}
         if tag in _NO_END:
-            self.drop_line |= tag in _BLOCK and not top.dropped and bool(marks & (_MARKS | _COMMENT_MARKS))
+            if tag in _BLOCK and not top.dropped:
+                self.drop_line |= bool(marks & _COMMENT_MARKS) or (furniture and not inside_article)
+                self.line_group = self.group(marks) if furniture and inside_article and not top.group else 0
             return
         self.heading = self.heading or tag in _HEADINGS
         hidden = "hidden" in values or values.get("aria-hidden") == "true"
@@ -103,10 +118,9 @@ class _Lines(HTMLParser):
             or values.get("role") in _DROPPED_ROLES
             or hidden
             or bool(marks & _COMMENT_MARKS)
-            or (not content and bool(marks & _MARKS) and not marks & {"with", "has", "no"})
+            or (not content and furniture and not inside_article)
             or (tag == "article" and bool(marks & {"related", "teaser", "recommended", "promo"}))
         )
-        inside_article = any(e.tag in ("article", "main") for e in self.stack)
         header = top.header or (tag == "header" and inside_article)
         own |= tag == "header" and not inside_article
         if inside_article and tag in _HEADINGS and not hidden:
@@ -118,7 +132,14 @@ class _Lines(HTMLParser):
             self.stack.append(_Element(tag, self.container(top), False, False))
             return
         number = self.container(top) if tag in _BLOCK and not inside_article else top.number
-        self.stack.append(_Element(tag, number, own or inherited, header, top.link or tag == "a"))
+        group = top.group
+        if furniture and inside_article and not group and not content and tag in _BLOCK:
+            group = self.group(marks)
+        self.stack.append(_Element(tag, number, own or inherited, header, top.link or tag == "a", group))
+
+    def group(self, marks):
+        self.groups.append(([], bool(marks & _HEADER_MARKS)))
+        return len(self.groups) - 1
 
     def container(self, around):
         self.parents.append(around.number)
@@ -153,11 +174,24 @@ class _Lines(HTMLParser):
         if top.dropped or self.drop_line or (top.header and not self.heading):
             text = ""
         if text or self.tags:
+            if self.heading:
+                self.headings.add(len(self.lines))
+            self.groups[top.group or self.line_group][0].append(len(self.lines))
             self.lines.append((text, self.tags, top.number, min(self.links, len(text))))
-        self.data, self.tags, self.links = [], 0, 0
+        self.data, self.tags, self.links, self.line_group = [], 0, 0, 0
         self.heading = self.drop_line = False
 
 
+    def drop_marked(self):
+        """Take the text from marked elements within articles that look like furniture, too."""
+        for at, keep_headings in self.groups[1:]:
+            at = [k for k in at if not (keep_headings and k in self.headings)]
+            lines = [self.lines[k] for k in at]
+            if _of_links(lines) or sum(len(text) for text, *_ in lines) < LEAST_RATIO * sum(max(1, tags) for _, tags, *_ in lines):
+                for k in at:
+                    self.lines[k] = ("", *self.lines[k][1:3], 0)
+
+
 def _smooth(ratios: np.ndarray) -> np.ndarray:
     radius = int(np.ceil(3 * SIGMA))
     kernel = np.exp(-0.5 * (np.arange(-radius, radius + 1) / SIGMA) ** 2)
@@ -240,6 +274,7 @@ def main_text(html: str | None) -> str:
         parser.feed(html[start : start + FEED])
     parser.close()
     parser.end_line()
+    parser.drop_marked()
     if not any(text for text, *_ in parser.lines):
         return ""
     return "\n\n".join(parser.lines[k][0] for k in sorted(_content(parser)))

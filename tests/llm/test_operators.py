@@ -268,6 +268,19 @@ def test_every_article_counts():
     assert found.split("\n\n")[1:] == ["Short", "A few words."]
 
 
+def test_marks_alone_drop_nothing_of_an_article():
+    kept = ["The title", f"{LINE} 1", "Searching", f"{LINE} 2", f"{LINE} 3", f"{LINE} 4", "Discussion", f"{LINE} 5"]
+    page = (
+        "<article><div class='article-header'><h1>The title</h1><span>By one</span></div><p>{1}</p>"
+        "<section id='search'><h2>Searching</h2><p>{3}</p></section><p class='notice'>{4}</p>"
+        "<div class='share'><a href='x'>Share this page with everybody you know</a></div>"
+        "<div class='related'><h3>More</h3><ul><li><a href='y'>Another page of this site, at length</a></li></ul></div>"
+        "<section id='social-impact'><p>{5}</p></section><section id='discussion'><h2>Discussion</h2><p>{7}</p></section>"
+        "<div class='comments'><p>A reader's long comment on the text of this page.</p></div></article>"
+    ).format(*kept)
+    assert html_text.main_text(page).split("\n\n") == kept
+
+
 # 6
 
 
