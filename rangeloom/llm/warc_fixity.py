@@ -8,6 +8,8 @@ The audit hashes each record of a file, then ranges of :data:`RANGE_BYTES` of th
 from the hashes of the records that begin there, in the order of offsets, then ranges of
 :data:`FANOUT` ranges, up to a root per file. Replicas compare roots, and only below a
 root or range that differs are the next finer ranges looked at, down to the records.
+There records are aligned by their digests, then by id and order in the file: after one
+that was truncated, lengthened, lost or added, all others have another offset.
 """
 
 from __future__ import annotations
@@ -138,10 +140,12 @@ def _differing(ours: DataFrame, theirs: DataFrame, key: list[str], digest: str)
 def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """Records that two replicas of an archive do not agree on, as read by :func:`read_archive`.
 
-    One row per file and offset: ``file, offset, page_id, status`` ("differs", "missing" in
-    ``theirs`` or "extra" there), both payload digests and ``ours_sound`` and
-    ``theirs_sound``: whether the payload has the digest its own header states. Equal
-    replicas, two empty ones too, give no rows.
+    One row per record: ``file, offset, page_id, status`` ("differs", "missing" in
+    ``theirs``, "extra" there, or "moved"), both payload digests and ``ours_sound`` and
+    ``theirs_sound``: whether the payload has the digest its own header states. ``offset``
+    is that in ``ours``, of extra records that in ``theirs``. "moved" are records at whose
+    offset another one stands, in files that have the same records in another order.
+    Equal replicas, two empty ones too, give no rows.
     """
     ours, theirs = write_once(ours), write_once(theirs)
     levels = _levels_for(ours, theirs)
@@ -156,15 +160,42 @@ def audit(ours: DataFrame, theirs: DataFrame) -> DataFrame:
         ]
         bad = write_once(_differing(*below, ["file", "range"], "digest"))
     number = F.floor(F.col("offset") / RANGE_BYTES)
-    sides = []
-    for records, side in ((ours, "ours"), (theirs, "theirs")):
-        found = records.withColumn("range", number).join(bad, ["file", "range"], "left_semi")
-        sides.append(found.select("file", "offset", *[F.col(c).alias(f"{side}_{c}") for c in ("page_id", "payload", "stated", "record")]))
-    both = sides[0].join(sides[1], ["file", "offset"], "full")
-    both = both.where(~F.col("ours_record").eqNullSafe(F.col("theirs_record")))
+    columns = ["file", "offset", "page_id", "payload", "stated", "record"]
+    sides = [
+        records.withColumn("range", number).join(bad, ["file", "range"], "left_semi").select(*columns) for records in (ours, theirs)
+    ]
+    # Ranges that agree have as many copies of a record in both, so the copies in the others tell.
+    signed = [s.select("file", "record", F.lit(sign).alias("sign")) for s, sign in zip(sides, (1, -1), strict=True)]
+    uneven = write_once(signed[0].union(signed[1]).groupBy("file", "record").agg(F.sum("sign").alias("net")).where("net <> 0"))
+    last = Window.partitionBy("file", "record").orderBy(F.col("offset").desc())
+    place = Window.partitionBy("file", "page_id").orderBy("offset")
+    left = []
+    for records, name, net in ((sides[0], "ours", F.col("net")), (sides[1], "theirs", -F.col("net"))):
+        surplus = uneven.select("file", "record", net.alias("net")).where("net > 0")
+        found = records.join(surplus, ["file", "record"]).withColumn("copy", F.row_number().over(last)).where("copy <= net")
+        found = found.withColumn("place", F.row_number().over(place))
+        left.append(found.select(*[F.col(c).alias(f"{name}_{c}") for c in [*columns, "place"]]))
+    same = F.lit(True)
+    for c in ("file", "page_id", "place"):
+        same = same & F.col(f"ours_{c}").eqNullSafe(F.col(f"theirs_{c}"))
     status = F.when(F.col("theirs_record").isNull(), "missing").when(F.col("ours_record").isNull(), "extra").otherwise("differs")
+    both = left[0].join(left[1], same, "full").withColumn("status", status)
+    reordered = write_once(bad.select("file").distinct().join(uneven, "file", "left_anti"))
+    if not reordered.isEmpty():
+        kept = [
+            s.join(reordered, "file", "left_semi").select(*[F.col(c).alias(f"{name}_{c}") for c in columns])
+            for s, name in zip(sides, ("ours", "theirs"), strict=True)
+        ]
+        at = (F.col("ours_file") == F.col("theirs_file")) & (F.col("ours_offset") == F.col("theirs_offset"))
+        moved = kept[0].join(kept[1], at, "left").where(~F.col("ours_record").eqNullSafe(F.col("theirs_record")))
+        # What stands at the offset is another record; the moved one is the same in both.
+        moved = moved.select(
+            *[F.col(f"ours_{c}") for c in columns], *[F.col(f"ours_{c}").alias(f"theirs_{c}") for c in columns],
+            F.lit("moved").alias("status"),
+        )
+        both = both.drop("ours_place", "theirs_place").unionByName(moved)
     return both.select(
-        "file", "offset", F.coalesce("ours_page_id", "theirs_page_id").alias("page_id"), status.alias("status"),
+        *[F.coalesce(f"ours_{c}", f"theirs_{c}").alias(c) for c in ("file", "offset", "page_id")], "status",
         "ours_payload", "theirs_payload",
         (F.col("ours_payload") == F.col("ours_stated")).alias("ours_sound"),
         (F.col("theirs_payload") == F.col("theirs_stated")).alias("theirs_sound"),

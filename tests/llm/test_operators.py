@@ -414,3 +414,23 @@ def test_warc_fixity(spark, tmp_path):
     none = a.where("false")
     assert warc_fixity.audit(none, none).count() == 0
     assert {r["status"] for r in warc_fixity.audit(none, a).collect()} == {"extra"}
+
+
+def test_audit_after_shifts(spark, tmp_path):
+    rows = [(k, None, f"<p>{'y' * (k * 37 % 900)} {k}") for k in range(1200)] + [(50, None, "<p>twice")] * 3
+    columns = "page_id bigint, url string, html string"
+    pages = spark.createDataFrame(rows, columns).coalesce(1)
+    shorter = F.when(F.col("page_id") == 20, F.lit("<p>")).when(F.col("page_id") == 700, F.concat("html", F.lit("more")))
+    added = spark.createDataFrame([(5000, None, "new")], columns)
+    lost = pages.where("page_id <> 300").union(added).coalesce(1)
+    turned = spark.createDataFrame([rows[1], rows[0], *rows[2:]], columns).coalesce(1)
+    read = {}
+    for name, frame, stored in (("a", pages, None), ("b", lost, shorter), ("c", turned, None), ("d", pages.limit(1202), None)):
+        warc_fixity.write_archive(frame, str(tmp_path / name), "trial", stored=stored)
+        read[name] = warc_fixity.read_archive(spark, str(tmp_path / name), "trial")
+    found = warc_fixity.audit(read["a"], read["b"]).collect()
+    assert sorted((r["page_id"], r["status"]) for r in found) == [(20, "differs"), (300, "missing"), (700, "differs"), (5000, "extra")]
+    assert all(not r["theirs_sound"] and r["ours_sound"] for r in found if r["status"] == "differs")
+    found = warc_fixity.audit(read["a"], read["c"]).collect()
+    assert {(r["page_id"], r["status"]) for r in found} == {(0, "moved"), (1, "moved")}
+    assert [(r["page_id"], r["status"]) for r in warc_fixity.audit(read["a"], read["d"]).collect()] == [(50, "missing")]
