@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rangeloom.llm import (
     decontaminate,
+    hard_negatives,
     html_text,
     jaccard_join,
     language_id,
@@ -159,3 +160,34 @@ def op10_warc_fixity(spark, folder):
     warc_fixity.write_archive(pages, f"{target}/theirs", name, stored=damaged)
     replicas = [warc_fixity.read_archive(spark, f"{target}/{side}", name) for side in ("ours", "theirs")]
     return warc_fixity.audit(*replicas).drop("file", "offset")
+
+
+_NEGATIVES_SQL = """
+WITH rows AS (
+  SELECT row_number() OVER () AS place, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.place AS anchor, a.vec_id AS anchor_id, a.label AS anchor_label, c.place, c.vec_id, c.label,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM rows a JOIN rows c ON a.place <> c.place WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS n
+                 FROM scored WHERE label = anchor_label) WHERE n <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scored s ON s.anchor = p.anchor AND s.label <> s.anchor_label
+   AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+@_register(_NEGATIVES_SQL)
+def op11_hard_negatives(spark, folder):
+    vectors, vec_id = table(spark, folder, "embeddings"), F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), vec_id % 100 == 0)
