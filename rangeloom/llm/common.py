@@ -259,22 +259,60 @@ def discard(*written: DataFrame) -> None:
         delete(df.sparkSession, df.step_path)
 
 
+def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's links as stars: each node with the smallest one it reaches within the task."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = [x for x in parent if root(x) != x]
+    for k in range(0, len(nodes), 1 << 16):
+        own = nodes[k : k + (1 << 16)]
+        yield pa.record_batch([pa.array(own, pa.int64()), pa.array(map(root, own), pa.int64())], names=["u", "v"])
+
+
+def spanning_links(links: DataFrame) -> DataFrame:
+    """Links ``(u, v)`` with the same components, at most one per node and task.
+
+    Dealt out by the larger end, so that a node's links to many others meet in one task
+    (they are pre-aggregated by :func:`_spanning`, in memory of the task's nodes).
+    """
+    lined = links.repartition("u").mapInArrow(_spanning, "u bigint, v bigint")
+    return lined.distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node points at one other, which points at none."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+    )
+    per_node = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return per_node.where("out > 1 OR out = 1 AND into = 1").isEmpty()
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable node of every node that has a link: ``(node, component)``.
 
-    Rounds of pointing all neighbours of a node at the smallest of them (larger ones
-    first, then smaller ones), which ends after about log(diameter) rounds. The two
-    steps of a round aggregate a minimum per node and join it back; both survive a node
-    with very many links (partial aggregation, skew-join splitting).
+    Each task first reduces its links to a spanning forest of them. Then follow rounds of
+    pointing all neighbours of a node at the smallest of them (larger ones first, then
+    smaller ones), which end after about log(diameter) rounds. The two steps of a round
+    aggregate a minimum per node and join it back; both survive a node with very many
+    links (partial aggregation, skew-join splitting).
     """
-    edges = write_once(
-        links.select(F.col(a).alias("u"), F.col(b).alias("v"))
-        .where("u <> v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct()
-    )
-    before = None
-    while True:
+    apart = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).where("u <> v")
+    edges = write_once(spanning_links(apart.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))))
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (
@@ -291,9 +329,5 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         after = write_once(small)
         discard(edges)
         edges = after
-        mark = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if mark == before:
-            break
-        before = mark
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())

@@ -13,6 +13,7 @@ from rangeloom.llm import (
     decontaminate,
     hard_negatives,
     html_text,
+    hyper_minhash,
     jaccard_join,
     language_id,
     mixing,
@@ -125,7 +126,35 @@ def op9_substring_dedup(spark, folder):
     return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept_text")
 
 
-@_register()
+def _near_sql(size: int, columns: str) -> str:
+    """Components of documents whose sets of word runs share 80% of their union."""
+    return rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-
+]+') AS words FROM documents
+), runs AS (
+  SELECT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < {size} THEN [list_aggregate(words, 'string_agg', ' ')]
+    ELSE list_distinct([list_aggregate(words[i:i + {size - 1}], 'string_agg', ' ') FOR i IN range(1, len(words) - {size - 2})]) END) AS run
+  FROM docs
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM runs a JOIN runs b ON a.run = b.run AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s >= 80 * (x.n + y.n - s)
+), sides AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT a AS node, a AS other FROM sides UNION SELECT r.node, b.b FROM reached r JOIN sides b ON b.a = r.other
+), least AS (
+  SELECT node, min(other) AS component FROM reached GROUP BY node
+)
+SELECT {columns} FROM documents d LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN least l ON l.node = d.doc_id
+"""
+
+
+@_register(_near_sql(5, "d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id"))
 def op7_jaccard_join(spark, folder):
     return jaccard_join.near_duplicates(table(spark, folder, "documents"))
 
@@ -191,3 +220,11 @@ def op11_hard_negatives(spark, folder):
     vectors, vec_id = table(spark, folder, "embeddings"), F.col("vec_id")
     label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(vectors.withColumn("label", label), vec_id % 100 == 0)
+
+
+@_register(
+    _near_sql(2, "d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id, "
+                 "coalesce(l.component, d.doc_id) = d.doc_id AS kept")
+)
+def op12_hyper_minhash(spark, folder):
+    return hyper_minhash.near_duplicates(table(spark, folder, "documents"))
