@@ -18,6 +18,7 @@ from rangeloom.llm import (
     language_id,
     mixing,
     order_minhash,
+    prefix_trie,
     quality,
     substring_dedup,
     token_binary,
@@ -228,3 +229,48 @@ def op11_hard_negatives(spark, folder):
 )
 def op12_hyper_minhash(spark, folder):
     return hyper_minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+_TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+         md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS words
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(ord(x) AS BIGINT) FOR x IN string_split(CAST(c AS VARCHAR), '')]),
+           lambda done, byte: list_reduce(list_concat([xor(done, byte)], [CAST(0 AS BIGINT) FOR i IN range(8)]),
+             lambda v, bit: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM turns)
+), rebuilt AS (
+  SELECT v.c, 0 AS late, t.place, t.id, t.words FROM convs v JOIN turns t ON t.c = v.c - v.c % 20 AND t.place <= v.h
+  UNION ALL SELECT v.c, 1, t.place, t.id, t.words FROM convs v JOIN turns t ON t.c = v.c AND t.place > v.h
+), starts AS (
+  SELECT c, words, string_agg(id, '') OVER o AS start, row_number() OVER o AS depth
+  FROM rebuilt WINDOW o AS (PARTITION BY c ORDER BY late, place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+), lasts AS (
+  SELECT c, max(depth) AS depth FROM starts GROUP BY c
+), nodes AS (
+  SELECT s.start, s.depth, min(s.c) AS conv_id, count(*) AS n_convs, any_value(s.words) AS words,
+         coalesce(string_agg(CASE WHEN s.depth = l.depth THEN CAST(s.c AS VARCHAR) END, ',' ORDER BY s.c), '') AS ends
+  FROM starts s JOIN lasts l ON l.c = s.c GROUP BY s.start, s.depth
+), children AS (
+  SELECT left(start, 32 * (depth - 1)) AS start, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), below AS (
+  SELECT a.start, count(*) FILTER (k.n IS NULL) AS n_leaves, CAST(sum((b.n_convs - 1) * b.words) AS BIGINT) AS saved_tokens
+  FROM nodes a JOIN nodes b ON left(b.start, length(a.start)) = a.start LEFT JOIN children k ON k.start = b.start GROUP BY a.start
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, b.n_leaves, b.saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.start = n.start LEFT JOIN children k ON k.start = n.start
+LEFT JOIN nodes p ON n.depth > 0 AND p.start = left(n.start, 32 * (n.depth - 1))
+"""
+
+
+@_register(_TRIE_SQL)
+def op13_prefix_trie(spark, folder):
+    """The trie of conversations that begin as the first of their twenty does."""
+    own, conv = prefix_trie.turn_sequences(table(spark, folder, "conversations")), F.col("conv_id")
+    h = F.crc32(conv.cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(prefix_trie.with_first_turns(own, conv - conv % 20, h, 3))
