@@ -12,7 +12,8 @@ follow: 16 bits instead of 64, whatever the size of the set. Equal sets are one
    the threshold go; the others are verified on whole sets, for each node the best one first,
    then those that would still join two components.
 3. Groups that hold several components by then are compared register by register, in tiles of
-   bounded size, and what the estimate leaves is verified.
+   bounded size; nodes with a likely partner are compared again in tiles, on whole sets. What
+   a tile sends on is nodes, and a spanning forest of links, never pairs.
 
 A link is missed if all bands differ, which at a similarity of 0.8 has a probability of some
 10**-15, or by an estimate off by six standard deviations, some 10**-9.
@@ -46,8 +47,11 @@ SHINGLE = 2
 REGISTERS = 256
 BAND = 4
 MANTISSA = 10
-#: Nodes of a block of a group; a tile compares two blocks.
+#: Nodes of a block of a hub, and shingles of all their sets; a tile compares two blocks.
 BLOCK = 256
+BLOCK_SHINGLES = 1_000_000
+#: Shingles that sets are compared on at a time.
+COLUMNS = 4_096
 #: Pairs of one text that are verified by one task in one go.
 RUN = 256
 
@@ -238,69 +242,145 @@ def _across(pairs: DataFrame, components: DataFrame) -> DataFrame:
     return both.where("ca <> cb").drop("ca", "cb")
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch], chance: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Pairs of the rows of a tile that are likely to link and would join two components.
-
-    A pair that shares several bands comes from the first of them only.
-    """
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each tile, which come one after the other."""
     held: list[pa.RecordBatch] = []
-
-    def compare() -> pa.RecordBatch:
-        tile = pa.Table.from_batches(held)
-        band = tile.column("band")[0].as_py()
-        t1, t2 = tile.column("t1")[0].as_py(), tile.column("t2")[0].as_py()
-        node, n, component, block = (tile.column(c).to_numpy() for c in ("node", "n", "component", "block"))
-        raw = _sketches(tile.column("sketch"))
-        banded = np.stack([filled(own) for own in raw]).view(np.uint64)
-        left = np.flatnonzero(block == t1)
-        out = [np.empty((2, 0), np.int64)]
-        for i in left:
-            j = np.flatnonzero(
-                ((block == t2) if t1 != t2 else (node > node[i])) & (component != component[i])
-                & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i]))
-            )
-            j = j[(banded[j] == banded[i]).argmax(axis=1) == band]
-            if len(j):
-                _, likely = _likely(raw[j], raw[i], n[j], np.full(len(j), n[i]), chance)
-                j = j[likely]
-                out.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
-        a, b = np.concatenate(out, axis=1)
-        return pa.record_batch([a, b], names=["a", "b"])
-
     last = None
     for batch in batches:
-        mark = np.stack([batch.column(c).to_numpy() for c in ("key", "t1", "t2")])
+        mark = np.stack([batch.column(c).to_numpy() for c in ("hub", "t1", "t2")])
         cuts = [0, *(np.flatnonzero((mark[:, 1:] != mark[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if a == b:
                 continue
             if last is not None and tuple(mark[:, a]) != last:
-                yield compare()
+                yield pa.Table.from_batches(held)
                 held.clear()
             last = tuple(mark[:, a])
             held.append(batch.slice(a, b - a))
     if held:
-        yield compare()
+        yield pa.Table.from_batches(held)
+
+
+class _Tile:
+    """Nodes of two blocks of a hub (or of one), and which of them may be compared."""
+
+    def __init__(self, table: pa.Table):
+        self.hub, self.t1, self.t2 = (table.column(c)[0].as_py() for c in ("hub", "t1", "t2"))
+        self.node, self.n, self.component, self.block = (
+            table.column(c).to_numpy() for c in ("node", "n", "component", "block")
+        )
+        self.left = np.flatnonzero(self.block == self.t1)
+
+    def partners(self, i: int) -> np.ndarray:
+        """Nodes of another component and a size that allows a link, each pair once."""
+        place = self.block == self.t2 if self.t1 != self.t2 else self.node > self.node[i]
+        n, m = self.n, self.n[i]
+        fit = (self.component != self.component[i]) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
+        return np.flatnonzero(place & fit)
+
+
+def _likely_nodes(batches: Iterator[pa.RecordBatch], chance: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Nodes of a tile with a partner that is likely to link, by the estimate."""
+    for table in _tiles(batches):
+        tile, raw = _Tile(table), _sketches(table.column("sketch"))
+        marked = np.zeros(len(raw), bool)
+        for i in tile.left:
+            j = tile.partners(i)
+            if len(j):
+                _, likely = _likely(raw[j], raw[i], tile.n[j], np.full(len(j), tile.n[i]), chance)
+                marked[j[likely]] = True
+                marked[i] |= likely.any()
+        nodes = tile.node[marked]
+        yield pa.record_batch([np.full(len(nodes), tile.hub), nodes], names=["hub", "node"])
+
+
+def _shared_counts(sets: list[np.ndarray], left: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at ``left`` with all sets."""
+    sizes = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, column, several = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
+    kept = several[column] > 1
+    row, column = row[kept], np.unique(column[kept], return_inverse=True)[1]
+    out = np.zeros((len(left), len(sets)), np.float32)  # exact below 2**24
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        part = slice(*np.searchsorted(column, [a, a + COLUMNS]))
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[part], column[part] - a] = 1
+        out += held[left] @ held.T
+    return out
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a tile between components, as a spanning forest of them."""
+    for table in _tiles(batches):
+        sets = list(shingle_sets(texts_of(table.column("text"))))
+        keys = table.column("set_key").to_pylist()
+        own = [k for k, s in enumerate(sets) if xxhash.xxh3_128_hexdigest(s.tobytes()) == keys[k]]
+        tile = _Tile(table.take(pa.array(own, pa.int64()))) if own else None
+        pairs = []
+        if tile is not None and len(tile.left):
+            sets = [sets[k] for k in own]
+            shared = _shared_counts(sets, tile.left)
+            parent = {c: c for c in tile.component.tolist()}
+            for at, i in enumerate(tile.left):
+                j = tile.partners(i)
+                both = shared[at, j].astype(np.int64)
+                for k in j[100 * both >= 80 * (tile.n[i] + tile.n[j] - both)].tolist():
+                    a, b = _top(parent, int(tile.component[i])), _top(parent, int(tile.component[k]))
+                    if a != b:
+                        parent[a] = b
+                        pairs.append((int(tile.node[i]), int(tile.node[k])))
+        yield pa.record_batch([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _top(parent: dict[int, int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = x = parent[parent[x]]
+    return x
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of hubs, each for all tiles of its block: ``t1, t2``."""
+    sizes = rows.groupBy("hub").agg(
+        F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")
+    )
+    placed = rows.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    tiles = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return tiles.withColumn("t1", F.least("block", "other")).withColumn("t2", F.greatest("block", "other")).drop("other", "blocks")
+
+
+def _lined(tiles: DataFrame) -> DataFrame:
+    return tiles.repartition("hub", "t1", "t2").sortWithinPartitions("hub", "t1", "t2")
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame, components: DataFrame, chance: np.ndarray) -> DataFrame | None:
-    """Likely pairs within the groups that hold several components; None if there are no such groups."""
-    placed = _placed(members.select("key", "band", "node", "n"), components, "node", "component")
+def _open_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, components: DataFrame, chance: np.ndarray) -> DataFrame | None:
+    """Links within the groups that hold several components; None if there are no such groups.
+
+    The groups of one smallest node, in whatever bands, are compared as one hub: near
+    copies that meet in most bands are moved a few times, not once per band. No pair is a
+    row: the estimate gives nodes with a likely partner, the sets of those give a forest.
+    """
+    placed = _placed(members.select("key", "node", "n"), components, "node", "component")
+    least = F.min(F.struct(F.xxhash64("node").alias("h"), "node"))
     several = placed.groupBy("key").agg(
-        F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1")
-    ).where("c0 < c1")
-    open_ = write_once(placed.join(several.select("key", "members"), "key"))
-    if open_.isEmpty():
+        least.alias("p"), F.min("component").alias("c0"), F.max("component").alias("c1")
+    ).where("c0 < c1").select("key", F.col("p.node").alias("hub"))
+    hubs = write_once(placed.join(several, "key").select("hub", "node", "n", "component").distinct(), large=True)
+    if hubs.isEmpty():
         return None
-    blocks = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    dealt = open_.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    tiles = dealt.select("*", other).withColumn("t1", F.least("block", "other")).withColumn("t2", F.greatest("block", "other"))
-    rows = tiles.join(nodes.select("node", "sketch"), "node").select(
-        "key", "t1", "t2", "band", "node", "n", "component", "block", "sketch"
+    tiles = _dealt(hubs).join(nodes.select("node", "sketch"), "node")
+    columns = ("hub", "t1", "t2", "node", "n", "component", "block")
+    likely = _lined(tiles.select(*columns, "sketch")).mapInArrow(
+        lambda b: _likely_nodes(b, chance), "hub bigint, node bigint"
     )
-    lined = rows.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2")
-    return write_once(lined.mapInArrow(lambda b: _tile_pairs(b, chance), "a bigint, b bigint").distinct(), large=True)
+    rest = write_once(hubs.join(likely.distinct(), ["hub", "node"], "left_semi"), large=True)
+    tiles = _dealt(rest).join(texts, "node")
+    links = _lined(tiles.select(*columns, "set_key", "text")).mapInArrow(_tile_links, "a bigint, b bigint")
+    found = write_once(links, large=True)
+    discard(hubs, rest)
+    return found
 
 
 def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -318,11 +398,9 @@ def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     rest = write_once(_across(pairs.join(best, ["a", "b"], "left_anti"), components))
     links = links.unionByName(_verified(rest, texts))
     components = connected_components(links)
-    open_ = _open_pairs(members, nodes, components, chance)
-    if open_ is not None:
-        known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = links.unionByName(_verified(open_.join(known, ["a", "b"], "left_anti"), texts))
-        components = connected_components(links)
+    more = _open_links(members, nodes, texts, components, chance)
+    if more is not None:
+        components = connected_components(links.unionByName(more))
     discard(members, texts)
     return components
 
