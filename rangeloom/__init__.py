@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from rangeloom.operators.land import load_landed
+from rangeloom.operators.land import load_landed, read_landing
 from rangeloom.operators.load import Loaded, load, load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile, profile_spec
 from rangeloom.operators.sinks import to_arrow, to_pandas
@@ -23,6 +23,7 @@ __all__ = [
     "make_plan",
     "null_profile",
     "profile_spec",
+    "read_landing",
     "to_arrow",
     "to_pandas",
 ]

@@ -16,10 +16,20 @@ from rangeloom.plans.session import set_aside
 ROW_TAG = "__row_tag"
 
 
+# Kinds of plan nodes that make several rows of one, or put rows of several sources together.
+_FANNING = ("Join", "Generate", "Expand", "Union", "CoGroup", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow")
+
+
 def _fans_out(df: DataFrame) -> bool:
     """Whether a row of a source may become several rows."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(node in plan for node in ("Join", "Generate", "Expand", "Union"))
+    open_ = [df._jdf.queryExecution().optimizedPlan()]
+    while open_:
+        node = open_.pop()
+        if node.nodeName() in _FANNING:
+            return True
+        below = node.children()
+        open_ += [below.apply(i) for i in range(below.size())]
+    return False
 
 
 def with_row_tag(df: DataFrame, name: str = ROW_TAG) -> DataFrame:

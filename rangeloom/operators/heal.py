@@ -2,15 +2,19 @@
 
 A task that throws ends the whole job, so bad data is never thrown: which test a row
 failed is a value, the failures are summed up per range, and that verdict decides
-which ranges are replaced or rerun. The verdict is written to the
-checkpoint folder before it is used, so that all its uses agree.
+which ranges are replaced or rerun.
+
+Healing runs the source once. Rows are written as a safe decode gives them, those that
+failed a test to a folder of their own; how many there are is observed in passing. If
+there are none, that is the verdict; else it is found in that folder alone. What is read
+afterwards is what was written, so all uses of a verdict agree.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +25,16 @@ from rangeloom.functions.types import declared_name
 from rangeloom.operators.bind import bind_types, typed_columns
 from rangeloom.operators.counts import INDEX
 from rangeloom.plans.ranges import RangePlan
-from rangeloom.plans.session import cut_lineage
+from rangeloom.plans.session import cut_lineage, scratch_path
 
 REPORT = (
     f"{INDEX} bigint, lo bigint, hi bigint, expected_rows bigint, n_bad bigint, first_error string"
 )
 
+# Columns of flagged rows: which test a row failed and what that means, the key it has
+# (all NULL for good rows, and so next to nothing in Parquet), and whether it failed any.
+TEST, ERROR, FAILED_KEY, BAD = "__test", "__error", "__failed_key", "__bad"
+
 # A verdict of this many ranges (8 bytes each) is still broadcast; a longer one is
 # joined by a shuffle that cuts each range into so many parts per core of the cluster.
 BROADCAST_RANGES = 1_000_000
@@ -133,7 +141,7 @@ def _join_failed(rows: DataFrame, failed: DataFrame, n_failed: int, how: str) ->
     return spread.join(salted, ["__range", "__salt"], how).select(*columns, *added)
 
 
-def _without_failed(rows: DataFrame, verdict: Verdict) -> DataFrame:
+def without_failed(rows: DataFrame, verdict: Verdict) -> DataFrame:
     if verdict.n_failed == 0:
         return rows
     return _join_failed(rows, verdict.report.select(INDEX), verdict.n_failed, "left_anti")
@@ -165,6 +173,74 @@ def null_rows(report: DataFrame, schema: T.StructType, tagged: bool = False) ->
     return runs.selectExpr(INDEX, *place, *nulls)
 
 
+@dataclass(frozen=True)
+class Written:
+    """What was seen while flagged rows were written."""
+
+    rows: int
+    n_bad: int
+    n_null_keys: int
+
+
+def flagged(
+    named: DataFrame, schema: T.StructType, key: str, rule: str | None = None, check_utf8: bool = False
+) -> DataFrame:
+    """Rows as a safe decode gives them, with their index (and tag, if any), marked if they failed a test."""
+    tests = _tests(named, schema, rule, check_utf8)
+    cases = " ".join(f"WHEN {test} THEN {i}" for i, (test, _) in enumerate(tests))
+    test = f"CASE {cases} END" if tests else "CAST(NULL AS INT)"
+    meanings = ", ".join(sql_text(meaning) for _, meaning in tests)
+    kept = [INDEX, *([ROW_TAG] if ROW_TAG in named.columns else [])]
+    marked = bind_types(
+        named.selectExpr("*", f"{test} AS {TEST}", f"{quoted(key)} AS {FAILED_KEY}"),
+        schema, "safe", [*kept, TEST, FAILED_KEY], check_utf8,
+    )
+    failed = f"{TEST} IS NOT NULL"
+    return marked.selectExpr(
+        *kept, *map(quoted, schema.names), TEST,
+        f"CASE WHEN {failed} THEN array({meanings})[{TEST}] END AS {ERROR}" if tests else f"CAST(NULL AS STRING) AS {ERROR}",
+        f"CASE WHEN {failed} THEN CAST({FAILED_KEY} AS BIGINT) END AS {FAILED_KEY}",
+        f"{failed} AS {BAD}",
+    )
+
+
+def write_flagged(rows: DataFrame, path: str) -> Written:
+    """Write flagged rows, the bad ones apart, and count them on the way."""
+    seen = Observation()
+    watched = rows.observe(
+        seen, F.count("*").alias("rows"), F.count_if(F.col(BAD)).alias("n_bad"), F.count_if(F.col(INDEX).isNull()).alias("n_null")
+    )
+    watched.write.partitionBy(BAD).parquet(path)
+    found = seen.get
+    return Written(found["rows"], found["n_bad"], found["n_null"])
+
+
+def flagged_schema(schema: T.StructType, tagged: bool = False) -> T.StructType:
+    """The columns of :func:`flagged`."""
+    tag = [T.StructField(ROW_TAG, T.LongType())] if tagged else []
+    marks = [(TEST, T.IntegerType()), (ERROR, T.StringType()), (FAILED_KEY, T.LongType()), (BAD, T.BooleanType())]
+    return T.StructType([T.StructField(INDEX, T.LongType()), *tag, *schema.fields, *[T.StructField(*m) for m in marks]])
+
+
+def verdict_of(bad: DataFrame, key: str, plan: RangePlan, n_null_keys: int) -> DataFrame:
+    """The report on the ranges that bad flagged rows are in; their NULL keys are a range of ``n_null_keys`` rows."""
+    found = (
+        bad.groupBy(INDEX, TEST)
+        .agg(F.count("*").alias("n"), F.min(FAILED_KEY).alias("k"), F.first(ERROR).alias("error"))
+        .groupBy(INDEX)
+        .agg(F.sum("n").alias("n_bad"), F.expr(f"min(struct(k, {TEST}, error))").alias("first"))
+    )
+    place = f"coalesce(concat({sql_text(f', first at {key} ')}, first.k), {sql_text(', at a NULL key')})"
+    described = found.selectExpr(INDEX, *plan.describe(), "n_bad", f"concat(first.error, {place}) AS first_error")
+    known = [F.when(F.col(INDEX).isNotNull(), F.col(c)).alias(c) for c in ("lo", "hi")]
+    expected = F.when(F.col(INDEX).isNotNull(), F.col("expected_rows")).otherwise(F.lit(n_null_keys).cast("bigint"))
+    return described.select(INDEX, *known, expected.alias("expected_rows"), "n_bad", "first_error")
+
+
+def no_failures(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], REPORT)
+
+
 def heal_partitions(
     named: DataFrame,
     schema: T.StructType,
@@ -177,16 +253,21 @@ def heal_partitions(
 
     ``named`` holds the source values under their declared names, with a range index.
     Returns the rows (with their index, and their row tag if they came with one) and
-    the report of failed ranges.
+    the report of failed ranges. The source is run once, and not staged at all if no
+    column can fail.
     """
-    verdict = judge(named, schema, key, plan, rule, check_utf8)
-    # Values are cast safely: whatever does not fit sits in a range that is dropped.
-    tags = [ROW_TAG] if ROW_TAG in named.columns else []
-    clean = _without_failed(named, verdict)
-    rows = bind_types(clean, schema, "safe", [INDEX, *tags], check_utf8)
-    if verdict.n_failed:
-        rows = rows.unionByName(null_rows(verdict.report, schema, bool(tags)))
-    return rows, verdict.report
+    spark, tags = named.sparkSession, [ROW_TAG] if ROW_TAG in named.columns else []
+    if not _tests(named, schema, rule, check_utf8):
+        return bind_types(named, schema, "safe", [INDEX, *tags], check_utf8), no_failures(spark)
+    path = scratch_path(spark, "healed")
+    seen = write_flagged(flagged(named, schema, key, rule, check_utf8), path)
+    written = spark.read.schema(flagged_schema(schema, bool(tags))).parquet(path)
+    good = written.where(f"NOT {BAD}").selectExpr(INDEX, *tags, *map(quoted, schema.names))
+    if not seen.n_bad:
+        return good, no_failures(spark)
+    report = cut_lineage(verdict_of(written.where(BAD), key, plan, seen.n_null_keys))
+    rows = without_failed(good, Verdict(report, report.count()))
+    return rows.unionByName(null_rows(report, schema, bool(tags))), report
 
 
 def safe_rerun(

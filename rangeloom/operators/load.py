@@ -73,6 +73,7 @@ class Loaded:
     ):
         self.rows = rows
         self.batch_size = batch_size
+        self.landing: str | None = None  # where it landed, for read_landing
         self._make_plan = make_plan
         self._find_failures = find_failures
 
@@ -156,6 +157,8 @@ def load(
     split_by: str | None = None,
     splits: int = 1,
     landing: str | None = None,
+    unreadable: str = "fail",
+    max_failed: int | None = None,
 ) -> Loaded:
     """Load the query of a spec (an object, a dict or a YAML path).
 
@@ -166,12 +169,15 @@ def load(
     ``max_connections`` caps the statements that a database runs at a time;
     ``max_statements`` is how many there may be, finer plans being read in runs of
     adjacent ranges (``Loaded.plan`` stays the plan that was set). ``split_by`` and ``splits`` divide each of its ranges by a second integer,
-    for keys that repeat a lot. Rows come unordered unless ``ordered``.
+    for keys that repeat a lot. Rows come unordered unless ``ordered``. Healing, and any
+    landing, runs the source once and reads what it wrote.
 
     With ``landing``, a folder all executors share, ranges land there one by one: a range
     whose connection fails is healed like one with bad values, and a load that is started
     again goes on where it ended (:mod:`rangeloom.operators.land`). A database is read that
-    way, in a folder of its own, wherever ranges are healed or connections capped.
+    way, in a folder of its own, wherever ranges are healed or connections capped. A range
+    that cannot be read becomes NULL rows under ``"null_partition"``; under ``"safe"`` it ends
+    the load unless ``unreadable="null_rows"``. ``max_failed`` bounds how many there may be.
     """
     spec = as_spec(spec)
     options = dict(
@@ -183,7 +189,8 @@ def load(
 
         return load_landed(
             spark, spec, landing or scratch_path(spark, "landing"), rows_per_partition, parallelism=parallelism,
-            connections=max_connections or 8, split_by=split_by, splits=splits, **options,
+            connections=max_connections or 8, split_by=split_by, splits=splits, unreadable=unreadable,
+            max_failed=max_failed, **options,
         )
     cores = parallelism or default_parallelism(spark)
     if spec.runs_on_session:

@@ -36,11 +36,14 @@ def to_pandas(data: DataFrame | pa.Table) -> pd.DataFrame:
 
 
 def create_table(
-    spark: SparkSession, name: str, schema: T.StructType, format: str = "parquet"
+    spark: SparkSession, name: str, schema: T.StructType, format: str = "parquet", path: str | None = None
 ) -> None:
-    """Drop the table if it exists and create it empty with the declared columns."""
+    """Drop the table if it exists and create it empty with the declared columns.
+
+    With ``path`` its files are there, and stay when the table is dropped.
+    """
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, source=format, schema=schema)
+    spark.catalog.createTable(name, path=path, source=format, schema=schema)
 
 
 def insert_select(df: DataFrame, table: str) -> None:

@@ -6,6 +6,7 @@ tuned for is fixed, so that results do not depend on the machine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -24,13 +25,14 @@ from rangeloom.operators.heal import (
     safe_rerun,
 )
 from rangeloom.operators import sinks
-from rangeloom.operators.land import load_landed
-from rangeloom.operators.layout import range_layout
+from rangeloom.operators.land import load_landed, read_landing
+from rangeloom.operators.layout import analyze_table, range_layout
 from rangeloom.operators.load import load_parquet, load_table
 from rangeloom.operators.profile import decode_profile, null_profile
+from rangeloom.operators.report import timed_load
 from rangeloom.plans import ranges
 from rangeloom.plans.ranges import RangePlan, make_plan
-from rangeloom.plans.session import scratch_path, set_aside
+from rangeloom.plans.session import JOB_ERRORS, cause_of, scratch_path, set_aside
 from rangeloom.sources import queries as sources
 from rangeloom.sources.dump import (
     blob_status,
@@ -92,18 +94,6 @@ _ORDER_SELECT = """
     o_orderkey AS id, CAST(o_custkey AS INTEGER) AS customer_id, o_orderstatus AS status,
     o_totalprice AS total_price, o_orderdate AS ordered_at, o_orderpriority AS priority"""
 
-LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate", "l_tax"]
-LINE_SCHEMA = struct_of([
-    ("id", "Int64"),
-    ("line_number", "Int32"),
-    ("quantity", "Float32"),
-    ("return_flag", "Utf8"),
-    ("shipped_on", "Date32"),
-    ("tax", "Float64"),
-])
-_LINE_SELECT = """
-    l_orderkey AS id, l_linenumber AS line_number, CAST(l_quantity AS FLOAT) AS quantity,
-    l_returnflag AS return_flag, CAST(l_shipdate AS DATE) AS shipped_on, l_tax AS tax"""
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
@@ -406,12 +396,23 @@ def safe_cast(spark, folder):
     return positional_bind(_dirty_events(spark, folder), DIRTY_SCHEMA, "safe")
 
 
-@_register("SELECT o_orderkey AS id, CAST(o_custkey AS INTEGER) AS customer_id FROM orders")
+@_register(f"SELECT {_ORDER_SELECT} FROM orders")
 def strict_cast(spark, folder):
-    text = _table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
-    )
-    return positional_bind(text, struct_of([("id", "Int64"), ("customer_id", "Int32")]))
+    """All columns from their texts."""
+    text = _table(spark, folder, "orders").select(*[F.col(c).cast("string") for c in ORDER_COLUMNS])
+    return positional_bind(text, ORDER_SCHEMA)
+
+
+@_register("SELECT 'column ''customer_id'': ''bad'' is not Int32' AS error FROM orders LIMIT 1")
+def fatal_error(spark, folder):
+    """The error that ends a load of orders with a value that does not fit."""
+    customer = F.when(F.col("o_orderkey") % 100 == 7, "bad").otherwise(F.col("o_custkey").cast("string"))
+    source = _table(spark, folder, "orders").select(*ORDER_COLUMNS).withColumn("o_custkey", customer)
+    try:
+        load_table(source, ORDER_SCHEMA, key="o_orderkey").rows.write.format("noop").mode("overwrite").save()
+    except JOB_ERRORS as error:
+        said = cause_of(error)
+    return spark.createDataFrame([(said[said.index("column"):said.index("Int32") + 5],)], "error string")
 
 
 # -- profiles
@@ -681,7 +682,7 @@ _HURT = "if(o_orderkey = (SELECT min(o_orderkey) + 7 FROM parquet.`{orders}`), '
 def _land(spark, folder: str, customer: str, **options):
     spec = _orders_spec(folder, customer.format(orders=_path(folder, "orders")))
     return load_landed(
-        spark, spec, scratch_path(spark, "landing"), 2_500, parallelism=CORES, max_slices=4, **options
+        spark, spec, scratch_path(spark, "landing"), 2_500, parallelism=CORES, **options
     )
 
 
@@ -698,7 +699,7 @@ def landed_load(spark, folder):
         FROM (SELECT unnest(range(0, least(z - a + 1, 2500))) FROM b)"""
 )
 def landed_heal(spark, folder):
-    """A slice of several ranges fails; only the one with the bad value becomes NULL rows."""
+    """One scan lands all; only the range with the bad value becomes NULL rows."""
     return _land(spark, folder, _HURT).rows
 
 
@@ -720,13 +721,123 @@ def landed_safe_list(spark, folder):
     return _land(spark, folder, _HURT, on_error="safe").failures.select("partition_index", "lo", "hi")
 
 
+# Reading fails at one key of the second range, in any policy and however often it is tried.
+_LOST = """if(o_orderkey = (SELECT min(o_orderkey) + 2507 FROM parquet.`{orders}`),
+               CAST(raise_error('connection lost') AS STRING), """ + _HURT + ")"
+_SAFE_ORDERS = _ORDER_SELECT.replace(
+    "CAST(o_custkey AS INTEGER)", "CASE WHEN o_orderkey <> a + 7 THEN CAST(o_custkey AS INTEGER) END"
+)
+_LOST_ROWS = """
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL
+    FROM (SELECT unnest(range(0, greatest(0, least(z - a - 2499, 2500)))) FROM b)"""
+_BOUNDS_SQL = "WITH b AS (SELECT min(o_orderkey) AS a, max(o_orderkey) AS z FROM orders)"
+
+
+@_register(
+    f"""{_BOUNDS_SQL} SELECT {_ORDER_SELECT} FROM orders, b WHERE o_orderkey > a + 4999
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM (SELECT unnest(range(0, least(z - a + 1, 5000))) FROM b)"""
+)
+def landed_unreadable(spark, folder):
+    """A range with a bad value and one that cannot be read: both become NULL rows."""
+    return _land(spark, folder, _LOST).rows
+
+
+@_register(
+    f"""{_BOUNDS_SQL} SELECT {_SAFE_ORDERS} FROM orders, b WHERE o_orderkey NOT BETWEEN a + 2500 AND a + 4999
+        UNION ALL {_LOST_ROWS}"""
+)
+def landed_safe_unreadable(spark, folder):
+    """What can be read is decoded value by value, what cannot becomes NULL rows: no row is lost."""
+    return _land(spark, folder, _LOST, on_error="safe", unreadable="null_rows").rows
+
+
+@_register(f"{_BOUNDS_SQL} SELECT {_SAFE_ORDERS} FROM orders, b")
+def landed_resume(spark, folder):
+    """A landing that healed, read again from its log alone, under another policy."""
+    return read_landing(spark, _land(spark, folder, _HURT).landing, on_error="safe").rows
+
+
+@_register(
+    f"""{_BOUNDS_SQL} SELECT CAST(0 AS BIGINT) AS partition_index, a AS lo, least(a + 2499, z) AS hi,
+               least(2500, z - a + 1) AS expected_rows, CAST(1 AS BIGINT) AS n_bad,
+               'column ''customer_id'' is not Int32, first at id ' || CAST(a + 7 AS VARCHAR) AS first_error FROM b
+        UNION ALL SELECT 1, a + 2500, least(a + 4999, z), least(2500, z - a - 2499), NULL, 'connection lost' FROM b WHERE z >= a + 2507"""
+)
+def landed_resume_failures(spark, folder):
+    """The failures of a landing as its log has them."""
+    found = read_landing(spark, _land(spark, folder, _LOST).landing).failures
+    lost = F.when(F.col("n_bad").isNull(), F.regexp_extract("first_error", "connection lost", 0))
+    return found.withColumn("first_error", F.coalesce(lost, "first_error"))
+
+
+@_register("SELECT count(*) AS \"rows\", 6 AS n_columns, CAST(ceil((max(o_orderkey) - min(o_orderkey) + 1) / 1000.0) AS BIGINT) AS n_ranges FROM orders")
+def load_report(spark, folder):
+    """Rows counted in passing by a timed load, with its columns and ranges."""
+    def make():
+        return load_parquet(
+            spark, _path(folder, "orders"), ORDER_SCHEMA, ORDER_COLUMNS, key="o_orderkey", rows_per_partition=1000, parallelism=CORES
+        )
+
+    seen = timed_load(make)
+    return spark.createDataFrame([(seen.rows, len(seen.columns), seen.n_partitions)], "rows bigint, n_columns int, n_ranges bigint")
+
+
+def _new_table(spark) -> tuple[str, str]:
+    """A name no other run has, and a folder that is deleted when the driver ends."""
+    return f"rangeloom_{uuid.uuid4().hex}", scratch_path(spark, "table")
+
+
 @_register(f"SELECT {_ORDER_SELECT} FROM orders")
 def insert_select(spark, folder):
     """A table created with the declared columns and filled by position."""
-    name = "rangeloom_inserted"
-    sinks.create_table(spark, name, ORDER_SCHEMA)
-    sinks.insert_select(positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA), name)
-    return spark.table(name)
+    name, path = _new_table(spark)
+    sinks.create_table(spark, name, ORDER_SCHEMA, path=path)
+    try:
+        sinks.insert_select(positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA), name)
+        return spark.read.schema(ORDER_SCHEMA).parquet(path)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+@_register(
+    """SELECT unnest(['id', 'customer_id']) AS column_name, unnest([min(o_orderkey), min(o_custkey)]) AS least,
+              unnest([max(o_orderkey), max(o_custkey)]) AS greatest, CAST(0 AS BIGINT) AS nulls, count(*) AS "rows" FROM orders"""
+)
+def table_statistics(spark, folder):
+    """What the catalog knows of a table after it was analysed."""
+    name, path = _new_table(spark)
+    sinks.create_table(spark, name, ORDER_SCHEMA, path=path)
+    try:
+        sinks.insert_select(positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA), name)
+        analyze_table(spark, name, ["id", "customer_id"])
+        whole = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        rows = int(whole["Statistics"].split(" bytes, ")[1].split(" ")[0])
+        lines = []
+        for column in ("id", "customer_id"):
+            known = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE EXTENDED {name} {column}").collect()}
+            lines.append((column, int(known["min"]), int(known["max"]), int(known["num_nulls"]), rows))
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(lines, "column_name string, least bigint, greatest bigint, nulls bigint, rows bigint")
+
+
+_BY_STATUS = "SELECT o_orderstatus AS status, count(*) AS n, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM orders GROUP BY ALL"
+
+
+def _by_status(spark, folder) -> DataFrame:
+    """A result of a few rows, whatever the table."""
+    loaded = load_parquet(spark, _path(folder, "orders"), ORDER_SCHEMA, ORDER_COLUMNS, key="o_orderkey").rows
+    return loaded.groupBy("status").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@_register(_BY_STATUS)
+def arrow_result(spark, folder):
+    return spark.createDataFrame(sinks.to_arrow(_by_status(spark, folder)))
+
+
+@_register(_BY_STATUS)
+def pandas_result(spark, folder):
+    return spark.createDataFrame(sinks.to_pandas(sinks.to_arrow(_by_status(spark, folder))))
 
 
 # -- binary dumps
@@ -761,13 +872,24 @@ def dump_texts(spark, folder):
     return decode_blobs(encode_blobs(documents, DOCUMENT_SCHEMA), DOCUMENT_SCHEMA)
 
 
-@_register(f"SELECT {_LINE_SELECT} FROM lineitem")
+WHOLE_LINE = struct_of([
+    ("l_orderkey", "Int64"), ("l_partkey", "Int64"), ("l_suppkey", "Int64"), ("l_linenumber", "Int32"),
+    ("l_quantity", "Float64"), ("l_extendedprice", "Float64"), ("l_discount", "Float64"), ("l_tax", "Float64"),
+    ("l_returnflag", "Utf8"), ("l_linestatus", "Utf8"), ("l_shipdate", "Timestamp(Nanosecond, None)"),
+])
+
+
+def _line_dumps(spark, folder) -> str:
+    """All of lineitem as dump files in the shared folder."""
+    target = scratch_path(spark, "dumps")
+    write_dumps(positional_bind(_table(spark, folder, "lineitem").select(*WHOLE_LINE.names), WHOLE_LINE), target, WHOLE_LINE)
+    return target
+
+
+@_register("SELECT * FROM lineitem")
 def dump_file_splits(spark, folder):
     """Dump files in the shared folder, read back in several splits per file."""
-    lines = positional_bind(_table(spark, folder, "lineitem").select(*LINE_COLUMNS), LINE_SCHEMA)
-    target = scratch_path(spark, "dumps")
-    write_dumps(lines, target, LINE_SCHEMA)
-    return decode_files(spark, target, LINE_SCHEMA, split_bytes=DUMP_SPLIT_BYTES)
+    return decode_files(spark, _line_dumps(spark, folder), WHOLE_LINE, split_bytes=DUMP_SPLIT_BYTES)
 
 
 @_register('SELECT CAST(count(*) AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS failed FROM orders')

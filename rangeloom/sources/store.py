@@ -31,6 +31,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(place)
 
 
+def append_file(spark: SparkSession, path: str, text: str) -> None:
+    """Add a file that holds ``text``: under another name first, so that it is there whole or not at all."""
+    store, place = _hadoop(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place.getParent(), f".{place.getName()}.draft")
+    sink = store.create(draft, True)
+    sink.write(bytearray(text.encode()))
+    sink.close()
+    if not store.rename(draft, place):
+        raise OSError(f"{path} could not be written")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it; none is no error."""
     store, place = _hadoop(spark, path)

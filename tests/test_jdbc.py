@@ -105,7 +105,7 @@ def test_empty(database):
 def test_landed(database, tmp_path):
     loaded = load_landed(database, SPEC, str(tmp_path), 250, parallelism=2)
     line = loaded.failures.first()
-    assert (line.partition_index, line.lo, line.hi) == (1, 250, 499) and "is not Int32" in line.error
+    assert (line.partition_index, line.lo, line.hi) == (1, 250, 499) and line.first_error == "column 'n' is not Int32, first at id 333"
     rows = loaded.rows.collect()
     assert len(rows) == 990 - 248 + 250
     assert sum(r.id is None for r in rows) == 250
@@ -148,7 +148,7 @@ def test_a_failed_slice_is_cut_down_to_its_range(spark, tmp_path):
     rows = healed.rows.collect()
     assert [tuple(r) for r in rows if r.id is None] == [(11, None, None)] * 5 and len(rows) == 100
     assert [r.partition_index for r in rows] == [i // 5 for i in range(100)]
-    assert [tuple(r)[:4] for r in healed.failures.collect()] == [(11, 55, 59, 5)]
+    assert [tuple(r)[:5] for r in healed.failures.collect()] == [(11, 55, 59, 5, 1)]
     safe = load(spark, spec, 5, parallelism=2, on_error="safe", landing=str(tmp_path))
     assert safe.rows.where("n IS NULL").count() == 1 and safe.rows.count() == 100
     assert [r.partition_index for r in safe.failures.collect()] == [11]

@@ -102,7 +102,7 @@ def test_landing_heals_and_resumes(spark, tmp_path):
     loaded = land_ranges(spark, read_range, plan, schema, str(tmp_path))
     lines = sorted(loaded.failures.collect())
     assert [(r.partition_index, r.lo, r.hi, r.expected_rows) for r in lines] == [(3, 30, 39, 10), (7, 70, 79, 10)]
-    assert all("connection lost" in r.error for r in lines)
+    assert all("connection lost" in r.first_error and r.n_bad is None for r in lines)
     ids = [r.id for r in loaded.rows.collect()]
     assert ids.count(None) == 20 and len(ids) == 100
     assert sorted(i for i in ids if i is not None) == [i for i in range(100) if i // 10 not in broken]
@@ -121,7 +121,7 @@ def test_landing_merges_fine_plans(spark, tmp_path):
         str(tmp_path), max_slices=4,
     )
     assert sorted(r.id for r in loaded.rows.collect()) == list(range(1000))
-    assert len(glob.glob(str(tmp_path) + "/load-*/slice-*")) == 4
+    assert len(glob.glob(str(tmp_path) + "/load-*/__piece=*")) == 4
 
 
 def test_session_settings(spark):
