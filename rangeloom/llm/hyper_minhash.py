@@ -9,11 +9,11 @@ follow: 16 bits instead of 64, whatever the size of the set. Equal sets are one
    small sets agree in a register with the probability of their similarity, too.
 2. Every node of a group is paired with the group's pivot, never with all others. Pairs whose
    estimate, corrected for registers that agree by chance, is six standard deviations below
-   the threshold go; the others are verified on whole sets, for each node the best one first,
-   then those that would still join two components.
+   the threshold go; each node's best ones are verified on whole sets.
 3. Groups that hold several components by then are compared register by register, in tiles of
-   bounded size; nodes with a likely partner are compared again in tiles, on whole sets. What
-   a tile sends on is nodes, and a spanning forest of links, never pairs.
+   bounded size: nodes outside the largest component with all. Nodes with a likely partner are
+   compared again in tiles, on whole sets. What a tile sends on is nodes, and a spanning
+   forest of links, never pairs.
 
 A link is missed if all bands differ, which at a similarity of 0.8 has a probability of some
 10**-15, or by an estimate off by six standard deviations, some 10**-9.
@@ -28,6 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from rangeloom.llm.common import (
     Words,
@@ -47,8 +48,10 @@ SHINGLE = 2
 REGISTERS = 256
 BAND = 4
 MANTISSA = 10
+#: Pivots a node is verified against before all the others are looked at.
+PIVOTS = 4
 #: Nodes of a block of a hub, and shingles of all their sets; a tile compares two blocks.
-BLOCK = 256
+BLOCK = 1_024
 BLOCK_SHINGLES = 1_000_000
 #: Shingles that sets are compared on at a time.
 COLUMNS = 4_096
@@ -181,7 +184,7 @@ def _members(nodes: DataFrame) -> DataFrame:
 
 
 def _pivot_pairs(members: DataFrame, nodes: DataFrame, chance: np.ndarray) -> DataFrame:
-    """``a, b, likeness``: nodes ``b`` with the pivots ``a`` of their groups, as far as likely to link."""
+    """``a, b``: nodes ``b`` with the likeliest pivots ``a`` of their groups, as far as likely to link at all."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +201,9 @@ def _pivot_pairs(members: DataFrame, nodes: DataFrame, chance: np.ndarray) -> Da
     )
     one, other = (nodes.select(F.col("node").alias(i), F.col("sketch").alias(f"sketch_{i}")) for i in "ab")
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "n", "m", "sketch_a", "sketch_b")
-    return write_once(both.mapInArrow(judge, "a bigint, b bigint, likeness double"), large=True)
+    judged = both.mapInArrow(judge, "a bigint, b bigint, likeness double")
+    place = F.row_number().over(Window.partitionBy("b").orderBy(F.col("likeness").desc(), "a"))
+    return write_once(judged.withColumn("place", place).where(F.col("place") <= PIVOTS).select("a", "b"), large=True)
 
 
 def _verify_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,14 +226,14 @@ def _verify_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The links among ``pairs``: similarity of whole sets, a text once per :data:`RUN` pairs."""
-    runs = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(RUN)).alias("runs"))
-    dealt = pairs.select("a", "b").join(runs, "a").withColumn("salt", F.pmod(F.xxhash64("b"), "runs"))
+    runs = F.ceil(F.count("*").over(Window.partitionBy("a")) / F.lit(RUN))
+    dealt = pairs.select("a", "b").withColumn("runs", runs).withColumn("salt", F.pmod(F.xxhash64("b"), "runs"))
     want = dealt.select("a", "salt", F.lit(1).alias("role"), F.col("b").alias("node")).unionByName(
         dealt.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
     )
     rows = want.join(texts, "node").select("a", "salt", "role", "node", "set_key", "text")
     lined = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return write_once(lined.mapInArrow(_verify_runs, "a bigint, b bigint").distinct(), large=True)
+    return write_once(lined.mapInArrow(_verify_runs, "a bigint, b bigint"), large=True)
 
 
 def _placed(rows: DataFrame, components: DataFrame, column: str, name: str) -> DataFrame:
@@ -236,12 +241,6 @@ def _placed(rows: DataFrame, components: DataFrame, column: str, name: str) -> D
     return rows.join(found, column, "left").withColumn(name, F.coalesce("__found", column)).drop("__found")
 
 
-def _across(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """The pairs that would join two components."""
-    both = _placed(_placed(pairs, components, "a", "ca"), components, "b", "cb")
-    return both.where("ca <> cb").drop("ca", "cb")
-
-
 def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """The rows of each tile, which come one after the other."""
     held: list[pa.RecordBatch] = []
@@ -262,21 +261,19 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 class _Tile:
-    """Nodes of two blocks of a hub (or of one), and which of them may be compared."""
+    """Nodes of a block outside a hub's largest component, and a block of all of its nodes."""
 
     def __init__(self, table: pa.Table):
-        self.hub, self.t1, self.t2 = (table.column(c)[0].as_py() for c in ("hub", "t1", "t2"))
-        self.node, self.n, self.component, self.block = (
-            table.column(c).to_numpy() for c in ("node", "n", "component", "block")
-        )
-        self.left = np.flatnonzero(self.block == self.t1)
+        self.hub = table.column("hub")[0].as_py()
+        self.node, self.n, self.component = (table.column(c).to_numpy() for c in ("node", "n", "component"))
+        side = table.column("left").to_numpy()
+        self.left, self.right = np.flatnonzero(side), np.flatnonzero(~side)
 
     def partners(self, i: int) -> np.ndarray:
-        """Nodes of another component and a size that allows a link, each pair once."""
-        place = self.block == self.t2 if self.t1 != self.t2 else self.node > self.node[i]
-        n, m = self.n, self.n[i]
-        fit = (self.component != self.component[i]) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
-        return np.flatnonzero(place & fit)
+        """Places in ``right`` of another component and a size that allows a link."""
+        n, m = self.n[self.right], self.n[i]
+        fit = (self.component[self.right] != self.component[i]) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
+        return np.flatnonzero(fit)
 
 
 def _likely_nodes(batches: Iterator[pa.RecordBatch], chance: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -285,30 +282,30 @@ def _likely_nodes(batches: Iterator[pa.RecordBatch], chance: np.ndarray) -> Iter
         tile, raw = _Tile(table), _sketches(table.column("sketch"))
         marked = np.zeros(len(raw), bool)
         for i in tile.left:
-            j = tile.partners(i)
+            j = tile.right[tile.partners(i)]
             if len(j):
                 _, likely = _likely(raw[j], raw[i], tile.n[j], np.full(len(j), tile.n[i]), chance)
                 marked[j[likely]] = True
                 marked[i] |= likely.any()
-        nodes = tile.node[marked]
+        nodes = np.unique(tile.node[marked])
         yield pa.record_batch([np.full(len(nodes), tile.hub), nodes], names=["hub", "node"])
 
 
-def _shared_counts(sets: list[np.ndarray], left: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of the sets at ``left`` with all sets."""
-    sizes = np.array([len(s) for s in sets])
-    row = np.repeat(np.arange(len(sets)), sizes)
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets on the left with all on the right."""
+    sets = [*left, *right]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     _, column, several = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
     kept = several[column] > 1
     row, column = row[kept], np.unique(column[kept], return_inverse=True)[1]
-    out = np.zeros((len(left), len(sets)), np.float32)  # exact below 2**24
+    out = np.zeros((len(left), len(right)), np.float32)  # exact below 2**24
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
         part = slice(*np.searchsorted(column, [a, a + COLUMNS]))
         held = np.zeros((len(sets), COLUMNS), np.float32)
         held[row[part], column[part] - a] = 1
-        out += held[left] @ held.T
+        out += held[: len(left)] @ held[len(left) :].T
     return out
 
 
@@ -318,15 +315,14 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = list(shingle_sets(texts_of(table.column("text"))))
         keys = table.column("set_key").to_pylist()
         own = [k for k, s in enumerate(sets) if xxhash.xxh3_128_hexdigest(s.tobytes()) == keys[k]]
-        tile = _Tile(table.take(pa.array(own, pa.int64()))) if own else None
         pairs = []
-        if tile is not None and len(tile.left):
-            sets = [sets[k] for k in own]
-            shared = _shared_counts(sets, tile.left)
+        if own:
+            tile, sets = _Tile(table.take(pa.array(own, pa.int64()))), [sets[k] for k in own]
+            shared = _shared_counts([sets[k] for k in tile.left], [sets[k] for k in tile.right])
             parent = {c: c for c in tile.component.tolist()}
             for at, i in enumerate(tile.left):
-                j = tile.partners(i)
-                both = shared[at, j].astype(np.int64)
+                places = tile.partners(i)
+                both, j = shared[at, places].astype(np.int64), tile.right[places]
                 for k in j[100 * both >= 80 * (tile.n[i] + tile.n[j] - both)].tolist():
                     a, b = _top(parent, int(tile.component[i])), _top(parent, int(tile.component[k]))
                     if a != b:
@@ -342,43 +338,48 @@ def _top(parent: dict[int, int], x: int) -> int:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows of hubs, each for all tiles of its block: ``t1, t2``."""
-    sizes = rows.groupBy("hub").agg(
-        F.greatest(F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks")
+    """Rows of hubs of several components, for tiles ``t1, t2``.
+
+    Nodes of the largest component need no comparison with each other: a tile is a block
+    of the other nodes, on the ``left``, with a block of all nodes.
+    """
+    per = rows.groupBy("hub", "component").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
+    sizes = per.groupBy("hub").agg(
+        F.max(F.struct("m", "component", "s")).alias("top"), F.sum("m").alias("m"), F.sum("s").alias("s"), F.count("*").alias("parts")
+    ).where("parts > 1")
+    blocks = lambda m, s: F.greatest(F.ceil(m / F.lit(BLOCK)), F.ceil(s / F.lit(BLOCK_SHINGLES)), F.lit(1)).cast("int")
+    sizes = sizes.select(
+        "hub", F.col("top.component").alias("major"), blocks(F.col("m"), F.col("s")).alias("blocks"),
+        blocks(F.col("m") - F.col("top.m"), F.col("s") - F.col("top.s")).alias("others"),
+    )
+    placed = rows.join(sizes, "hub")
+    every = F.explode(F.sequence(F.lit(0), F.col("others") - 1))
+    right = placed.select("hub", every.alias("t1"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("t2"), F.lit(False).alias("left"), "node", "n", "component")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = placed.where("component <> major").select(
+        "hub", F.pmod(F.xxhash64("node", F.lit(1)), "others").cast("int").alias("t1"), every.alias("t2"), F.lit(True).alias("left"), "node", "n", "component"
     )
-    placed = rows.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    tiles = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    return tiles.withColumn("t1", F.least("block", "other")).withColumn("t2", F.greatest("block", "other")).drop("other", "blocks")
+    return left.unionByName(right)
 
 
 def _lined(tiles: DataFrame) -> DataFrame:
     return tiles.repartition("hub", "t1", "t2").sortWithinPartitions("hub", "t1", "t2")
 
 
-def _open_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, components: DataFrame, chance: np.ndarray) -> DataFrame | None:
-    """Links within the groups that hold several components; None if there are no such groups.
+def _open_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, components: DataFrame, chance: np.ndarray) -> DataFrame:
+    """Links that join the components within a group.
 
-    The groups of one smallest node, in whatever bands, are compared as one hub: near
-    copies that meet in most bands are moved a few times, not once per band. No pair is a
-    row: the estimate gives nodes with a likely partner, the sets of those give a forest.
+    The groups of one pivot, in whatever bands, are compared as one hub: near copies that
+    meet in most bands are moved a few times, not once per band. No pair is a row: the
+    estimate gives nodes with a likely partner, the sets of those give a forest.
     """
-    placed = _placed(members.select("key", "node", "n"), components, "node", "component")
-    least = F.min(F.struct(F.xxhash64("node").alias("h"), "node"))
-    several = placed.groupBy("key").agg(
-        least.alias("p"), F.min("component").alias("c0"), F.max("component").alias("c1")
-    ).where("c0 < c1").select("key", F.col("p.node").alias("hub"))
-    hubs = write_once(placed.join(several, "key").select("hub", "node", "n", "component").distinct(), large=True)
-    if hubs.isEmpty():
-        return None
+    hubs = members.select(F.col("pivot").alias("hub"), "node", "n").distinct()
+    hubs = write_once(_placed(hubs, components, "node", "component"), large=True)
     tiles = _dealt(hubs).join(nodes.select("node", "sketch"), "node")
-    columns = ("hub", "t1", "t2", "node", "n", "component", "block")
-    likely = _lined(tiles.select(*columns, "sketch")).mapInArrow(
-        lambda b: _likely_nodes(b, chance), "hub bigint, node bigint"
-    )
+    likely = _lined(tiles).mapInArrow(lambda b: _likely_nodes(b, chance), "hub bigint, node bigint")
     rest = write_once(hubs.join(likely.distinct(), ["hub", "node"], "left_semi"), large=True)
     tiles = _dealt(rest).join(texts, "node")
-    links = _lined(tiles.select(*columns, "set_key", "text")).mapInArrow(_tile_links, "a bigint, b bigint")
-    found = write_once(links, large=True)
+    found = write_once(_lined(tiles).mapInArrow(_tile_links, "a bigint, b bigint"), large=True)
     discard(hubs, rest)
     return found
 
@@ -392,14 +393,10 @@ def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         docs.join(grouped, docs.doc_id == grouped.x).select("node", "set_key", "text"), large=True
     )
     pairs = _pivot_pairs(members, nodes, chance)
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("likeness", "a")).alias("a")).select("a", "b")
-    links = _verified(best, texts)
-    components = connected_components(links)
-    rest = write_once(_across(pairs.join(best, ["a", "b"], "left_anti"), components))
-    links = links.unionByName(_verified(rest, texts))
+    links = _verified(pairs, texts)
     components = connected_components(links)
     more = _open_links(members, nodes, texts, components, chance)
-    if more is not None:
+    if not more.isEmpty():
         components = connected_components(links.unionByName(more))
     discard(members, texts)
     return components
