@@ -892,6 +892,26 @@ def dump_file_splits(spark, folder):
     return decode_files(spark, _line_dumps(spark, folder), WHOLE_LINE, split_bytes=DUMP_SPLIT_BYTES)
 
 
+# Bytes of a row of two columns (a long and a text of one letter), all of which are ASCII.
+_LIKE_A_ROW = b"\x00\x02\x00\x00\x00\x08ABCDEFGH\x00\x00\x00\x01z".decode()
+
+
+@_register(
+    f"""SELECT doc_id, CAST(CASE WHEN doc_id % 3 = 0 THEN {len(_LIKE_A_ROW)} * (1 + doc_id % 2000) ELSE length(text) END AS INTEGER) AS n_chars,
+               true AS same FROM documents"""
+)
+def dump_row_like_texts(spark, folder):
+    """Texts that read as rows themselves, in dump files read back in small splits."""
+    kind = struct_of([("doc_id", "Int64"), ("text", "Utf8")])
+    fake = F.repeat(F.lit(_LIKE_A_ROW), (1 + F.col("doc_id") % 2000).cast("int"))
+    docs = _table(spark, folder, "documents").select("doc_id", F.when(F.col("doc_id") % 3 == 0, fake).otherwise(F.col("text")).alias("text"))
+    target = scratch_path(spark, "dumps")
+    write_dumps(docs, target, kind)
+    found = decode_files(spark, target, kind, split_bytes=DUMP_SPLIT_BYTES // 16)
+    both = found.join(docs.select("doc_id", F.col("text").alias("written")), "doc_id")
+    return both.select("doc_id", F.length("text").alias("n_chars"), (F.col("text") == F.col("written")).alias("same"))
+
+
 @_register('SELECT CAST(count(*) AS BIGINT) AS "rows", CAST(0 AS BIGINT) AS failed FROM orders')
 def dump_status(spark, folder):
     orders = positional_bind(_table(spark, folder, "orders").select(*ORDER_COLUMNS), ORDER_SCHEMA)

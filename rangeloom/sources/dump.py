@@ -1,10 +1,10 @@
 """Reading (and, for fixtures, writing) binary dumps with Spark.
 
 Two inputs are taken: dumps held in a ``(path, content)`` DataFrame, and dump files
-of any size. A large file is cut into splits at row starts that each split looks up
-by itself. Since a split must be read to exactly the start of the next one, a wrong
-start cannot go unnoticed, and a split without a certain start is read together with
-the one before it.
+of any size. A large file is cut into splits. Rows have no separators, so a split cannot
+know where its first one begins; it follows the rows from *every* place near its start
+where one may begin, to where they leave it. The maps from starts to exits, taken in the
+order of the splits, give the true chain of rows, whatever the texts in between look like.
 """
 
 from __future__ import annotations
@@ -12,22 +12,25 @@ from __future__ import annotations
 import io
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window
 
 from rangeloom.operators.heal import null_rows
 from rangeloom.operators.counts import INDEX
 from rangeloom.plans.ranges import default_parallelism
 from rangeloom.plans.session import cut_lineage
-from rangeloom.sources.dump_codec import DumpError, RowCodec, decode_stream, wrap
+from rangeloom.sources.dump_codec import HEADER_BYTES, DumpError, RowCodec, decode_stream, read_header, wrap
 from rangeloom.sources.store import empty_files, exists, locate, open_file, qualified
 
 SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 8 << 20
-SEARCH_BYTES = 1 << 20
+# Rows of a split are followed from all places in this many of its first bytes (where a row
+# that is longer ends, the place is followed up later), in blocks of so many bytes.
+WINDOW_BYTES = 1 << 20
+WALK_BYTES = 1 << 20
 
 BROADCAST_PATHS = 100_000
 
@@ -107,47 +110,162 @@ def count_tasks(files: DataFrame, split_bytes: int) -> int:
 
 
 def dump_splits(
-    files: DataFrame, schema: T.StructType, split_bytes: int = SPLIT_BYTES, tasks: int | None = None
+    files: DataFrame,
+    schema: T.StructType,
+    split_bytes: int = SPLIT_BYTES,
+    tasks: int | None = None,
+    mode: str = "strict",
 ) -> DataFrame:
-    """``(path, start, stop)``: runs of whole rows; ``stop`` is NULL at a file's end."""
+    """``(path, start, stop)``: runs of whole rows; ``stop`` is NULL at a file's end.
+
+    Of a damaged file, the last run begins where the rows can no longer be followed from.
+    """
     begins = F.sequence(
         F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long")
     )
     cuts = files.select("path", "length", F.explode(begins).alias("begin"))
+    safe = mode == "safe"
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Starts are looked for among rows that fit their types, in any mode.
-        codec = RowCodec(schema)
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = RowCodec(schema, safe)
         for batch in batches:
-            starts = [
-                0 if begin == 0 else _find_start(path, length, begin, split_bytes, codec)
-                for path, length, begin in zip(*(c.to_pylist() for c in batch.columns))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(starts, pa.int64())], names=["path", "start"]
+            for path, length, begin in zip(*(c.to_pylist() for c in batch.columns)):
+                end = min(begin + split_bytes, length)
+                with open_file(path) as source:
+                    starts, exits = _exits(source, codec, begin, end, length)
+                yield pa.record_batch(
+                    [[path], [length], [begin], pa.array([starts], pa.list_(pa.int64())), pa.array([exits], pa.list_(pa.int64()))],
+                    names=["path", "length", "begin", "starts", "exits"],
+                )
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec, name, at = RowCodec(schema, safe), None, None
+        for batch in batches:
+            found = []
+            for path, length, begin, starts, exits in zip(*(c.to_pylist() for c in batch.columns)):
+                if path != name:
+                    name, at = path, 0
+                end = min(begin + split_bytes, length)
+                if at is None or at >= end:
+                    continue  # a row that spans the split, or no more rows
+                known = dict(zip(starts, exits))
+                if at not in known and at >= begin + WINDOW_BYTES:
+                    with open_file(path) as source:
+                        known = dict(zip(*_exits(source, codec, begin, end, length, at)))
+                stop = known.get(at)
+                found.append((path, at, stop))
+                at = stop
+            columns = zip(*found) if found else [(), (), ()]
+            yield pa.record_batch(
+                [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))], names=["path", "start", "stop"]
             )
 
     spread = cuts.repartition(tasks or count_tasks(files, split_bytes))
-    found = spread.mapInArrow(find, "path string, start bigint")
-    # One tiny row per split: the longest window is file length / split length.
-    order = Window.partitionBy("path").orderBy("start")
-    return found.where("start IS NOT NULL").withColumn("stop", F.lead("start").over(order))
-
-
-def _find_start(path: str, length: int, begin: int, split_bytes: int, codec: RowCodec) -> int | None:
-    window = min(SEARCH_BYTES, length - begin)
-    with open_file(path) as source:
-        while True:
-            source.seek(begin)
-            data = source.read(window)
-            at = codec.row_start(data, split_bytes, begin + len(data) >= length)
-            if at is None:
-                return None
-            if at >= 0:
-                return begin + at
-            if begin + window >= length:
-                return None
-            window = min(window * 4, length - begin)
+    maps = spread.mapInArrow(follow, "path string, length bigint, begin bigint, starts array<bigint>, exits array<bigint>")
+    # One row per split; a file's are read one after the other.
+    ordered = maps.repartition("path").sortWithinPartitions("path", "begin")
+    return ordered.mapInArrow(chain, "path string, start bigint, stop bigint")
+
+
+def _exits(
+    source: pa.NativeFile, codec: RowCodec, begin: int, end: int, length: int, at: int | None = None
+) -> tuple[list[int], list[int]]:
+    """Starts of rows in a split, and where the rows from there leave it: the first start at or after ``end``.
+
+    Rows are followed from the file's header, from ``at``, or from every possible start in
+    the first :data:`WINDOW_BYTES`. Starts whose rows end before that, be it with the
+    trailer, are left out.
+    """
+    parent: list[int] = []  # readers that met go on as one
+    readers: dict[tuple[int, int], int] = {}  # (place, column, or -1 at a row's start) to reader
+    origins: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def put(state: tuple[int, int], reader: int | None = None) -> int:
+        if state in readers:
+            if reader is not None and reader != readers[state]:
+                parent[reader] = readers[state]
+            return readers[state]
+        if reader is None:
+            reader = len(parent)
+            parent.append(reader)
+        readers[state] = reader
+        return reader
+
+    def many(starts: np.ndarray, places: np.ndarray, columns: np.ndarray) -> None:
+        if len(starts):
+            columns = np.where(columns == len(codec.widths), -1, columns)
+            states, which = np.unique(np.stack([places, columns]), axis=1, return_inverse=True)
+            ids = np.array([put((int(p), int(c))) for p, c in states.T], np.int64)
+            origins.append((starts, ids[which.ravel()]))
+
+    first = begin
+    if at is None and begin == 0:
+        source.seek(0)
+        try:
+            at = read_header(source.read(HEADER_BYTES))
+        except DumpError:
+            return [], []
+        first = at
+        origins.append((np.array([0]), np.array([put((at, -1))])))
+    elif at is not None:
+        first = at
+        origins.append((np.array([at]), np.array([put((at, -1))])))
+    elif begin <= length - 2 < min(begin + WINDOW_BYTES, end):
+        origins.append((np.array([length - 2]), np.array([put((length - 2, -1))])))
+    for a in range(first, end, WALK_BYTES):
+        b = min(a + WALK_BYTES, end)
+        fresh = at is None and a < begin + WINDOW_BYTES
+        if not fresh and not any(a <= place < b for place, _ in readers):
+            continue
+        source.seek(a)
+        data = source.read(min(b + 8, length) - a)
+        starts, ends, cut = codec.chains(data)
+        if fresh:
+            new = starts < min(begin + WINDOW_BYTES, b) - a
+            many(starts[new] + a, ends[new] + a, np.full(new.sum(), -1))
+            new = cut[0] < min(begin + WINDOW_BYTES, b) - a
+            many(cut[0][new] + a, cut[1][new] + a, cut[2][new])
+        moving = [s for s in readers if s[0] < b]
+        while moving:
+            place, column = moving.pop()
+            reader = readers.pop((place, column))
+            at_next, column = _moved(codec, data, place - a, column, starts, ends)
+            if at_next is None:
+                continue
+            state = (at_next + a, column)
+            if state not in readers and state[0] < b:
+                moving.append(state)
+            put(state, reader)
+    exits: dict[int, int] = {}
+    for (place, column), reader in readers.items():
+        while place is not None and column >= 0:  # the rest of a row that goes beyond the split
+            source.seek(min(place, length))
+            place, column = codec.next_place(column, source.read(4), place)
+        if place is not None and end <= place < length:
+            exits[reader] = place
+    found = {}
+    for starts, ids in origins:
+        for start, reader in zip(starts.tolist(), map(root, ids.tolist())):
+            if reader in exits:
+                found[start] = exits[reader]
+    return list(found), list(found.values())
+
+
+def _moved(
+    codec: RowCodec, data: bytes, at: int, column: int, starts: np.ndarray, ends: np.ndarray
+) -> tuple[int | None, int]:
+    """A reader's next place and column: along whole rows, else on to the next length."""
+    if column >= 0:
+        return codec.next_place(column, data[at : at + 4], at)
+    i = np.searchsorted(starts, at)
+    if i < len(starts) and starts[i] == at:
+        return int(ends[i]), -1
+    return (at + 2, 0) if data[at : at + 2] == codec.mark else (None, -1)
 
 
 def decode_files(
@@ -163,15 +281,15 @@ def decode_files(
     """
     if cut := empty_files(spark, path):
         raise DumpError(f"{cut[0]}: no bytes at all ({len(cut)} such files)")
-    return _decode_spans(_spans(dump_files(spark, path), schema, split_bytes), schema, mode)
+    return _decode_spans(_spans(dump_files(spark, path), schema, split_bytes, mode), schema, mode)
 
 
-def _spans(files: DataFrame, schema: T.StructType, split_bytes: int | None) -> DataFrame:
+def _spans(files: DataFrame, schema: T.StructType, split_bytes: int | None, mode: str = "strict") -> DataFrame:
     """``(path, start, stop)`` of what one task reads in one go, spread over tasks."""
     tasks = count_tasks(files, split_bytes or SPLIT_BYTES)
     if split_bytes is None:
         return files.selectExpr("path", "0L AS start", "CAST(NULL AS BIGINT) AS stop").repartition(tasks)
-    return dump_splits(files, schema, split_bytes, tasks).repartition(tasks)
+    return dump_splits(files, schema, split_bytes, tasks, mode).repartition(tasks)
 
 
 def _decode_spans(spans: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
@@ -181,7 +299,7 @@ def _decode_spans(spans: DataFrame, schema: T.StructType, mode: str) -> DataFram
         codec = RowCodec(schema, safe)
         for batch in batches:
             for path, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
-                where = path if stop is None else f"{path}, bytes {start} to {stop} (try split_bytes=None)"
+                where = path if stop is None else f"{path}, bytes {start} to {stop}"
                 with open_file(path) as source:
                     yield from _named(where, _reader(source, start, stop), codec, **_parts(start, stop))
 
@@ -214,11 +332,7 @@ def file_status(
     mode: str = "strict",
     split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
-    """``(path, rows, error, in_splits)`` per dump file: its rows, or why it cannot be decoded.
-
-    Files are checked in splits. One that looks bad there is read again from end to end,
-    and that decides; ``in_splits`` says whether the file can be read in splits.
-    """
+    """``(path, rows, error)`` per dump file: its rows, or why it cannot be decoded and those before that."""
     safe = mode == "safe"
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,22 +343,10 @@ def file_status(
                     yield _status(name, _reader(source, start, stop), codec, **_parts(start, stop))
 
     files = dump_files(spark, path)
-    parts = _spans(files, schema, split_bytes).select("path", "start", "stop").mapInArrow(check, _STATUS)
-    cut = [(name, 0, "no bytes at all", True) for name in empty_files(spark, path)]
-    empty = spark.createDataFrame(cut, f"{_STATUS}, in_splits boolean")
-    found = cut_lineage(
-        parts.groupBy("path").agg(F.sum("rows").alias("rows"), F.count("error").alias("n_bad"))
-    )
-    clean = found.where("n_bad = 0").selectExpr("path", "rows", "CAST(NULL AS STRING) AS error")
-    doubtful = found.where("n_bad > 0").select("path")
-    n = doubtful.count()
-    if n == 0:
-        return clean.withColumn("in_splits", F.lit(True)).unionByName(empty)
-    whole = doubtful.selectExpr("path", "0L AS start", "CAST(NULL AS BIGINT) AS stop").repartition(n)
-    again = whole.mapInArrow(check, _STATUS)
-    return clean.withColumn("in_splits", F.lit(True)).unionByName(
-        again.withColumn("in_splits", F.lit(False))
-    ).unionByName(empty)
+    parts = _spans(files, schema, split_bytes, mode).select("path", "start", "stop").mapInArrow(check, _STATUS)
+    cut = [(name, 0, "no bytes at all") for name in empty_files(spark, path)]
+    whole = parts.groupBy("path").agg(F.sum("rows").alias("rows"), F.min("error").alias("error"))
+    return whole.unionByName(spark.createDataFrame(cut, _STATUS))
 
 
 def heal_files(
@@ -259,13 +361,9 @@ def heal_files(
     files = dump_files(spark, path)
     report = status.where("error IS NOT NULL").join(expected, "path", "left")
     _all_expected(report)
-    rows = _nulls_for(report, schema)
-    for test, size in (("in_splits", split_bytes), ("NOT in_splits", None)):
-        chosen = status.where(f"error IS NULL AND {test}").select("path")
-        if not chosen.isEmpty():
-            part = files.join(chosen, "path", "left_semi")
-            rows = rows.unionByName(_decode_spans(_spans(part, schema, size), schema, "strict"))
-    return rows, report.select("path", "expected_rows", "error")
+    chosen = files.join(status.where("error IS NULL").select("path"), "path", "left_semi")
+    rows = _decode_spans(_spans(chosen, schema, split_bytes), schema, "strict")
+    return rows.unionByName(_nulls_for(report, schema)), report.select("path", "expected_rows", "error")
 
 
 def _all_expected(report: DataFrame) -> None:

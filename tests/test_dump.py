@@ -138,18 +138,42 @@ def test_infinite_times():
     ]
 
 
-@given(st.lists(st.tuples(st.integers(0, 2**63 - 1), st.none() | st.text(max_size=40)), min_size=1, max_size=80), st.data())
-@settings(max_examples=150, deadline=None)
-def test_row_start_is_a_row_start(rows, data):
-    codec = RowCodec(TWO)
-    encoded = codec.encode(batch_of(TWO, rows)) + b"\xff\xff"
-    begins, at = set(), 0
+FAKE = struct.pack(">hiq", 2, 8, 0x4142434445464748) + struct.pack(">i", 1) + b"z"
+SPLIT_ROWS = st.lists(
+    st.tuples(
+        st.integers(0, 2**63 - 1),
+        st.none() | st.text(max_size=40) | st.integers(1, 40).map(lambda n: (FAKE * n).decode()) | st.integers(0, 900).map(lambda n: "x" * n),
+    ),
+    max_size=60,
+)
+
+
+@given(SPLIT_ROWS, st.integers(1, 900), st.integers(8, 300), st.integers(8, 200), st.booleans())
+@settings(max_examples=300, deadline=None)
+def test_exits_are_exact(rows, split, window, walk, safe):
+    """Whatever texts look like, the chain over the maps is the chain of rows."""
+    codec = RowCodec(TWO, safe)
+    data = dump_of(TWO, rows)
+    begins, at = [], 19
     for row in rows:
-        begins.add(at)
+        begins.append(at)
         at += len(codec.encode(batch_of(TWO, [row])))
-    begin = data.draw(st.integers(0, len(encoded) - 1))
-    found = codec.row_start(encoded[begin:], len(encoded), True)
-    assert found is None or begin + found in begins
+    begins.append(at)  # the trailer
+    before = dump.WINDOW_BYTES, dump.WALK_BYTES
+    dump.WINDOW_BYTES, dump.WALK_BYTES = window, walk
+    try:
+        place = 0
+        for begin in range(0, len(data), split):
+            end = min(begin + split, len(data))
+            if place is None or place >= end:
+                continue
+            known = dict(zip(*dump._exits(io.BytesIO(data), codec, begin, end, len(data))))
+            if place not in known and place >= begin + window:
+                known = dict(zip(*dump._exits(io.BytesIO(data), codec, begin, end, len(data), place)))
+            place = known.get(place)
+            assert place == next((b for b in begins if b >= end), None)
+    finally:
+        dump.WINDOW_BYTES, dump.WALK_BYTES = before
 
 
 @pytest.fixture(scope="module")
@@ -186,7 +210,7 @@ def test_file_status_and_failure(spark, tmp_path):
     assert len(lines) == len(on_disk) + 1
     for line, (message, _) in zip(lines, on_disk):
         assert message in line.error
-    assert (lines[-1].rows, lines[-1].error, lines[-1].in_splits) == (3, None, True)
+    assert (lines[-1].rows, lines[-1].error) == (3, None)
     with pytest.raises(Exception, match="00.bin"):
         dump.decode_files(spark, str(tmp_path / "00.bin"), TWO, split_bytes=None).collect()
 
@@ -202,14 +226,24 @@ def deceptive(tmp_path_factory):
     return str(path), rows
 
 
-def test_deceptive_text_is_noticed(spark, deceptive):
+@pytest.mark.parametrize("mode", ["strict", "safe"])
+@pytest.mark.parametrize("split_bytes", [None, 1 << 16, 1 << 20])
+def test_deceptive_text_reads_right(spark, deceptive, split_bytes, mode):
     path, rows = deceptive
-    whole = dump.decode_files(spark, path, TWO, split_bytes=None)
-    assert sorted(map(tuple, whole.collect())) == sorted(rows)
-    with pytest.raises(Exception, match="try split_bytes=None"):
-        dump.decode_files(spark, path, TWO, split_bytes=1 << 20).collect()
-    line = dump.file_status(spark, path, TWO, split_bytes=1 << 20).first()
-    assert (line.rows, line.error, line.in_splits) == (101, None, False)
+    found = dump.decode_files(spark, path, TWO, mode, split_bytes)
+    assert sorted(map(tuple, found.collect())) == sorted(rows)
+    line = dump.file_status(spark, path, TWO, mode, split_bytes=split_bytes or 1 << 18).first()
+    assert (line.rows, line.error) == (101, None)
+
+
+def test_damaged_files_in_small_splits(spark, tmp_path):
+    rows = [(i, "row " * (i % 40)) for i in range(500)]
+    good = dump_of(TWO, rows)
+    for name, data in {"cut": good[:-700], "hole": good[:9000] + b"\x00" * 50 + good[9050:], "short": good[:-2], "long": good + b"xx"}.items():
+        (tmp_path / name).write_bytes(data)
+    status = {r.path.rsplit("/", 1)[1]: r for r in dump.file_status(spark, str(tmp_path), TWO, split_bytes=2000).collect()}
+    assert sorted(status) == ["cut", "hole", "long", "short"] and all(r.error for r in status.values())
+    assert "cut in a row" in status["cut"].error and "no trailer" in status["short"].error
 
 
 def test_heal_files(spark, dumps, deceptive, tmp_path):
@@ -245,7 +279,7 @@ def test_a_split_that_misses_its_end_is_an_error(spark, dumps):
     folder, _ = dumps
     path = dump.dump_files(spark, folder + "/large").first().path
     wrong = spark.createDataFrame([(path, 0, 1 << 16)], "path string, start bigint, stop bigint")
-    with pytest.raises(Exception, match="try split_bytes=None"):
+    with pytest.raises(Exception, match="bytes 0 to 65536"):
         dump._decode_spans(wrong, TWO, "strict").collect()
 
 
