@@ -1,10 +1,7 @@
-"""Rows per range, and packing whole ranges into batches."""
+"""Rows per range."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,53 +34,3 @@ def partition_counts(df: DataFrame, key: str, plan: RangePlan) -> DataFrame:
     planned = df.sparkSession.range(plan.n_partitions).selectExpr(f"id AS {INDEX}", "0L AS n")
     counted = seen.unionAll(planned).groupBy(INDEX).agg(F.sum("n").alias("rows_read"))
     return counted.selectExpr(INDEX, *plan.describe(), "rows_read")
-
-
-_PACKED = "worker bigint, first_partition bigint, last_partition bigint, rows bigint, leftover boolean"
-
-
-def pack_batches(
-    counts: DataFrame, batch_size: int, workers: int = 1, partitions_per_worker: int | None = None
-) -> DataFrame:
-    """Pack whole ranges, in order, into batches of at least ``batch_size`` rows.
-
-    The ranges are dealt to ``workers`` in equal consecutive runs (or in runs of
-    ``partitions_per_worker``). A worker closes a batch when its pending rows reach the
-    batch size; what is pending at the end is its left-over batch. Workers are
-    independent; each streams over its ranges in order, holding the pending batch only.
-    Returns ``(worker, first_partition, last_partition, rows, leftover)``.
-    """
-    if batch_size < 1 or workers < 1 or (partitions_per_worker is not None and partitions_per_worker < 1):
-        raise ValueError("batch_size, workers and partitions_per_worker must be positive")
-    if partitions_per_worker is None:
-        last = counts.agg(F.max(INDEX)).first()[0]
-        partitions_per_worker = -(-((last or 0) + 1) // workers)
-    dealt = counts.selectExpr(f"{INDEX} div {partitions_per_worker} AS worker", INDEX, "rows_read")
-    ordered = dealt.repartition("worker").sortWithinPartitions("worker", INDEX)
-    return ordered.mapInArrow(lambda batches: _pack(batches, batch_size), _PACKED)
-
-
-def _pack(batches: Iterator[pa.RecordBatch], batch_size: int) -> Iterator[pa.RecordBatch]:
-    worker = first = last = None
-    pending = 0
-    for batch in batches:
-        closed = []
-        for owner, index, rows in zip(*(c.to_pylist() for c in batch.columns)):
-            if owner != worker:
-                if pending:
-                    closed.append((worker, first, last, pending, True))
-                worker, first, pending = owner, None, 0
-            first, last, pending = index if first is None else first, index, pending + rows
-            if pending >= batch_size:
-                closed.append((worker, first, last, pending, False))
-                first, pending = None, 0
-        yield _packed(closed)
-    if pending:
-        yield _packed([(worker, first, last, pending, True)])
-
-
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    names = ("worker", "first_partition", "last_partition", "rows", "leftover")
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-    columns = zip(*rows) if rows else [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)

@@ -17,7 +17,7 @@ from rangeloom.functions import epoch
 from rangeloom.functions.casts import text_is_valid
 from rangeloom.functions.types import struct_of
 from rangeloom.operators.bind import positional_bind, rename_by_position
-from rangeloom.operators.counts import pack_batches, partition_counts, with_partition
+from rangeloom.operators.counts import partition_counts, with_partition
 from rangeloom.operators.heal import (
     failed_partitions,
     heal_partitions,
@@ -28,6 +28,7 @@ from rangeloom.operators import sinks
 from rangeloom.operators.land import load_landed, read_landing
 from rangeloom.operators.layout import analyze_table, range_layout
 from rangeloom.operators.load import load_parquet, load_table
+from rangeloom.operators.packing import pack_batches
 from rangeloom.operators.profile import decode_profile, null_profile
 from rangeloom.operators.report import timed_load
 from rangeloom.plans import ranges
@@ -43,6 +44,7 @@ from rangeloom.sources.dump import (
     write_dumps,
 )
 from rangeloom.sources.dump_codec import RowCodec, wrap
+from rangeloom.sources.dump_index import dump_relation, read_range, write_index
 from rangeloom.sources.synth import series, synth_columns
 
 CORES = 4
@@ -892,6 +894,44 @@ def dump_file_splits(spark, folder):
     return decode_files(spark, _line_dumps(spark, folder), WHOLE_LINE, split_bytes=DUMP_SPLIT_BYTES)
 
 
+def _indexed_lines(spark, folder) -> str:
+    """An index of lineitem as dump files laid out by key, in small blocks."""
+    lines = range_layout(_table(spark, folder, "lineitem"), "l_orderkey", 4).select(*WHOLE_LINE.names)
+    target = scratch_path(spark, "dumps")
+    write_dumps(positional_bind(lines, WHOLE_LINE), target, WHOLE_LINE)
+    return write_index(spark, target, WHOLE_LINE, "l_orderkey", scratch_path(spark, "index"), DUMP_SPLIT_BYTES // 8)
+
+
+_MIDDLE = "WITH b AS (SELECT (min(l_orderkey) + max(l_orderkey)) // 2 AS m FROM lineitem)"
+
+
+@_register(f"{_MIDDLE} SELECT lineitem.* FROM lineitem, b WHERE l_orderkey BETWEEN m AND m + 499")
+def dump_range(spark, folder):
+    """A range of keys of dump files, from the blocks that can hold it."""
+    lo, hi = sources.parquet_key_bounds(spark, _path(folder, "lineitem"), "l_orderkey")
+    return read_range(spark, _indexed_lines(spark, folder), (lo + hi) // 2, (lo + hi) // 2 + 499)
+
+
+@_register("SELECT * FROM lineitem")
+def dump_source(spark, folder):
+    """Dump files as a relation."""
+    return dump_relation(spark, _indexed_lines(spark, folder), split_bytes=DUMP_SPLIT_BYTES)
+
+
+@_register(
+    """SELECT l_returnflag, count(*) AS n, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key FROM lineitem
+       WHERE l_orderkey >= 100 AND l_orderkey < (SELECT max(l_orderkey) FROM lineitem) GROUP BY l_returnflag"""
+)
+def dump_source_sql(spark, folder):
+    """SQL over two columns of dump files; the filter on the key goes down to blocks."""
+    _, last = sources.parquet_key_bounds(spark, _path(folder, "lineitem"), "l_orderkey")
+    lines = dump_relation(spark, _indexed_lines(spark, folder), ["l_orderkey", "l_returnflag"], DUMP_SPLIT_BYTES, True)
+    return spark.sql(
+        """SELECT l_returnflag, count(*) AS n, min(l_orderkey) AS first_key, max(l_orderkey) AS last_key FROM {lines}
+           WHERE l_orderkey >= 100 AND l_orderkey < {last} GROUP BY l_returnflag""", lines=lines, last=last,
+    )
+
+
 # Bytes of a row of two columns (a long and a text of one letter), all of which are ASCII.
 _LIKE_A_ROW = b"\x00\x02\x00\x00\x00\x08ABCDEFGH\x00\x00\x00\x01z".decode()
 

@@ -292,18 +292,26 @@ def _spans(files: DataFrame, schema: T.StructType, split_bytes: int | None, mode
     return dump_splits(files, schema, split_bytes, tasks, mode).repartition(tasks)
 
 
-def _decode_spans(spans: DataFrame, schema: T.StructType, mode: str) -> DataFrame:
+def _decode_spans(
+    spans: DataFrame, schema: T.StructType, mode: str, only: list[str] | None = None
+) -> DataFrame:
     safe = mode == "safe"
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = RowCodec(schema, safe)
+        codec = RowCodec(schema, safe, only)
         for batch in batches:
-            for path, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
-                where = path if stop is None else f"{path}, bytes {start} to {stop}"
-                with open_file(path) as source:
-                    yield from _named(where, _reader(source, start, stop), codec, **_parts(start, stop))
+            for span in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from decode_span(*span, codec)
+
+    columns = [schema[name] for name in only] if only else schema.fields
+    return spans.select("path", "start", "stop").mapInArrow(decode, _ddl(T.StructType(columns)))
+
 
-    return spans.select("path", "start", "stop").mapInArrow(decode, _ddl(schema))
+def decode_span(path: str, start: int, stop: int | None, codec: RowCodec) -> Iterator[pa.RecordBatch]:
+    """Rows of a run of whole rows of a file; ``stop`` is None at the file's end."""
+    where = path if stop is None else f"{path}, bytes {start} to {stop}"
+    with open_file(path) as source:
+        yield from _named(where, _reader(source, start, stop), codec, **_parts(start, stop))
 
 
 def _parts(start: int, stop: int | None) -> dict[str, bool]:

@@ -1,9 +1,12 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from rangeloom.operators.counts import INDEX, pack_batches, partition_counts, with_partition
+from rangeloom.operators.counts import INDEX, partition_counts, with_partition
+from rangeloom.operators.packing import pack_batches
 from rangeloom.plans.ranges import RangePlan, autotune_width, make_plan
 from rangeloom.sources.queries import key_bounds, key_position, parquet_key_bounds
 
@@ -129,3 +132,19 @@ def test_pack_many_ranges_of_one_worker(spark):
     assert sorted(map(tuple, packed)) == want + [(0, first, 4999, pending, True)] * (pending > 0)
     two = pack_batches(counts, 9, workers=2).collect()
     assert {(r.worker, r.first_partition) for r in two} >= {(0, 0), (1, 2500)}
+
+
+@pytest.mark.parametrize("seed, size, target, block", [(1, 97, 9, 4), (2, 64, 30, 1), (3, 200, 1, 7), (4, 150, 2000, 8), (5, 120, 12, 200), (6, 80, 5, 3)])
+def test_packing_over_blocks(spark, seed, size, target, block):
+    """Batches that run over many blocks, in one worker and in several."""
+    rng = random.Random(seed)
+    counts = [rng.choice([0, 0, 1, 3, rng.randint(0, 40)]) for _ in range(size)]
+    df = spark.createDataFrame(list(enumerate(counts)), f"{INDEX} bigint, rows_read bigint").repartition(3)
+    one = pack_batches(df, target, block_ranges=block).drop("worker").collect()
+    assert sorted(map(tuple, one)) == greedy(counts, target)
+    per, expected = 33, []
+    for worker, a in enumerate(range(0, size, per)):
+        part = greedy(counts[a : a + per], target)
+        expected += [(worker, x + a, y + a, n, left) for x, y, n, left in part]
+    several = pack_batches(df, target, partitions_per_worker=per, block_ranges=block).collect()
+    assert sorted(map(tuple, several)) == expected
