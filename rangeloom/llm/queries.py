@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -25,7 +24,7 @@ from rangeloom.llm import (
     warc_fixity,
 )
 from rangeloom.llm.common import table
-from rangeloom.plans.session import shared_folder
+from rangeloom.plans.session import scratch_path
 
 #: Vocabulary for the token-id output; the file is on every machine at the same place.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -107,7 +106,7 @@ def op2_decontaminate(spark, folder):
 
 def tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Write ``docs`` as a token store in the shared folder and read it back."""
-    store = f"{shared_folder(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    store = scratch_path(spark, "tokens")
     token_binary.write_tokens(docs, store, TOKENIZER)
     return token_binary.token_digests(spark, store)
 
@@ -182,7 +181,7 @@ def op4_co_training(spark, folder):
 )
 def op10_warc_fixity(spark, folder):
     """Archive all pages; of a replica with some payloads damaged, locate the damage."""
-    target = f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    target = scratch_path(spark, "warc")
     pages, name = table(spark, folder, "pages"), "pages"
     warc_fixity.write_archive(pages, f"{target}/ours", name)
     hit = (F.col("page_id") % 61 == 7) & F.col("html").startswith("<")

@@ -107,23 +107,34 @@ def _write_blocks(batches: Iterator[pa.RecordBatch], path: str, dictionary: byte
     shared.precompute_compress(level=LEVEL)
     compress = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress
     shard, end = TaskContext.get().partitionId(), np.array([end_id], "<u4").tobytes()
-    frames, index, size, before = [], [], 0, 0
+    frames, ids_of, sizes, counts, before = [], [], [], [], 0
 
     def block() -> pa.RecordBatch:
-        row = [[shard], [sha], [b"".join(frames)], [index]]
-        return pa.record_batch([pa.array(c, t.type) for c, t in zip(row, _BLOCK_SCHEMA, strict=True)], schema=_BLOCK_SCHEMA)
-
+        """The block of the held frames; its index is made from whole columns."""
+        nonlocal before
+        n, size = np.array(counts, np.int64), np.array(sizes, np.int64)
+        columns = [pa.array(ids_of, pa.int64()), np.cumsum(size) - size, n, before + np.cumsum(n) - n]
+        index = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], fields=list(_BLOCK_SCHEMA.field("index").type.value_type))
+        before += int(n.sum())
+        row = [pa.array([shard], pa.int32()), pa.array([sha]), pa.array([b"".join(frames)], pa.binary()),
+               pa.ListArray.from_arrays(pa.array([0, len(n)], pa.int32()), index)]
+        for held in (frames, ids_of, sizes, counts):
+            held.clear()
+        return pa.record_batch(row, schema=_BLOCK_SCHEMA)
+
+    held = 0
     for batch in batches:
         for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch.column(1))), strict=True):
-            ids += end
-            frame, n = compress(ids), len(ids) // 4
-            index.append({"doc_id": doc_id, "offset": size, "n_tokens": n, "before": before})
+            frame = compress(ids + end)
             frames.append(frame)
-            size, before = size + len(frame), before + n
-            if size >= BLOCK_BYTES:
+            ids_of.append(doc_id)
+            sizes.append(len(frame))
+            counts.append(len(ids) // 4 + 1)
+            held += len(frame)
+            if held >= BLOCK_BYTES:
                 yield block()
-                frames, index, size = [], [], 0
-    if index:
+                held = 0
+    if frames:
         yield block()
 
 
@@ -131,7 +142,7 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, *, end_id: int =
     """Encode ``doc_id, text`` of ``docs`` into a store at ``target`` (which must not exist).
 
     Null and empty texts are one end id. A null doc_id comes first; rows that share an id
-    are ordered by text. An empty table gives a store without blocks.
+    are ordered by a hash of the text. An empty table gives a store without blocks.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -148,21 +159,21 @@ def write_tokens(docs: DataFrame, target: str, tokenizer: str, *, end_id: int =
     spark.createDataFrame([(sha, bytearray(dictionary))], "sha256 string, content binary").write.parquet(f"{target}/dictionary")
     (
         docs.select(F.col("doc_id").cast("long"), "text")
-        .repartitionByRange(F.col("doc_id").asc_nulls_first())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+        .withColumn("spread", F.xxhash64("text"))  # rows of one id are dealt to several tasks
+        .repartitionByRange(F.col("doc_id").asc_nulls_first(), "spread")
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "spread", "text")
+        .drop("spread")
         .mapInArrow(lambda batches: _write_blocks(batches, tokenizer, dictionary, end_id), _BLOCKS)
         .write.parquet(f"{target}/blocks")
     )
-    # One row per shard, so the running sum over shards may be one task's.
+    # One row per shard, so the running sum over shards may be one task's; their numbers are in order.
     shards = (
         spark.read.parquet(f"{target}/blocks")
         .select("shard", F.inline("index"))
         .groupBy("shard")
-        .agg(F.min("doc_id").alias("first_doc"), F.sum("n_tokens").alias("n_tokens"), F.count("doc_id").alias("ids"), F.count("*").alias("rows"))
-        # A shard with a null id is the first one.
-        .withColumn("place", F.struct((F.col("ids") == F.col("rows")).alias("later"), "first_doc"))
+        .agg(F.min("doc_id").alias("first_doc"), F.sum("n_tokens").alias("n_tokens"))
     )
-    ahead = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards.select(
         "shard", "first_doc", "n_tokens", F.coalesce(F.sum("n_tokens").over(ahead), F.lit(0)).alias("start")
     ).write.parquet(f"{target}/shards")
@@ -179,20 +190,31 @@ def _dictionaries(spark: SparkSession, store: str) -> dict[str, bytes]:
 def _decode(batches: Iterator[pa.RecordBatch], dictionaries: dict[str, bytes], wanted: set[int] | None, out: pa.Schema):
     known = {}
     for batch in batches:
-        rows = []
-        for shard, sha, frames, index, start in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+        shards, shas, starts = (batch.column(i).to_pylist() for i in (0, 1, 4))
+        for row, (shard, sha, start) in enumerate(zip(shards, shas, starts, strict=True)):
             if sha not in known:
-                known[sha] = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionaries[sha]))
-            ends = [e["offset"] for e in index[1:]] + [len(frames)]
-            for entry, stop in zip(index, ends, strict=True):
-                if wanted is not None and entry["doc_id"] not in wanted:
-                    continue
-                ids = known[sha].decompress(frames[entry["offset"] : stop], max_output_size=4 * entry["n_tokens"])
-                if len(ids) != 4 * entry["n_tokens"]:
-                    raise ValueError(f"shard {shard}: document {entry['doc_id']} has {len(ids)} bytes of ids")
-                row = {"doc_id": entry["doc_id"], "start": start + entry["before"], "n_tokens": entry["n_tokens"]}
-                rows.append(row | {"ids_crc32": zlib.crc32(ids)} | ({"ids": np.frombuffer(ids, "<u4")} if "ids" in out.names else {}))
-        yield pa.RecordBatch.from_pylist(rows, schema=out)
+                known[sha] = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(dictionaries[sha])).decompress
+            frames = memoryview(batch.column(2)[row].as_buffer())
+            index = batch.column(3)[row].values
+            docs = index.field("doc_id")
+            at, counts, before = (index.field(n).to_numpy() for n in ("offset", "n_tokens", "before"))
+            ends = np.append(at[1:], len(frames))
+            places = np.arange(len(at))
+            if wanted is not None:
+                places = np.flatnonzero([d in wanted for d in docs.to_pylist()])
+            found, sums = [], []
+            for k in places.tolist():
+                ids = known[sha](frames[at[k] : ends[k]], max_output_size=4 * int(counts[k]))
+                if len(ids) != 4 * counts[k]:
+                    raise ValueError(f"shard {shard}: document {docs[k]} has {len(ids)} bytes of ids")
+                sums.append(zlib.crc32(ids))
+                if "ids" in out.names:
+                    found.append(np.frombuffer(ids, "<u4").astype(np.int64))
+            columns = [docs.take(pa.array(places)), start + before[places], counts[places], np.array(sums, np.int64)]
+            if "ids" in out.names:
+                ends_of = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(ends_of, np.concatenate([np.empty(0, np.int64), *found])))
+            yield pa.record_batch([pa.array(c, t) if isinstance(c, np.ndarray) else c for c, t in zip(columns, out.types, strict=True)], schema=out)
 
 
 def _read(spark: SparkSession, store: str, wanted: set[int] | None, ids: bool) -> DataFrame:
