@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from rangeloom.operators.heal import (
 from rangeloom.operators import sinks
 from rangeloom.operators.land import load_landed, read_landing
 from rangeloom.operators.layout import analyze_table, range_layout
-from rangeloom.operators.load import load_parquet, load_table
+from rangeloom.operators.load import load, load_parquet, load_table
 from rangeloom.operators.packing import pack_batches
 from rangeloom.operators.profile import decode_profile, null_profile
 from rangeloom.operators.report import timed_load
@@ -823,6 +824,20 @@ def table_statistics(spark, folder):
     return spark.createDataFrame(lines, "column_name string, least bigint, greatest bigint, nulls bigint, rows bigint")
 
 
+@_register(
+    """SELECT batch, count(*) AS n, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM (
+         SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 4096 AS batch FROM orders) GROUP BY batch"""
+)
+def streamed_batches(spark, folder):
+    """What a consumer of an ordered load sees: batches of a fixed size, in the order of the key."""
+    spec = _orders_spec(folder, "o_custkey") | {"batch_size": 4096}
+    stream = load(spark, spec, ordered=True, parallelism=CORES).batches()
+    # A partition's last batch may be short: the consumer counts rows, and keeps the keys only.
+    ids = np.concatenate([np.empty(0, np.int64), *[batch.column("id").to_numpy() for batch in stream]])
+    lines = [(k // 4096, len(ids[k : k + 4096]), int(ids[k]), int(ids[k : k + 4096][-1])) for k in range(0, len(ids), 4096)]
+    return spark.createDataFrame(lines, "batch bigint, n bigint, first_id bigint, last_id bigint")
+
+
 _BY_STATUS = "SELECT o_orderstatus AS status, count(*) AS n, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM orders GROUP BY ALL"
 
 

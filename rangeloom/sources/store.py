@@ -42,6 +42,11 @@ def append_file(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} could not be written")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    store, place = _hadoop(spark, path)
+    store.mkdirs(place)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder with all that is in it; none is no error."""
     store, place = _hadoop(spark, path)

@@ -102,7 +102,7 @@ def test_null_keys_heal_to_as_many_rows(spark):
 
 
 def test_streaming_takes_runs_not_partitions(spark, monkeypatch):
-    monkeypatch.setattr(batches, "RUN_BYTES", 20_000)
+    monkeypatch.setattr(batches, "AHEAD_BYTES", 20_000)
     df = spark.range(0, 20_000, 1, 2)
     found = list(batches.stream_batches(df, 1000))
     assert [b.num_rows for b in found] == [1000] * 20
