@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ from rangeloom.plans.spec import LoadSpec, as_spec
 from rangeloom.sources import jdbc
 from rangeloom.sources.queries import key_bounds, query_as_source
 
+_EMPTY_AUTHORITY = re.compile(r"^(\w+):///")
+
 # Fixed value: rows looked at by a profile unless the caller says otherwise.
 SAMPLE_ROWS = 10_000
 
@@ -63,6 +67,34 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
     return near.orderBy(value).limit(n)
 
 
+def first_rows_in_files(files: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:
+    """The first ``n`` rows of a plain scan of Parquet files, by file name and place.
+
+    Rows per file come from the files' footers: of the first file, the next two, the next
+    four, until there are enough. Only those files are read, nothing is sorted, and the
+    same rows come every time. Files in folders named by column values are not taken.
+    """
+    plan = files._jdf.queryExecution().optimizedPlan()
+    if plan.nodeName() != "LogicalRelation":
+        raise ValueError("only a plain scan of files has first rows; choose columns afterwards")
+    spark, names = files.sparkSession, sorted(files.inputFiles())
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    scan = lambda some: spark.read.schema(files.schema).parquet(*map(unquote, some))
+    taken, rows, last, at, step = [], 0, None, 0, 1
+    while at < len(names) and rows < n:
+        some = names[at : at + step]
+        found = {r.path: r.n for r in scan(some).groupBy(path.alias("path")).agg(F.count("*").alias("n")).collect()}
+        for name in some:
+            if rows < n:
+                known = _EMPTY_AUTHORITY.sub(r"\1:/", name)  # as the metadata writes it
+                taken.append(name)
+                last, rows = (known, n - rows), rows + found.get(known, 0)
+        at, step = at + step, step * 2
+    if not taken:
+        return files.limit(0)
+    return scan(taken) if rows <= n else scan(taken).where((path != last[0]) | (place < last[1]))
+
+
 def _report(df: DataFrame, measures: dict[str, dict[str, str]]) -> DataFrame:
     """One aggregate over all columns, turned into one row per column."""
     names = list(measures)
@@ -83,8 +115,8 @@ def null_profile(
 ) -> DataFrame:
     """``(column_name, rows, null_count)`` of a safe decode.
 
-    Looks at the first ``sample_rows`` rows by ``key`` (a source column), or at all
-    rows if ``sample_rows`` is None.
+    Looks at the first ``sample_rows`` rows by ``key`` (a source column), or at all rows if
+    ``sample_rows`` is None, for instance those of :func:`first_rows_in_files`.
     """
     named = _sample(df, schema, key, sample_rows)
     typed = typed_columns(named, schema)

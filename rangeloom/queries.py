@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rangeloom.functions import epoch
@@ -30,10 +30,11 @@ from rangeloom.operators.land import load_landed, read_landing
 from rangeloom.operators.layout import analyze_table, range_layout
 from rangeloom.operators.load import load, load_parquet, load_table
 from rangeloom.operators.packing import pack_batches
-from rangeloom.operators.profile import decode_profile, null_profile
+from rangeloom.operators.profile import decode_profile, first_rows_in_files, null_profile
 from rangeloom.operators.report import timed_load
 from rangeloom.plans import ranges
 from rangeloom.plans.ranges import RangePlan, make_plan
+from rangeloom.plans.row_ranges import make_row_plan, row_counts
 from rangeloom.plans.session import JOB_ERRORS, cause_of, scratch_path, set_aside
 from rangeloom.sources import queries as sources
 from rangeloom.sources.dump import (
@@ -207,6 +208,51 @@ def pack_batches_many_workers(spark, folder):
 
 
 
+def _equal_rows(spark, folder, name: str, key: str, rows: int) -> DataFrame:
+    """How the ranges of a plan by rows cover a table, and whether all hold about equally many."""
+    table = _table(spark, folder, name)
+    plan = make_row_plan(table, key, CORES, rows)
+    found = row_counts(table, key, plan)
+    even = F.max("rows_read") <= 1.05 * plan.rows / plan.n_partitions
+    ahead = F.lead("lo").over(Window.orderBy("lo"))
+    lined = found.withColumn("joined", F.coalesce(ahead == F.col("hi") + 1, F.lit(True)))
+    return lined.agg(
+        F.count("*").alias("n_ranges"), F.sum("rows_read").alias("rows"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.min("joined").alias("joined"), even.alias("even"),
+    )
+
+
+_EQUAL_SQL = """SELECT CAST(ceil(count(*) / {rows}.0) AS BIGINT) AS n_ranges, count(*) AS "rows", min({key}) AS lo, max({key}) AS hi,
+                       true AS joined, true AS even FROM {table}"""
+
+
+@_register(_EQUAL_SQL.format(table="lineitem", key="l_orderkey", rows=1000))
+def row_ranges(spark, folder):
+    return _equal_rows(spark, folder, "lineitem", "l_orderkey", 1000)
+
+
+@_register(_EQUAL_SQL.format(table="labels", key="doc_id", rows=40))
+def row_ranges_sparse_keys(spark, folder):
+    return _equal_rows(spark, folder, "labels", "doc_id", 40)
+
+
+@_register(
+    """SELECT CAST(count(*) FILTER (o_orderkey % 3 = 0) AS BIGINT) AS hot_rows, CAST(1 AS BIGINT) AS hot_keys,
+              CAST(count(*) AS BIGINT) AS "rows" FROM orders"""
+)
+def row_ranges_hot_key(spark, folder):
+    """A key with a third of all rows is a range of its own."""
+    middle = sum(sources.parquet_key_bounds(spark, _path(folder, "orders"), "o_orderkey")) // 2 // 3 * 3
+    key = F.when(F.col("o_orderkey") % 3 == 0, F.lit(middle)).otherwise(F.col("o_orderkey")).alias("k")
+    table = _table(spark, folder, "orders").select(key)
+    counts = row_counts(table, "k", make_row_plan(table, "k", CORES, 100))
+    alone = F.col("lo") == F.lit(middle)
+    return counts.agg(
+        F.sum(F.when(alone, F.col("rows_read"))).alias("hot_rows"),
+        F.max(F.when(alone, F.col("hi") - F.col("lo") + 1)).alias("hot_keys"), F.sum("rows_read").alias("rows"),
+    )
+
+
 # -- loads and scans
 
 
@@ -423,11 +469,15 @@ def fatal_error(spark, folder):
 _NULL_MODULI = {"ts": 3, "user_id": 5, "event_type": 7, "value": 11, "props": 13}
 
 
-def _events_with_nulls(spark, folder) -> DataFrame:
+def _with_nulls(events: DataFrame) -> DataFrame:
     columns = [
         F.when(F.col("event_id") % m != 1, F.col(name)).alias(name) for name, m in _NULL_MODULI.items()
     ]
-    return _table(spark, folder, "events").select("event_id", *columns)
+    return events.select("event_id", *columns)
+
+
+def _events_with_nulls(spark, folder) -> DataFrame:
+    return _with_nulls(_table(spark, folder, "events"))
 
 
 NULLABLE_SCHEMA = struct_of([
@@ -466,6 +516,13 @@ def null_profile_sample(spark, folder):
     return null_profile(_events_with_nulls(spark, folder), NULLABLE_SCHEMA, "event_id")
 
 
+@_register(_profile_sql("SELECT * FROM events ORDER BY event_id LIMIT 777", _NULLS))
+def null_profile_file_order(spark, folder):
+    """The first rows as they stand in the files."""
+    first = first_rows_in_files(_table(spark, folder, "events"), 777)
+    return null_profile(_with_nulls(first), NULLABLE_SCHEMA, sample_rows=None)
+
+
 @_register(_profile_sql(_ALL, _NULLS))
 def null_profile_whole(spark, folder):
     return null_profile(_events_with_nulls(spark, folder), NULLABLE_SCHEMA, sample_rows=None)

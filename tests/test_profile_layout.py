@@ -11,7 +11,8 @@ from rangeloom.operators import profile
 from rangeloom.operators.layout import analyze_table, range_layout, write_range_layout
 from rangeloom.operators.report import timed_load
 from rangeloom.operators.load import load_parquet, load_table
-from rangeloom.operators.profile import first_rows, null_profile
+from rangeloom.operators.profile import first_rows, first_rows_in_files, null_profile
+from rangeloom.plans.row_ranges import make_row_plan, row_counts
 from rangeloom.sources.synth import DECLARED_COLUMNS, synth_table
 
 
@@ -117,3 +118,44 @@ def test_generated_table(spark):
     assert one.schema.simpleString() == struct_of(DECLARED_COLUMNS).simpleString()
     spread = one.agg(F.min("course_id"), F.max("course_id"), F.countDistinct("rating"), F.avg("score")).first()
     assert spread[:3] == (100, 110, 1000) and 40 < spread[3] < 60
+
+
+def test_first_rows_in_files(spark, tmp_path):
+    path = str(tmp_path / "a b")
+    spark.range(0, 1000, 1, 9).selectExpr("id", "999 - id AS down").write.parquet(path)
+    files = spark.read.parquet(path)
+    for n in (1, 111, 112, 500, 1000, 5000):
+        first = first_rows_in_files(files, n)
+        assert sorted(r.id for r in first.collect()) == list(range(min(n, 1000)))
+    one = first_rows_in_files(files, 50)
+    assert len(one.inputFiles()) == 1 and len(first_rows_in_files(files, 300).inputFiles()) == 3
+    assert first_rows_in_files(spark.read.schema("id long").parquet(str(tmp_path)), 0).count() == 0
+    with pytest.raises(ValueError, match="plain scan"):
+        first_rows_in_files(files.where("id > 5"), 10)
+
+
+@pytest.mark.parametrize("rows", [3, 7, 100, 400, 5000])
+def test_ranges_by_rows(spark, rows):
+    """Keys from -500 on, dense at the one end, sparse at the other, one of them a fifth of all rows."""
+    keys = spark.range(2000).selectExpr("IF(id % 5 = 0, 77, IF(id < 1000, id - 500, id * 1000)) AS k").unionAll(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    plan = make_row_plan(keys, "k", 2, rows)
+    spans = plan.ranges
+    assert all(a <= b for a, b in spans) and all(b[0] == a[1] + 1 for a, b in zip(spans, spans[1:]))
+    lo, hi = keys.agg(F.min("k"), F.max("k")).first()
+    assert (spans[0][0], spans[-1][1]) == (lo, hi)
+    counts = row_counts(keys, "k", plan).collect()
+    assert sum(c.rows_read for c in counts) == 2000 and len(counts) == plan.n_partitions
+    if rows < 400:
+        assert [(c.lo, c.rows_read) for c in counts if c.lo == c.hi == 77] == [(77, 401)]
+        assert max(c.rows_read for c in counts if c.lo != 77) <= 1.1 * rows + 1
+    tests = " + ".join(f"CAST({p} AS INT)" for p in plan.predicates("k"))
+    assert keys.where("k IS NOT NULL").selectExpr(f"{tests} AS n").distinct().collect() == [(1,)]
+
+
+def test_ranges_by_rows_of_few_keys(spark):
+    assert make_row_plan(spark.range(0), "id", 4) is None
+    assert make_row_plan(spark.range(1), "id", 4).ranges == ((0, 0),)
+    ends = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (None,)], "id bigint")
+    plan = make_row_plan(ends, "id", 4)
+    assert plan.ranges[0][0] == -(2**63) and plan.ranges[-1][1] == 2**63 - 1
+    assert [r.rows_read for r in row_counts(ends, "id", plan).orderBy("lo").collect()] == [1, 1]
