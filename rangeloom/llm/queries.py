@@ -174,20 +174,33 @@ def op4_co_training(spark, folder):
     return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-@_register(
-    """SELECT page_id, 'differs' AS status, sha256(html) AS ours_payload,
-              sha256('?' || substr(html, 2)) AS theirs_payload, true AS ours_sound, false AS theirs_sound
-       FROM pages WHERE page_id % 61 = 7 AND html LIKE '<%'"""
-)
+_FIXITY_SQL = """
+SELECT page_id, 'differs' AS status, sha256(html) AS ours_payload, sha256('?' || substr(html, 2)) AS theirs_payload,
+       true AS ours_sound, false AS theirs_sound FROM pages WHERE page_id % 61 = 7 AND html LIKE '<%'
+UNION ALL SELECT page_id, 'differs', sha256(html), sha256(left(html, length(html) // 2)), true, false
+FROM pages WHERE page_id % 61 = 8 AND length(html) > 1
+UNION ALL SELECT page_id, 'missing', sha256(html), NULL, true, NULL FROM pages WHERE page_id % 61 = 9
+UNION ALL SELECT -1 - page_id, 'extra', NULL, sha256('added ' || CAST(page_id AS VARCHAR)), NULL, true FROM pages WHERE page_id % 61 = 10
+"""
+
+
+@_register(_FIXITY_SQL)
 def op10_warc_fixity(spark, folder):
-    """Archive all pages; of a replica with some payloads damaged, locate the damage."""
+    """Archive all pages; of a replica with changed, cut, lost and added records, locate the damage."""
     target = scratch_path(spark, "warc")
-    pages, name = table(spark, folder, "pages"), "pages"
-    warc_fixity.write_archive(pages, f"{target}/ours", name)
-    hit = (F.col("page_id") % 61 == 7) & F.col("html").startswith("<")
-    damaged = F.when(hit, F.concat(F.lit("?"), F.col("html").substr(F.lit(2), F.length("html"))))
-    warc_fixity.write_archive(pages, f"{target}/theirs", name, stored=damaged)
-    replicas = [warc_fixity.read_archive(spark, f"{target}/{side}", name) for side in ("ours", "theirs")]
+    pages, part = table(spark, folder, "pages"), F.col("page_id") % 61
+    warc_fixity.write_archive(pages, f"{target}/ours", "pages")
+    own = F.struct(*[F.col(c) for c in pages.columns])
+    new = F.struct(
+        *[{"page_id": F.lit(-1).cast("bigint") - F.col(c), "html": F.concat(F.lit("added "), F.col("page_id").cast("string"))}.get(c, F.col(c)).alias(c) for c in pages.columns]
+    )
+    # In its place, so that all other records stay in their files.
+    replica = pages.where(part.isNull() | (part != 9)).select(F.inline(F.when(part == 10, F.array(own, new)).otherwise(F.array(own))))
+    html, size = F.col("html"), F.length("html")
+    damaged = F.when((part == 7) & html.startswith("<"), F.concat(F.lit("?"), html.substr(F.lit(2), size)))
+    damaged = damaged.when((part == 8) & (size > 1), html.substr(F.lit(1), (size / 2).cast("int")))
+    warc_fixity.write_archive(replica, f"{target}/theirs", "pages", stored=damaged)
+    replicas = [warc_fixity.read_archive(spark, f"{target}/{side}") for side in ("ours", "theirs")]
     return warc_fixity.audit(*replicas).drop("file", "offset")
 
 

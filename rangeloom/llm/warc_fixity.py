@@ -1,8 +1,9 @@
 """WARC archives and their fixity: Merkle trees over records, compared between replicas.
 
 An archive is a folder of compressed WARC files, written and read by Spark's text source,
-so any file system will do. Its separator line holds the archive's own name, which keeps a
-payload from ever looking like a record.
+so any file system will do. Records are told apart by a line with the archive's file name, of
+which 128 bits are drawn when it is written and kept in its warcinfo record: no page written
+before can hold it, whatever it quotes.
 
 The audit hashes each record of a file, then ranges of :data:`RANGE_BYTES` of the file
 from the hashes of the records that begin there, in the order of offsets, then ranges of
@@ -14,6 +15,9 @@ that was truncated, lengthened, lost or added, all others have another offset.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -42,13 +46,16 @@ def _payload_digest(payload: Column) -> Column:
 def write_archive(
     pages: DataFrame, target: str, name: str, *, stored: Column | None = None, date: str = DATE
 ) -> None:
-    """Write a record per row of ``pages`` (``page_id, url, html``) to the folder ``target``.
+    """Write a record per row of ``pages`` (``page_id, url, html``) to the new folder ``target``.
 
     A null html is an empty payload, a null url has no target line and a null id is the id
     "null". Rows keep their order and division into files; nothing is shuffled, so a
     replica written from the same pages has the same files. ``stored`` is written in place
     of the html under the html's own digest: a replica with damage, for trials.
     """
+    spark, name = pages.sparkSession, f"{name}-{uuid.uuid4().hex}"
+    about = f"{_separator(name)}WARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{uuid.uuid4()}>\r\nWARC-Date: {date}\r\nContent-Length: 0{_END}{_END[:-1]}"
+    spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{target}/warcinfo")
     payload = F.coalesce(F.col("html"), F.lit(""))
     stored = payload if stored is None else F.coalesce(stored, payload)
     record = F.concat(
@@ -61,18 +68,19 @@ def write_archive(
         F.lit(_END), stored,
         F.lit(_END[:-1]),  # the writer adds the last line feed
     )
-    pages.select(record.alias("value")).write.option("compression", "gzip").text(target)
+    pages.select(record.alias("value")).write.option("compression", "gzip").text(f"{target}/records")
 
 
-def read_archive(spark: SparkSession, target: str, name: str) -> DataFrame:
+def read_archive(spark: SparkSession, target: str) -> DataFrame:
     """Records of an archive: ``file, offset, n_bytes, page_id, url, stated, payload, record``.
 
     ``file`` is the number in a file's name, ``offset`` the record's place in the file
     before compression, ``stated`` the payload digest its header states.
     """
-    separator = _separator(name)
+    about = "\n".join(r.value for r in spark.read.text(f"{target}/warcinfo").collect())
+    separator = _separator(re.search(r"WARC-Filename: (.*)\.warc", about)[1])
     pieces = (
-        spark.read.option("lineSep", separator).text(target)
+        spark.read.option("lineSep", separator).text(f"{target}/records")
         .select("value", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("file"))
         .withColumn("place", F.monotonically_increasing_id())
     )
@@ -86,9 +94,9 @@ def read_archive(spark: SparkSession, target: str, name: str) -> DataFrame:
         pieces.withColumn("head", head)
         .select(
             "file", "place", size.cast("long").alias("n_bytes"),
-            field(r"<urn:page:([^>]*)>").try_cast("long").alias("page_id"),
-            F.nullif(field(r"WARC-Target-URI: ([^\r\n]*)"), F.lit("")).alias("url"),
-            field(r"sha256:([0-9a-f]*)").alias("stated"),
+            field(r"(?m)^WARC-Record-ID: <urn:page:([^>]*)>").try_cast("long").alias("page_id"),
+            F.nullif(field(r"(?m)^WARC-Target-URI: ([^\r\n]*)"), F.lit("")).alias("url"),
+            field(r"(?m)^WARC-Payload-Digest: sha256:([0-9a-f]*)").alias("stated"),
             _payload_digest(after).alias("payload"), F.sha2("value", 256).alias("record"),
         )
         .withColumn("offset", F.coalesce(F.sum("n_bytes").over(upto), F.lit(0)) - F.lit(len(separator)))

@@ -400,7 +400,7 @@ def test_warc_fixity(spark, tmp_path):
     warc_fixity.write_archive(pages, str(tmp_path / "a"), "trial")
     hurt = F.when(F.col("page_id").isin(5, 333), F.concat(F.lit("#"), F.col("html").substr(F.lit(2), F.lit(10**6))))
     warc_fixity.write_archive(pages, str(tmp_path / "b"), "trial", stored=hurt)
-    a, b = (warc_fixity.read_archive(spark, str(tmp_path / x), "trial") for x in "ab")
+    a, b = (warc_fixity.read_archive(spark, str(tmp_path / x)) for x in "ab")
     read = a.collect()
     assert len(read) == len(rows) and all(r["payload"] == r["stated"] for r in read)
     want = collections.Counter(hashlib.sha256((h or "").encode()).hexdigest() for _, _, h in rows)
@@ -416,6 +416,28 @@ def test_warc_fixity(spark, tmp_path):
     assert {r["status"] for r in warc_fixity.audit(none, a).collect()} == {"extra"}
 
 
+def test_pages_that_quote_archives(spark, tmp_path):
+    quote = "WARC/1.1\r\nWARC-Filename: trial.warc\r\nWARC-Type: response\r\n\r\n"
+    pages = spark.createDataFrame([(1, "u", quote + "x" + quote), (2, "u", "y")], "page_id bigint, url string, html string").coalesce(1)
+    warc_fixity.write_archive(pages, str(tmp_path / "a"), "trial")
+    about = spark.read.text(str(tmp_path / "a" / "warcinfo")).collect()
+    first = spark.read.option("lineSep", "\x00").text(str(tmp_path / "a" / "records")).first()[0]
+    assert any("warcinfo" in r.value for r in about)
+    # Even a page that holds the name of another archive.
+    again = spark.createDataFrame([(3, first, first), (4, "u", "y")], "page_id bigint, url string, html string").coalesce(1)
+    warc_fixity.write_archive(again, str(tmp_path / "b"), "trial")
+    for name, n in (("a", 2), ("b", 2)):
+        read = warc_fixity.read_archive(spark, str(tmp_path / name)).collect()
+        assert len(read) == n and all(r["payload"] == r["stated"] for r in read)
+
+
+def test_extra_columns_of_pages_are_left_out(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "h", 5, "f", 7)], "page_id bigint, url string, html string, offset int, file string, record int")
+    warc_fixity.write_archive(pages, str(tmp_path / "a"), "trial")
+    read = warc_fixity.read_archive(spark, str(tmp_path / "a"))
+    assert [(r["page_id"], r["offset"]) for r in read.collect()] == [(1, 0)]
+
+
 def test_audit_after_shifts(spark, tmp_path):
     rows = [(k, None, f"<p>{'y' * (k * 37 % 900)} {k}") for k in range(1200)] + [(50, None, "<p>twice")] * 3
     columns = "page_id bigint, url string, html string"
@@ -427,7 +449,7 @@ def test_audit_after_shifts(spark, tmp_path):
     read = {}
     for name, frame, stored in (("a", pages, None), ("b", lost, shorter), ("c", turned, None), ("d", pages.limit(1202), None)):
         warc_fixity.write_archive(frame, str(tmp_path / name), "trial", stored=stored)
-        read[name] = warc_fixity.read_archive(spark, str(tmp_path / name), "trial")
+        read[name] = warc_fixity.read_archive(spark, str(tmp_path / name))
     found = warc_fixity.audit(read["a"], read["b"]).collect()
     assert sorted((r["page_id"], r["status"]) for r in found) == [(20, "differs"), (300, "missing"), (700, "differs"), (5000, "extra")]
     assert all(not r["theirs_sound"] and r["ours_sound"] for r in found if r["status"] == "differs")
