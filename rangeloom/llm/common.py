@@ -285,11 +285,12 @@ def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def spanning_links(links: DataFrame) -> DataFrame:
     """Links ``(u, v)`` with the same components, at most one per node and task.
 
-    Dealt out by the larger end first, then by the smallest one that it reached: a node's
-    links to many others meet in one task each time, in memory of the task's nodes.
+    Dealt out by the larger end, twice: what a node reached in several tasks as the smaller
+    end of links meets in one of them then. Each time a task holds its own nodes only, and
+    no node has more rows than there are tasks.
     """
     stars = links.repartition("u").mapInArrow(_spanning, "u bigint, v bigint")
-    return stars.repartition("v").mapInArrow(_spanning, "u bigint, v bigint")
+    return stars.repartition("u").mapInArrow(_spanning, "u bigint, v bigint")
 
 
 def _are_stars(edges: DataFrame) -> bool:

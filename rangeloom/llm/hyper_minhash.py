@@ -21,19 +21,16 @@ A link is missed if all bands differ, which at a similarity of 0.8 has a probabi
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from rangeloom.llm.common import (
     Words,
     bound_batches,
-    connected_components,
     discard,
     fold_table,
     mixed,
@@ -41,6 +38,7 @@ from rangeloom.llm.common import (
     window_hashes,
     write_once,
 )
+from rangeloom.llm.regions import Tile, best_pivots, components_of_nodes, distinct_nodes, least_ids, set_key, sizes_allow
 
 #: Words of a shingle.
 SHINGLE = 2
@@ -48,16 +46,6 @@ SHINGLE = 2
 REGISTERS = 256
 BAND = 4
 MANTISSA = 10
-#: Pivots a node is verified against before all the others are looked at.
-PIVOTS = 4
-#: Nodes of a block of a hub, and shingles of all their sets; a tile compares two blocks.
-BLOCK = 1_024
-BLOCK_SHINGLES = 1_000_000
-#: Shingles that sets are compared on at a time.
-COLUMNS = 4_096
-#: Pairs of one text that are verified by one task in one go.
-RUN = 256
-
 EMPTY = np.uint16(0xFFFF)
 _BITS = 53  # of a hash within its bucket
 _SPREAD = 6.0
@@ -144,7 +132,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, keys, sketches = [], [], []
         for hashes in shingle_sets(texts_of(batch.column(1))):
             sizes.append(len(hashes))
-            keys.append(xxhash.xxh3_128_hexdigest(hashes.tobytes()))
+            keys.append(set_key(hashes))
             sketches.append(sketch(hashes).tobytes())
         yield pa.record_batch(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), pa.array(sketches, pa.binary())],
@@ -167,10 +155,6 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _sizes_allow(n: Column, m: Column) -> Column:
-    return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
-
-
 def _members(nodes: DataFrame) -> DataFrame:
     """``key, band, node, n, members, pivot, pivot_n`` of the groups of two nodes or more."""
     # A set of three shingles links with equal ones only.
@@ -196,210 +180,43 @@ def _pivot_pairs(members: DataFrame, nodes: DataFrame, chance: np.ndarray) -> Da
             )
 
     pairs = (
-        members.where("node <> pivot").where(_sizes_allow(F.col("n"), F.col("pivot_n")))
+        members.where("node <> pivot").where(sizes_allow(F.col("n"), F.col("pivot_n")))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_n").alias("n"), F.col("n").alias("m")).distinct()
     )
     one, other = (nodes.select(F.col("node").alias(i), F.col("sketch").alias(f"sketch_{i}")) for i in "ab")
     both = pairs.join(one, "a").join(other, "b").select("a", "b", "n", "m", "sketch_a", "sketch_b")
     judged = both.mapInArrow(judge, "a bigint, b bigint, likeness double")
-    place = F.row_number().over(Window.partitionBy("b").orderBy(F.col("likeness").desc(), "a"))
-    return write_once(judged.withColumn("place", place).where(F.col("place") <= PIVOTS).select("a", "b"), large=True)
-
-
-def _verify_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sets of a run's first text and of the others, compared as they stream by."""
-    run, first = None, None
-    for batch in batches:
-        a, salt, role, node, keys = (batch.column(i).to_pylist() for i in range(5))
-        pairs = []
-        for k, hashes in enumerate(shingle_sets(texts_of(batch.column(5)))):
-            if xxhash.xxh3_128_hexdigest(hashes.tobytes()) != keys[k]:
-                continue  # another text under the same doc_id
-            if role[k] == 0:
-                run, first = (a[k], salt[k]), hashes
-            elif run == (a[k], salt[k]):
-                shared = len(np.intersect1d(first, hashes, assume_unique=True))
-                if 100 * shared >= 80 * (len(first) + len(hashes) - shared):
-                    pairs.append((a[k], node[k]))
-        yield pa.record_batch([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The links among ``pairs``: similarity of whole sets, a text once per :data:`RUN` pairs."""
-    runs = F.ceil(F.count("*").over(Window.partitionBy("a")) / F.lit(RUN))
-    dealt = pairs.select("a", "b").withColumn("runs", runs).withColumn("salt", F.pmod(F.xxhash64("b"), "runs"))
-    want = dealt.select("a", "salt", F.lit(1).alias("role"), F.col("b").alias("node")).unionByName(
-        dealt.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("node")).distinct()
-    )
-    rows = want.join(texts, "node").select("a", "salt", "role", "node", "set_key", "text")
-    lined = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return write_once(lined.mapInArrow(_verify_runs, "a bigint, b bigint"), large=True)
+    return write_once(best_pivots(judged, "likeness"), large=True)
 
 
-def _placed(rows: DataFrame, components: DataFrame, column: str, name: str) -> DataFrame:
-    found = components.select(F.col("node").alias(column), F.col("component").alias("__found"))
-    return rows.join(found, column, "left").withColumn(name, F.coalesce("__found", column)).drop("__found")
+def _likely_in_tile(chance: np.ndarray) -> Callable[[Tile, pa.Table], np.ndarray]:
+    """Marks nodes of a tile with a partner that is likely to link, by the estimate."""
 
-
-def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of each tile, which come one after the other."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        mark = np.stack([batch.column(c).to_numpy() for c in ("hub", "t1", "t2")])
-        cuts = [0, *(np.flatnonzero((mark[:, 1:] != mark[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if a == b:
-                continue
-            if last is not None and tuple(mark[:, a]) != last:
-                yield pa.Table.from_batches(held)
-                held.clear()
-            last = tuple(mark[:, a])
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-class _Tile:
-    """Nodes of a block outside a hub's largest component, and a block of all of its nodes."""
-
-    def __init__(self, table: pa.Table):
-        self.hub = table.column("hub")[0].as_py()
-        self.node, self.n, self.component = (table.column(c).to_numpy() for c in ("node", "n", "component"))
-        side = table.column("left").to_numpy()
-        self.left, self.right = np.flatnonzero(side), np.flatnonzero(~side)
-
-    def partners(self, i: int) -> np.ndarray:
-        """Places in ``right`` of another component and a size that allows a link."""
-        n, m = self.n[self.right], self.n[i]
-        fit = (self.component[self.right] != self.component[i]) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
-        return np.flatnonzero(fit)
-
-
-def _likely_nodes(batches: Iterator[pa.RecordBatch], chance: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Nodes of a tile with a partner that is likely to link, by the estimate."""
-    for table in _tiles(batches):
-        tile, raw = _Tile(table), _sketches(table.column("sketch"))
-        marked = np.zeros(len(raw), bool)
+    def marked(tile: Tile, table: pa.Table) -> np.ndarray:
+        raw = _sketches(table.column("sketch"))
+        found = np.zeros(len(raw), bool)
         for i in tile.left:
             j = tile.right[tile.partners(i)]
             if len(j):
                 _, likely = _likely(raw[j], raw[i], tile.n[j], np.full(len(j), tile.n[i]), chance)
-                marked[j[likely]] = True
-                marked[i] |= likely.any()
-        nodes = np.unique(tile.node[marked])
-        yield pa.record_batch([np.full(len(nodes), tile.hub), nodes], names=["hub", "node"])
-
-
-def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all sets on the left with all on the right."""
-    sets = [*left, *right]
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, column, several = np.unique(np.concatenate([np.empty(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
-    kept = several[column] > 1
-    row, column = row[kept], np.unique(column[kept], return_inverse=True)[1]
-    out = np.zeros((len(left), len(right)), np.float32)  # exact below 2**24
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for a in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        part = slice(*np.searchsorted(column, [a, a + COLUMNS]))
-        held = np.zeros((len(sets), COLUMNS), np.float32)
-        held[row[part], column[part] - a] = 1
-        out += held[: len(left)] @ held[len(left) :].T
-    return out
-
-
-def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The links of a tile between components, as a spanning forest of them."""
-    for table in _tiles(batches):
-        sets = list(shingle_sets(texts_of(table.column("text"))))
-        keys = table.column("set_key").to_pylist()
-        own = [k for k, s in enumerate(sets) if xxhash.xxh3_128_hexdigest(s.tobytes()) == keys[k]]
-        pairs = []
-        if own:
-            tile, sets = _Tile(table.take(pa.array(own, pa.int64()))), [sets[k] for k in own]
-            shared = _shared_counts([sets[k] for k in tile.left], [sets[k] for k in tile.right])
-            parent = {c: c for c in tile.component.tolist()}
-            for at, i in enumerate(tile.left):
-                places = tile.partners(i)
-                both, j = shared[at, places].astype(np.int64), tile.right[places]
-                for k in j[100 * both >= 80 * (tile.n[i] + tile.n[j] - both)].tolist():
-                    a, b = _top(parent, int(tile.component[i])), _top(parent, int(tile.component[k]))
-                    if a != b:
-                        parent[a] = b
-                        pairs.append((int(tile.node[i]), int(tile.node[k])))
-        yield pa.record_batch([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-
-def _top(parent: dict[int, int], x: int) -> int:
-    while parent[x] != x:
-        parent[x] = x = parent[parent[x]]
-    return x
-
-
-def _dealt(rows: DataFrame) -> DataFrame:
-    """Rows of hubs of several components, for tiles ``t1, t2``.
-
-    Nodes of the largest component need no comparison with each other: a tile is a block
-    of the other nodes, on the ``left``, with a block of all nodes.
-    """
-    per = rows.groupBy("hub", "component").agg(F.count("*").alias("m"), F.sum("n").alias("s"))
-    sizes = per.groupBy("hub").agg(
-        F.max(F.struct("m", "component", "s")).alias("top"), F.sum("m").alias("m"), F.sum("s").alias("s"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    blocks = lambda m, s: F.greatest(F.ceil(m / F.lit(BLOCK)), F.ceil(s / F.lit(BLOCK_SHINGLES)), F.lit(1)).cast("int")
-    sizes = sizes.select(
-        "hub", F.col("top.component").alias("major"), blocks(F.col("m"), F.col("s")).alias("blocks"),
-        blocks(F.col("m") - F.col("top.m"), F.col("s") - F.col("top.s")).alias("others"),
-    )
-    placed = rows.join(sizes, "hub")
-    every = F.explode(F.sequence(F.lit(0), F.col("others") - 1))
-    right = placed.select("hub", every.alias("t1"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("t2"), F.lit(False).alias("left"), "node", "n", "component")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = placed.where("component <> major").select(
-        "hub", F.pmod(F.xxhash64("node", F.lit(1)), "others").cast("int").alias("t1"), every.alias("t2"), F.lit(True).alias("left"), "node", "n", "component"
-    )
-    return left.unionByName(right)
-
-
-def _lined(tiles: DataFrame) -> DataFrame:
-    return tiles.repartition("hub", "t1", "t2").sortWithinPartitions("hub", "t1", "t2")
-
+                found[j[likely]] = True
+                found[i] |= likely.any()
+        return found
 
-def _open_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, components: DataFrame, chance: np.ndarray) -> DataFrame:
-    """Links that join the components within a group.
-
-    The groups of one pivot, in whatever bands, are compared as one hub: near copies that
-    meet in most bands are moved a few times, not once per band. No pair is a row: the
-    estimate gives nodes with a likely partner, the sets of those give a forest.
-    """
-    hubs = members.select(F.col("pivot").alias("hub"), "node", "n").distinct()
-    hubs = write_once(_placed(hubs, components, "node", "component"), large=True)
-    tiles = _dealt(hubs).join(nodes.select("node", "sketch"), "node")
-    likely = _lined(tiles).mapInArrow(lambda b: _likely_nodes(b, chance), "hub bigint, node bigint")
-    rest = write_once(hubs.join(likely.distinct(), ["hub", "node"], "left_semi"), large=True)
-    tiles = _dealt(rest).join(texts, "node")
-    found = write_once(_lined(tiles).mapInArrow(_tile_links, "a bigint, b bigint"), large=True)
-    discard(hubs, rest)
-    return found
+    return marked
 
 
 def _components(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, component`` of the nodes that link."""
     chance = chance_matches()
     members = _members(nodes)
-    grouped = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "x", "set_key")
-    texts = write_once(
-        docs.join(grouped, docs.doc_id == grouped.x).select("node", "set_key", "text"), large=True
-    )
     pairs = _pivot_pairs(members, nodes, chance)
-    links = _verified(pairs, texts)
-    components = connected_components(links)
-    more = _open_links(members, nodes, texts, components, chance)
-    if not more.isEmpty():
-        components = connected_components(links.unionByName(more))
-    discard(members, texts)
-    return components
+    hubs = members.select(F.col("pivot").alias("hub"), "node", "n").distinct()
+    found = components_of_nodes(
+        docs, nodes, hubs, pairs, nodes.select("node", "sketch"), _likely_in_tile(chance), shingle_sets
+    )
+    discard(members, pairs)
+    return found
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -419,19 +236,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = write_once(docs.mapInArrow(_sets, "doc_id bigint, n bigint, set_key string, sketch binary"))
-    nodes = write_once(
-        sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("set_key")
-        .agg(F.min("doc_id").alias("x"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-        .withColumn("node", F.monotonically_increasing_id()),
-        large=True,
-    )
-    components = _components(docs.where("doc_id IS NOT NULL"), nodes)
-    placed = _placed(nodes.select("node", "set_key", "x"), components, "node", "component")
-    least = placed.groupBy("component").agg(F.min("x").alias("component_id"))
-    found = placed.join(least, "component").select("set_key", "component_id")
-    known = sets.select(
-        "doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")
-    )
-    return known.join(found, "set_key", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-    ).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    nodes = distinct_nodes(sets, "n", "sketch")
+    found = least_ids(sets, nodes, _components(docs.where("doc_id IS NOT NULL"), nodes))
+    return found.withColumnRenamed("n", "n_shingles").withColumn("kept", F.col("doc_id") == F.col("component_id"))

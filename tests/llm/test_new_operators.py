@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from rangeloom.llm import common, hard_negatives, hyper_minhash, prefix_trie
+from rangeloom.llm import common, hard_negatives, hyper_minhash, prefix_trie, regions
 from tests.llm import brute
 from tests.llm.test_operators import SCHEMA, make_rows, same
 
@@ -130,8 +130,8 @@ def test_registers_hold_zeros_and_mantissa():
 
 @pytest.mark.parametrize("block, run", [(256, 256), (5, 3)])
 def test_hyper_minhash(spark, monkeypatch, block, run):
-    monkeypatch.setattr(hyper_minhash, "BLOCK", block)
-    monkeypatch.setattr(hyper_minhash, "RUN", run)
+    monkeypatch.setattr(regions, "BLOCK", block)
+    monkeypatch.setattr(regions, "RUN", run)
     rows = make_rows()
     rng = random.Random(4)
     base = [f"w{k}" for k in range(70)]
