@@ -1,10 +1,12 @@
 """Order MinHash fingerprints, sensitive to edit distance; DataFrame functions only.
 
-A text's tokens (runs of non-space characters, cut at :data:`TOKEN_CHARS`) make k-mers of
-:data:`KMER` tokens. Each k-mer is numbered by its occurrences, and k-mer and number are
-hashed. The hash range is cut into :data:`BINS`; each bin selects its
-:data:`PICKED` smallest hashes, puts them back into text order and hashes that tuple. Two
-fingerprints are alike by the share of bins, of those filled in either, that are equal.
+A text's tokens are its words; a run of over :data:`TOKEN_CHARS` characters without a space
+is one token per character, so that an edit moves nothing but its own place. They make k-mers
+of :data:`KMER` tokens, each numbered by its occurrences; k-mer and number are hashed. Each of
+:data:`BINS` points of the hash range selects the :data:`PICKED` k-mers that come next, going
+on at the start after the end, puts them back into text order and hashes that tuple. So every
+point has a tuple with an order, however short the text. Two fingerprints are alike by the
+share of points whose tuples are equal.
 
 All steps are linear or a sort per text, over arrays within one row; no rows are exploded.
 """
@@ -20,13 +22,14 @@ from pyspark.sql.window import Window
 
 KMER = 3
 BINS = 64
-PICKED = 2
+PICKED = 3
 TOKEN_CHARS = 24
 #: Bits of a hash given up for a k-mer's place; in a text of over 16 million tokens places repeat.
 PLACE_BITS = 24
-#: Rows and ranges of doc_id in which documents find their neighbours.
+#: Rows of a range of doc_id in which documents find their neighbours, and ranges at most; the
+#: bounds are the driver's, 8 bytes each. With more rows than that, ranges are larger.
 RANGE_ROWS = 4_000
-MOST_RANGES = 5_000
+MOST_RANGES = 100_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -62,8 +65,8 @@ def _bin(packed: Column) -> Column:
 
 
 def signature(text: Column) -> Column:
-    """``array<struct<bin, tuple>>`` of the filled bins of a text (not null)."""
-    tokens = F.regexp_extract_all(text, F.lit(rf"\S{{1,{TOKEN_CHARS}}}"), F.lit(0))
+    """The tuples of a text (not null) as ``array<bigint>``, one per point; none without tokens."""
+    tokens = F.regexp_extract_all(text, F.lit(rf"(?<!\S)\S{{1,{TOKEN_CHARS}}}(?!\S)|\S"), F.lit(0))
     place_of = lambda e: e.bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
 
     def kmers(t: Column) -> Column:
@@ -84,35 +87,45 @@ def signature(text: Column) -> Column:
 
         return _let(firsts, with_later)
 
+    def ordered(items: Column) -> Column:
+        """Bins are of unsigned hashes: negative ones come last."""
+        return F.concat(F.filter(items, lambda e: e >= 0), F.filter(items, lambda e: e < 0))
+
     def smallest(items: Column) -> Column:
+        """All that a point can select: the first of each bin."""
         return F.filter(items, lambda e, i: (i < PICKED) | (_bin(F.get(items, i - PICKED)) != _bin(e)))
 
     def tuples(picked: Column) -> Column:
-        def one(run: Column) -> Column:
-            in_order = F.sort_array(F.transform(run, lambda e: F.struct(place_of(e).alias("at"), _hash_of(e).alias("h"))))
-            return F.struct(_bin(F.get(run, F.lit(0))).alias("bin"), F.xxhash64(F.transform(in_order, lambda e: e["h"])).alias("tuple"))
+        n = F.size(picked)
+        bin_of = lambda i: F.coalesce(_bin(F.get(picked, i)).cast("int"), F.lit(-1))
+        # Where each point's first k-mer is: a k-mer serves the points after the one before it.
+        firsts = F.flatten(F.transform(picked, lambda _, i: F.array_repeat(i, bin_of(i) - bin_of(i - 1))))
+        starts = F.concat(firsts, F.array_repeat(F.lit(0), F.lit(BINS - 1) - bin_of(n - 1)))
+
+        def one(start: Column) -> Column:
+            chosen = [F.get(picked, (start + k) % n) for k in range(PICKED)]
+            in_order = F.sort_array(F.array(*[F.struct(place_of(e).alias("at"), _hash_of(e).alias("h")) for e in chosen]))
+            return F.xxhash64(F.transform(in_order, lambda e: e["h"]))
 
-        return F.transform(_runs(picked, _bin), one)
+        return F.when(n > 0, F.transform(starts, one)).otherwise(F.array().cast("array<bigint>"))
 
-    return _let(tokens, lambda t: _let(kmers(t), lambda k: _let(numbered(k), lambda h: _let(smallest(h), tuples))))
+    return _let(tokens, lambda t: _let(kmers(t), lambda k: _let(numbered(k), lambda h: _let(ordered(h), lambda o: _let(smallest(o), tuples)))))
 
 
 def as_text(sig: Column) -> Column:
-    """A signature as a string: two hex digits of the bin and sixteen of its hash, for each filled bin."""
-    entry = lambda e: F.concat(F.lpad(F.hex(e["bin"]), 2, "0"), F.lpad(F.hex(e["tuple"]), 16, "0"))
-    return F.array_join(F.transform(sig, entry), "")
+    """A signature as a string: sixteen hex digits for each point."""
+    return F.array_join(F.transform(sig, lambda e: F.lpad(F.hex(e), 16, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """How alike two signatures are, from 0 to 1; 1 if both are empty.
 
-    The share of equal bins among those filled in either is about the share of common
-    k-mers to the power of :data:`PICKED`, so the root of that is taken.
+    The share of equal points is about the share of common k-mers to the power of
+    :data:`PICKED`, less where their order differs, so the root of that is taken.
     """
-    bins = lambda s: F.transform(s, lambda e: e["bin"])
-    filled = F.size(F.array_union(bins(a), bins(b)))
-    share = F.size(F.array_intersect(a, b)) / filled
-    return F.when(filled == 0, 1.0).otherwise(F.pow(share, F.lit(1 / PICKED)))
+    equal = F.size(F.filter(a, lambda e, i: e == F.get(b, i)))
+    share = F.when(F.size(a) == F.size(b), equal / F.greatest(F.size(a), F.lit(1))).otherwise(0.0)
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.pow(share, F.lit(1 / PICKED)))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -123,21 +136,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.withColumn("fingerprint", as_text(signature(F.coalesce(F.col("text"), F.lit("")))))
 
 
+def _bounds_upto(cut: Column, n: int, less: bool) -> Column:
+    """How many of the ``n`` sorted bounds are at most (or less than) doc_id, by halving."""
+    key, steps = F.col("doc_id"), F.sequence(F.lit(1), F.lit(max(1, (n + 1).bit_length())))
+
+    def half(s: Column, _: Column) -> Column:
+        middle = F.floor((s["a"] + s["b"]) / 2).cast("long")
+        at = F.get(cut, middle.cast("int"))
+        right = at < key if less else at <= key
+        moved = F.when(right, F.struct((middle + 1).alias("a"), s["b"].alias("b"))).otherwise(F.struct(s["a"].alias("a"), middle.alias("b")))
+        return F.when(s["a"] < s["b"], moved).otherwise(s)
+
+    first = F.struct(F.lit(0).cast("long").alias("a"), F.lit(n).cast("long").alias("b"))
+    return F.aggregate(steps, first, half, lambda s: s["a"])
+
+
 def with_next(docs: DataFrame, derive: Callable[[DataFrame], DataFrame], carried: list[str]) -> DataFrame:
     """``derive(docs)`` with columns ``carried`` of the next row in descending doc_id as ``next_*``.
 
     The last row's next is the first. Rows of equal ids are ordered by the hash of their
-    text; null ids come last. Rows are cut into ranges of doc_id at quantiles, so no task
-    sorts all; a range's last row takes its neighbour from a table of the ranges' first rows.
+    text; null ids come last. Rows are cut into ranges at quantiles of doc_id, and those of
+    an id or of no id, if they are many, by that hash, so no task sorts all; a range's last
+    row takes its neighbour from a table of the ranges' first rows.
     """
-    size = docs.agg(F.count("*").alias("n")).first()["n"]
-    ranges = min(MOST_RANGES, math.ceil(size / RANGE_ROWS))
-    bounds = []
+    size, n_null = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull())).first()
+    ranges = min(MOST_RANGES, math.ceil((size - n_null) / RANGE_ROWS))
+    bounds: list[int] = []
     if ranges > 1:
         shares = [k / ranges for k in range(1, ranges)]
-        bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", shares).alias("b")).first()["b"] or []))
+        bounds = sorted(docs.agg(F.percentile_approx("doc_id", shares, max(10_000, 20 * ranges)).alias("b")).first()["b"])
     cut = F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>")
-    part = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(cut, lambda b: b <= F.col("doc_id"))))
+    # From 0 to 1 as the hash goes from the least to the greatest.
+    spread = lambda of: F.floor((F.xxhash64("text").cast("double") / F.lit(2.0**64) + 0.5) * of)
+    upto, below_it = _bounds_upto(cut, len(bounds), False), _bounds_upto(cut, len(bounds), True)
+    own = upto - F.least(upto - below_it, spread(upto - below_it + 1))
+    pieces = max(1, min(MOST_RANGES, math.ceil(n_null / RANGE_ROWS)))
+    part = F.when(F.col("doc_id").isNull(), F.lit(-1) - F.least(F.lit(pieces - 1), spread(F.lit(pieces)))).otherwise(own).cast("long")
     within = Window.partitionBy("__part").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), "text")
     placed = docs.withColumn("__part", part)
     led = derive(placed).withColumn("__next", F.lead(F.struct(*carried)).over(within))

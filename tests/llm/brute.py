@@ -75,3 +75,22 @@ def near(docs, size=5):
                     ra, rb = sorted((root(a), root(b)))
                     parent[rb] = ra
     return [(doc, len(s), None if doc is None else root(doc)) for doc, s in sets]
+
+
+def order_likeness(a, b, k=3, picked=2, seeds=300):
+    """Order MinHash with a hash function per selection, on lists of tokens."""
+
+    def numbered(tokens):
+        seen, out = {}, []
+        for i in range(max(1, len(tokens) - k + 1)):
+            mer = tuple(tokens[i : i + k])
+            seen[mer] = seen.get(mer, 0) + 1
+            out.append((mer, seen[mer]))
+        return out
+
+    def select(items, seed):
+        ranked = sorted(range(len(items)), key=lambda i: hashlib.md5(repr((seed, items[i])).encode()).digest())
+        return [items[i] for i in sorted(ranked[:picked])]
+
+    one, other = numbered(a), numbered(b)
+    return (sum(select(one, s) == select(other, s) for s in range(seeds)) / seeds) ** (1 / picked)

@@ -18,6 +18,7 @@ from rangeloom.llm import (
     mixing,
     order_minhash,
     quality,
+    regions,
     substring_dedup,
     token_binary,
     warc_fixity,
@@ -312,7 +313,8 @@ def test_mixing(docs, rows, nothing, range_rows):
 
 @pytest.mark.parametrize("small", [16, 2])
 def test_jaccard_join(docs, rows, nothing, monkeypatch, small):
-    monkeypatch.setattr(jaccard_join, "SMALL_REGION", small)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", small)
+    monkeypatch.setattr(regions, "BLOCK", 8 * small)
     found = jaccard_join.near_duplicates(docs)
     same(found, found.columns, brute.near([r[:2] for r in rows]))
     assert jaccard_join.near_duplicates(nothing).count() == 0
@@ -373,6 +375,59 @@ def test_order_minhash_sees_order(spark):
     assert near[0] == 1 and near[1] > near[2] > near[3] == 0
 
 
+def likenesses(spark, texts):
+    """Likeness of each text to the first one."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    signed = frame.select("k", order_minhash.signature(F.col("text")).alias("sig"))
+    first = signed.where("k = 0").selectExpr("sig AS other")
+    near = signed.crossJoin(first).select("k", order_minhash.likeness(F.col("sig"), F.col("other"))).collect()
+    return [value for _, value in sorted(map(tuple, near))]
+
+
+@pytest.mark.parametrize("size", [20, 40, 60, 75])
+def test_short_texts_see_order(spark, size):
+    rng = random.Random(size)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+    half = size // 2
+    edited = [*words[:half], "new", *words[half + 1 :]]
+    near = likenesses(spark, [" ".join(w) for w in (words, edited, words[half:] + words[:half], [f"v{k}" for k in range(size)])])
+    assert near[0] == 1 and near[1] > near[2] + 0.05 and near[2] < 0.85 and near[3] < 0.3
+
+
+def test_an_edit_of_unspaced_text_moves_nothing_else(spark):
+    rng = random.Random(1)
+    text = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(2400))
+    near = likenesses(spark, [text, "x" + text, text[:1000] + text[1003:], text[1200:] + text[:1200], text[::-1]])
+    assert near[1] > 0.8 and near[2] > 0.8 and near[3] < near[2] and near[4] < 0.3
+
+
+def test_likeness_is_that_of_a_plain_order_minhash(spark):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(40)}" for _ in range(120)]
+    others = [base]
+    for edits in (1, 5, 15, 40):
+        own = list(base)
+        for _ in range(edits):
+            own[rng.randrange(len(own))] = f"n{rng.randrange(10**6)}"
+        others.append(own)
+    others += [base[60:] + base[:60], base[:60], base + base]
+    found = likenesses(spark, [" ".join(w) for w in others])
+    for value, own in zip(found, others, strict=True):
+        assert abs(value - brute.order_likeness(base, own, picked=order_minhash.PICKED)) < 0.2
+
+
+@pytest.mark.parametrize("size", [1, 3, 7])
+def test_neighbours_over_ranges(spark, monkeypatch, size):
+    """Ranges of few rows, an id with a third of all rows, and many rows without an id."""
+    monkeypatch.setattr(order_minhash, "RANGE_ROWS", size)
+    rows = [(k * 7 % 40, f"t{k}") for k in range(40)] + [(20, f"hot {k}") for k in range(40)] + [(None, f"none {k}") for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    line = [r["text"] for r in sorted(hashed, key=lambda r: (r["doc_id"] is None, -(r["doc_id"] or 0), r["h"]))]
+    found = order_minhash.with_next(docs, lambda d: d, ["text"]).collect()
+    assert {r["text"]: r["next_text"] for r in found} == dict(zip(line, [*line[1:], line[0]], strict=True))
+
+
 # 9
 
 
