@@ -8,8 +8,14 @@ the upper one mark content. The content is then all articles of the page, or wit
 the lines of the smallest element around all marked lines, except blocks of links before
 the first and after the last of them. So a short paragraph, a list or a heading is not lost.
 
-Class names and ids like "search" or "notice" drop an element outside articles. Within one
-they do so only if the element also has little text for its tags, or mostly links.
+Class names and ids only raise a question, which the element's text answers. Adverts and the
+like go, and outside articles menus, footers and sidebars, unless they hold an article or nearly
+all of the page's text; what is called "related", "header" or "notice", and a form, goes if it has
+little text for its tags, or mostly links. Reader comments are marked as a list of them, or
+come several at a time.
+
+Everything is linear in the page: the open elements carry what holds of those around them,
+and no more than :data:`DEEPEST` are open at a time.
 """
 
 from __future__ import annotations
@@ -28,8 +34,10 @@ from rangeloom.llm.common import bound_batches
 SIGMA = 1.5
 #: Characters given to the parser at a time.
 FEED = 1 << 16
-#: Within an article, an element that class or id marks goes if it has fewer characters for each tag.
+#: A marked element goes if it has fewer characters for each tag, or is mostly links.
 LEAST_RATIO = 20
+#: Elements open at a time; those deeper are taken as part of the deepest one, as browsers do.
+DEEPEST = 512
 
 # HTML's element names by what they do to a page's text.
 _BLOCK = frozenset(
@@ -41,57 +49,98 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _NO_END = frozenset("p li dt dd option tr td th thead tbody tfoot b i u em strong small font".split()) | _VOID
 _DROPPED = frozenset(
-    "head title script style noscript template svg math iframe object canvas audio video nav footer aside form "
+    "head title script style noscript template svg iframe object canvas audio video nav footer aside "
     "button select textarea dialog menu".split()
 )
-_DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu form".split())
-# Words in class names and ids that mark what is not the article.
-_MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner nav "
-    "navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget widgets cookie cookies "
-    "consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login search share sharing "
-    "social related recommended recommendations teaser trending pagination pager copyright disclaimer toolbar".split()
+_DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu".split())
+# Words in class names and ids that mark what is not the article. Some count as
+# a whole name only, some as a part of one; some hold outside articles, some need proof.
+_ADVERTS = frozenset(
+    "advert adverts advertisement advertising adsbygoogle sponsor sponsored cookie cookies consent gdpr newsletter "
+    "subscribe signup popup modal".split()
+)
+_WHOLE_ADVERTS = frozenset("ad ads adv promo promotion overlay".split())
+_FURNITURE = frozenset(
+    "banner nav navbar navigation menu breadcrumb breadcrumbs masthead footer sidebar aside login search pagination "
+    "pager toolbar copyright".split()
+)
+_DOUBTFUL = _ADVERTS | _WHOLE_ADVERTS | _FURNITURE | frozenset(
+    "header widget widgets notice notices alert share sharing social related recommended recommendations teaser "
+    "trending disclaimer discussion reply replies responses response reviews".split()
 )
 _HEADER_MARKS = frozenset("header masthead banner".split())
-_COMMENT_MARKS = frozenset("comment comments commentlist disqus".split())
-_REPLY_MARKS = frozenset("respond reply replies discussion".split())
+_COMMENT_LISTS = frozenset("comments commentlist disqus respond user-reviews".split())
+_COMMENT = frozenset("comment".split())
 _SPACE = re.compile(r"\s+")
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
-def _marks(attrs: dict[str, str | None]) -> set[str]:
+def _marks(attrs: dict[str, str | None]) -> tuple[set[str], set[str]]:
+    """Names of an element's class and id, whole and in their parts, in small letters."""
     names = " ".join(filter(None, (attrs.get("class"), attrs.get("id"))))
-    return {w.lower() for w in _NAME.findall(names)}
+    return {w.lower() for w in names.split()}, {w.lower() for w in _NAME.findall(names)}
 
 
 class _Element:
-    __slots__ = ("dropped", "group", "header", "link", "number", "tag")
+    """An open element, with what holds of it by those around it."""
+
+    __slots__ = ("article", "dropped", "group", "header", "hard", "link", "number", "tag")
 
-    def __init__(self, tag: str, number: int, dropped: bool, header: bool, link: bool = False, group: int = 0):
+    def __init__(self, tag, number, dropped, header, link=False, group=0, article=False, hard=False):
         self.tag, self.number, self.dropped, self.header, self.link, self.group = tag, number, dropped, header, link, group
+        self.article, self.hard = article, hard
+
+
+class _Group:
+    """An element that class, id or tag puts in doubt."""
+
+    __slots__ = ("article", "headings", "holds", "kind", "parent")
+
+    def __init__(self, parent: int, kind: str, article: bool, headings: bool):
+        self.parent, self.kind, self.article, self.headings, self.holds = parent, kind, article, headings, False
 
 
 class _Lines(HTMLParser):
     """Cuts a page into lines of ``(text, tags, container, characters in links)``; a dropped line has no text.
 
     ``parents`` has the container around each container, ``articles`` those that are articles.
-    ``groups`` has the lines of each element within an article that class or id marks, and
-    whether its headings stay; no group holds another.
+    ``groups`` are the elements in doubt, ``line_groups`` the innermost one of each line.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, int]] = []
+        self.line_groups: list[int] = []
         self.parents = [0]
         self.articles: set[int] = set()
-        self.groups: list[tuple[list[int], bool]] = [([], True)]
+        self.groups = [_Group(0, "page", False, True)]
         self.stack = [_Element("", 0, False, False)]
+        self.too_deep: dict[str, int] = {}
         self.data: list[str] = []
         self.tags, self.links, self.line_group = 0, 0, 0
-        self.heading = self.drop_line = False
+        self.heading = False
         self.headings: set[int] = set()
 
+    def doubt(self, tag: str, values: dict, inside: bool) -> str | None:
+        """What an element may be instead of content, by its names."""
+        if tag == "form":
+            return "form"
+        if not ("class" in values or "id" in values):
+            return None
+        whole, parts = _marks(values)
+        if parts & {"with", "has", "no"}:
+            return None
+        if whole & _COMMENT_LISTS or parts & (_COMMENT_LISTS - {"respond"}):
+            return "comments"
+        if whole & _COMMENT:
+            return "comment"
+        if whole & _WHOLE_ADVERTS or parts & _ADVERTS:
+            return "advert"
+        if not inside and whole & _FURNITURE:
+            return "furniture"
+        return "doubtful" if parts & _DOUBTFUL or whole & _DOUBTFUL else None
+
     def handle_starttag(self, tag, attrs):
         if tag in _BLOCK:
             self.end_line()
@@ -101,44 +150,46 @@ class _Lines(HTMLParser):
         if tag in _VOID:
             return
         values = dict(attrs)
-        marks = _marks(values) if values else set()
         top = self.stack[-1]
-        inside_article = any(e.tag in ("article", "main") for e in self.stack)
-        furniture = bool(marks & (_MARKS | _REPLY_MARKS)) and not marks & {"with", "has", "no"}
+        content = tag in ("article", "main", "body", "html")
+        kind = None if content else self.doubt(tag, values, top.article)
         if tag in _NO_END:
-            if tag in _BLOCK and not top.dropped:
-                self.drop_line |= bool(marks & _COMMENT_MARKS) or (furniture and not inside_article)
-                self.line_group = self.group(marks) if furniture and inside_article and not top.group else 0
+            if tag in _BLOCK and kind and not top.dropped:
+                self.line_group = self.group(top.group, kind, top.article, values)
             return
         self.heading = self.heading or tag in _HEADINGS
+        if len(self.stack) > DEEPEST:
+            self.too_deep[tag] = self.too_deep.get(tag, 0) + 1
+            return
         hidden = "hidden" in values or values.get("aria-hidden") == "true"
-        content = tag in ("article", "main", "body", "html")
-        own = (
-            tag in _DROPPED
-            or values.get("role") in _DROPPED_ROLES
-            or hidden
-            or bool(marks & _COMMENT_MARKS)
-            or (not content and furniture and not inside_article)
-            or (tag == "article" and bool(marks & {"related", "teaser", "recommended", "promo"}))
-        )
-        header = top.header or (tag == "header" and inside_article)
-        own |= tag == "header" and not inside_article
-        if inside_article and tag in _HEADINGS and not hidden:
+        own = tag in _DROPPED or values.get("role") in _DROPPED_ROLES or hidden
+        own |= tag == "article" and bool(values) and bool(_marks(values)[1] & {"related", "teaser", "recommended", "promo"})
+        header = top.header or (tag == "header" and top.article)
+        own |= tag == "header" and not top.article
+        if top.article and tag in _HEADINGS and not hidden:
             own = False
         # A menu or header left open ends where the article begins.
-        inherited = top.dropped and not (content and all(e.tag not in ("aside", "footer", "form") for e in self.stack))
-        if tag in ("article", "main") and not inherited and not own and not inside_article:
+        inherited = top.dropped and not (content and not top.hard)
+        article = tag in ("article", "main") and not inherited and not own and not top.article
+        if article:
             self.articles.add(len(self.parents))
-            self.stack.append(_Element(tag, self.container(top), False, False))
-            return
-        number = self.container(top) if tag in _BLOCK and not inside_article else top.number
+            up = top.group
+            while up and not self.groups[up].holds:
+                self.groups[up].holds = True
+                up = self.groups[up].parent
+        number = self.container(top) if article or tag in _BLOCK and not top.article else top.number
         group = top.group
-        if furniture and inside_article and not group and not content and tag in _BLOCK:
-            group = self.group(marks)
-        self.stack.append(_Element(tag, number, own or inherited, header, top.link or tag == "a", group))
+        if kind and tag in _BLOCK and not (own or inherited):
+            group = self.group(top.group, kind, top.article, values)
+        self.stack.append(
+            _Element(
+                tag, number, not article and (own or inherited), header and not article, top.link or tag == "a", group,
+                top.article or article, top.hard or tag in ("aside", "footer"),
+            )
+        )
 
-    def group(self, marks):
-        self.groups.append(([], bool(marks & _HEADER_MARKS)))
+    def group(self, parent: int, kind: str, article: bool, values: dict) -> int:
+        self.groups.append(_Group(parent, kind, article, bool(_marks(values)[1] & _HEADER_MARKS)))
         return len(self.groups) - 1
 
     def container(self, around):
@@ -146,10 +197,7 @@ class _Lines(HTMLParser):
         return len(self.parents) - 1
 
     def handle_startendtag(self, tag, attrs):
-        if tag in _VOID:
-            self.handle_starttag(tag, attrs)
-        else:  # not a thing in HTML: the slash is ignored
-            self.handle_starttag(tag, attrs)
+        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
 
     def handle_endtag(self, tag):
         if tag in _BLOCK:
@@ -157,6 +205,9 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in _NO_END:
             return
+        if self.too_deep.get(tag):
+            self.too_deep[tag] -= 1
+            return
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag == tag:
                 del self.stack[k:]
@@ -171,25 +222,47 @@ class _Lines(HTMLParser):
     def end_line(self):
         top = self.stack[-1]
         text = _SPACE.sub(" ", "".join(self.data)).strip()
-        if top.dropped or self.drop_line or (top.header and not self.heading):
+        if top.dropped or (top.header and not self.heading):
             text = ""
         if text or self.tags:
             if self.heading:
                 self.headings.add(len(self.lines))
-            self.groups[top.group or self.line_group][0].append(len(self.lines))
+            self.line_groups.append(self.line_group or top.group)
             self.lines.append((text, self.tags, top.number, min(self.links, len(text))))
         self.data, self.tags, self.links, self.line_group = [], 0, 0, 0
-        self.heading = self.drop_line = False
-
+        self.heading = False
 
-    def drop_marked(self):
-        """Take the text from marked elements within articles that look like furniture, too."""
-        for at, keep_headings in self.groups[1:]:
-            at = [k for k in at if not (keep_headings and k in self.headings)]
-            lines = [self.lines[k] for k in at]
-            if _of_links(lines) or sum(len(text) for text, *_ in lines) < LEAST_RATIO * sum(max(1, tags) for _, tags, *_ in lines):
-                for k in at:
-                    self.lines[k] = ("", *self.lines[k][1:3], 0)
+    def drop_doubtful(self):
+        """Take the text from the elements in doubt whose text does not speak for them."""
+        if len(self.groups) == 1:
+            return
+        chars, links, tags = ([0] * len(self.groups) for _ in range(3))
+        for k, (text, n_tags, _, n_links) in enumerate(self.lines):
+            g = self.line_groups[k]
+            if self.groups[g].headings and k in self.headings and g:
+                g = self.groups[g].parent  # a title in a header is the article's
+                self.line_groups[k] = g
+            chars[g] += len(text)
+            links[g] += n_links
+            tags[g] += max(1, n_tags)
+        for g in range(len(self.groups) - 1, 0, -1):
+            for sums in (chars, links, tags):
+                sums[self.groups[g].parent] += sums[g]
+        several = sum(g.kind == "comment" for g in self.groups) > 1
+        gone = [False] * len(self.groups)
+        for g in range(1, len(self.groups)):
+            group = self.groups[g]
+            if gone[group.parent]:
+                gone[g] = True
+                continue
+            poor = 2 * links[g] > chars[g] or chars[g] < LEAST_RATIO * tags[g]
+            share = 0.5 if group.kind in ("doubtful", "form", "comment") else 0.8
+            most = chars[g] > share * chars[0] and (group.article or not self.articles) and not (group.kind == "form" and poor)
+            if not (group.holds or most):
+                gone[g] = poor or group.kind in ("advert", "furniture", "comments") or group.kind == "comment" and (several or not group.article)
+        for k, g in enumerate(self.line_groups):
+            if gone[g]:
+                self.lines[k] = ("", *self.lines[k][1:3], 0)
 
 
 def _smooth(ratios: np.ndarray) -> np.ndarray:
@@ -222,22 +295,25 @@ def _outermost(lines: list[tuple[str, int, int, int]], parents: list[int], marke
     Its blocks before the first and after the last marked line are left out if they are links.
     """
 
-    def path(k: int) -> list[int]:
-        found = [lines[k][2]]
-        while found[-1]:
-            found.append(parents[found[-1]])
-        return found[::-1]
-
-    paths = {k: path(k) for k, line in enumerate(lines) if line[0]}
-    common = paths[marked[0]]
+    depth = [0] * len(parents)  # containers are numbered after those around them
+    for k in range(1, len(parents)):
+        depth[k] = depth[parents[k]] + 1
+    common = lines[marked[0]][2]
     for k in marked[1:]:
-        same = [a == b for a, b in zip(common, paths[k], strict=False)]
-        common = common[: same.index(False) if False in same else len(same)]
-    depth = len(common)
+        other = lines[k][2]
+        while common != other:
+            if depth[common] >= depth[other]:
+                common = parents[common]
+            else:
+                other = parents[other]
+    child = [-1] * len(parents)  # the block of the common container that each is in
+    for k in range(len(parents)):
+        if k != common and k:
+            child[k] = k if parents[k] == common else child[parents[k]]
     blocks: dict[tuple[int, ...], list[int]] = {}
-    for k, of in paths.items():
-        if of[:depth] == common:  # a line of the container itself is a block alone
-            blocks.setdefault((of[depth],) if len(of) > depth else (-1, k), []).append(k)
+    for k, line in enumerate(lines):
+        if line[0] and (line[2] == common or child[line[2]] >= 0):  # a line of the container itself is a block alone
+            blocks.setdefault((child[line[2]],) if line[2] != common else (-1, k), []).append(k)
     kept = [b for b in blocks.values() if b[-1] >= marked[0] and b[0] <= marked[-1] or not _of_links([lines[k] for k in b])]
     return {k for b in kept for k in b}
 
@@ -274,7 +350,7 @@ def main_text(html: str | None) -> str:
         parser.feed(html[start : start + FEED])
     parser.close()
     parser.end_line()
-    parser.drop_marked()
+    parser.drop_doubtful()
     if not any(text for text, *_ in parser.lines):
         return ""
     return "\n\n".join(parser.lines[k][0] for k in sorted(_content(parser)))

@@ -94,3 +94,35 @@ def order_likeness(a, b, k=3, picked=2, seeds=300):
 
     one, other = numbered(a), numbered(b)
     return (sum(select(one, s) == select(other, s) for s in range(seeds)) / seeds) ** (1 / picked)
+
+
+def page(rng):
+    """A well-formed page, and the text of its article as it was put in."""
+    words = ["alpha", "beta", "gamma &amp; delta", "épsilon", "zeta&nbsp;eta", "theta", "iota", "kappa"]
+    plain = lambda t: " ".join(t.replace("&amp;", "&").replace("&nbsp;", " ").split())
+    sentence = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    parts, kept = [], []
+    for k in range(rng.randint(3, 9)):
+        text = sentence(rng.randint(14, 40))
+        shape = rng.randrange(4)
+        if shape == 0:
+            parts.append(f"<p>{text}</p>")
+            kept.append(plain(text))
+        elif shape == 1:
+            items = [sentence(9) for _ in range(3)]
+            parts.append("<ul>" + "".join(f"<li>{i}</li>" for i in items) + "</ul>")
+            kept += map(plain, items)
+        elif shape == 2:
+            parts.append(f"<section><h2>Part {k}</h2><div>{text} <b>bold</b>\n  <i>end</i></div></section>")
+            kept += [f"Part {k}", plain(text) + " bold end"]
+        else:
+            parts.append(f"<blockquote><p>{text}</p></blockquote><script>if (a < {k}) b('</p>')</script>")
+            kept.append(plain(text))
+    links = "".join(f"<li><a href='/{k}'>{sentence(2)}</a></li>" for k in range(6))
+    article = rng.choice(["<article>{}</article>", "<main>{}</main>", "<div class='outer'><article>{}</article></div>"])
+    html = (
+        f"<html><head><title>{sentence(3)}</title><style>p {{ margin: 0 }}</style></head><body><header>{sentence(4)}</header>"
+        f"<nav><ul>{links}</ul></nav><div class='ad'>{sentence(12)}</div>{article.format(''.join(parts))}"
+        f"<aside>{sentence(20)}</aside><div class='comments'><p>{sentence(15)}</p></div><footer>{sentence(5)}</footer></body></html>"
+    )
+    return html, "\n\n".join(kept)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -282,6 +283,57 @@ def test_marks_alone_drop_nothing_of_an_article():
     assert html_text.main_text(page).split("\n\n") == kept
 
 
+GOOD = [f"An ordinary sentence number {k} of an article, long enough to be a paragraph of a page by itself." for k in range(6)]
+TEXT = "".join(f"<p>{line}</p>" for line in GOOD)
+ALL = "\n\n".join(GOOD)
+KEPT = [
+    "<form id='aspnetForm'><div>{}</div></form>", "<form><article>{}</article></form>", "<div class='page-header-layout widget'>{}</div>",
+    "<div id='social-science'>{}</div>", "<div class='related'>{}</div>", "<div class='notice'>{}</div>",
+    "<article><section class='comment'>{}</section></article>", "<article><div class='comment-on-law'>{}</div></article>",
+    "<div class='sidebar-left-layout'><article>{}</article></div>", "<article><div class='adventure'>{}</div></article>",
+    "<div class='no-sidebar with-banner'>{}</div>", "<div class='newsletter'><article>{}</article></div>",
+]
+GONE = [
+    "<div class='ad'>{}</div>", "<div class='newsletter'><p>{}</p></div>", "<div class='cookie-notice'>{}</div>", "<div class='ad-slot advert'>{}</div>",
+    "<div class='user-reviews'><p>{}</p><p>{}</p></div>", "<div class='comments'><p>{}</p></div>",
+    "<ul><li class='comment'>{}</li><li class='comment'>{}</li></ul>", "<div class='related'><a href='x'>{}</a></div>",
+    "<form>Name <input> Mail <input> <button>Send</button></form>", "<div class='share'><a href='y'>Share</a> <a href='z'>Print</a></div>",
+]
+OUTSIDE = "An aside of some length that is no part of the article, however much it may look like a part of it."
+
+
+@pytest.mark.parametrize("around", KEPT)
+def test_names_do_not_empty_a_page(around):
+    assert html_text.main_text(f"<body><nav><a href='/'>Home</a></nav>{around.format(TEXT)}<footer>f</footer></body>") == ALL
+
+
+@pytest.mark.parametrize("inside", [True, False])
+@pytest.mark.parametrize("part", GONE)
+def test_what_is_no_article_goes(part, inside):
+    part = part.format(*[OUTSIDE] * part.count("{}"))
+    page = f"<article>{TEXT}{part}</article>" if inside else f"{part}<article>{TEXT}</article>{part}"
+    assert html_text.main_text(page) == ALL
+
+
+def test_one_code_comment_and_formulas_stay():
+    found = html_text.main_text(f"<article>{TEXT}<p class='code-comment'>{OUTSIDE}</p><p>so <math><mi>x</mi> = 1</math> holds</p></article>")
+    assert found == ALL + f"\n\n{OUTSIDE}\n\nso x = 1 holds"
+
+
+@pytest.mark.parametrize("page", ["<div>x " * 100_000, "<span>" * 150_000 + "x", "<div><span>a<b>" * 60_000, "<ul><li><a href=x>" * 50_000, "</div>" * 200_000])
+def test_deep_pages_take_linear_time(page):
+    start = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - start < 8
+
+
+def test_a_plain_extractor_agrees_on_well_formed_pages():
+    rng = random.Random(3)
+    for _ in range(60):
+        tree, expected = brute.page(rng)
+        assert html_text.main_text(tree) == expected
+
+
 # 6
 
 
