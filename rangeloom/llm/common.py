@@ -202,31 +202,6 @@ def document_counts(docs: DataFrame, items: Items, least: int) -> DataFrame:
     return groups.applyInArrow(lambda group: _count_fully(group, least), "s bigint, documents bigint")
 
 
-def shared_bitmap(docs: DataFrame, items: Items, bits: int) -> np.ndarray:
-    """A bitmap of ``2**bits`` bits with those of the items that several rows of ``docs`` have.
-
-    An item's bit is the first ``bits`` of its hash. The size is fixed whatever the data;
-    each range of hashes gives its own stretch of the map.
-    """
-
-    def stretch(group: pa.Table) -> pa.Table:
-        found = _count_fully(group, 2).column("s").to_numpy().view(np.uint64) >> np.uint64(64 - bits)
-        if not len(found):
-            return pa.table({"at": pa.array([], pa.int64()), "bytes": pa.array([], pa.binary())})
-        first = int(found[0]) >> 3
-        own = np.zeros((int(found[-1]) >> 3) - first + 1, np.uint8)
-        at = found.astype(np.int64)
-        np.bitwise_or.at(own, (at >> 3) - first, (1 << (at & 7)).astype(np.uint8))
-        return pa.table({"at": [first], "bytes": pa.array([own.tobytes()], pa.binary())})
-
-    groups, _ = _counted(docs, items)
-    whole = np.zeros(1 << (bits - 3), np.uint8)
-    for row in groups.applyInArrow(stretch, "at bigint, bytes binary").toLocalIterator():
-        own = np.frombuffer(bytes(row["bytes"]), np.uint8)
-        whole[row["at"] : row["at"] + len(own)] |= own
-    return whole
-
-
 def release(spark: SparkSession) -> None:
     """Let the driver drop the shuffle files of steps that are done and written.
 

@@ -483,9 +483,11 @@ def test_neighbours_over_ranges(spark, monkeypatch, size):
 # 9
 
 
-@pytest.mark.parametrize("bits", [27, 10])
-def test_substring_dedup(docs, rows, nothing, bits):
-    found = substring_dedup.remove_repeats(docs, bitmap_bits=bits)
+@pytest.mark.parametrize("group, part", [(4 << 20, 8 << 20), (2_000, 1_500), (1, 8 << 20)])
+def test_substring_dedup(docs, rows, nothing, monkeypatch, group, part):
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", group)
+    monkeypatch.setattr(substring_dedup, "PART_BYTES", part)
+    found = substring_dedup.remove_repeats(docs)
     expected = brute.repeats([r[:2] for r in rows])
     same(found, ["doc_id", "n_words", "n_removed", "kept_sha256"], expected)
     assert sum(r[2] for r in expected) > 1000
