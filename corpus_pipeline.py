@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from rangeloom.llm.common import table
@@ -12,7 +10,7 @@ from rangeloom.llm.jaccard_join import keep_one_of_each
 from rangeloom.llm.language_id import keep_identified
 from rangeloom.llm.mixing import mix_sources
 from rangeloom.llm.queries import tokens
-from rangeloom.plans.session import shared_folder
+from rangeloom.plans.session import scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are a table in the shared folder."""
-    folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
