@@ -94,13 +94,41 @@ def op6_mixing(spark, folder):
     return mixing.taken_words(table(spark, folder, "documents"))
 
 
-@_register()
+_LEAKS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), phrases AS (
+  SELECT DISTINCT item, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS phrase
+  FROM (SELECT item, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM items WHERE len(w) > 0)
+), windows AS (
+  SELECT r, i, n, list_aggregate(w[i:i + n - 1], 'string_agg', ' ') AS phrase
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM phrases))
+), hits AS (
+  SELECT r, i, w.n, item FROM windows w JOIN phrases p ON p.n = w.n AND p.phrase = w.phrase
+), hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), found AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit ON hit.r = docs.r LEFT JOIN found ON found.r = docs.r
+"""
+
+
+@_register(_LEAKS_SQL)
 def op2_decontaminate(spark, folder):
     found = decontaminate.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
-        (F.col("n_hit") > 0).alias("contaminated"), "spans",
+        (F.col("n_hit") > 0).alias("contaminated"),
     )
 
 
@@ -121,7 +149,28 @@ def op3_language_id(spark, folder):
     return language_id.identify(table(spark, folder, "documents"))
 
 
-@_register()
+_REPEATS_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT r, doc_id, i, list_aggregate(w[i:i + 12], 'string_agg', ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE doc_id IS NOT NULL)
+), least AS (
+  SELECT win, min(doc_id) AS least FROM windows GROUP BY win
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM windows JOIN least ON least.win = windows.win WHERE doc_id > least
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs
+), kept AS (
+  SELECT words.r, count(gone.p) AS n_removed, string_agg(CASE WHEN gone.p IS NULL THEN word END, ' ' ORDER BY words.p) AS text
+  FROM words LEFT JOIN gone ON gone.r = words.r AND gone.p = words.p GROUP BY words.r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept ON kept.r = docs.r
+"""
+
+
+@_register(_REPEATS_SQL)
 def op9_substring_dedup(spark, folder):
     return substring_dedup.remove_repeats(table(spark, folder, "documents")).drop("kept_text")
 
