@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.group import GroupedData
@@ -50,6 +51,16 @@ def worker_state() -> dict:
     return vars(sys.modules[name])
 
 
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast a value that may be of a class of this package; tasks call what is returned.
+
+    It travels as cloudpickle has it, with its class's code, so that workers need not have
+    the package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(sent.value)
+
+
 def trim() -> None:
     """Give the memory of earlier batches back to the system; a Python worker lives long."""
     pa.default_memory_pool().release_unused()

@@ -84,7 +84,7 @@ def _search_shard(shard: list[tuple[_Document, int, np.ndarray]], blocks) -> Non
     index = FMIndex([piece for _, _, piece in shard])
     marks = np.zeros(index.n + 1, np.int32)
     for block in blocks:
-        for phrases, owners in block.value.groups:
+        for phrases, owners in block.value:
             which, at = index.occurrences(phrases)
             np.add.at(marks, at, 1)
             np.add.at(marks, at + phrases.shape[1], -1)
@@ -159,7 +159,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, shard_words: int = S
     blocks = []
     for k in range(n_blocks):
         rows = benchmark.where(F.pmod(F.hash("item", "text"), F.lit(n_blocks)) == k).collect()
-        blocks.append(context.broadcast(Phrases((r["item"], r["text"].encode()) for r in rows)))
+        blocks.append(context.broadcast(Phrases((r["item"], r["text"].encode()) for r in rows).groups))
     bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         lambda batches: _shards(batches, blocks, shard_words), SCHEMA

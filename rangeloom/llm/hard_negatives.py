@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rangeloom.llm.common import bound_batches, discard, trim, write_once
+from rangeloom.llm.common import bound_batches, discard, shared, trim, write_once
 
 #: Side of a product small enough for the plain one.
 LEAF = 16
@@ -264,8 +264,8 @@ def mine(
     candidates = rows.select("row", "vec_id", "label", "vector")
     found = []
     for block in _anchor_blocks(rows):
-        sent = spark.sparkContext.broadcast(block)
-        partly = candidates.mapInArrow(lambda b, s=sent: _best_of_label(b, s.value, positives), _HEAP)
+        sent = shared(spark, block)
+        partly = candidates.mapInArrow(lambda b, s=sent: _best_of_label(b, s(), positives), _HEAP)
         firsts = write_once(
             partly.withColumn("place", F.row_number().over(best("anchor"))).where(F.col("place") <= positives)
         )
@@ -276,9 +276,9 @@ def mine(
         window, score = known.column("place").to_numpy() - 1, known.column("score").to_numpy()
         lows, highs = np.ones((len(block.row), positives), np.int64), np.zeros((len(block.row), positives), np.int64)
         lows[at, window], highs[at, window] = -(-low * score // 100), high * score // 100
-        windows = spark.sparkContext.broadcast((lows, highs))
+        windows = shared(spark, (lows, highs))
         partly = candidates.mapInArrow(
-            lambda b, s=sent, w=windows: _best_in_windows(b, s.value, *w.value, negatives), _HEAP
+            lambda b, s=sent, w=windows: _best_in_windows(b, s(), *w(), negatives), _HEAP
         )
         p, e = firsts.alias("p"), partly.alias("e")
         inside = (
@@ -300,8 +300,6 @@ def mine(
         )
         found.append(write_once(ranked))
         discard(firsts)
-        sent.destroy()
-        windows.destroy()
     discard(rows)
     if not found:
         return none

@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rangeloom.llm.common import bound_batches, mixed, trim, write_once
+from rangeloom.llm.common import bound_batches, mixed, shared, trim, worker_state, write_once
 
 #: Words and n-grams that each language chooses for the model, at most.
 MODEL_WORDS = 40_000
@@ -30,8 +29,9 @@ MODEL_GRAMS = 40_000
 #: Length of the longest and shortest n-grams that unseen words back off to.
 LONGEST, SHORTEST = 5, 1
 SMOOTHING = 0.5
-#: Longest word that is counted, in characters; longer ones score by their n-grams.
-LONGEST_WORD = 40
+#: Words of more characters give their n-grams where they are counted, shorter ones afterwards,
+#: once for each distinct word. The counts are the same.
+LONG_WORD = 40
 #: What a text without letters is.
 UNKNOWN = "und"
 #: Characters handled at a time.
@@ -42,15 +42,20 @@ _EDGE = 32  # stands before and after a word in its n-grams
 _HASH_LEVELS = 10  # bits of a hash by which equal counts are ordered
 
 
-@cache
 def _letters() -> np.ndarray:
-    """Whether each code point is a letter."""
-    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    """Whether each code point is a letter; made once in a worker."""
+    state = worker_state()
+    if "letters" not in state:
+        state["letters"] = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    return state["letters"]
 
 
-@cache
 def _powers(n: int) -> np.ndarray:
-    return np.concatenate([[np.uint64(1)], np.cumprod(np.full(n - 1, _FACTOR, np.uint64), dtype=np.uint64)])
+    state = worker_state()
+    if ("powers", n) not in state:
+        more = np.cumprod(np.full(n - 1, _FACTOR, np.uint64), dtype=np.uint64)
+        state["powers", n] = np.concatenate([[np.uint64(1)], more])
+    return state["powers", n]
 
 
 def _codes(text: str) -> np.ndarray:
@@ -147,7 +152,7 @@ def _tally(
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``(lang, length, text, n)`` of a batch: counts are combined before they are shuffled.
 
-    Words have length 0. Those too long to be counted as words give their n-grams.
+    Words have length 0. Long ones give their n-grams here.
     """
     for batch in batches:
         trim()
@@ -156,12 +161,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lang_of = np.array([langs.index(x) for x in names])
         for codes, starts, ends, owner in _chunks(batch.column(1).to_pylist()):
             lang = lang_of[owner]
-            short = ends - starts <= LONGEST_WORD
-            yield from _tally(langs, 0, codes, starts[short], ends[short], lang[short])
-            edged, sizes = _edged(codes, starts[~short], ends[~short])
+            yield from _tally(langs, 0, codes, starts, ends, lang)
+            long = ends - starts > LONG_WORD
+            edged, sizes = _edged(codes, starts[long], ends[long])
             for length in range(SHORTEST, LONGEST + 1):
                 word, first = _grams(sizes, length)
-                yield from _tally(langs, length, edged, first, first + length, lang[~short][word])
+                yield from _tally(langs, length, edged, first, first + length, lang[long][word])
 
 
 def _most_frequent(counts: DataFrame, keep: int) -> DataFrame:
@@ -264,8 +269,13 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame) -> Model:
-    """A model from ``lang`` and ``text`` of all rows where both are set."""
+def train(docs: DataFrame, *, model_words: int = MODEL_WORDS, model_grams: int = MODEL_GRAMS) -> Model:
+    """A model from ``lang`` and ``text`` of all rows where both are set.
+
+    All words and n-grams are counted; of those, each language chooses the ``model_words``
+    and ``model_grams`` most frequent ones, which bounds what is sent to the tasks. A word
+    that no language chose scores by its n-grams, as an unseen one does.
+    """
     bound_batches(docs.sparkSession)
     counts = write_once(
         docs.where("lang is not null and text is not null")
@@ -276,7 +286,7 @@ def train(docs: DataFrame) -> Model:
     )
     words = counts.where("length = 0")
     edged = F.concat(F.lit(chr(_EDGE)), F.col("text"), F.lit(chr(_EDGE)))
-    grams = words.select(
+    grams = words.where(F.length("text") <= LONG_WORD).select(
         "lang", "n", edged.alias("edged"),
         F.explode(F.array(*[F.lit(k) for k in range(SHORTEST, LONGEST + 1)])).alias("length"),
     ).where(F.length("edged") >= F.col("length"))
@@ -290,7 +300,7 @@ def train(docs: DataFrame) -> Model:
     for r in words.union(grams.select(*words.columns)).groupBy("lang", "length").agg(F.sum("n").alias("n")).collect():
         totals.setdefault(r["length"], {})[r["lang"]] = r["n"]
     langs = sorted({x for of in totals.values() for x in of})
-    rows = _entries(words, MODEL_WORDS) | _entries(grams, MODEL_GRAMS // LONGEST)
+    rows = _entries(words, model_words) | _entries(grams, model_grams // LONGEST)
     lengths = [0, *range(SHORTEST, LONGEST + 1)]
     return Model(langs, {k: Model.table(rows.pop(k, []), langs, totals.get(k, {})) for k in lengths})
 
@@ -329,17 +339,22 @@ def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    sent = spark.sparkContext.broadcast(model)
+    sent = shared(spark, model)
     kinds = [docs.schema[c] for c in keep]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds)
     return docs.select(*keep, "text").mapInArrow(
-        lambda batches: _predict(batches, sent.value, len(keep)),
+        lambda batches: _predict(batches, sent(), len(keep)),
         f"{schema}, lang_pred string, score double",
     )
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` for every document; learns from the rows not held out."""
+    """``doc_id, held_out, lang_pred, score`` for every document; learns from the rows not held out.
+
+    Null languages and texts teach nothing; a null or letterless text is :data:`UNKNOWN`.
+    Repeated rows count as often as they are there. An empty table gives no rows, and a
+    table without labelled rows outside the held-out ones gives :data:`UNKNOWN` throughout.
+    """
     flagged = docs.withColumn("held_out", held_out("doc_id"))
     model = train(flagged.where("not held_out"))
     return predict(flagged, model, "doc_id", "held_out")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import Words, bound_batches, fold_table, texts_of
+from rangeloom.llm.common import Words, bound_batches, fold_table, shared, texts_of
 
 LABELLED_ROWS = 4_000
 POOL_ROWS = 4_000
@@ -188,9 +188,9 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    model = spark.sparkContext.broadcast(train(docs, labels))
+    model = shared(spark, train(docs, labels))
     columns = [F.col("doc_id").cast("long"), "text", "lang", "source", F.col("n_chars").cast("long")]
     return docs.select(*columns).mapInArrow(
-        lambda batches: _score(batches, model.value),
+        lambda batches: _score(batches, model()),
         "doc_id bigint, text_score double, metadata_score double, score double",
     )

@@ -3,7 +3,10 @@
 import collections
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import time
 import zlib
 
@@ -168,6 +171,31 @@ def test_language_id(spark, nothing):
     assert {r["lang_pred"] for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_long_words_are_words(spark):
+    """Two languages told apart by words of 60 letters alone, made of the same letters and n-grams."""
+    words = {"a": "ab" * 15 + "ba" * 15, "b": "ba" * 15 + "ab" * 15}
+    rows = [(k, words[x], x) for k in range(40) for x in "ab"]
+    docs = spark.createDataFrame([(k, t, x) for k, (_, t, x) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    found = language_id.identify(docs).join(docs, "doc_id").collect()
+    assert all(r["lang_pred"] == r["lang"] and r["score"] > 0.6 for r in found)
+
+
+def test_workers_need_no_installed_package(tmp_path):
+    """The functions reach workers that cannot import the package."""
+    script = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as entry
+settings = {{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4"}}
+spark = SparkSession.builder.master("local[4]").config(map=settings).getOrCreate()
+for name in ("op2_decontaminate", "op3_language_id", "op4_co_training", "op11_hard_negatives", "op13_prefix_trie"):
+    print(name, entry.queries()[name](spark, "/root/testdata/sf0.001").count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=400)
+    assert "op3_language_id 200" in done.stdout and "op4_co_training 200" in done.stdout and "op13_prefix_trie" in done.stdout, done.stderr[-2000:]
+
+
 def test_unseen_words_back_off():
     model = language_id.Model(["a", "b"], {
         0: language_id.Model.table([("a", "word", 9)], ["a", "b"], {"a": 9, "b": 0}),
@@ -180,16 +208,15 @@ def test_unseen_words_back_off():
 
 
 def test_model_counts_everything(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "MODEL_WORDS", 3)
     long = "qx" * 30
     texts = [("a", "ux uy uz uw zim zim zim zim"), ("b", "u1 om om om ib ib ib ec ec ec zim vykk " + long)]
     texts += [("a", long)]
     docs = spark.createDataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts)], "doc_id bigint, text string, lang string")
-    model = language_id.train(docs)
+    model = language_id.train(docs, model_words=3)
     counts = {x: collections.Counter() for x in "ab"}
     for lang, text in texts:
         for word in "".join(c if c.isalpha() else " " for c in text).split():
-            counts[lang].update([(0, word)] if len(word) <= language_id.LONGEST_WORD else [])
+            counts[lang].update([(0, word)])
             for k in range(1, 6):
                 counts[lang].update((k, f" {word} "[i : i + k]) for i in range(len(word) + 3 - k))
     totals = {(x, k): sum(n for (size, _), n in counts[x].items() if size == k) for x in "ab" for k in range(6)}
