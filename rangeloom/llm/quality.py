@@ -1,12 +1,13 @@
 """Quality classifier by co-training of two views.
 
 One classifier sees a document's text, the other its metadata (language, source, size).
-Both start from the labelled rows; in each round either one labels the rows of an
-unlabelled pool it is surest of, for the other to learn from. Their outputs are calibrated
+Both start from the labelled rows; in each round either one labels the rows of the whole
+unlabelled corpus it is surest of, for the other to learn from. Their outputs are calibrated
 on labelled rows that neither learned from and combined as independent evidence.
 
-The classifiers are fitted on bounded samples (:data:`LABELLED_ROWS`, :data:`POOL_ROWS`,
-chosen by a hash of the id); every document is scored by its whole text.
+Every text is turned into its features once, whole, and these are written. A round is a
+pass over them in Spark that gives the few surest rows; only features come to the driver, of
+those rows and of a bounded sample of labelled ones (``labelled_rows``, by a hash of the id).
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
-from rangeloom.llm.common import Words, bound_batches, fold_table, shared, texts_of
+from rangeloom.llm.common import Words, bound_batches, fold_table, shared, texts_of, write_once
 
+#: Labelled rows that the classifiers are fitted on: about so many, twice as many at most.
 LABELLED_ROWS = 4_000
-POOL_ROWS = 4_000
 #: Rounds, and rows that each classifier labels in a round, per class in proportion.
 ROUNDS = 5
 LABELS_PER_ROUND = 200
@@ -101,34 +103,95 @@ class CoTrained:
         return tuple(c[0] * v + c[1] for v, c in zip(views, self.calibration, strict=True))
 
 
-def _sure(logits: np.ndarray, free: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pool rows with the highest and lowest logits among the free ones, by the share of good rows."""
-    at = np.flatnonzero(free)
-    at = at[np.argsort(logits[at], kind="stable")]
-    good = max(1, round(LABELS_PER_ROUND * share))
-    bad = max(1, LABELS_PER_ROUND - good)
-    bad, good = at[:bad], at[max(bad, len(at) - good) :]
-    keep_bad, keep_good = bad[logits[bad] < 0], good[logits[good] > 0]
-    rows = np.concatenate([keep_bad, keep_good])
-    return rows, np.concatenate([np.zeros(len(keep_bad)), np.ones(len(keep_good))])
+TEXT_SIZE, META_SIZE = len(_CLASSES) + 5 + WORD_DIMS, LANG_DIMS + SOURCE_DIMS + 3
+
+
+def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of both views, as half-precision bytes."""
+    for batch in batches:
+        text = text_features(texts_of(batch.column(1))).astype(np.float16)
+        metadata = metadata_features(*(batch.column(i).to_pylist() for i in (2, 3, 4))).astype(np.float16)
+        views = [pa.array([row.tobytes() for row in v], pa.binary()) for v in (text, metadata)]
+        yield pa.record_batch([batch.column(0), *views], names=["doc_id", "text", "metadata"])
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
+    raw = b"".join(column.to_pylist())
+    return np.frombuffer(raw, np.float16).reshape(-1, size).astype(np.float32)
+
+
+def _views(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return _matrix(table.column("text"), TEXT_SIZE), _matrix(table.column("metadata"), META_SIZE)
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text, metadata`` of every document: a number, and both views' features. Written once."""
+    columns = [F.col("doc_id").cast("long"), "text", "lang", "source", F.col("n_chars").cast("long")]
+    found = docs.select(*columns).mapInArrow(_describe, "doc_id bigint, text binary, metadata binary")
+    return write_once(found.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text", "metadata"))
+
+
+def _extremes(batches: Iterator[pa.RecordBatch], weights: list[np.ndarray], taken: list[np.ndarray], keep: int) -> Iterator[pa.RecordBatch]:
+    """A task's rows of the lowest and highest logits of each view, less what the other was taught already."""
+    best: list[list[tuple]] = [[], []]
+    for batch in batches:
+        row = batch.column("row").to_numpy()
+        for k, x in enumerate(_views(batch)):
+            logits = x.astype(np.float64) @ weights[k]
+            free = np.flatnonzero(~np.isin(row, taken[1 - k]))
+            order = free[np.lexsort((row[free], logits[free]))]
+            ends = np.unique(np.concatenate([order[:keep], order[-keep:]]))
+            best[k] += zip(logits[ends].tolist(), row[ends].tolist(), strict=True)
+            best[k].sort()
+            if len(best[k]) > 2 * keep:
+                best[k] = best[k][:keep] + best[k][-keep:]
+    for k in (0, 1):
+        logits, rows = zip(*best[k], strict=True) if best[k] else ((), ())
+        yield pa.record_batch(
+            [pa.array([k] * len(rows), pa.int32()), pa.array(logits, pa.float64()), pa.array(rows, pa.int64())],
+            names=["view", "logit", "row"],
+        )
 
 
-def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray]) -> CoTrained:
-    """Fit both views on labelled rows and on what the other is sure of in the pool."""
+def _surest(pool: DataFrame, weights: list[np.ndarray], taken: list[np.ndarray], share: float) -> list[dict[int, float]]:
+    """For each view, the rows of the pool that it is surest of and their labels, by the share of good rows."""
+    good = max(1, round(LABELS_PER_ROUND * share))
+    bad = max(1, LABELS_PER_ROUND - good)
+    ends = pool.mapInArrow(lambda b: _extremes(b, weights, taken, LABELS_PER_ROUND), "view int, logit double, row bigint")
+    low = F.row_number().over(Window.partitionBy("view").orderBy("logit", "row"))
+    high = F.row_number().over(Window.partitionBy("view").orderBy(F.col("logit").desc(), F.col("row").desc()))
+    ranked = ends.withColumn("low", low).withColumn("high", high)
+    found = ranked.where(f"low <= {bad} AND logit < 0 OR high <= {good} AND logit > 0").collect()
+    return [{r["row"]: float(r["logit"] > 0) for r in found if r["view"] == k} for k in (0, 1)]
+
+
+def co_train(described: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> CoTrained:
+    """Fit both views on labelled rows and on what the other is sure of among all the others."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    rows = described.join(_sample(known, labelled_rows), "doc_id").orderBy("doc_id", "row").toArrow()
+    pool = described.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
+    labelled, y = _views(rows), np.array([float(q > 0) for q in rows.column("quality").to_pylist()])
     aside = np.zeros(len(y), bool)
     if len(y) >= 20:
         aside[:: round(1 / CALIBRATION)] = True
     own = [(v[~aside], y[~aside]) for v in labelled]
     share = float(y.mean()) if len(y) else 0.5
     prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    free = [np.ones(len(pool[0]), bool) for _ in own]
     weights = [fit(*o) for o in own]
-    for _ in range(ROUNDS if len(pool[0]) else 0):
-        taught = [_sure(pool[k] @ weights[k], free[1 - k], share) for k in (0, 1)]
-        for k, (rows, labels) in enumerate(taught):
-            other = 1 - k
-            free[other][rows] = False
-            own[other] = (np.concatenate([own[other][0], pool[other][rows]]), np.concatenate([own[other][1], labels]))
+    taken = [np.empty(0, np.int64) for _ in own]  # rows that each view has learned
+    for _ in range(ROUNDS if len(y) else 0):
+        taught = _surest(pool, weights, taken, share)
+        wanted = sorted({r for of in taught for r in of})
+        if not wanted:
+            break
+        # At most twice LABELS_PER_ROUND rows, by their numbers.
+        found = described.where(F.col("row").isin(wanted)).orderBy("row").toArrow()
+        at, views = {r: i for i, r in enumerate(found.column("row").to_pylist())}, _views(found)
+        for k, of in enumerate(taught):
+            other, rows_of = 1 - k, sorted(of)
+            x, labels_of = views[other][[at[r] for r in rows_of]], np.array([of[r] for r in rows_of])
+            own[other] = (np.concatenate([own[other][0], x]), np.concatenate([own[other][1], labels_of]))
+            taken[other] = np.concatenate([taken[other], np.array(rows_of, np.int64)])
         weights = [fit(*o) for o in own]
     kept = aside if aside.any() else ~aside
     calibration = []
@@ -144,53 +207,30 @@ def _sample(df: DataFrame, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).limit(2 * rows)
 
 
-def _features(rows: list) -> tuple[np.ndarray, np.ndarray]:
-    return (
-        text_features([(r["text"] or "").encode() for r in rows]),
-        metadata_features([r["lang"] for r in rows], [r["source"] for r in rows], [r["n_chars"] for r in rows]),
-    )
-
-
-def train(docs: DataFrame, labels: DataFrame) -> CoTrained:
-    """Co-train on bounded samples of labelled and unlabelled documents.
-
-    Ids and labels are sampled first, so only the samples' texts come to the driver.
-    """
-    columns = ["doc_id", "text", "lang", "source", "n_chars"]
-    known = labels.where("doc_id is not null and quality is not null").select("doc_id", "quality")
-    some = F.broadcast(_sample(known, LABELLED_ROWS))
-    rows = docs.select(*columns).join(some, "doc_id").orderBy("doc_id").collect()
-    pool_ids = _sample(docs.select("doc_id"), POOL_ROWS)
-    pool_ids = F.broadcast(pool_ids.join(labels.select("doc_id"), "doc_id", "left_anti"))
-    pool = docs.select(*columns).join(pool_ids, "doc_id", "left_semi").orderBy("doc_id").collect()
-    y = np.array([float(r["quality"] > 0) for r in rows])
-    return co_train(_features(rows), y, _features(pool))
-
-
 def _score(batches: Iterator[pa.RecordBatch], model: CoTrained) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        text = text_features(texts_of(batch.column(1)))
-        metadata = metadata_features(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
-        a, b = model.logits(text, metadata)
+        a, b = model.logits(*_views(batch))
         views = [1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (a, b, a + b - model.prior)]
         yield pa.record_batch(
-            [batch.column(0), *[pa.array(v.astype(np.float64)) for v in views]],
+            [batch.column("doc_id"), *[pa.array(v.astype(np.float64)) for v in views]],
             names=["doc_id", "text_score", "metadata_score", "score"],
         )
 
 
-def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
     """``doc_id, text_score, metadata_score, score`` (0 to 1) of every row of ``docs``.
 
     Reads ``doc_id, text, lang, source, n_chars`` and ``doc_id, quality`` of ``labels``.
     Nulls and empty texts are features like others, and such rows are scored. Labels that
-    are null or name no document teach nothing; without any, all scores are even odds.
+    are null or name no document teach nothing; of several labels of a document the highest
+    counts, once; without any, all scores are even odds. Rows that share an id are scored
+    each by itself. An empty table gives no rows.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    model = shared(spark, train(docs, labels))
-    columns = [F.col("doc_id").cast("long"), "text", "lang", "source", F.col("n_chars").cast("long")]
-    return docs.select(*columns).mapInArrow(
+    described = features(docs)
+    model = shared(spark, co_train(described, labels, labelled_rows))
+    return described.select("row", "doc_id", "text", "metadata").mapInArrow(
         lambda batches: _score(batches, model()),
         "doc_id bigint, text_score double, metadata_score double, score double",
     )
