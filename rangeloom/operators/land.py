@@ -21,6 +21,7 @@ import hashlib
 import json
 import logging
 import threading
+import time
 import uuid
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -53,7 +54,9 @@ MAX_SLICES = 2_000
 UNREADABLE = ("fail", "null_rows")
 
 PIECE = "__piece"
-_LINE = "lo bigint, hi bigint, piece string, rows bigint, n_bad bigint, n_null_keys bigint, error string"
+_LINE = (
+    "lo bigint, hi bigint, piece string, rows bigint, n_bad bigint, n_null_keys bigint, error string, began double, ended double"
+)
 LANDED, UNREAD = "error IS NULL", "error IS NOT NULL"
 
 
@@ -125,7 +128,7 @@ class Landing:
 
     def write(self, read: Callable[[], DataFrame], lo: int | None, hi: int | None) -> str | None:
         """Land what is read and commit it; None, or why it cannot be read."""
-        piece = uuid.uuid4().hex
+        piece, began = uuid.uuid4().hex, time.time()
         try:
             source = read()
             self.key = key = self.schema.names[queries.key_position(source.schema, self.options.key)]
@@ -135,7 +138,8 @@ class Landing:
             seen = heal.write_flagged(rows, f"{self.root}/{PIECE}={piece}")
         except JOB_ERRORS as error:
             return cause_of(error)
-        self.commit(lo, hi, piece=piece, rows=seen.rows, n_bad=seen.n_bad, n_null_keys=seen.n_null_keys)
+        times = {"began": began, "ended": time.time()}
+        self.commit(lo, hi, piece=piece, rows=seen.rows, n_bad=seen.n_bad, n_null_keys=seen.n_null_keys, **times)
         if seen.n_bad and self.options.on_error == "fail":
             raise RuntimeError(f"keys {lo} to {hi}: {self.report().first().first_error}")
         return None
@@ -296,12 +300,23 @@ def _aligned(plan: RangePlan) -> str:
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
-    """The log of a landing: ``lo, hi, piece, rows, n_bad, n_null_keys, error``."""
+    """The log of a landing: ``lo, hi, piece, rows, n_bad, n_null_keys, error``, and when a slice was read."""
     if not exists(spark, f"{root}/log"):
         return spark.createDataFrame([], _LINE)
     return spark.read.schema(_LINE).json(f"{root}/log")
 
 
+def most_at_once(lines: DataFrame) -> int:
+    """How many slices of a log (a line each, on the driver) were read at the same time, at most."""
+    landed = lines.where(LANDED).select("began", "ended").collect()
+    times = [(r.began, 1) for r in landed] + [(r.ended, -1) for r in landed]
+    running = most = 0
+    for _, change in sorted(times, key=lambda t: (t[0], t[1])):
+        running += change
+        most = max(most, running)
+    return most
+
+
 def read_landing(spark: SparkSession, root: str, *, on_error: str = "null_partition", unreadable: str = "fail", **options) -> Loaded:
     """What was landed in a folder (``Loaded.landing``), without a look at the source.
 

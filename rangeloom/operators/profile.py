@@ -28,7 +28,7 @@ ROWS_PER_FINAL_TASK = 20
 
 
 def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
-    """The ``n`` rows with the least keys; rows with a NULL key come last.
+    """The ``n`` rows with the least keys, the same ones every time; rows with a NULL key come last.
 
     A plain sort-and-limit makes every task offer ``n`` rows to one last task. Here
     one pass over the key column alone first counts rows in windows ``[lo, lo+n)``,
@@ -41,6 +41,8 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
         return df.limit(n)
     lo, hi = bounds
     value = F.col(quoted(key))
+    # Rows that differ come in one order; maps have no hash.
+    tie = F.xxhash64(*[F.col(quoted(f.name)) for f in df.schema.fields if "map<" not in f.dataType.simpleString()])
     edges = [hi]
     step = n
     while lo + step - 1 < hi:
@@ -57,14 +59,14 @@ def first_rows(df: DataFrame, key: str, n: int = SAMPLE_ROWS) -> DataFrame:
     if rows > ROWS_PER_FINAL_TASK * n:
         groups = max(int((rows / n) ** 0.5), 2)
         group = F.pmod(F.spark_partition_id(), F.lit(groups))
-        rank = F.row_number().over(Window.partitionBy("__group").orderBy(value))
+        rank = F.row_number().over(Window.partitionBy("__group").orderBy(value, tie))
         near = (
             near.withColumn("__group", group)
             .withColumn("__rank", rank)
             .where(F.col("__rank") <= n)
             .drop("__group", "__rank")
         )
-    return near.orderBy(value).limit(n)
+    return near.orderBy(value, tie).limit(n)
 
 
 def first_rows_in_files(files: DataFrame, n: int = SAMPLE_ROWS) -> DataFrame:

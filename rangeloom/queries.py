@@ -26,7 +26,7 @@ from rangeloom.operators.heal import (
     safe_rerun,
 )
 from rangeloom.operators import sinks
-from rangeloom.operators.land import load_landed, read_landing
+from rangeloom.operators.land import load_landed, most_at_once, read_landing, read_log
 from rangeloom.operators.layout import analyze_table, range_layout
 from rangeloom.operators.load import load, load_parquet, load_table
 from rangeloom.operators.packing import pack_batches
@@ -830,6 +830,19 @@ def landed_resume_failures(spark, folder):
     return found.withColumn("first_error", F.coalesce(lost, "first_error"))
 
 
+@_register(
+    """SELECT least(8, CAST(ceil((max(o_orderkey) - min(o_orderkey) + 1) / 100.0) AS BIGINT)) AS n_slices, count(*) AS "rows", true AS within
+       FROM orders"""
+)
+def capped_readers(spark, folder):
+    """A landing in eight slices, two of which are read at a time, by the times in its log."""
+    spec = _orders_spec(folder, "o_custkey")
+    made = load_landed(spark, spec, scratch_path(spark, "landing"), 100, parallelism=CORES, max_slices=8, connections=2)
+    lines = read_log(spark, made.landing)
+    found = lines.agg(F.count("*").alias("n_slices"), F.sum("rows").alias("rows"))
+    return found.withColumn("within", F.lit(most_at_once(lines) <= 2))
+
+
 @_register("SELECT count(*) AS \"rows\", 6 AS n_columns, CAST(ceil((max(o_orderkey) - min(o_orderkey) + 1) / 1000.0) AS BIGINT) AS n_ranges FROM orders")
 def load_report(spark, folder):
     """Rows counted in passing by a timed load, with its columns and ranges."""

@@ -10,7 +10,7 @@ from rangeloom import load_landed, read_landing
 from rangeloom.functions.types import struct_of
 from rangeloom.operators import heal
 from rangeloom.operators.counts import INDEX
-from rangeloom.operators.land import Landing, land_ranges
+from rangeloom.operators.land import Landing, land_ranges, most_at_once, read_log
 from rangeloom.operators.load import LoadOptions, load_table
 from rangeloom.plans.ranges import RangePlan
 from rangeloom.sources.store import append_file
@@ -121,6 +121,13 @@ def spec_of(query):
     return {"connection_string": "spark", "query": query, "schema": columns}
 
 
+def test_readers_are_capped(spark, tmp_path):
+    for cap in (1, 3):
+        made = land_ranges(spark, reader(spark), PLAN, SCHEMA, str(tmp_path / str(cap)), connections=cap)
+        lines = read_log(spark, made.landing)
+        assert lines.count() == 10 and most_at_once(lines) <= cap
+
+
 def test_null_keys_land_or_raise(spark, tmp_path):
     keys = "SELECT if(id % 10 = 3, NULL, id) AS id, {} AS n FROM range(50)"
     bad = spec_of(keys.format("if(id = 13, 'bad', CAST(id AS STRING))"))
