@@ -148,8 +148,9 @@ def test_ranges_by_rows(spark, rows):
     if rows < 400:
         assert [(c.lo, c.rows_read) for c in counts if c.lo == c.hi == 77] == [(77, 401)]
         assert max(c.rows_read for c in counts if c.lo != 77) <= 1.1 * rows + 1
-    tests = " + ".join(f"CAST({p} AS INT)" for p in plan.predicates("k"))
-    assert keys.where("k IS NOT NULL").selectExpr(f"{tests} AS n").distinct().collect() == [(1,)]
+    if len(spans) < 50:
+        tests = " + ".join(f"CAST({p} AS INT)" for p in plan.predicates("k"))
+        assert keys.where("k IS NOT NULL").selectExpr(f"{tests} AS n").distinct().collect() == [(1,)]
 
 
 def test_ranges_by_rows_of_few_keys(spark):
