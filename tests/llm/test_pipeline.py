@@ -10,10 +10,13 @@ from tests.conftest import TESTDATA
 from tests.llm import brute
 
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 @pytest.fixture(scope="module")
 def con():
     con = duckdb.connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{TESTDATA}/sf0.001/{name}.parquet')")
     return con
 
@@ -21,13 +24,15 @@ def con():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, con, name):
     ours = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+    kinds = {k[0]: k[1] for k in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    assert {f.name: KINDS[f.dataType.simpleString()] for f in ours.schema} == kinds
     columns = sorted(ours.columns)
     theirs = con.execute(f"SELECT {', '.join(columns)} FROM ({ORACLES[name]})").fetchall()
     assert sorted(map(tuple, ours.select(*columns).collect()), key=repr) == sorted(theirs, key=repr)
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_stages(spark, con):
