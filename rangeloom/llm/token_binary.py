@@ -20,6 +20,7 @@ import hashlib
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +55,19 @@ _BLOCK_SCHEMA = pa.schema([
 _WORD_END = re.compile(rb"([a-z]|\xc3[\xa0-\xb6\xb8-\xbf])([.,])(?=[ \n]|$)")
 
 
+# Small letters of ASCII and Latin-1 only: no part of the tokenizer but its model has any effect.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+\Z")
+# Words by which a tokenizer is tried, whether that holds of it.
+_TRIED = "a of the and word token ing été naïve çà über año señor straße øre x".split()
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in byte-level models: printable ones for themselves, others from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
 class Encoder:
     """Ids of texts by a tokenizer that drops white space and folds capitals.
 
@@ -68,13 +82,31 @@ class Encoder:
 
         state = worker_state()
         if path not in state:
-            state[path] = (Tokenizer.from_file(path), {})
-        (self.tokenizer, self.known), self.limit = state[path], limit
+            state[path] = (Tokenizer.from_file(path), {}, _byte_letters())
+        (self.tokenizer, self.known, self.letters), self.limit = state[path], limit
+        tried = [w.encode() for w in _TRIED if _PLAIN.match(w.encode())]
+        self.plain = self._encode(tried) == [self._model(w) for w in tried]
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _model(self, word: bytes) -> bytes:
+        """The ids of a plain word by the tokenizer's model alone."""
+        tokens = self.tokenizer.model.tokenize(word.decode("latin-1").translate(self.letters))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        others = words
+        if self.plain:
+            others, match = [], _PLAIN.match
+            for word in words:
+                if match(word):
+                    self.known[word] = self._model(word)
+                else:
+                    others.append(word)
+        self.known.update(zip(others, self._encode(others), strict=True))
+
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         for start in range(0, len(texts), 500):
@@ -86,7 +118,7 @@ class Encoder:
             if len(self.known) + len(new) > self.limit:
                 self.known.clear()
                 new = list({w for words in split if words for w in words})
-            self.known.update(zip(new, self._encode(new), strict=True))
+            self._learn(new)
             get = self.known.__getitem__
             for text, words in zip(texts[start : start + 500], split, strict=True):
                 yield self._encode([text])[0] if words is None else b"".join(map(get, words))

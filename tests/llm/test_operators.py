@@ -104,6 +104,22 @@ def test_token_store_round_trip(spark, docs, rows, tmp_path):
     assert sorted(r["doc_id"] for r in few) == [5, 900]
 
 
+def test_encoder_gives_the_tokenizers_ids():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(2)
+    letters = "abcxyz éàçñøßÉÅ.,;'!?-0123 \n\té\u0301ﬁ漢字🙂"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 60))) for _ in range(3000)] + _LATIN
+    encoder, tokenizer = token_binary.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    assert encoder.plain
+    found = list(encoder.encode([t.encode() for t in texts]))
+    want = [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert found == want
+
+
+_LATIN = [a + b for a in map(chr, range(0xA0, 0x180)) for b in ("", "a", "'s", ".", "é")]
+
+
 def test_token_store_of_nothing(spark, nothing, tmp_path):
     token_binary.write_tokens(nothing, str(tmp_path / "store"), TOKENIZER)
     assert token_binary.token_digests(spark, str(tmp_path / "store")).count() == 0
