@@ -76,7 +76,7 @@ class Encoder:
     of a worker). Texts that may hold special tokens go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
