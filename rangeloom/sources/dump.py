@@ -3,8 +3,10 @@
 Two inputs are taken: dumps held in a ``(path, content)`` DataFrame, and dump files
 of any size. A large file is cut into splits. Rows have no separators, so a split cannot
 know where its first one begins; it follows the rows from *every* place near its start
-where one may begin, to where they leave it. The maps from starts to exits, taken in the
-order of the splits, give the true chain of rows, whatever the texts in between look like.
+where one may begin, to where they leave it. Those exits, a few for each split, are all the
+places where rows may enter a later one, which is read once more from these alone. Its
+maps from entries to exits, taken in the order of the splits, give the true chain of rows,
+whatever the texts in between look like.
 """
 
 from __future__ import annotations
@@ -116,7 +118,7 @@ def dump_splits(
     tasks: int | None = None,
     mode: str = "strict",
 ) -> DataFrame:
-    """``(path, start, stop)``: runs of whole rows; ``stop`` is NULL at a file's end.
+    """``(path, start, stop, length)``: runs of whole rows; ``stop`` is NULL at a file's end.
 
     Of a damaged file, the last run begins where the rows can no longer be followed from.
     """
@@ -124,57 +126,91 @@ def dump_splits(
         F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(split_bytes).cast("long")
     )
     cuts = files.select("path", "length", F.explode(begins).alias("begin"))
-    safe = mode == "safe"
+    safe, tasks = mode == "safe", tasks or count_tasks(files, split_bytes)
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = RowCodec(schema, safe)
         for batch in batches:
             for path, length, begin in zip(*(c.to_pylist() for c in batch.columns)):
-                end = min(begin + split_bytes, length)
                 with open_file(path) as source:
-                    starts, exits = _exits(source, codec, begin, end, length)
+                    places = np.unique(_exits(source, codec, begin, min(begin + split_bytes, length), length)[1])
+                if begin == 0:
+                    places = np.append(places, 0)  # where the file's header is
+                n = len(places)
+                yield pa.record_batch(
+                    [pa.array([path] * n, pa.string()), np.full(n, length), places // split_bytes * split_bytes, places],
+                    names=["path", "length", "begin", "place"],
+                )
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = RowCodec(schema, safe)
+        for batch in batches:
+            for path, length, begin, places in zip(*(c.to_pylist() for c in batch.columns)):
+                with open_file(path) as source:
+                    starts, exits = _exits(source, codec, begin, min(begin + split_bytes, length), length, places)
+                if begin == 0 and not len(starts):
+                    starts, exits = [0], [None]
+                n = len(starts)
                 yield pa.record_batch(
-                    [[path], [length], [begin], pa.array([starts], pa.list_(pa.int64())), pa.array([exits], pa.list_(pa.int64()))],
-                    names=["path", "length", "begin", "starts", "exits"],
+                    [pa.array([path] * n, pa.string()), np.full(n, length), pa.array(starts, pa.int64()), pa.array(exits, pa.int64())],
+                    names=["path", "length", "start", "stop"],
                 )
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec, name, at = RowCodec(schema, safe), None, None
+        codec = RowCodec(schema, safe)
+        path, length, at, far = None, 0, None, False  # far: the row before began beyond its split's window
+
+        def beyond(limit: int | None) -> Iterator[tuple]:
+            """Runs up to ``limit`` that no split knows, as a row before was not in its window; those of a file's end."""
+            nonlocal at, far
+            while far and (limit is None or at < limit):
+                begin = at // split_bytes * split_bytes
+                with open_file(path) as source:
+                    exits = _exits(source, codec, begin, min(begin + split_bytes, length), length, [at])[1]
+                if not len(exits):
+                    break
+                yield path, at, int(exits[0]), length
+                at, far = int(exits[0]), at - begin >= WINDOW_BYTES
+            if limit is None:
+                yield path, at, None, length
+
+        def lines(found: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*found) if found else [(), (), (), ()]
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64())
+            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=["path", "start", "stop", "length"])
+
         for batch in batches:
             found = []
-            for path, length, begin, starts, exits in zip(*(c.to_pylist() for c in batch.columns)):
-                if path != name:
-                    name, at = path, 0
-                end = min(begin + split_bytes, length)
-                if at is None or at >= end:
-                    continue  # a row that spans the split, or no more rows
-                known = dict(zip(starts, exits))
-                if at not in known and at >= begin + WINDOW_BYTES:
-                    with open_file(path) as source:
-                        known = dict(zip(*_exits(source, codec, begin, end, length, at)))
-                stop = known.get(at)
-                found.append((path, at, stop))
-                at = stop
-            columns = zip(*found) if found else [(), (), ()]
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.int64()))], names=["path", "start", "stop"]
-            )
-
-    spread = cuts.repartition(tasks or count_tasks(files, split_bytes))
-    maps = spread.mapInArrow(follow, "path string, length bigint, begin bigint, starts array<bigint>, exits array<bigint>")
-    # One row per split; a file's are read one after the other.
-    ordered = maps.repartition("path").sortWithinPartitions("path", "begin")
-    return ordered.mapInArrow(chain, "path string, start bigint, stop bigint")
+            for name, size, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
+                if name != path:
+                    if path is not None:
+                        found += beyond(None)
+                    path, length, at, far = name, size, 0, False
+                if start > at:
+                    found += beyond(start)
+                if start == at and stop is not None:
+                    found.append((path, at, stop, length))
+                    at, far = stop, start % split_bytes >= WINDOW_BYTES
+            yield lines(found)
+        if path is not None:
+            yield lines(list(beyond(None)))
+
+    exits = cuts.repartition(tasks).mapInArrow(follow, "path string, length bigint, begin bigint, place bigint")
+    entries = exits.groupBy("path", "length", "begin").agg(F.collect_set("place").alias("places"))
+    maps = entries.repartition(tasks).mapInArrow(walk, "path string, length bigint, start bigint, stop bigint")
+    # A few numbers per split; a file's are read one after the other.
+    ordered = maps.repartition("path").sortWithinPartitions("path", "start")
+    return ordered.mapInArrow(chain, "path string, start bigint, stop bigint, length bigint")
 
 
 def _exits(
-    source: pa.NativeFile, codec: RowCodec, begin: int, end: int, length: int, at: int | None = None
-) -> tuple[list[int], list[int]]:
+    source: pa.NativeFile, codec: RowCodec, begin: int, end: int, length: int, at: int | list[int] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Starts of rows in a split, and where the rows from there leave it: the first start at or after ``end``.
 
-    Rows are followed from the file's header, from ``at``, or from every possible start in
-    the first :data:`WINDOW_BYTES`. Starts whose rows end before that, be it with the
-    trailer, are left out.
+    Rows are followed from ``at``, of which 0 is the file's header, or from the header and
+    every possible start in the first :data:`WINDOW_BYTES`. Starts whose rows end before
+    that, be it with the trailer, are left out.
     """
     parent: list[int] = []  # readers that met go on as one
     readers: dict[tuple[int, int], int] = {}  # (place, column, or -1 at a row's start) to reader
@@ -198,28 +234,31 @@ def _exits(
 
     def many(starts: np.ndarray, places: np.ndarray, columns: np.ndarray) -> None:
         if len(starts):
-            columns = np.where(columns == len(codec.widths), -1, columns)
-            states, which = np.unique(np.stack([places, columns]), axis=1, return_inverse=True)
-            ids = np.array([put((int(p), int(c))) for p, c in states.T], np.int64)
-            origins.append((starts, ids[which.ravel()]))
-
-    first = begin
-    if at is None and begin == 0:
+            many_of = len(codec.widths)
+            states, which = np.unique(places * (many_of + 1) + np.where(columns == many_of, -1, columns) + 1, return_inverse=True)
+            ids = [put((s // (many_of + 1), s % (many_of + 1) - 1)) for s in states.tolist()]
+            origins.append((starts, np.array(ids, np.int64)[which]))
+
+    first, every = begin, at is None
+    places = [] if every else at if isinstance(at, list) else [at]
+    if begin == 0 and (every or 0 in places):
         source.seek(0)
         try:
-            at = read_header(source.read(HEADER_BYTES))
+            first = read_header(source.read(HEADER_BYTES))
+            origins.append((np.array([0]), np.array([put((first, -1))])))
         except DumpError:
-            return [], []
-        first = at
-        origins.append((np.array([0]), np.array([put((at, -1))])))
-    elif at is not None:
-        first = at
-        origins.append((np.array([at]), np.array([put((at, -1))])))
-    elif begin <= length - 2 < min(begin + WINDOW_BYTES, end):
+            if every or len(places) == 1:
+                return np.empty(0, np.int64), np.empty(0, np.int64)
+    elif every and begin <= length - 2 < min(begin + WINDOW_BYTES, end):
         origins.append((np.array([length - 2]), np.array([put((length - 2, -1))])))
+    for place in places:
+        if place:
+            origins.append((np.array([place]), np.array([put((place, -1))])))
+    if not every:
+        first = min((place for place, _ in readers), default=end)
     for a in range(first, end, WALK_BYTES):
         b = min(a + WALK_BYTES, end)
-        fresh = at is None and a < begin + WINDOW_BYTES
+        fresh = every and a < begin + WINDOW_BYTES
         if not fresh and not any(a <= place < b for place, _ in readers):
             continue
         source.seek(a)
@@ -241,19 +280,17 @@ def _exits(
             if state not in readers and state[0] < b:
                 moving.append(state)
             put(state, reader)
-    exits: dict[int, int] = {}
+    exit_of = np.full(len(parent) + 1, -1)
     for (place, column), reader in readers.items():
         while place is not None and column >= 0:  # the rest of a row that goes beyond the split
             source.seek(min(place, length))
             place, column = codec.next_place(column, source.read(4), place)
         if place is not None and end <= place < length:
-            exits[reader] = place
-    found = {}
-    for starts, ids in origins:
-        for start, reader in zip(starts.tolist(), map(root, ids.tolist())):
-            if reader in exits:
-                found[start] = exits[reader]
-    return list(found), list(found.values())
+            exit_of[reader] = place
+    roots = np.array([*map(root, range(len(parent))), len(parent)])
+    starts = np.concatenate([np.empty(0, np.int64), *[s for s, _ in origins]])
+    exits = exit_of[roots[np.concatenate([np.empty(0, np.int64), *[ids for _, ids in origins]])]]
+    return starts[exits >= 0], exits[exits >= 0]
 
 
 def _moved(

@@ -3,6 +3,7 @@ import glob
 import io
 import struct
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -294,3 +295,32 @@ def test_safe_blobs(spark):
     assert sorted(map(tuple, dump.decode_blobs(df, TWO, "safe").collect())) == [(1, "one"), (2, None), (3, "three")]
     with pytest.raises(Exception, match="text: column 'text': invalid UTF-8"):
         dump.decode_blobs(df, TWO).collect()
+
+
+def test_a_split_sends_on_its_exits_only():
+    """Thousands of rows leave a split at one place; walked from those places, the chain is whole."""
+    codec = RowCodec(TWO)
+    rows = [(i, None if i % 5 == 0 else "x" * (i % 9)) for i in range(20_000)]
+    data, split = dump_of(TWO, rows), 1 << 16
+    cuts = [(b, min(b + split, len(data))) for b in range(0, len(data), split)]
+    places = {0}
+    for begin, end in cuts:
+        found = np.unique(dump._exits(io.BytesIO(data), codec, begin, end, len(data))[1])
+        assert len(found) <= 3
+        places.update(found.tolist())
+    at = 0
+    for begin, end in cuts:
+        entries = [p for p in places if begin <= p < end]
+        known = dict(zip(*dump._exits(io.BytesIO(data), codec, begin, end, len(data), entries)))
+        at = known.get(at)
+    assert at is None or at == len(data) - 2
+
+
+def test_rows_longer_than_the_window(spark, tmp_path):
+    """Splits that rows enter beyond the window, or not at all."""
+    rows = [(i, "x" * n) for i, n in enumerate([5, 3_000_000, 10, 1_400_000, 0, 2_000_000, 1_300_000, 7, 4_000_000, 1, 1_500_000, 3] * 2)]
+    (tmp_path / "long.bin").write_bytes(dump_of(TWO, rows))
+    (tmp_path / "short.bin").write_bytes(dump_of(TWO, GOOD))
+    for split_bytes in (1_300_000, 2_500_000):
+        found = dump.decode_files(spark, str(tmp_path), TWO, split_bytes=split_bytes)
+        assert sorted(map(tuple, found.collect())) == sorted([*rows, *GOOD])
