@@ -29,6 +29,8 @@ from rangeloom.sources.store import empty_files, exists, locate, open_file, qual
 
 SPLIT_BYTES = 128 << 20
 BLOCK_BYTES = 8 << 20
+# A task reads several splits, up to so many bytes, if there are enough of them for all cores.
+TASK_BYTES = 32 << 20
 # Rows of a split are followed from all places in this many of its first bytes (where a row
 # that is longer ends, the place is followed up later), in blocks of so many bytes.
 WINDOW_BYTES = 1 << 20
@@ -104,11 +106,11 @@ def dump_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def count_tasks(files: DataFrame, split_bytes: int) -> int:
-    """Tasks to read the files: one per split, or fewer if many files are small."""
+    """Tasks to read the files: one per split, or fewer if many files or splits are small."""
     cut = F.greatest(F.ceil(F.col("length") / F.lit(split_bytes)), F.lit(1))
     splits, total = files.agg(F.sum(cut), F.sum("length")).first()
     least = 4 * default_parallelism(files.sparkSession)
-    return max(min(splits or 1, max(-(-(total or 0) // split_bytes), least)), 1)
+    return max(min(splits or 1, max(-(-(total or 0) // max(split_bytes, TASK_BYTES)), least)), 1)
 
 
 def dump_splits(
@@ -358,7 +360,9 @@ def _parts(start: int, stop: int | None) -> dict[str, bool]:
 def _reader(source: pa.NativeFile, start: int, stop: int | None) -> Callable[[int], bytes]:
     """Read from ``start`` up to ``stop``, asking the store for large blocks."""
     source.seek(start)
-    blocks = pa.BufferedInputStream(source, BLOCK_BYTES)
+    # The buffer is filled whole at once: no more of it than there is to read.
+    left = (source.size() if stop is None else stop) - start
+    blocks = pa.BufferedInputStream(source, max(1, min(BLOCK_BYTES, left)))
     at = start
 
     def read(n: int) -> bytes:

@@ -297,6 +297,28 @@ def test_safe_blobs(spark):
         dump.decode_blobs(df, TWO).collect()
 
 
+def test_a_small_run_reads_no_more_than_itself():
+    """A buffer of eight megabytes would be filled for every one of the splits."""
+    class Counting(io.BytesIO):
+        taken = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            Counting.taken += len(data)
+            return data
+
+    rows = [(i, "text") for i in range(50_000)]
+    source = pa.PythonFile(Counting(dump_of(TWO, rows)), "r")
+    read = dump._reader(source, 19, 19 + 1000)
+    assert len(read(5000)) == 1000 and Counting.taken <= 2000
+
+
+def test_many_small_splits_share_tasks(spark):
+    files = spark.createDataFrame([("one", 4 << 30), ("two", 10)], "path string, length bigint")
+    assert dump.count_tasks(files, 1 << 16) <= max(4 * spark.sparkContext.defaultParallelism, 130)
+    assert dump.count_tasks(files, 1 << 30) == 5
+
+
 def test_a_split_sends_on_its_exits_only():
     """Thousands of rows leave a split at one place; walked from those places, the chain is whole."""
     codec = RowCodec(TWO)
