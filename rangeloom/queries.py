@@ -53,6 +53,8 @@ CORES = 4
 
 # Small enough that the dump files of the queries are read in several splits.
 DUMP_SPLIT_BYTES = 1 << 20
+# Rows of a dump file laid out by key; four files at least.
+DUMP_FILE_ROWS = 1_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -981,7 +983,9 @@ def dump_file_splits(spark, folder):
 
 def _indexed_lines(spark, folder) -> str:
     """An index of lineitem as dump files laid out by key, in small blocks."""
-    lines = range_layout(_table(spark, folder, "lineitem"), "l_orderkey", 4).select(*WHOLE_LINE.names)
+    table = _table(spark, folder, "lineitem")
+    n_files = max(4, table.count() // DUMP_FILE_ROWS)
+    lines = range_layout(table, "l_orderkey", n_files).select(*WHOLE_LINE.names)
     target = scratch_path(spark, "dumps")
     write_dumps(positional_bind(lines, WHOLE_LINE), target, WHOLE_LINE)
     return write_index(spark, target, WHOLE_LINE, "l_orderkey", scratch_path(spark, "index"), DUMP_SPLIT_BYTES // 8)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from rangeloom.functions.names import quoted
 from rangeloom.plans.ranges import default_parallelism
-from rangeloom.sources.dump import SPLIT_BYTES, _decode_spans, decode_span, dump_files, dump_splits
+from rangeloom.sources.dump import SPLIT_BYTES, _decode_spans, count_tasks, decode_span, dump_files, dump_splits
 from rangeloom.sources.dump_codec import DumpError, RowCodec
 from rangeloom.sources.store import append_file, locate, open_file, qualified
 
@@ -71,13 +71,15 @@ def write_index(
                 lines.append((name, length, start, stop, rows, least, greatest, nulls))
             kinds = (pa.string(), *[pa.int64()] * 7)
             names = ("path", "length", "start", "stop", "rows", "least", "greatest", "null_keys")
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*lines), kinds)], names=names)
+            columns = zip(*lines) if lines else [()] * len(kinds)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    spans = dump_splits(files, schema, block_bytes, mode=mode).join(files, "path")
+    tasks = count_tasks(files, block_bytes)
+    # The blocks of a file come from one task; they are dealt out to be read.
+    spans = dump_splits(files, schema, block_bytes, tasks, mode).repartition(tasks)
     lines = spans.select("path", "length", "start", "stop").mapInArrow(describe, _BLOCK)
-    lines.repartitionByRange(max(1, default_parallelism(spark) // 4), "path", "start").sortWithinPartitions(
-        "path", "start"
-    ).write.parquet(f"{index}/blocks")
+    # Not by range: that would read all blocks twice, the first time for a sample.
+    lines.repartition(max(1, default_parallelism(spark) // 4)).sortWithinPartitions("path", "start").write.parquet(f"{index}/blocks")
     note = {"schema": schema.json(), "key": key, "mode": mode}
     append_file(spark, f"{index}/about.json", json.dumps(note))
     return index

@@ -107,3 +107,24 @@ def test_wrong_schema_and_empty_index(spark, indexed, tmp_path):
     dump.write_dumps(spark.range(0).selectExpr("id", "'' AS text", "1 AS n"), str(tmp_path / "none"), KIND)
     empty = write_index(spark, str(tmp_path / "none"), KIND, "id", str(tmp_path / "index0"))
     assert dump_relation(spark, empty).collect() == [] and read_range(spark, empty, 0, 9).collect() == []
+
+
+def stages_of(spark, group, work):
+    """The number of tasks of each stage that work runs."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds}
+    return result, [info.numTasks for info in map(tracker.getStageInfo, stages) if info and info.numCompletedTasks]
+
+
+def test_blocks_of_one_file_are_described_by_many_tasks(spark, tmp_path):
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', CAST(id % 60 AS INT)) AS text", "1 AS n")
+    dump.write_dumps(rows, str(tmp_path / "dumps"), KIND)
+    tasks = dump.count_tasks(dump.dump_files(spark, str(tmp_path / "dumps")), 1000)
+    assert tasks > 16
+    _, stages = stages_of(spark, "index", lambda: write_index(spark, str(tmp_path / "dumps"), KIND, "id", str(tmp_path / "index"), 1000))
+    assert stages.count(tasks) == 3  # exits, entries, blocks; each read once
