@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from rangeloom.functions.names import quoted
 from rangeloom.plans.ranges import default_parallelism
-from rangeloom.sources.dump import SPLIT_BYTES, _decode_spans, count_tasks, decode_span, dump_files, dump_splits
+from rangeloom.sources.dump import SPLIT_BYTES, TASK_BYTES, _decode_spans, count_tasks, decode_span, dump_files, dump_splits
 from rangeloom.sources.dump_codec import DumpError, RowCodec
 from rangeloom.sources.store import append_file, locate, open_file, qualified
 
@@ -123,8 +123,8 @@ class Span(D.InputPartition):
 
 
 class DumpReader(D.DataSourceReader):
-    def __init__(self, index: str, schema: T.StructType, split_bytes: int, push: bool):
-        self.index, self.split_bytes, self.push = index, split_bytes, push
+    def __init__(self, index: str, schema: T.StructType, split_bytes: int, push: bool, tasks: int):
+        self.index, self.split_bytes, self.push, self.tasks = index, split_bytes, push, tasks
         self.about = _About(index)
         self.only = schema.names
         declared = {f.name: f.dataType for f in self.about.schema.fields}
@@ -160,10 +160,12 @@ class DumpReader(D.DataSourceReader):
         if not self.not_null:
             may |= ds.field("null_keys") > 0
         found = blocks.to_table(columns=["path", "length", "start", "stop"], filter=may).sort_by([("path", "ascending"), ("start", "ascending")])
-        parts, size = [], self.split_bytes
+        total = pc.sum(pc.subtract(pc.coalesce(found.column("stop"), found.column("length")), found.column("start"))).as_py() or 0
+        most = max(self.split_bytes, min(TASK_BYTES, total // self.tasks))
+        parts, size = [], most
         for path, length, start, stop in zip(*(found.column(c).to_pylist() for c in ("path", "length", "start", "stop"))):
             end = length if stop is None else stop
-            if size + end - start > self.split_bytes:
+            if size + end - start > most:
                 parts.append(Span([]))
                 size = 0
             spans, size = parts[-1].spans, size + end - start
@@ -182,7 +184,8 @@ class DumpReader(D.DataSourceReader):
 class DumpSource(D.DataSource):
     """Indexed dump files as a relation.
 
-    Options: ``path``, the index; ``split_bytes``, what a task reads; ``push``, whether filters
+    Options: ``path``, the index; ``split_bytes``, what a task reads; ``tasks``, beyond which
+    a task reads more, up to ``TASK_BYTES``; ``push``, whether filters
     pick blocks (see :func:`dump_relation`). A schema given to the reader names the columns
     wanted, with their declared types; only those are decoded.
     """
@@ -197,7 +200,8 @@ class DumpSource(D.DataSource):
     def reader(self, schema: T.StructType) -> DumpReader:
         options = self.options
         return DumpReader(
-            options["path"].rstrip("/"), schema, int(options.get("split_bytes", SPLIT_BYTES)), options.get("push") == "true"
+            options["path"].rstrip("/"), schema, int(options.get("split_bytes", SPLIT_BYTES)), options.get("push") == "true",
+            int(options.get("tasks", 1_024)),
         )
 
 
@@ -223,6 +227,7 @@ def dump_relation(
     register_source(spark)
     index = qualified(spark, index).rstrip("/")
     reader = spark.read.format(FORMAT).option("split_bytes", split_bytes).option("push", str(for_one_query).lower())
+    reader = reader.option("tasks", 4 * default_parallelism(spark))
     if columns:
         declared = _About(index).schema
         reader = reader.schema(T.StructType([declared[c] for c in columns]))

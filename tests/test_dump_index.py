@@ -128,3 +128,11 @@ def test_blocks_of_one_file_are_described_by_many_tasks(spark, tmp_path):
     assert tasks > 16
     _, stages = stages_of(spark, "index", lambda: write_index(spark, str(tmp_path / "dumps"), KIND, "id", str(tmp_path / "index"), 1000))
     assert stages.count(tasks) == 3  # exits, entries, blocks; each read once
+
+
+def test_a_relation_of_many_small_blocks_has_tasks_for_all_cores(spark, tmp_path):
+    rows = spark.range(0, 9000, 1, 2).selectExpr("id", "repeat('x', CAST(id % 60 AS INT)) AS text", "1 AS n")
+    dump.write_dumps(rows, str(tmp_path / "dumps"), KIND)
+    index = write_index(spark, str(tmp_path / "dumps"), KIND, "id", str(tmp_path / "index"), 1000)
+    lines = dump_relation(spark, index, split_bytes=1000)
+    assert 8 <= lines.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism and equal(lines, rows)
