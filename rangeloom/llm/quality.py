@@ -124,11 +124,17 @@ def _views(table: pa.Table | pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return _matrix(table.column("text"), TEXT_SIZE), _matrix(table.column("metadata"), META_SIZE)
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, text, metadata`` of every document: a number, and both views' features. Written once."""
+def features(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``row, doc_id, text, metadata, named`` of every document: a number, both views' features, whether ``labels`` name it.
+
+    Written once. The features are shuffled here, whatever the size of ``labels``, and in no round again.
+    """
     columns = [F.col("doc_id").cast("long"), "text", "lang", "source", F.col("n_chars").cast("long")]
     found = docs.select(*columns).mapInArrow(_describe, "doc_id bigint, text binary, metadata binary")
-    return write_once(found.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text", "metadata"))
+    numbered = found.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "text", "metadata")
+    named = labels.select("doc_id").where("doc_id is not null").distinct().withColumn("named", F.lit(True))
+    marked = numbered.join(named.hint("merge"), "doc_id", "left").withColumn("named", F.coalesce("named", F.lit(False)))
+    return write_once(marked.select("row", "doc_id", "text", "metadata", "named"), large=True)
 
 
 def _extremes(batches: Iterator[pa.RecordBatch], weights: list[np.ndarray], taken: list[np.ndarray], keep: int) -> Iterator[pa.RecordBatch]:
@@ -169,7 +175,7 @@ def co_train(described: DataFrame, labels: DataFrame, labelled_rows: int = LABEL
     """Fit both views on labelled rows and on what the other is sure of among all the others."""
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     rows = described.join(_sample(known, labelled_rows), "doc_id").orderBy("doc_id", "row").toArrow()
-    pool = described.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
+    pool = described.where("not named").select("row", "doc_id", "text", "metadata")
     labelled, y = _views(rows), np.array([float(q > 0) for q in rows.column("quality").to_pylist()])
     aside = np.zeros(len(y), bool)
     if len(y) >= 20:
@@ -228,7 +234,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = LA
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    described = features(docs)
+    described = features(docs, labels)
     model = shared(spark, co_train(described, labels, labelled_rows))
     return described.select("row", "doc_id", "text", "metadata").mapInArrow(
         lambda batches: _score(batches, model()),

@@ -271,6 +271,18 @@ def test_co_training(spark, docs, nothing):
     assert quality.score_quality(nothing, labels).count() == 0
 
 
+def test_co_training_joins_labels_once(spark, docs, monkeypatch):
+    """The rounds read features marked by their labels: no round shuffles them, and null labels count as labels."""
+    labels = spark.createDataFrame([(1, None), (2, 1), (2, 0), (3, 1), (None, 1)], "doc_id bigint, quality int")
+    table = spark.range(60).selectExpr("IF(id < 50, id, NULL) AS doc_id", "concat('a ', id) AS text", "'x' AS lang", "'s' AS source", "id AS n_chars")
+    marked = quality.features(table.unionAll(table.where("doc_id = 2")), labels)
+    assert marked.where("named").count() == 4 and marked.count() == 61
+    pools = []
+    monkeypatch.setattr(quality, "_surest", lambda pool, *rest: pools.append(pool) or [{}, {}])
+    quality.co_train(marked, labels)
+    assert "Join" not in pools[0]._jdf.queryExecution().optimizedPlan().toString() and pools[0].count() == 57
+
+
 # 5
 
 
