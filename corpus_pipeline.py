@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rangeloom.llm.common import table
+from rangeloom.llm.common import release, table, trim
 from rangeloom.llm.decontaminate import remove_contaminated
 from rangeloom.llm.jaccard_join import keep_one_of_each
 from rangeloom.llm.language_id import keep_identified
@@ -57,4 +57,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
         docs = spark.read.parquet(f"{folder}/{number}")
+        # Else the driver holds what every stage left behind: results, models, shuffles' records.
+        trim()
+        release(spark)
     return docs

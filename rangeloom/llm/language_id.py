@@ -185,6 +185,7 @@ def _most_frequent(counts: DataFrame, keep: int) -> DataFrame:
             levels.withColumn("upto", upto).where("upto > room")
             .groupBy(*keys).agg(F.min(F.struct("level", (F.col("room") - F.col("upto") + F.col("rows")).alias("left"))).alias("at"))
         )
+        bounds = write_once(bounds)  # a few rows; else every branch of the plan holds their steps again
         placed = rows.join(F.broadcast(bounds), keys, "left")
         whole = placed.where(F.col("at").isNull() | (level < F.col("at.level")))
         return whole.select(*counts.columns), placed.where(level == F.col("at.level")).select(*counts.columns, F.col("at.left").alias("room"))

@@ -254,6 +254,14 @@ def test_model_counts_everything(spark, monkeypatch):
 # 4
 
 
+def test_most_frequent_has_a_short_plan(spark):
+    """Bounds are written, not planned again in every branch."""
+    counts = spark.range(400).selectExpr("IF(id % 2 = 0, 'a', 'b') AS lang", "0 AS length", "concat('t', id) AS text", "id % 5 AS n")
+    found = language_id._most_frequent(counts, 7)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 0
+    assert sorted((r["lang"], r["n"]) for r in found.collect()) == [("a", 4)] * 7 + [("b", 4)] * 7
+
+
 def test_co_training(spark, docs, nothing):
     rng = random.Random(3)
     rows = []
