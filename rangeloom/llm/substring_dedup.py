@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangeloom.llm.common import Words, bound_batches, fold_table, mixed, trim, window_hashes, write_once
+from rangeloom.llm.common import LARGE_ROWS, Words, bound_batches, fold_table, mixed, trim, window_hashes, write_once
 
 #: Words of a window.
 WINDOW = 13
@@ -276,7 +276,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     bound_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
     docs = docs.select(F.col("doc_id").cast("long"), text)
-    groups = write_once(docs.where("doc_id IS NOT NULL").mapInArrow(_group, _GROUP))
+    groups = write_once(docs.where("doc_id IS NOT NULL").mapInArrow(_group, _GROUP), options=LARGE_ROWS)
     size = groups.agg(F.sum("bytes")).first()[0] or 0
     parts = max(16, size // PART_BYTES)
     columns = ["g", "ids", "texts"]

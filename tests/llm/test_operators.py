@@ -9,8 +9,10 @@ import subprocess
 import sys
 import time
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -557,6 +559,19 @@ def test_substring_dedup(docs, rows, nothing, monkeypatch, group, part):
     assert substring_dedup.remove_repeats(nothing).count() == 0
 
 
+def test_groups_of_texts_are_small_in_files(spark, monkeypatch):
+    """However many groups a task writes, a reader takes in a few of them at once."""
+    steps, write = [], substring_dedup.write_once
+    monkeypatch.setattr(substring_dedup, "write_once", lambda *a, **b: steps.append(write(*a, **b)) or steps[-1])
+    text = F.repeat(F.concat(F.lpad(F.col("id").cast("string"), 300, "x"), F.lit(" ")), 3_000)
+    docs = spark.range(0, 40, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    found = substring_dedup.remove_repeats(docs).collect()
+    assert {(r["n_words"], r["n_removed"]) for r in found} == {(3_000, 0)} and len(found) == 40
+    files = Path(steps[0].step_path.removeprefix("file:")).glob("*.parquet")
+    runs = [f.row_group(k).total_byte_size for f in map(pq.read_metadata, files) for k in range(f.num_row_groups)]
+    assert sum(runs) > 35e6 and max(runs) < 5 * substring_dedup.GROUP_BYTES
+
+
 def test_cover_has_every_difference():
     cover = substring_dedup.COVER
     assert {(a - b) % substring_dedup.PERIOD for a in cover for b in cover} == set(range(substring_dedup.PERIOD))
