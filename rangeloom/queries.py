@@ -1037,7 +1037,8 @@ def dump_row_like_texts(spark, folder):
     target = scratch_path(spark, "dumps")
     write_dumps(docs, target, kind)
     found = decode_files(spark, target, kind, split_bytes=DUMP_SPLIT_BYTES // 16)
-    both = found.join(docs.select("doc_id", F.col("text").alias("written")), "doc_id")
+    # Spark takes the decoded rows for as small as their spans, and would broadcast all texts.
+    both = found.join(docs.select("doc_id", F.col("text").alias("written")).hint("merge"), "doc_id")
     return both.select("doc_id", F.length("text").alias("n_chars"), (F.col("text") == F.col("written")).alias("same"))
 
 

@@ -317,6 +317,8 @@ def decode_files(
     """Rows of dump files, any number of splits per file, in bounded memory per task.
 
     ``split_bytes=None`` reads each file in one task. A file of zero bytes is an error.
+    Spark guesses the size of the rows from that of their spans, which is far too small: a
+    join needs a ``merge`` hint, or it may broadcast them all.
     """
     if cut := empty_files(spark, path):
         raise DumpError(f"{cut[0]}: no bytes at all ({len(cut)} such files)")

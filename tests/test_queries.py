@@ -57,6 +57,16 @@ def test_query_matches_sql(spark, tables, name):
     assert found == expected
 
 
+def test_row_like_texts_are_not_broadcast(spark, tmp_path):
+    """The spans of dumps are few and small, the texts decoded from them are not."""
+    rows = [(k, "word " * (k % 50)) for k in range(60)] + [(61, None), (None, "no key"), (4, "again")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = QUERIES["dump_row_like_texts"](spark, str(tmp_path))
+    lines = found.collect()
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert len(lines) == 60 - 1 + 1 + 4 and [r.n_chars for r in lines if r.doc_id == 7] == [35]
+
+
 def test_every_query_has_an_oracle():
     assert QUERIES.keys() == ORACLES.keys()
     assert QUERIES.keys() <= contract.queries().keys() and ORACLES.keys() <= contract.oracle_sql().keys()
